@@ -18,3 +18,132 @@ SQL["rfm_scores"] = with_(txn_cte(), rfm_cte(), rfm_scores_cte()) + """
 SQL["rfm_segment_counts"] = with_(txn_cte(), rfm_cte(), rfm_scores_cte()) + """
  SELECT segment, count(*) AS customers, round(avg(monetary), 6) AS avg_monetary
  FROM scored GROUP BY segment"""
+
+from .. import config as C  # noqa: E402
+from ..functions.columns import DUMMY_COLUMNS  # noqa: E402
+from .oracle import edges_cte, feats_cte, floor_days, lenient_cte, money, snap_ts  # noqa: E402
+
+DUMS = ", ".join(DUMMY_COLUMNS)
+BASE = with_(txn_cte(), feats_cte())
+SCORED = with_(txn_cte(), rfm_cte(), rfm_scores_cte())
+
+SQL["project_cols"] = with_(txn_cte()) + " SELECT customer_id, arrival_ts, revenue, channel FROM txn"
+SQL["parse_date"] = """SELECT o_orderkey AS txn_id,
+  strptime(CAST(o_orderdate AS VARCHAR), '%Y-%m-%d %H:%M:%S') AS arrival_ts FROM orders"""
+SQL["coerce_date"] = """SELECT o_orderkey AS txn_id,
+  TRY_CAST(CAST(o_orderdate AS VARCHAR) AS TIMESTAMP) AS arrival_ts,
+  TRY_CAST(o_orderpriority AS TIMESTAMP) AS priority_ts FROM orders"""
+SQL["strip_headers"] = with_(txn_cte()) + """ SELECT CAST(customer_id AS VARCHAR) AS customer_id,
+  CAST(arrival_ts AS VARCHAR) AS arrival_text, CAST(revenue AS VARCHAR) AS revenue_text, channel, txn_id
+  FROM txn"""
+SQL["scan_lenient"] = with_(txn_cte()) + """ SELECT txn_id, CAST(customer_id AS VARCHAR) AS customer_id,
+  arrival_ts, coalesce(TRY_CAST(CAST(revenue AS VARCHAR) AS DOUBLE), 0.0) AS revenue, channel FROM txn"""
+SQL["revenue_fallback"] = with_(txn_cte()) + """ SELECT txn_id, revenue AS rev_alt,
+  100.0 AS rev_default FROM txn"""
+SQL["coerce_number"] = """SELECT o_orderkey AS txn_id,
+  coalesce(TRY_CAST(CAST(o_totalprice AS VARCHAR) AS DOUBLE), 0.0) AS revenue,
+  coalesce(TRY_CAST(o_orderstatus AS DOUBLE), 0.0) AS status_num FROM orders"""
+SQL["channel_group"] = with_(txn_cte()) + " SELECT txn_id, channel, channel_group FROM enc"
+SQL["channel_onehot"] = with_(txn_cte()) + f" SELECT txn_id, channel_group, {DUMS} FROM enc"
+SQL["elapsed_days"] = BASE + " SELECT customer_id, duration, recency FROM feats"
+_EV_SNAP = "TIMESTAMP '2024-01-10 12:00:00'"
+SQL["elapsed_days_events"] = f"""SELECT event_id AS txn_id,
+  {floor_days('ts', _EV_SNAP)} AS days_to_snapshot,
+  date_diff('day', CAST(ts AS DATE), CAST({_EV_SNAP} AS DATE)) AS calendar_days_to_snapshot
+  FROM events WHERE event_type = 'purchase'"""
+SQL["event_flag"] = BASE + " SELECT customer_id, visit_count, event FROM feats"
+SQL["rfm_segment_name"] = SCORED + " SELECT customer_id, rfm_score, segment FROM scored"
+SQL["rfm_code"] = SCORED + \
+    " SELECT customer_id, r_score, f_score, m_score, rfm_segment, rfm_score FROM scored"
+SQL["customer_type_label"] = with_(txn_cte(), lenient_cte()) + f""" SELECT customer_id, tx_count,
+  CASE WHEN tx_count > 1 THEN '{C.TYPE_REPEATER}' ELSE '{C.TYPE_ONETIMER}' END AS customer_type
+  FROM len_cust"""
+SQL["clean_strict"] = with_(txn_cte()) + " SELECT txn_id, customer_id, arrival_ts, revenue FROM clean"
+SQL["clean_lenient"] = with_(txn_cte(), lenient_cte()) + \
+    " SELECT txn_id, customer_id, arrival_ts, revenue FROM len_clean"
+_FLAG = """, flagged AS (SELECT *, count(*) OVER (PARTITION BY customer_id) AS visit_count,
+  CASE WHEN count(*) OVER (PARTITION BY customer_id) > 1 THEN 'Y' ELSE 'N' END AS repeat FROM enc)"""
+SQL["split_onetimers"] = with_(txn_cte()) + _FLAG + \
+    " SELECT txn_id, customer_id, channel_group, visit_count, repeat FROM flagged WHERE repeat = 'N'"
+SQL["split_repeaters"] = with_(txn_cte()) + _FLAG + \
+    " SELECT txn_id, customer_id, channel_group, visit_count, repeat FROM flagged WHERE repeat = 'Y'"
+SQL["cox_rows"] = BASE + """ SELECT customer_id, duration, event, round(avg_spend, 6) AS avg_spend
+  FROM feats WHERE duration IS NOT NULL AND event IS NOT NULL AND avg_spend IS NOT NULL AND duration > 0"""
+SQL["gg_rows"] = BASE + """ SELECT customer_id, days_frequency AS frequency,
+  round(monetary_value, 6) AS monetary_value FROM feats WHERE monetary_value > 0 AND days_frequency > 0"""
+SQL["channel_subset"] = BASE + f""" SELECT channel_group, count(*) AS customers,
+  CAST(sum(CASE WHEN visit_count = 1 THEN 1 ELSE 0 END) AS BIGINT) AS one_timers,
+  count(*) >= {C.MIN_CHANNEL_ROWS} AS modelled FROM feats GROUP BY channel_group"""
+SQL["onetimer_customers"] = BASE + """ SELECT customer_id, first_date, duration,
+  round(avg_spend, 6) AS avg_spend, channel_group FROM feats WHERE visit_count = 1"""
+SQL["join_first_channel"] = BASE + f" SELECT customer_id, channel_group, {DUMS} FROM feats"
+SQL["join_tx_count"] = with_(txn_cte(), lenient_cte()) + f""" SELECT txn_id, customer_id, tx_count,
+  CASE WHEN tx_count > 1 THEN '{C.TYPE_REPEATER}' ELSE '{C.TYPE_ONETIMER}' END AS customer_type
+  FROM len_flag"""
+SQL["semi_repeaters"] = with_(txn_cte()) + """ SELECT txn_id, customer_id, arrival_ts, revenue
+  FROM clean WHERE customer_id IN (SELECT customer_id FROM clean GROUP BY 1 HAVING count(*) > 1)"""
+SQL["map_repeat_flag"] = with_(txn_cte()) + _FLAG + " SELECT txn_id, customer_id, repeat FROM flagged"
+SQL["customer_agg"] = BASE + f""" SELECT customer_id, first_date, last_date, visit_count,
+  round(avg_spend, 6) AS avg_spend, duration, event, channel_group, {DUMS} FROM feats"""
+SQL["customer_agg_lenient"] = with_(txn_cte(), lenient_cte()) + f""" SELECT customer_id,
+  first_arrival, last_arrival, tx_count, round(total_revenue, 6) AS total_revenue,
+  round(avg_revenue, 6) AS avg_revenue,
+  CASE WHEN tx_count > 1 THEN '{C.TYPE_REPEATER}' ELSE '{C.TYPE_ONETIMER}' END AS customer_type,
+  {floor_days('first_arrival', snap_ts())} AS T, CAST(tx_count > 1 AS BIGINT) AS event,
+  {floor_days('last_arrival', snap_ts())} AS recency FROM len_cust"""
+
+
+def _freq_table(key: str, src: str) -> str:
+    return f""" SELECT {key}, count(*) AS total_customerid_count,
+  count(DISTINCT customer_id) AS distinct_customerid_count,
+  CAST(trunc(CAST(sum({money('revenue')}) AS DOUBLE) / count(*)) AS BIGINT) AS avg_total_revenue_usd
+  FROM {src} WHERE {key} IS NOT NULL GROUP BY {key}"""
+
+
+SQL["channel_table"] = with_(txn_cte()) + _freq_table("channel", "clean")
+SQL["channel_group_table"] = with_(txn_cte()) + _freq_table("channel_group", "enc")
+SQL["sort_freq"] = SQL["channel_group_table"]
+SQL["repeat_table"] = with_(txn_cte()) + _FLAG + """, c AS (SELECT repeat, count(*) AS count
+  FROM flagged GROUP BY repeat) SELECT repeat, count, round(count * 100.0 / sum(count) OVER (), 2) AS percent FROM c"""
+SQL["repeat_distinct"] = with_(txn_cte()) + _FLAG + """ SELECT repeat,
+  count(DISTINCT customer_id) AS distinct_customer_count FROM flagged GROUP BY repeat"""
+SQL["spend_by_visit"] = with_(txn_cte()) + _FLAG + """, num AS (SELECT *, row_number() OVER
+  (PARTITION BY customer_id ORDER BY arrival_ts, txn_id) AS visit_number FROM flagged WHERE repeat = 'Y')
+  SELECT visit_number, round(CAST(sum(""" + money('revenue') + """) AS DOUBLE) / count(*), 6) AS avg_spend
+  FROM num GROUP BY visit_number"""
+SQL["profile"] = with_(txn_cte()) + """ SELECT (SELECT count(customer_id) FROM txn) AS total_ids,
+  (SELECT count(DISTINCT customer_id) FROM txn) AS distinct_ids,
+  (SELECT min(arrival_ts) FROM txn) AS min_date, (SELECT max(arrival_ts) FROM txn) AS max_date,
+  (SELECT count(DISTINCT customer_id) FROM clean) AS distinct_customers_clean"""
+SQL["distinct_values"] = with_(txn_cte()) + """, w AS (SELECT t.channel, o.o_orderstatus AS order_status,
+  o.o_orderpriority AS order_priority FROM txn t JOIN orders o ON o.o_orderkey = t.txn_id)
+  SELECT DISTINCT column_name, value FROM (
+    SELECT 'channel' AS column_name, channel AS value FROM w UNION ALL
+    SELECT 'order_status', order_status FROM w UNION ALL
+    SELECT 'order_priority', order_priority FROM w) WHERE value IS NOT NULL"""
+_REPS = ", reps AS (SELECT * FROM feats WHERE visit_count > 1)"
+SQL["purchase_summary"] = BASE + _REPS + """ SELECT customer_id, days_frequency AS frequency, t_x, T,
+  round(monetary_value, 6) AS monetary_value FROM reps"""
+SQL["train_metrics"] = BASE + _REPS + "," + edges_cte("med", "reps", "monetary_value", 2) + f"""
+  SELECT count(*) AS n_customers, round(avg(days_frequency), 6) AS avg_frequency,
+  round(avg(t_x), 6) AS avg_recency, round(avg(T), 6) AS avg_T,
+  round(CAST(sum({money('monetary_value')}) AS DOUBLE) / count(*), 6) AS avg_monetary_value,
+  round((SELECT e FROM med), 6) AS median_monetary_value FROM reps"""
+SQL["cox_metrics"] = BASE + """ SELECT count(*) AS n_samples, CAST(sum(event) AS BIGINT) AS n_events,
+  round(avg(event), 6) AS event_rate FROM feats"""
+SQL["load_stats"] = with_(txn_cte()) + _FLAG + """ SELECT count(*) AS transactions,
+  count(DISTINCT customer_id) AS customers,
+  count(DISTINCT CASE WHEN repeat = 'N' THEN customer_id END) AS one_timers,
+  count(DISTINCT CASE WHEN repeat = 'Y' THEN customer_id END) AS repeaters FROM flagged"""
+SQL["visit_counts"] = with_(txn_cte()) + """ SELECT customer_id, count(*) AS visit_count,
+  CASE WHEN count(*) = 1 THEN 'one_timer' ELSE 'repeater' END AS customer_class FROM clean GROUP BY 1"""
+SQL["visit_number"] = with_(txn_cte()) + """ SELECT txn_id, customer_id, row_number() OVER
+  (PARTITION BY customer_id ORDER BY arrival_ts, txn_id) AS visit_number FROM clean"""
+SQL["rank_first"] = with_(txn_cte(), rfm_cte()) + """ SELECT customer_id, frequency,
+  row_number() OVER (ORDER BY frequency, customer_id) AS f_rank FROM rfm"""
+SQL["latest_channel"] = BASE + """ SELECT customer_id, latest_channel AS channel,
+  latest_channel_group AS channel_group FROM feats"""
+SQL["first_row"] = with_(txn_cte(), feats_cte()) + """ SELECT customer_id, txn_id, arrival_ts, channel,
+  channel_group FROM ranked WHERE rn_first = 1"""
+SQL["sort_txn"] = with_(txn_cte()) + " SELECT txn_id, customer_id, arrival_ts, revenue, channel FROM clean"
+SQL["distinct_customers"] = with_(txn_cte()) + " SELECT DISTINCT customer_id FROM clean"

@@ -118,3 +118,58 @@ scored AS (
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(c.strip().lstrip(",") for c in ctes)
+
+
+def feats_cte(snapshot: str = SNAP) -> str:
+    """Per-customer fields (customer table, RFM inputs, first/latest channel,
+    calendar-day summary) with plain windows and group-bys."""
+    from ..functions.columns import DUMMY_COLUMNS
+    dummies = ",\n         ".join(
+        f"bool_or(CASE WHEN rn_first = 1 THEN {d} END) AS {d}" for d in DUMMY_COLUMNS)
+    st = snap_ts(snapshot)
+    return f"""
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY arrival_ts, txn_id) AS rn_first,
+         row_number() OVER (PARTITION BY customer_id ORDER BY arrival_ts DESC, txn_id DESC) AS rn_last
+  FROM enc),
+cust_base AS (
+  SELECT customer_id, min(arrival_ts) AS first_date, max(arrival_ts) AS last_date,
+         count(*) AS visit_count, sum({money('revenue')}) AS total,
+         max(CASE WHEN rn_first = 1 THEN channel_group END) AS channel_group,
+         {dummies},
+         max(CASE WHEN rn_last = 1 THEN channel END) AS latest_channel,
+         max(CASE WHEN rn_last = 1 THEN channel_group END) AS latest_channel_group
+  FROM ranked GROUP BY customer_id),
+days AS (
+  SELECT customer_id, CAST(arrival_ts AS DATE) AS day, sum({money('revenue')}) AS day_sum
+  FROM enc WHERE CAST(arrival_ts AS DATE) <= CAST({st} AS DATE) GROUP BY 1, 2),
+summ AS (
+  SELECT customer_id, count(*) - 1 AS days_frequency,
+         date_diff('day', min(day), max(day)) AS t_x,
+         date_diff('day', min(day), CAST({st} AS DATE)) AS T,
+         CASE WHEN count(*) > 1 THEN CAST(sum(day_sum) - arg_min(day_sum, day) AS DOUBLE) / (count(*) - 1)
+              ELSE 0.0 END AS monetary_value
+  FROM days GROUP BY customer_id),
+feats AS (
+  SELECT c.*, CAST(c.total AS DOUBLE) / c.visit_count AS avg_spend,
+         {floor_days('c.first_date', st)} AS duration,
+         CAST(c.visit_count > 1 AS BIGINT) AS event,
+         {floor_days('c.last_date', st)} AS recency,
+         c.visit_count AS frequency, CAST(c.total AS DOUBLE) AS monetary,
+         s.days_frequency, s.t_x, s.T, s.monetary_value
+  FROM cust_base c LEFT JOIN summ s USING (customer_id))"""
+
+
+def lenient_cte(snapshot: str = SNAP) -> str:
+    st = snap_ts(snapshot)
+    return f"""
+len_clean AS (
+  SELECT * FROM txn WHERE arrival_ts IS NOT NULL AND arrival_ts <= {st}
+    AND coalesce(revenue, 0.0) > 0 AND customer_id IS NOT NULL),
+len_flag AS (
+  SELECT *, count(*) OVER (PARTITION BY customer_id) AS tx_count FROM len_clean),
+len_cust AS (
+  SELECT customer_id, min(arrival_ts) AS first_arrival, max(arrival_ts) AS last_arrival,
+         count(*) AS tx_count, CAST(sum({money('revenue')}) AS DOUBLE) AS total_revenue,
+         CAST(sum({money('revenue')}) AS DOUBLE) / count(*) AS avg_revenue
+  FROM len_clean GROUP BY customer_id)"""

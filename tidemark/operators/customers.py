@@ -21,7 +21,8 @@ def order_key() -> F.Column:
 
 
 def _avg_money(col: str = "revenue") -> F.Column:
-    return (F.sum(money(col)) / F.count(F.col(col))).cast("double")
+    """Exact decimal sum, then one double division (row-order independent)."""
+    return F.sum(money(col)).cast("double") / F.count(F.col(col))
 
 
 def rfm_features(txn: DataFrame, snapshot) -> DataFrame:
@@ -109,7 +110,7 @@ def purchase_summary(txn: DataFrame, snapshot) -> DataFrame:
         F.datediff("last_day", "first_day").cast("long").alias("t_x"),
         F.datediff(snap_day, "first_day").cast("long").alias("T"),
         F.when(F.col("n_days") > 1,
-               ((F.col("total") - F.col("first_sum")) / (F.col("n_days") - 1)).cast("double"))
+               (F.col("total") - F.col("first_sum")).cast("double") / (F.col("n_days") - 1))
         .otherwise(F.lit(0.0)).alias("monetary_value"),
         "n_visits",
     )
@@ -155,3 +156,66 @@ def elapsed(txn: DataFrame, snapshot) -> DataFrame:
     snap = ts_literal(snapshot)
     return txn.select("*", floor_days("arrival_ts", snap).alias("days_to_snapshot"),
                       day_diff("arrival_ts", snap).alias("calendar_days_to_snapshot"))
+
+
+def customer_features(txn: DataFrame, snapshot) -> DataFrame:
+    """Every per-customer field of the analysis from ONE two-level aggregate
+    (customer-day, then customer): RFM inputs (A1), the customer table (A2,
+    first-visit channel J1/W4), the latest channel (W3) and the calendar-day
+    purchase summary (A11). Both levels aggregate partially before their
+    shuffle, so a hot id is reduced map-side and spread over its days.
+
+    Columns: customer_id, first_date, last_date, visit_count, avg_spend,
+    duration, event, recency, frequency, monetary, channel_group, dummies,
+    latest_channel, latest_channel_group, days_frequency, t_x, T,
+    monetary_value."""
+    from .cleaning import add_channel_groups
+    if "channel_group" not in txn.columns:
+        txn = add_channel_groups(txn)
+    snap = ts_literal(snapshot)
+    snap_day = F.to_date(snap)
+    key = order_key()
+    days = txn.groupBy("customer_id", F.to_date("arrival_ts").alias("day")).agg(
+        F.sum(money("revenue")).alias("day_sum"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.min(key).alias("first_key"),
+        F.max(key).alias("last_key"),
+        F.min_by(F.struct("channel_group", *DUMMY_COLUMNS), key).alias("first_pick"),
+        F.max_by(F.struct("channel", "channel_group"), key).alias("last_pick"),
+    )
+    in_window = F.col("day") <= snap_day
+    cust = days.groupBy("customer_id").agg(
+        F.min("first_key").alias("fk"),
+        F.max("last_key").alias("lk"),
+        F.sum("n_rows").cast("long").alias("visit_count"),
+        F.sum("day_sum").alias("total"),
+        F.min_by("first_pick", "first_key").alias("first"),
+        F.max_by("last_pick", "last_key").alias("last"),
+        F.count(F.when(in_window, 1)).alias("n_days"),
+        F.min(F.when(in_window, F.col("day"))).alias("first_day"),
+        F.max(F.when(in_window, F.col("day"))).alias("last_day"),
+        F.sum(F.when(in_window, F.col("day_sum"))).alias("s_total"),
+        F.min_by("day_sum", "day").alias("first_sum"),
+    )
+    n_days = F.col("n_days")
+    return cust.select(
+        "customer_id",
+        F.col("fk.arrival_ts").alias("first_date"),
+        F.col("lk.arrival_ts").alias("last_date"),
+        "visit_count",
+        (F.col("total").cast("double") / F.col("visit_count")).alias("avg_spend"),
+        floor_days(F.col("fk.arrival_ts"), snap).alias("duration"),
+        (F.col("visit_count") > 1).cast("long").alias("event"),
+        floor_days(F.col("lk.arrival_ts"), snap).alias("recency"),
+        F.col("visit_count").alias("frequency"),
+        F.col("total").cast("double").alias("monetary"),
+        F.col("first.channel_group").alias("channel_group"),
+        *[F.col(f"first.{d}").alias(d) for d in DUMMY_COLUMNS],
+        F.col("last.channel").alias("latest_channel"),
+        F.col("last.channel_group").alias("latest_channel_group"),
+        F.when(n_days > 0, (n_days - 1).cast("long")).alias("days_frequency"),
+        F.datediff("last_day", "first_day").cast("long").alias("t_x"),
+        F.datediff(snap_day, "first_day").cast("long").alias("T"),
+        F.when(n_days > 1, (F.col("s_total") - F.col("first_sum")).cast("double") / (n_days - 1))
+        .when(n_days == 1, F.lit(0.0)).alias("monetary_value"),
+    )

@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions import r6
+from ..functions import DUMMY_COLUMNS, r6
 from ..operators import cleaning as CL
 from ..operators import customers as CU
+from ..operators import profile as PR
 from ..operators import rfm as RF
+from .. import sources as SRC
 from ..sources import testdata_transactions
 
 SNAP = C.TESTDATA_SNAPSHOT
@@ -60,3 +62,344 @@ def q_rfm_segment_counts(spark, sf_dir):
     s = RF.rfm_scores(rfm_table(spark, sf_dir))
     return s.groupBy("segment").agg(F.count(F.lit(1)).alias("customers"),
                                     r6(F.avg("monetary")).alias("avg_monetary"))
+
+
+# ---------------------------------------------------------------- helpers
+
+def enc_txn(spark, sf_dir) -> DataFrame:
+    return CL.add_channel_groups(clean_txn(spark, sf_dir))
+
+
+def features(spark, sf_dir) -> DataFrame:
+    return CU.customer_features(clean_txn(spark, sf_dir), SNAP)
+
+
+def _money_cols(df: DataFrame, cols) -> DataFrame:
+    return df.select(*[r6(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+# ------------------------------------------------------- projections (P)
+
+@register("project_cols")
+def q_project_cols(spark, sf_dir):
+    t = testdata_transactions(spark, sf_dir)
+    return t.select("customer_id", "arrival_ts", "revenue", "channel")
+
+
+@register("parse_date")
+def q_parse_date(spark, sf_dir):
+    o = SRC.table(spark, sf_dir, "orders")
+    s = o.select(F.col("o_orderkey").alias("txn_id"),
+                 F.col("o_orderdate").cast("string").alias("arrival_text"))
+    return s.select("txn_id", F.to_timestamp_ntz("arrival_text", F.lit("yyyy-MM-dd HH:mm:ss"))
+                    .alias("arrival_ts"))
+
+
+@register("coerce_date")
+def q_coerce_date(spark, sf_dir):
+    o = SRC.table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").alias("txn_id"),
+                    F.expr("try_cast(cast(o_orderdate as string) as timestamp_ntz)").alias("arrival_ts"),
+                    F.expr("try_cast(o_orderpriority as timestamp_ntz)").alias("priority_ts"))
+
+
+def _as_extract(spark, sf_dir, revenue_header: str | None) -> DataFrame:
+    """Orders shaped like an all-string CSV extract with untidy headers."""
+    t = testdata_transactions(spark, sf_dir)
+    cols = [F.col("customer_id").cast("string").alias(" CustomerID "),
+            F.col("arrival_ts").cast("string").alias("Arrival Date "),
+            F.col("channel").alias(" Channel"),
+            F.col("txn_id")]
+    if revenue_header:
+        cols.append(F.col("revenue").cast("string").alias(revenue_header))
+    return t.select(*cols)
+
+
+def _lenient(df: DataFrame) -> DataFrame:
+    return SRC.lenient_frame(df.toDF(*[c.strip() for c in df.columns]))
+
+
+@register("strip_headers")
+def q_strip_headers(spark, sf_dir):
+    df = _as_extract(spark, sf_dir, " Total Revenue USD ")
+    return df.toDF(*[c.strip() for c in df.columns]).select(
+        F.col("CustomerID").alias("customer_id"), F.col("`Arrival Date`").alias("arrival_text"),
+        F.col("`Total Revenue USD`").alias("revenue_text"), F.col("Channel").alias("channel"), "txn_id")
+
+
+@register("scan_lenient")
+def q_scan_lenient(spark, sf_dir):
+    return _lenient(_as_extract(spark, sf_dir, "Total Revenue USD"))
+
+
+@register("revenue_fallback")
+def q_revenue_fallback(spark, sf_dir):
+    alt = _lenient(_as_extract(spark, sf_dir, "Room Amount")).select("txn_id", F.col("revenue").alias("rev_alt"))
+    none = _lenient(_as_extract(spark, sf_dir, None)).select("txn_id", F.col("revenue").alias("rev_default"))
+    return alt.join(none, "txn_id")
+
+
+@register("coerce_number")
+def q_coerce_number(spark, sf_dir):
+    o = SRC.table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").alias("txn_id"),
+                    F.coalesce(F.expr("try_cast(cast(o_totalprice as string) as double)"), F.lit(0.0))
+                    .alias("revenue"),
+                    F.coalesce(F.expr("try_cast(o_orderstatus as double)"), F.lit(0.0)).alias("status_num"))
+
+
+@register("channel_group")
+def q_channel_group(spark, sf_dir):
+    return enc_txn(spark, sf_dir).select("txn_id", "channel", "channel_group")
+
+
+@register("channel_onehot")
+def q_channel_onehot(spark, sf_dir):
+    return enc_txn(spark, sf_dir).select("txn_id", "channel_group", *DUMMY_COLUMNS)
+
+
+@register("elapsed_days")
+def q_elapsed_days(spark, sf_dir):
+    return features(spark, sf_dir).select("customer_id", "duration", "recency")
+
+
+@register("elapsed_days_events")
+def q_elapsed_days_events(spark, sf_dir):
+    ev = SRC.testdata_events(spark, sf_dir)
+    snap = "2024-01-10 12:00:00"
+    return CU.elapsed(ev, snap).select("txn_id", "days_to_snapshot", "calendar_days_to_snapshot")
+
+
+@register("event_flag")
+def q_event_flag(spark, sf_dir):
+    return features(spark, sf_dir).select("customer_id", "visit_count", "event")
+
+
+@register("rfm_segment_name")
+def q_rfm_segment_name(spark, sf_dir):
+    return RF.rfm_scores(rfm_table(spark, sf_dir)).select("customer_id", "rfm_score", "segment")
+
+
+@register("rfm_code")
+def q_rfm_code(spark, sf_dir):
+    return RF.rfm_scores(rfm_table(spark, sf_dir)).select(
+        "customer_id", "r_score", "f_score", "m_score", "rfm_segment", "rfm_score")
+
+
+@register("customer_type_label")
+def q_customer_type_label(spark, sf_dir):
+    lt = CL.clean_lenient(testdata_transactions(spark, sf_dir), SNAP)
+    return CU.customer_table_lenient(lt, SNAP).select("customer_id", "tx_count", "customer_type")
+
+
+# ---------------------------------------------------------- filters (F)
+
+@register("clean_strict")
+def q_clean_strict(spark, sf_dir):
+    return clean_txn(spark, sf_dir).select("txn_id", "customer_id", "arrival_ts", "revenue")
+
+
+@register("clean_lenient")
+def q_clean_lenient(spark, sf_dir):
+    return CL.clean_lenient(testdata_transactions(spark, sf_dir), SNAP).select(
+        "txn_id", "customer_id", "arrival_ts", "revenue")
+
+
+@register("split_onetimers")
+def q_split_onetimers(spark, sf_dir):
+    one, _ = CL.split_customers(enc_txn(spark, sf_dir))
+    return one.select("txn_id", "customer_id", "channel_group", "visit_count", "repeat")
+
+
+@register("split_repeaters")
+def q_split_repeaters(spark, sf_dir):
+    _, rep = CL.split_customers(enc_txn(spark, sf_dir))
+    return rep.select("txn_id", "customer_id", "channel_group", "visit_count", "repeat")
+
+
+@register("cox_rows")
+def q_cox_rows(spark, sf_dir):
+    f = features(spark, sf_dir)
+    rows = f.dropna(subset=["duration", "event", "avg_spend"]).where(F.col("duration") > 0)
+    return rows.select("customer_id", "duration", "event", r6("avg_spend").alias("avg_spend"))
+
+
+@register("gg_rows")
+def q_gg_rows(spark, sf_dir):
+    s = CU.purchase_summary(clean_txn(spark, sf_dir), SNAP)
+    s = s.where((F.col("monetary_value") > 0) & (F.col("frequency") > 0))
+    return s.select("customer_id", "frequency", r6("monetary_value").alias("monetary_value"))
+
+
+@register("channel_subset")
+def q_channel_subset(spark, sf_dir):
+    f = features(spark, sf_dir).dropna(subset=["duration", "event", "avg_spend"])
+    c = f.groupBy("channel_group").agg(F.count(F.lit(1)).alias("customers"),
+                                        F.sum(F.when(F.col("visit_count") == 1, 1).otherwise(0))
+                                        .cast("long").alias("one_timers"))
+    return c.withColumn("modelled", F.col("customers") >= C.MIN_CHANNEL_ROWS)
+
+
+@register("onetimer_customers")
+def q_onetimer_customers(spark, sf_dir):
+    f = features(spark, sf_dir).where(F.col("visit_count") == 1)
+    return f.select("customer_id", "first_date", "duration", r6("avg_spend").alias("avg_spend"),
+                    "channel_group")
+
+
+# ------------------------------------------------------------ joins (J)
+
+@register("join_first_channel")
+def q_join_first_channel(spark, sf_dir):
+    return CU.customer_table(enc_txn(spark, sf_dir), SNAP).select(
+        "customer_id", "channel_group", *DUMMY_COLUMNS)
+
+
+@register("join_tx_count")
+def q_join_tx_count(spark, sf_dir):
+    lt = CL.clean_lenient(testdata_transactions(spark, sf_dir), SNAP)
+    return CL.add_customer_type(lt).select("txn_id", "customer_id", "tx_count", "customer_type")
+
+
+@register("semi_repeaters")
+def q_semi_repeaters(spark, sf_dir):
+    t = clean_txn(spark, sf_dir)
+    ids = CL.visit_counts(t).where(F.col("visit_count") > 1)
+    return CL.semi_by_ids(t, ids).select("txn_id", "customer_id", "arrival_ts", "revenue")
+
+
+@register("map_repeat_flag")
+def q_map_repeat_flag(spark, sf_dir):
+    return CL.add_repeat_flag(clean_txn(spark, sf_dir)).select("txn_id", "customer_id", "repeat")
+
+
+# ----------------------------------------------------- aggregations (A)
+
+@register("customer_agg")
+def q_customer_agg(spark, sf_dir):
+    c = CU.customer_table(enc_txn(spark, sf_dir), SNAP)
+    return c.select("customer_id", "first_date", "last_date", "visit_count",
+                    r6("avg_spend").alias("avg_spend"), "duration", "event", "channel_group",
+                    *DUMMY_COLUMNS)
+
+
+@register("customer_agg_lenient")
+def q_customer_agg_lenient(spark, sf_dir):
+    lt = CL.clean_lenient(testdata_transactions(spark, sf_dir), SNAP)
+    c = CU.customer_table_lenient(lt, SNAP)
+    return _money_cols(c, {"total_revenue", "avg_revenue"})
+
+
+@register("channel_table")
+def q_channel_table(spark, sf_dir):
+    return PR.frequency_table(clean_txn(spark, sf_dir), "channel")
+
+
+@register("channel_group_table")
+def q_channel_group_table(spark, sf_dir):
+    return PR.frequency_table(enc_txn(spark, sf_dir), "channel_group")
+
+
+@register("repeat_table")
+def q_repeat_table(spark, sf_dir):
+    return PR.repeat_table(CL.add_repeat_flag(clean_txn(spark, sf_dir)))
+
+
+@register("repeat_distinct")
+def q_repeat_distinct(spark, sf_dir):
+    return PR.repeat_distinct(CL.add_repeat_flag(clean_txn(spark, sf_dir)))
+
+
+@register("spend_by_visit")
+def q_spend_by_visit(spark, sf_dir):
+    _, rep = CL.split_customers(clean_txn(spark, sf_dir))
+    out = PR.spend_by_visit(CU.visit_numbers(rep))
+    return out.select("visit_number", r6("avg_spend").alias("avg_spend"))
+
+
+@register("profile")
+def q_profile(spark, sf_dir):
+    return PR.profile(testdata_transactions(spark, sf_dir), clean_txn(spark, sf_dir))
+
+
+@register("distinct_values")
+def q_distinct_values(spark, sf_dir):
+    t = testdata_transactions(spark, sf_dir)
+    o = SRC.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("txn_id"),
+                                                   "o_orderstatus", "o_orderpriority")
+    wide = t.join(o, "txn_id").select("channel", F.col("o_orderstatus").alias("order_status"),
+                                      F.col("o_orderpriority").alias("order_priority"))
+    return PR.distinct_values(wide, ["channel", "order_status", "order_priority"])
+
+
+@register("purchase_summary")
+def q_purchase_summary(spark, sf_dir):
+    s = CU.purchase_summary(clean_txn(spark, sf_dir), SNAP).where(F.col("n_visits") > 1)
+    return s.select("customer_id", "frequency", "t_x", "T", r6("monetary_value").alias("monetary_value"))
+
+
+@register("train_metrics")
+def q_train_metrics(spark, sf_dir):
+    s = CU.purchase_summary(clean_txn(spark, sf_dir), SNAP).where(F.col("n_visits") > 1)
+    m = PR.summary_metrics(s)
+    return _money_cols(m, {"avg_frequency", "avg_recency", "avg_T", "avg_monetary_value",
+                           "median_monetary_value"})
+
+
+@register("cox_metrics")
+def q_cox_metrics(spark, sf_dir):
+    return _money_cols(PR.cox_metrics(features(spark, sf_dir)), {"event_rate"})
+
+
+@register("load_stats")
+def q_load_stats(spark, sf_dir):
+    return PR.load_stats(CL.add_repeat_flag(clean_txn(spark, sf_dir)))
+
+
+@register("visit_counts")
+def q_visit_counts(spark, sf_dir):
+    v = CL.visit_counts(clean_txn(spark, sf_dir))
+    return v.withColumn("customer_class", F.when(F.col("visit_count") == 1, "one_timer")
+                        .otherwise("repeater"))
+
+
+# ------------------------------------------------------ windows (W)
+
+@register("visit_number")
+def q_visit_number(spark, sf_dir):
+    return CU.visit_numbers(clean_txn(spark, sf_dir)).select("txn_id", "customer_id", "visit_number")
+
+
+@register("rank_first")
+def q_rank_first(spark, sf_dir):
+    r = rfm_table(spark, sf_dir)
+    from ..operators.quantiles import global_row_number
+    return global_row_number(r, "frequency", "customer_id", out="f_rank").select(
+        "customer_id", "frequency", "f_rank")
+
+
+@register("latest_channel")
+def q_latest_channel(spark, sf_dir):
+    return CU.latest_channel(enc_txn(spark, sf_dir))
+
+
+@register("first_row")
+def q_first_row(spark, sf_dir):
+    return CU.first_row(enc_txn(spark, sf_dir), ["txn_id", "arrival_ts", "channel", "channel_group"])
+
+
+# -------------------------------------------------- sort / set (O, U)
+
+@register("sort_txn")
+def q_sort_txn(spark, sf_dir):
+    return clean_txn(spark, sf_dir).orderBy("customer_id", "arrival_ts", "txn_id")
+
+
+@register("sort_freq")
+def q_sort_freq(spark, sf_dir):
+    return PR.frequency_table(enc_txn(spark, sf_dir), "channel_group")
+
+
+@register("distinct_customers")
+def q_distinct_customers(spark, sf_dir):
+    return clean_txn(spark, sf_dir).select("customer_id").distinct()
