@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle import rfm_cte, rfm_scores_cte, txn_cte, with_
+from .oracle import bucket, rfm_cte, rfm_scores_cte, txn_cte, with_
 
 SQL: dict[str, str] = {}
 
@@ -147,3 +147,136 @@ SQL["first_row"] = with_(txn_cte(), feats_cte()) + """ SELECT customer_id, txn_i
   channel_group FROM ranked WHERE rn_first = 1"""
 SQL["sort_txn"] = with_(txn_cte()) + " SELECT txn_id, customer_id, arrival_ts, revenue, channel FROM clean"
 SQL["distinct_customers"] = with_(txn_cte()) + " SELECT DISTINCT customer_id FROM clean"
+
+# ------------------------------------------------ models at fixed params
+from ..plans.catalog import COX_TIMES, FIXED_COX_BASELINE, TOP_N  # noqa: E402
+from ..plans.models import FIXED_BGNBD as BGP, FIXED_COX as CXP, FIXED_GAMMA_GAMMA as GGP  # noqa: E402
+from ..models.cox import CoxParams  # noqa: E402
+
+_r, _al, _a, _b = (repr(float(v)) for v in (BGP.r, BGP.alpha, BGP.a, BGP.b))
+_H365 = repr(CXP.cumulative_hazard(365.0))
+_LP = f"({repr(CXP.coef[0])} * (avg_spend - {repr(CXP.mean[0])}))"
+_PRET = f"(1.0 - exp(-{_H365} * exp({_LP})))"
+_POP = repr(GGP.population_mean)
+_GW = f"({repr(GGP.p)} * x / ({repr(GGP.p)} * x + {repr(GGP.q - 1.0)}))"
+
+
+def _bg_ctes(src: str = "reps", t: float = 365.0) -> str:
+    tt = repr(float(t))
+    return f""",
+bg AS (
+  SELECT customer_id, CAST(days_frequency AS DOUBLE) AS x, CAST(t_x AS DOUBLE) AS tx,
+         CAST(T AS DOUBLE) AS TT, CAST(monetary_value AS DOUBLE) AS mv,
+         {tt} / ({_al} + CAST(T AS DOUBLE) + {tt}) AS z
+  FROM {src}),
+hyp AS (
+  SELECT customer_id, 1.0 + sum(exp(ls)) AS f FROM (
+    SELECT customer_id, sum(ln(({_r} + x + k) * ({_b} + x + k) / (({_a} + {_b} + x - 1.0 + k) * (k + 1.0)) * z))
+             OVER (PARTITION BY customer_id ORDER BY k) AS ls
+    FROM bg, range(0, 2000) r(k)) GROUP BY customer_id),
+en AS (
+  SELECT bg.customer_id, bg.x, bg.mv,
+         ({_a} + {_b} + x - 1.0) / ({_a} - 1.0)
+           * (1.0 - pow(({_al} + TT) / ({_al} + TT + {tt}), {_r} + x) * hyp.f)
+           / (1.0 + CASE WHEN x > 0 THEN {_a} / ({_b} + x - 1.0) * pow(({_al} + TT) / ({_al} + tx), {_r} + x)
+                         ELSE 0.0 END) AS expected_purchases,
+         CASE WHEN x = 0 THEN 1.0 ELSE 1.0 / (1.0 + {_a} / ({_b} + x - 1.0)
+              * pow(({_al} + TT) / ({_al} + tx), {_r} + x)) END AS p_alive,
+         (1.0 - {_GW}) * {_POP} + {_GW} * mv AS expected_value
+  FROM bg JOIN hyp USING (customer_id))"""
+
+
+REPS = BASE + _REPS
+SQL["bgnbd_expected"] = REPS + _bg_ctes() + \
+    " SELECT customer_id, round(expected_purchases, 6) AS expected_purchases FROM en"
+SQL["bgnbd_p_alive"] = REPS + _bg_ctes() + " SELECT customer_id, round(p_alive, 6) AS p_alive FROM en"
+SQL["gg_expected_value"] = REPS + _bg_ctes() + \
+    " SELECT customer_id, round(expected_value, 6) AS expected_value FROM en"
+_DISC = repr(1.0 / (1.0 + 0.10) ** (365 / 365.0))
+SQL["clv_repeater"] = REPS + _bg_ctes() + f""" SELECT customer_id,
+  round(expected_purchases * expected_value, 6) AS clv,
+  round(expected_purchases * expected_value * {_DISC}, 6) AS clv_discounted FROM en"""
+SQL["cox_return_prob"] = BASE + f" SELECT customer_id, round({_PRET}, 6) AS p_return FROM feats WHERE visit_count = 1"
+_cb = CoxParams(CXP.features, CXP.coef, CXP.mean, FIXED_COX_BASELINE)
+_TIMES = ", ".join(f"({t}, {repr(_cb.cumulative_hazard(float(t)))})" for t in COX_TIMES)
+SQL["cox_survival"] = BASE + f""" SELECT customer_id, CAST(tt.t AS BIGINT) AS t,
+  round(exp(-tt.h * exp({_LP})), 6) AS survival
+  FROM feats, (VALUES {_TIMES}) tt(t, h) WHERE visit_count = 1"""
+SQL["clv_onetimer"] = BASE + f" SELECT customer_id, round({_PRET} * avg_spend, 6) AS clv FROM feats WHERE visit_count = 1"
+SQL["clv_fallback"] = BASE + f""" SELECT customer_id,
+  round(CASE WHEN visit_count = 1 THEN {C.FALLBACK_P_RETURN} * avg_spend
+             ELSE days_frequency * 365.0 / greatest(T, 1) * monetary_value END, 6) AS clv,
+  round(CASE WHEN visit_count = 1 THEN NULL ELSE days_frequency * 365.0 / greatest(T, 1) END, 6)
+    AS expected_purchases,
+  CASE WHEN visit_count = 1 THEN NULL ELSE {C.FALLBACK_P_ALIVE} END AS p_alive FROM feats"""
+_PER = f""",
+per AS (
+  SELECT duration, sum(event) AS m, sum(exp(lp)) AS S, sum(event * exp(lp)) AS D0, sum(event * lp) AS Dlp
+  FROM (SELECT *, {_LP} AS lp FROM feats) GROUP BY duration),
+risk AS (
+  SELECT *, sum(S) OVER (ORDER BY duration DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS S0
+  FROM per)"""
+SQL["cox_baseline"] = BASE + _PER + """ SELECT duration, CAST(m AS BIGINT) AS events,
+  round(m / S0, 6) AS baseline_hazard,
+  round(sum(m / S0) OVER (ORDER BY duration ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6)
+    AS cumulative_hazard
+  FROM risk"""
+SQL["cox_loglik"] = BASE + _PER + """,
+ties AS (
+  SELECT duration, sum(ln(S0 - l / m * D0)) AS t FROM (
+    SELECT duration, S0, D0, m, unnest(range(0, CAST(m AS BIGINT))) AS l FROM risk WHERE m > 0)
+  GROUP BY duration)
+ SELECT round(sum(Dlp - t), 6) AS log_likelihood, CAST(sum(m) AS BIGINT) AS n_events
+ FROM risk JOIN ties USING (duration)"""
+
+# -------------------------------------------------------- E8 analysis
+_LEVEL = "CASE " + " ".join(
+    f"WHEN {bucket('c_edges', 'clv')} = {i} THEN '{lab}'" for i, lab in enumerate(C.CLV_LEVELS, 1)) + " END"
+_MISMATCH = (f"CASE WHEN segment IN ('Champions', 'Loyal Customers') AND clv_level = 'Low' "
+             f"THEN '{C.MISMATCH_OVERRATED}' WHEN segment IN ('At Risk', 'Lost') AND clv_level IN ('High', 'Top') "
+             f"THEN '{C.MISMATCH_UNDERRATED}' ELSE '{C.MISMATCH_ALIGNED}' END")
+
+
+def _analysis(pret: str = _PRET, onetimer_filter: str = "TRUE") -> str:
+    return (with_(txn_cte(), feats_cte()) + rfm_scores_cte("feats")
+            + ", reps AS (SELECT * FROM feats WHERE visit_count > 1)" + _bg_ctes() + f""",
+clvt AS (
+  SELECT s.customer_id,
+         CASE WHEN s.visit_count = 1 THEN 'onetimer' ELSE 'repeater' END AS "group",
+         s.latest_channel AS channel, s.latest_channel_group AS channel_group, s.rfm_score, s.segment,
+         CASE WHEN s.visit_count = 1 THEN {pret} * s.avg_spend
+              ELSE en.expected_purchases * en.expected_value END AS clv
+  FROM scored s LEFT JOIN en USING (customer_id)
+  WHERE s.visit_count > 1 OR ({onetimer_filter})),
+{edges_cte('c_edges', 'clvt', 'clv', 4)},
+ana AS (SELECT *, {_LEVEL} AS clv_level FROM clvt),
+ana2 AS (SELECT *, {_MISMATCH} AS mismatch FROM ana)""")
+
+
+ANA = _analysis()
+SQL["rfm_vs_clv"] = ANA + """ SELECT customer_id, "group", channel, channel_group, rfm_score, segment,
+  round(clv, 6) AS clv, clv_level, mismatch FROM ana2"""
+SQL["union_clv"] = ANA + """ SELECT customer_id, "group", round(clv, 6) AS clv FROM clvt"""
+SQL["join_latest_channel"] = ANA + """ SELECT customer_id, "group", channel, channel_group FROM clvt"""
+SQL["join_rfm"] = ANA + """ SELECT customer_id, "group", rfm_score, segment, round(clv, 6) AS clv FROM clvt"""
+SQL["clv_level_quartile"] = ANA + " SELECT customer_id, round(clv, 6) AS clv, clv_level FROM ana2"
+SQL["mismatch"] = ANA + " SELECT customer_id, segment, clv_level, mismatch FROM ana2"
+SQL["mismatch_counts"] = ANA + " SELECT mismatch, count(*) AS customers FROM ana2 GROUP BY mismatch"
+SQL["underrated_list"] = ANA + f""" SELECT customer_id, segment, rfm_score, round(clv, 6) AS clv, mismatch
+  FROM ana2 WHERE mismatch = '{C.MISMATCH_UNDERRATED}'"""
+_GROUPS = ", ".join(f"'{g}'" for g in C.TARGET_CHANNEL_GROUPS)
+SQL["target_list"] = ANA + f""" SELECT customer_id, round(clv, 6) AS clv, "group", channel, channel_group,
+  rfm_score, segment, clv_level FROM ana2
+  WHERE clv_level IN ('High', 'Top') AND segment NOT IN ('Lost') AND channel_group IN ({_GROUPS})"""
+SQL["top_clv"] = ANA + f""" SELECT customer_id, round(clv, 6) AS clv, "group", segment FROM ana2
+  ORDER BY clv DESC, customer_id LIMIT {TOP_N}"""
+SQL["clv_histogram"] = ANA + """, rng AS (SELECT min(clv) AS lo, max(clv) AS hi FROM ana2),
+ hb AS (SELECT "group", CAST(least(floor((clv - lo) / ((hi - lo) / 30.0)), 29) AS BIGINT) AS bin,
+        lo, (hi - lo) / 30.0 AS width FROM ana2, rng)
+ SELECT "group", bin, round(lo + bin * width, 6) AS bin_lo, round(lo + (bin + 1) * width, 6) AS bin_hi,
+        count(*) AS customers FROM hb GROUP BY "group", bin, lo, width"""
+_CH_OK = f"""s.channel_group IN (SELECT channel_group FROM feats
+  WHERE duration IS NOT NULL AND event IS NOT NULL AND avg_spend IS NOT NULL
+  GROUP BY channel_group HAVING count(*) >= {C.MIN_CHANNEL_ROWS})"""
+SQL["union_channels"] = _analysis(onetimer_filter=_CH_OK) + """ SELECT customer_id, round(clv, 6) AS clv
+  FROM clvt WHERE "group" = 'onetimer'"""

@@ -62,3 +62,42 @@ def survival_at(c: CoxParams, t: float, cols=None, h0: float | None = None) -> C
 def return_probability(c: CoxParams, t: float, cols=None, h0: float | None = None) -> Column:
     """M5: 1 - S(t | z)."""
     return F.lit(1.0) - survival_at(c, t, cols, h0)
+
+
+def _duration_table(df, c: CoxParams, duration: str, event: str, cols=None):
+    """Per-duration sums at fixed coefficients: events m, sum of exp(lp)
+    over everyone (S) and over events (D0), sum of lp over events (Dlp).
+    One partial-aggregated shuffle; output size = distinct durations."""
+    from pyspark.sql import Window
+    lp = linear_predictor(c, cols)
+    e = F.exp(lp)
+    ev = F.col(event).cast("double")
+    per = df.groupBy(F.col(duration).alias("duration")).agg(
+        F.sum(ev).alias("m"), F.sum(e).alias("S"), F.sum(ev * e).alias("D0"),
+        F.sum(ev * lp).alias("Dlp"))
+    # Risk set at d = everyone with duration >= d: a suffix sum over the
+    # (small, bounded by distinct days) per-duration table.
+    w = Window.orderBy(F.desc("duration")).rowsBetween(Window.unboundedPreceding, 0)
+    return per.withColumn("S0", F.sum("S").over(w))
+
+
+def breslow_baseline(df, c: CoxParams, duration: str = "duration", event: str = "event", cols=None):
+    """M3: baseline hazard h0(d) = events(d) / risk-set sum(d) (covariates
+    centred at the coefficients' means) and its running sum H0(d)."""
+    from pyspark.sql import Window
+    per = _duration_table(df, c, duration, event, cols)
+    h = (F.col("m") / F.col("S0"))
+    w = Window.orderBy("duration").rowsBetween(Window.unboundedPreceding, 0)
+    return (per.select("duration", F.col("m").cast("long").alias("events"), h.alias("baseline_hazard"))
+            .withColumn("cumulative_hazard", F.sum("baseline_hazard").over(w)))
+
+
+def efron_loglik(df, c: CoxParams, duration: str = "duration", event: str = "event", cols=None):
+    """M7: Efron partial log-likelihood at fixed coefficients (one row)."""
+    per = _duration_table(df, c, duration, event, cols)
+    m = F.col("m")
+    ties = F.aggregate(
+        F.sequence(F.lit(0), F.greatest(m.cast("int") - 1, F.lit(0))), F.lit(0.0),
+        lambda acc, l: acc + F.log(F.col("S0") - l.cast("double") / m * F.col("D0")))
+    term = F.when(m > 0, F.col("Dlp") - ties).otherwise(F.lit(0.0))
+    return per.agg(F.sum(term).alias("log_likelihood"), F.sum("m").cast("long").alias("n_events"))

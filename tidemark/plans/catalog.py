@@ -403,3 +403,200 @@ def q_sort_freq(spark, sf_dir):
 @register("distinct_customers")
 def q_distinct_customers(spark, sf_dir):
     return clean_txn(spark, sf_dir).select("customer_id").distinct()
+
+
+# ------------------------------------- models at fixed parameters (M, E8)
+
+from ..models import bgnbd as BG  # noqa: E402
+from ..models import cox as CX  # noqa: E402
+from ..models import gamma_gamma as GG  # noqa: E402
+from . import analysis as AN  # noqa: E402
+from .models import FIXED_BGNBD, FIXED_COX, FIXED_GAMMA_GAMMA, fixed_models  # noqa: E402
+
+XDAYS = C.DEFAULT_XDAYS
+
+
+def repeater_summary(spark, sf_dir) -> DataFrame:
+    return CU.purchase_summary(clean_txn(spark, sf_dir), SNAP).where(F.col("n_visits") > 1)
+
+
+@register("bgnbd_expected")
+def q_bgnbd_expected(spark, sf_dir):
+    s = repeater_summary(spark, sf_dir)
+    return s.select("customer_id", r6(BG.expected_purchases(FIXED_BGNBD, XDAYS, "frequency", "t_x", "T"))
+                    .alias("expected_purchases"))
+
+
+@register("bgnbd_p_alive")
+def q_bgnbd_p_alive(spark, sf_dir):
+    s = repeater_summary(spark, sf_dir)
+    return s.select("customer_id", r6(BG.p_alive(FIXED_BGNBD, "frequency", "t_x", "T")).alias("p_alive"))
+
+
+@register("gg_expected_value")
+def q_gg_expected_value(spark, sf_dir):
+    s = repeater_summary(spark, sf_dir)
+    return s.select("customer_id", r6(GG.expected_value(FIXED_GAMMA_GAMMA, "frequency", "monetary_value"))
+                    .alias("expected_value"))
+
+
+@register("clv_repeater")
+def q_clv_repeater(spark, sf_dir):
+    """M13 with a 10% annual discount over the 365-day horizon."""
+    s = repeater_summary(spark, sf_dir)
+    en = BG.expected_purchases(FIXED_BGNBD, XDAYS, "frequency", "t_x", "T")
+    ev = GG.expected_value(FIXED_GAMMA_GAMMA, "frequency", "monetary_value")
+    disc = 1.0 / (1.0 + 0.10) ** (XDAYS / 365.0)
+    return s.select("customer_id", r6(en * ev).alias("clv"), r6(en * ev * F.lit(disc)).alias("clv_discounted"))
+
+
+@register("cox_return_prob")
+def q_cox_return_prob(spark, sf_dir):
+    f = features(spark, sf_dir).where(F.col("visit_count") == 1)
+    return f.select("customer_id", r6(CX.return_probability(FIXED_COX, XDAYS)).alias("p_return"))
+
+
+COX_TIMES = (90, 180, 365, 500)
+
+
+@register("cox_survival")
+def q_cox_survival(spark, sf_dir):
+    f = features(spark, sf_dir).where(F.col("visit_count") == 1)
+    m = CX.CoxParams(FIXED_COX.features, FIXED_COX.coef, FIXED_COX.mean, FIXED_COX_BASELINE)
+    per_t = F.array(*[F.struct(F.lit(t).cast("long").alias("t"),
+                               CX.survival_at(m, float(t)).alias("s")) for t in COX_TIMES])
+    return (f.select("customer_id", F.explode(per_t).alias("p"))
+            .select("customer_id", F.col("p.t").alias("t"), r6(F.col("p.s")).alias("survival")))
+
+
+# A fixed baseline cumulative hazard table (time, H0) for the survival curve.
+FIXED_COX_BASELINE = ((30.0, 0.1), (90.0, 0.3), (180.0, 0.5), (365.0, 0.8), (730.0, 1.2))
+
+
+@register("clv_onetimer")
+def q_clv_onetimer(spark, sf_dir):
+    f = features(spark, sf_dir).where(F.col("visit_count") == 1)
+    p = CX.return_probability(FIXED_COX, XDAYS)
+    return f.select("customer_id", r6(p * F.col("avg_spend")).alias("clv"))
+
+
+@register("clv_fallback")
+def q_clv_fallback(spark, sf_dir):
+    f = features(spark, sf_dir)
+    en, ev, pa = AN.repeater_terms(AN.ModelBundle(), XDAYS, scoring_rule=True)
+    one = F.col("visit_count") == 1
+    return f.select(
+        "customer_id",
+        r6(F.when(one, F.lit(C.FALLBACK_P_RETURN) * F.col("avg_spend")).otherwise(en * ev)).alias("clv"),
+        r6(F.when(one, F.lit(None)).otherwise(en)).alias("expected_purchases"),
+        F.when(one, F.lit(None)).otherwise(pa).alias("p_alive"))
+
+
+@register("cox_baseline")
+def q_cox_baseline(spark, sf_dir):
+    b = CX.breslow_baseline(features(spark, sf_dir), FIXED_COX, cols=["avg_spend"])
+    return b.select("duration", "events", r6("baseline_hazard").alias("baseline_hazard"),
+                    r6("cumulative_hazard").alias("cumulative_hazard"))
+
+
+@register("cox_loglik")
+def q_cox_loglik(spark, sf_dir):
+    ll = CX.efron_loglik(features(spark, sf_dir), FIXED_COX, cols=["avg_spend"])
+    return ll.select(r6("log_likelihood").alias("log_likelihood"), "n_events")
+
+
+def analysis(spark, sf_dir) -> DataFrame:
+    return AN.rfm_vs_clv(clean_txn(spark, sf_dir), SNAP, fixed_models(), XDAYS)
+
+
+def _report(df: DataFrame) -> DataFrame:
+    return df.select("customer_id", "group", "channel", "channel_group", "rfm_score", "segment",
+                     r6("clv").alias("clv"), "clv_level", "mismatch")
+
+
+@register("rfm_vs_clv")
+def q_rfm_vs_clv(spark, sf_dir):
+    return _report(analysis(spark, sf_dir))
+
+
+@register("union_clv")
+def q_union_clv(spark, sf_dir):
+    t = AN.clv_table(clean_txn(spark, sf_dir), SNAP, fixed_models(), XDAYS)
+    return t.select("customer_id", "group", r6("clv").alias("clv"))
+
+
+@register("join_latest_channel")
+def q_join_latest_channel(spark, sf_dir):
+    t = AN.clv_table(clean_txn(spark, sf_dir), SNAP, fixed_models(), XDAYS)
+    return t.select("customer_id", "group", "channel", "channel_group")
+
+
+@register("join_rfm")
+def q_join_rfm(spark, sf_dir):
+    t = AN.clv_table(clean_txn(spark, sf_dir), SNAP, fixed_models(), XDAYS)
+    return t.select("customer_id", "group", "rfm_score", "segment", r6("clv").alias("clv"))
+
+
+@register("clv_level_quartile")
+def q_clv_level_quartile(spark, sf_dir):
+    return analysis(spark, sf_dir).select("customer_id", r6("clv").alias("clv"), "clv_level")
+
+
+@register("mismatch")
+def q_mismatch(spark, sf_dir):
+    return analysis(spark, sf_dir).select("customer_id", "segment", "clv_level", "mismatch")
+
+
+@register("mismatch_counts")
+def q_mismatch_counts(spark, sf_dir):
+    return analysis(spark, sf_dir).groupBy("mismatch").agg(F.count(F.lit(1)).alias("customers"))
+
+
+@register("underrated_list")
+def q_underrated_list(spark, sf_dir):
+    u = AN.underrated(analysis(spark, sf_dir))
+    return u.select("customer_id", "segment", "rfm_score", r6("clv").alias("clv"), "mismatch")
+
+
+@register("target_list")
+def q_target_list(spark, sf_dir):
+    t = AN.target_list(analysis(spark, sf_dir))
+    return t.select("customer_id", r6("clv").alias("clv"), "group", "channel", "channel_group",
+                    "rfm_score", "segment", "clv_level")
+
+
+TOP_N = 100
+
+
+@register("top_clv")
+def q_top_clv(spark, sf_dir):
+    """O3: the top-N report (the limit is the feature), ties by id."""
+    a = analysis(spark, sf_dir)
+    return (a.orderBy(F.desc("clv"), F.asc("customer_id")).limit(TOP_N)
+            .select("customer_id", r6("clv").alias("clv"), "group", "segment"))
+
+
+@register("clv_histogram")
+def q_clv_histogram(spark, sf_dir):
+    h = PR.histogram(analysis(spark, sf_dir), "clv", "group", bins=30)
+    return h.select("group", "bin", r6("bin_lo").alias("bin_lo"), r6("bin_hi").alias("bin_hi"), "customers")
+
+
+def _channel_models(spark, sf_dir):
+    """F6 guard: a model only for first-visit channel groups with at least
+    the minimum number of modelled customers (small, <= 6 rows)."""
+    f = features(spark, sf_dir).dropna(subset=["duration", "event", "avg_spend"])
+    rows = f.groupBy("channel_group").count().collect()
+    keep = {r["channel_group"] for r in rows if r["count"] >= C.MIN_CHANNEL_ROWS}
+    m = fixed_models(per_channel=True)
+    m.cox_by_channel = {g: p for g, p in m.cox_by_channel.items() if g in keep}
+    return m
+
+
+@register("union_channels")
+def q_union_channels(spark, sf_dir):
+    """U2/M2 scoring: per-channel Cox for one-timers (channels without a
+    model drop out), joined once on the channel group."""
+    t = AN.clv_table(clean_txn(spark, sf_dir), SNAP, _channel_models(spark, sf_dir), XDAYS,
+                     per_channel=True)
+    return t.where(F.col("group") == C.GROUP_ONETIMER).select("customer_id", r6("clv").alias("clv"))
