@@ -280,3 +280,174 @@ _CH_OK = f"""s.channel_group IN (SELECT channel_group FROM feats
   GROUP BY channel_group HAVING count(*) >= {C.MIN_CHANNEL_ROWS})"""
 SQL["union_channels"] = _analysis(onetimer_filter=_CH_OK) + """ SELECT customer_id, round(clv, 6) AS clv
   FROM clvt WHERE "group" = 'onetimer'"""
+
+# ---------------------------------------------------- scoring
+from ..plans.catalog import REQUEST_CUSTOMERS  # noqa: E402
+from .oracle import group_case, segment_case, SNAP  # noqa: E402
+
+
+def sround(x: str, d: int) -> str:
+    """Half-up rounding of the shortest decimal text of a double."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,12)), {d}) AS DOUBLE)"
+
+
+_RID = f"(customer_id // {REQUEST_CUSTOMERS})"
+_ROWS = f""",
+rows AS (
+  SELECT {_RID} AS request_id,
+         CAST(DATE '{SNAP}' + CAST(({_RID} % 3) * 30 AS INTEGER) AS TIMESTAMP) AS snapshot_ts,
+         CASE WHEN {_RID} % 2 = 0 THEN 365 ELSE 180 END AS xdays,
+         customer_id, txn_id, arrival_ts, revenue, channel
+  FROM clean),
+rc AS (
+  SELECT request_id, customer_id, xdays, snapshot_ts, count(*) AS visit_count, sum({money('revenue')}) AS total,
+         min(arrival_ts) AS first_date, max(arrival_ts) AS last_date
+  FROM rows GROUP BY 1, 2, 3, 4),
+rdays AS (
+  SELECT request_id, customer_id, snapshot_ts, CAST(arrival_ts AS DATE) AS day, sum({money('revenue')}) AS day_sum
+  FROM rows WHERE CAST(arrival_ts AS DATE) <= CAST(snapshot_ts AS DATE) GROUP BY 1, 2, 3, 4),
+rsum AS (
+  SELECT request_id, customer_id, count(*) - 1 AS days_frequency,
+         date_diff('day', min(day), max(day)) AS t_x,
+         date_diff('day', min(day), CAST(snapshot_ts AS DATE)) AS T,
+         CASE WHEN count(*) > 1 THEN CAST(sum(day_sum) - arg_min(day_sum, day) AS DOUBLE) / (count(*) - 1)
+              ELSE 0.0 END AS monetary_value
+  FROM rdays GROUP BY request_id, customer_id, snapshot_ts),
+rf AS (
+  SELECT rc.*, CAST(total AS DOUBLE) / visit_count AS avg_spend,
+         {floor_days('last_date', 'snapshot_ts')} AS recency, visit_count AS frequency,
+         CAST(total AS DOUBLE) AS monetary, s.days_frequency, s.t_x, s.T, s.monetary_value
+  FROM rc LEFT JOIN rsum s USING (request_id, customer_id))"""
+
+
+def _gedges(name: str, col: str) -> str:
+    return f""",
+{name}_sorted AS (
+  SELECT request_id, CAST({col} AS DOUBLE) AS v,
+         row_number() OVER (PARTITION BY request_id ORDER BY {col}, customer_id) - 1 AS pos,
+         count(*) OVER (PARTITION BY request_id) AS n FROM rf),
+{name}_pos AS (
+  SELECT DISTINCT request_id, i, (i * (n - 1)) // 5 AS lo, (i * (n - 1)) % 5 AS rem
+  FROM {name}_sorted, range(1, 5) t(i)),
+{name} AS (
+  SELECT p.request_id, p.i, CASE WHEN p.rem = 0 THEN a.v ELSE a.v + (b.v - a.v) * (p.rem / 5.0) END AS e
+  FROM {name}_pos p JOIN {name}_sorted a ON a.request_id = p.request_id AND a.pos = p.lo
+  LEFT JOIN {name}_sorted b ON b.request_id = p.request_id AND b.pos = p.lo + 1)"""
+
+
+def _gbucket(name: str, v: str) -> str:
+    return f"(1 + (SELECT count(*) FROM {name} e WHERE e.request_id = rf.request_id AND CAST({v} AS DOUBLE) > e.e))"
+
+
+_fb = " + ".join(f"(CASE WHEN 5 * (fr.rn - 1) > {i} * (fr.n - 1) THEN 1 ELSE 0 END)" for i in range(1, 5))
+_RFM_REQ = _gedges("gr", "recency") + _gedges("gm", "monetary") + f""",
+fr AS (
+  SELECT request_id, customer_id, row_number() OVER (PARTITION BY request_id ORDER BY frequency, customer_id) AS rn,
+         count(*) OVER (PARTITION BY request_id) AS n FROM rf),
+rsc0 AS (
+  SELECT rf.request_id, rf.customer_id,
+         CAST(6 - {_gbucket('gr', 'rf.recency')} AS BIGINT) AS r_score,
+         CAST(1 + {_fb} AS BIGINT) AS f_score,
+         CAST({_gbucket('gm', 'rf.monetary')} AS BIGINT) AS m_score
+  FROM rf JOIN fr USING (request_id, customer_id)),
+rsc AS (SELECT *, r_score + f_score + m_score AS rfm_score,
+               {segment_case('(r_score + f_score + m_score)')} AS segment FROM rsc0)"""
+
+
+def _bg_req(models: bool) -> str:
+    t = "CAST(xdays AS DOUBLE)"
+    if not models:
+        return f""",
+en AS (
+  SELECT request_id, customer_id, CAST(days_frequency AS DOUBLE) AS x,
+         days_frequency * ({t} / CAST(greatest(T, 1) AS DOUBLE)) AS expected_purchases,
+         {C.FALLBACK_P_ALIVE} AS p_alive, monetary_value AS expected_value
+  FROM rf WHERE visit_count > 1 AND days_frequency IS NOT NULL)"""
+    return f""",
+bg AS (
+  SELECT request_id, customer_id, CAST(days_frequency AS DOUBLE) AS x, CAST(t_x AS DOUBLE) AS tx,
+         CAST(T AS DOUBLE) AS TT, monetary_value AS mv, {t} AS hz,
+         {t} / ({_al} + CAST(T AS DOUBLE) + {t}) AS z
+  FROM rf WHERE visit_count > 1 AND days_frequency IS NOT NULL),
+hyp AS (
+  SELECT request_id, customer_id, 1.0 + sum(exp(ls)) AS f FROM (
+    SELECT request_id, customer_id,
+           sum(ln(({_r} + x + k) * ({_b} + x + k) / (({_a} + {_b} + x - 1.0 + k) * (k + 1.0)) * z))
+             OVER (PARTITION BY request_id, customer_id ORDER BY k) AS ls
+    FROM bg, range(0, 2000) r(k)) GROUP BY request_id, customer_id),
+en AS (
+  SELECT bg.request_id, bg.customer_id, bg.x,
+         ({_a} + {_b} + x - 1.0) / ({_a} - 1.0)
+           * (1.0 - pow(({_al} + TT) / ({_al} + TT + hz), {_r} + x) * hyp.f)
+           / (1.0 + CASE WHEN x > 0 THEN {_a} / ({_b} + x - 1.0) * pow(({_al} + TT) / ({_al} + tx), {_r} + x)
+                         ELSE 0.0 END) AS expected_purchases,
+         CASE WHEN x = 0 THEN 1.0 ELSE 1.0 / (1.0 + {_a} / ({_b} + x - 1.0)
+              * pow(({_al} + TT) / ({_al} + tx), {_r} + x)) END AS p_alive,
+         CASE WHEN x > 0 THEN (1.0 - {_GW}) * {_POP} + {_GW} * mv ELSE mv END AS expected_value
+  FROM bg JOIN hyp USING (request_id, customer_id))"""
+
+
+_HMAP = "CASE rf.xdays " + " ".join(
+    f"WHEN {h} THEN {repr(CXP.cumulative_hazard(float(h)))}" for h in (180, 365)) + " END"
+
+
+def _level(v: str) -> str:
+    lo1, mi1, hi1 = C.CLV_LEVEL_BOUNDS_ONETIMER
+    lo2, mi2, hi2 = C.CLV_LEVEL_BOUNDS_REPEATER
+    return (f"CASE WHEN one THEN (CASE WHEN {v} < {lo1} THEN 'Low' WHEN {v} < {mi1} THEN 'Mid' "
+            f"WHEN {v} < {hi1} THEN 'High' ELSE 'Top' END) ELSE (CASE WHEN {v} < {lo2} THEN 'Low' "
+            f"WHEN {v} < {mi2} THEN 'Mid' WHEN {v} < {hi2} THEN 'High' ELSE 'Top' END) END")
+
+
+def _scoring(models: bool = True, lenient: bool = False) -> str:
+    pret = f"(1.0 - exp(-({_HMAP}) * exp({repr(CXP.coef[0])} * (rf.avg_spend - {repr(CXP.mean[0])}))))" \
+        if models else str(C.FALLBACK_P_RETURN)
+    if lenient:
+        rfm_sel = f"CAST({C.LENIENT_RFM_SCORE} AS BIGINT) AS rfm_score, '{C.LENIENT_SEGMENT}' AS segment"
+        rfm_join = ""
+        rfm_ctes = ""
+    else:
+        rfm_sel = "coalesce(rsc.rfm_score, 0) AS rfm_score, coalesce(rsc.segment, 'Unknown') AS segment"
+        rfm_join = "LEFT JOIN rsc USING (request_id, customer_id)"
+        rfm_ctes = _RFM_REQ
+    mism = (f"'{C.MISMATCH_ALIGNED}'" if lenient else _MISMATCH.replace("clv_level", "lvl"))
+    return with_(txn_cte()) + _ROWS + rfm_ctes + _bg_req(models) + f""",
+p0 AS (
+  SELECT rf.request_id, rf.customer_id, rf.visit_count = 1 AS one, rf.avg_spend, rf.days_frequency, rf.t_x,
+         {pret} AS p_ret, en.expected_purchases, en.expected_value, en.p_alive, {rfm_sel}
+  FROM rf {rfm_join} LEFT JOIN en USING (request_id, customer_id)
+  WHERE rf.visit_count = 1 OR rf.days_frequency IS NOT NULL),
+p1 AS (SELECT *, CASE WHEN one THEN p_ret * avg_spend ELSE expected_purchases * expected_value END AS v FROM p0),
+p2 AS (SELECT *, {_level('v')} AS lvl FROM p1)
+ SELECT request_id, customer_id, CASE WHEN one THEN 'onetimer' ELSE 'repeater' END AS "group",
+   {sround('v', 2)} AS clv,
+   CASE WHEN one THEN {sround('p_ret', 4)} END AS p_return,
+   CASE WHEN one THEN {sround('avg_spend', 2)} END AS avg_spend,
+   CASE WHEN NOT one THEN {sround('expected_purchases', 2)} END AS expected_purchases,
+   CASE WHEN NOT one THEN {sround('expected_value', 2)} END AS expected_value,
+   {'CAST(NULL AS DOUBLE)' if lenient else "CASE WHEN NOT one THEN " + sround('p_alive', 4) + " END"} AS p_alive,
+   CASE WHEN NOT one THEN days_frequency END AS frequency,
+   {'CAST(NULL AS DOUBLE)' if lenient else 'CASE WHEN NOT one THEN CAST(t_x AS DOUBLE) END'} AS recency,
+   rfm_score, segment, lvl AS clv_level, {mism} AS mismatch
+ FROM p2"""
+
+
+SCORE = _scoring()
+SQL["score_customers"] = SCORE
+SQL["score_customers_fallback"] = _scoring(models=False)
+SQL["score_customers_lenient"] = _scoring(lenient=True)
+_SC = f"WITH sc AS ({SCORE}) "
+SQL["clv_level_abs"] = _SC + 'SELECT request_id, customer_id, "group", clv, clv_level FROM sc'
+SQL["round_output"] = _SC + """SELECT request_id, customer_id, clv, p_return, avg_spend, expected_purchases,
+  expected_value, p_alive, recency FROM sc"""
+SQL["lookup_rfm_default"] = _SC + "SELECT request_id, customer_id, rfm_score, segment FROM sc"
+SQL["rfm_constant"] = f"WITH sc AS ({_scoring(lenient=True)}) " + \
+    "SELECT request_id, customer_id, rfm_score, segment, mismatch FROM sc"
+SQL["inner_summary"] = _SC + """SELECT request_id, customer_id, frequency, recency FROM sc
+  WHERE "group" = 'repeater'"""
+SQL["request_rfm"] = with_(txn_cte()) + _ROWS + _RFM_REQ + """ SELECT request_id, customer_id, r_score, f_score,
+  m_score, rfm_score, segment FROM rsc"""
+SQL["scan_requests"] = with_(txn_cte()) + f""" SELECT customer_id, arrival_ts, revenue,
+  coalesce(channel, 'Unknown') AS channel, TIMESTAMP '{SNAP} 00:00:00' AS snapshot_ts, CAST(365 AS BIGINT) AS xdays
+  FROM clean"""
+SQL["response_json"] = _SC + "SELECT request_id, count(*) AS count FROM sc GROUP BY request_id"

@@ -56,15 +56,16 @@ def hyp2f1_series(A: float, B: float, Cc: Column, z: Column, n_terms: int) -> Co
     return F.aggregate(F.sequence(F.lit(0), F.lit(n_terms - 2)), init, step, lambda acc: acc["s"])
 
 
-def expected_purchases(p: BgNbdParams, t, x, t_x, T) -> Column:
-    """M9: conditional expected number of purchases in the next t periods."""
+def expected_purchases(p: BgNbdParams, t, x, t_x, T, t_max: float | None = None) -> Column:
+    """M9: conditional expected number of purchases in the next t periods
+    (``t`` a number or a column; ``t_max`` bounds it to size the series)."""
     if abs(p.a - 1.0) < 1e-12:
         raise ValueError("a == 1 makes the BG/NBD expectation singular")
     x, t_x, T, tt = _c(x).cast("double"), _c(t_x).cast("double"), _c(T).cast("double"), _c(t).cast("double")
     z = tt / (F.lit(p.alpha) + T + tt)
     Cc = F.lit(p.a + p.b - 1.0) + x
     A, B = p.a + p.b - 1.0 - p.r, p.a - 1.0
-    tmax = float(t) if not isinstance(t, (str, Column)) else 3650.0
+    tmax = float(t) if not isinstance(t, (str, Column)) else float(t_max or 3650.0)
     n = series_terms(p.alpha, tmax, A, B)
     bracket = F.pow(F.lit(1.0) - z, F.lit(p.a - 1.0)) * hyp2f1_series(A, B, Cc, z, n)
     first = (Cc) / F.lit(p.a - 1.0)

@@ -21,22 +21,23 @@ class CoxParams:
     interpolation: str = "linear"
 
     def cumulative_hazard(self, t: float) -> float:
-        """H0(t): linear between observed times (or step), clamped at the ends."""
+        """H0(t) from the (time, H0) table: linear between observed times
+        (from H0(0) = 0 before the first one) or a step function; constant
+        after the last observed time."""
         pts = self.baseline
         if not pts:
             raise ValueError("no baseline")
         times = [p[0] for p in pts]
-        if t <= times[0]:
-            return pts[0][1] if t == times[0] or self.interpolation == "linear" else 0.0
         if t >= times[-1]:
             return pts[-1][1]
+        if t < times[0]:
+            return 0.0 if self.interpolation == "step" else pts[0][1] * t / times[0]
         i = bisect_right(times, t) - 1
         (t0, h0), (t1, h1) = pts[i], pts[i + 1]
         if self.interpolation == "step" or t == t0:
             return h0
         return h0 + (h1 - h0) * (t - t0) / (t1 - t0)
 
-
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else (x if isinstance(x, Column) else F.lit(x))
 

@@ -158,7 +158,7 @@ def elapsed(txn: DataFrame, snapshot) -> DataFrame:
                       day_diff("arrival_ts", snap).alias("calendar_days_to_snapshot"))
 
 
-def customer_features(txn: DataFrame, snapshot) -> DataFrame:
+def customer_features(txn: DataFrame, snapshot, keys=("customer_id",)) -> DataFrame:
     """Every per-customer field of the analysis from ONE two-level aggregate
     (customer-day, then customer): RFM inputs (A1), the customer table (A2,
     first-visit channel J1/W4), the latest channel (W3) and the calendar-day
@@ -170,12 +170,19 @@ def customer_features(txn: DataFrame, snapshot) -> DataFrame:
     latest_channel, latest_channel_group, days_frequency, t_x, T,
     monetary_value."""
     from .cleaning import add_channel_groups
-    if "channel_group" not in txn.columns:
-        txn = add_channel_groups(txn)
-    snap = ts_literal(snapshot)
+    if DUMMY_COLUMNS[0] not in txn.columns:
+        txn = add_channel_groups(txn.drop("channel_group"))
+    keys = list(keys)
+    if isinstance(snapshot, str) and snapshot in txn.columns:
+        # Per-row snapshot (e.g. one per scoring request): carried as a key.
+        txn = txn.withColumn("_snap", F.col(snapshot))
+        keys = keys + ["_snap"]
+        snap = F.col("_snap")
+    else:
+        snap = ts_literal(snapshot)
     snap_day = F.to_date(snap)
     key = order_key()
-    days = txn.groupBy("customer_id", F.to_date("arrival_ts").alias("day")).agg(
+    days = txn.groupBy(*keys, F.to_date("arrival_ts").alias("day")).agg(
         F.sum(money("revenue")).alias("day_sum"),
         F.count(F.lit(1)).alias("n_rows"),
         F.min(key).alias("first_key"),
@@ -184,7 +191,7 @@ def customer_features(txn: DataFrame, snapshot) -> DataFrame:
         F.max_by(F.struct("channel", "channel_group"), key).alias("last_pick"),
     )
     in_window = F.col("day") <= snap_day
-    cust = days.groupBy("customer_id").agg(
+    cust = days.groupBy(*keys).agg(
         F.min("first_key").alias("fk"),
         F.max("last_key").alias("lk"),
         F.sum("n_rows").cast("long").alias("visit_count"),
@@ -199,7 +206,7 @@ def customer_features(txn: DataFrame, snapshot) -> DataFrame:
     )
     n_days = F.col("n_days")
     return cust.select(
-        "customer_id",
+        *keys,
         F.col("fk.arrival_ts").alias("first_date"),
         F.col("lk.arrival_ts").alias("last_date"),
         "visit_count",

@@ -147,28 +147,100 @@ def bucket_by_edges(value: "str | Column", edges: Sequence[float]) -> Column:
 
 
 def global_row_number(df: DataFrame, coarse: str, fine: str, out: str = "rn",
-                      n: int | None = None, cell_rows: int = CELL_ROWS) -> DataFrame:
+                      n: int | None = None, cell_rows: int = CELL_ROWS,
+                      partition: Sequence[str] = ()) -> DataFrame:
     """1-based position of each row in (coarse, fine) order over the whole
-    frame; ``coarse`` has few distinct values, ``fine`` is unique per row.
+    frame (or inside each ``partition`` group); ``coarse`` has few distinct
+    values, ``fine`` is unique per row.
 
     Small input: one ordered window (bounded by ``cell_rows``). Large input:
     cells = (coarse, range cell of fine); per-cell counts -> prefix offsets
-    (a table of at most distinct(coarse) x cells rows) -> row_number inside
-    each cell + offset. Exact; no task holds more than about one cell."""
+    (a table of at most distinct(coarse) x cells rows per group) ->
+    row_number inside each cell + offset. Exact; a hot coarse value (e.g.
+    every one-timer has frequency 1) is spread over many cells."""
+    part = list(partition)
     if n is None:
-        n = df.count()
+        n = max_group_size(df, part) if part else df.count()
     cells = _n_cells(n, cell_rows)
     if cells == 1:
-        return df.withColumn(out, F.row_number().over(Window.orderBy(coarse, fine)).cast("long"))
+        return ranked(df, [coarse, fine], part, out=out)
     bounds = sample_bounds(df, fine, n, cells)
-    celled = df.withColumn("_cell", range_cell(F.col(fine), bounds))
-    counts = celled.groupBy(coarse, "_cell").agg(F.count(F.lit(1)).alias("_cnt"))
-    offs = counts.withColumn(
-        "_off", F.coalesce(F.sum("_cnt").over(
-            Window.orderBy(coarse, "_cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).drop("_cnt")
-    local = celled.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(coarse, "_cell").orderBy(fine)))
-    return (local.join(offs, [coarse, "_cell"], "inner")
+    return ranked(df, [coarse, fine], part, cells=[F.col(coarse), range_cell(F.col(fine), bounds)],
+                  out=out)
+
+
+def ranked(df: DataFrame, order: Sequence[str], partition: Sequence[str] = (),
+           cells: Sequence[Column] | None = None, out: str = "rn",
+           count_out: str | None = None) -> DataFrame:
+    """1-based position in ``order`` inside each ``partition`` group.
+
+    ``cells``: optional key expressions whose lexicographic order is
+    consistent with ``order`` (e.g. [exact coarse value, range cell of the
+    fine key] or [range cell of the first key]). With cells, rows are
+    numbered inside (group, cell) and shifted by the cell's prefix count, so
+    no task holds more than one cell even if one group is huge.
+    ``count_out`` also attaches the group size."""
+    part = list(partition)
+    if not cells:
+        w = Window.partitionBy(*part).orderBy(*order) if part else Window.orderBy(*order)
+        r = df.withColumn(out, F.row_number().over(w).cast("long"))
+        if count_out:
+            wc = Window.partitionBy(*part) if part else Window.partitionBy()
+            r = r.withColumn(count_out, F.count(F.lit(1)).over(wc))
+        return r
+    celled = df.withColumn("_c", F.struct(*cells))
+    counts = celled.groupBy(*part, "_c").agg(F.count(F.lit(1)).alias("_cnt"))
+    wo = (Window.partitionBy(*part) if part else Window.partitionBy()).orderBy("_c")
+    offs = counts.withColumn("_off", F.coalesce(
+        F.sum("_cnt").over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    if count_out:
+        wn = Window.partitionBy(*part) if part else Window.partitionBy()
+        offs = offs.withColumn(count_out, F.sum("_cnt").over(wn))
+    offs = offs.drop("_cnt")
+    local = celled.withColumn("_local", F.row_number().over(Window.partitionBy(*part, "_c").orderBy(*order)))
+    return (local.join(offs, [*part, "_c"], "inner")
             .withColumn(out, (F.col("_off") + F.col("_local")).cast("long"))
-            .drop("_cell", "_local", "_off"))
+            .drop("_c", "_local", "_off"))
+
+
+def max_group_size(df: DataFrame, partition: Sequence[str]) -> int:
+    r = df.groupBy(*partition).count().agg(F.max("count")).collect()[0][0]
+    return int(r or 0)
+
+
+def grouped_quantile_edges(df: DataFrame, partition: Sequence[str], value: str, tie: str, q: int,
+                           prefix: str, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Per-group interior quantile edges (same integer-position rule as
+    ``quantile_edges``) as columns ``{prefix}1..{prefix}{q-1}`` of a
+    one-row-per-group table. Groups larger than ``cell_rows`` are split into
+    value-range cells from a bounded sample."""
+    part = list(partition)
+    base = df.select(*part, value, tie).where(F.col(value).isNotNull())
+    cells = None
+    if max_group_size(base, part) > cell_rows:
+        n = base.count()
+        bounds = sample_bounds(base, value, n, _n_cells(n, cell_rows))
+        cells = [range_cell(F.col(value), bounds)]
+    r = ranked(base, [value, tie], part, cells=cells, out="_rn", count_out="_n")
+    aggs = []
+    for i in range(1, q):
+        lo = (F.lit(i) * (F.col("_n") - 1)).cast("long")
+        lo_pos = F.floor(lo / q).cast("long")
+        aggs += [F.max(F.when(F.col("_rn") - 1 == lo_pos, F.col(value).cast("double"))).alias(f"_lo{i}"),
+                 F.max(F.when(F.col("_rn") - 1 == lo_pos + 1, F.col(value).cast("double"))).alias(f"_hi{i}"),
+                 F.max(F.pmod(lo, F.lit(q))).alias(f"_rem{i}")]
+    e = r.groupBy(*part).agg(*aggs)
+    cols = []
+    for i in range(1, q):
+        lo_v, hi_v, rem = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_rem{i}")
+        cols.append(F.when(rem == 0, lo_v).otherwise(lo_v + (hi_v - lo_v) * (rem.cast("double") / q))
+                    .alias(f"{prefix}{i}"))
+    return e.select(*part, *cols)
+
+
+def bucket_by_edge_columns(value: "str | Column", edge_cols: Sequence[str]) -> Column:
+    v = F.col(value) if isinstance(value, str) else value
+    out = F.lit(1)
+    for e in edge_cols:
+        out = out + F.when(v > F.col(e), 1).otherwise(0)
+    return out

@@ -411,7 +411,7 @@ from ..models import bgnbd as BG  # noqa: E402
 from ..models import cox as CX  # noqa: E402
 from ..models import gamma_gamma as GG  # noqa: E402
 from . import analysis as AN  # noqa: E402
-from .models import FIXED_BGNBD, FIXED_COX, FIXED_GAMMA_GAMMA, fixed_models  # noqa: E402
+from .models import FIXED_BGNBD, FIXED_COX, FIXED_COX_BASELINE, FIXED_GAMMA_GAMMA, fixed_models  # noqa: E402
 
 XDAYS = C.DEFAULT_XDAYS
 
@@ -469,8 +469,6 @@ def q_cox_survival(spark, sf_dir):
             .select("customer_id", F.col("p.t").alias("t"), r6(F.col("p.s")).alias("survival")))
 
 
-# A fixed baseline cumulative hazard table (time, H0) for the survival curve.
-FIXED_COX_BASELINE = ((30.0, 0.1), (90.0, 0.3), (180.0, 0.5), (365.0, 0.8), (730.0, 1.2))
 
 
 @register("clv_onetimer")
@@ -600,3 +598,113 @@ def q_union_channels(spark, sf_dir):
     t = AN.clv_table(clean_txn(spark, sf_dir), SNAP, _channel_models(spark, sf_dir), XDAYS,
                      per_channel=True)
     return t.where(F.col("group") == C.GROUP_ONETIMER).select("customer_id", r6("clv").alias("clv"))
+
+
+# ------------------------------------------------ scoring requests
+
+from ..sources import requests as RQ  # noqa: E402
+from . import scoring as SC  # noqa: E402
+
+REQUEST_CUSTOMERS = 100      # customers per test request (the API's intended cap)
+REQUEST_VISITS = 50          # visits per customer entry in a request body
+
+
+def request_rows(spark, sf_dir) -> DataFrame:
+    """Flat scoring rows from the visit history before 1996-01-01: one
+    request per block of 100 customer ids; snapshots 0/30/60 days after the
+    history end and horizons 365/180 vary by request."""
+    t = clean_txn(spark, sf_dir)
+    rid = F.expr(f"customer_id div {REQUEST_CUSTOMERS}")
+    return t.select(
+        rid.alias("request_id"),
+        F.date_add(F.lit(SNAP).cast("date"), (F.pmod(rid, F.lit(3)) * 30).cast("int"))
+        .cast("timestamp_ntz").alias("snapshot_ts"),
+        F.when(F.pmod(rid, F.lit(2)) == 0, F.lit(365)).otherwise(F.lit(180)).cast("long").alias("xdays"),
+        "customer_id", "txn_id", "arrival_ts", "revenue", "channel")
+
+
+def predictions(spark, sf_dir, lenient=False) -> DataFrame:
+    return SC.score_customers(request_rows(spark, sf_dir), fixed_models(), lenient=lenient)
+
+
+@register("score_customers")
+def q_score_customers(spark, sf_dir):
+    return predictions(spark, sf_dir)
+
+
+@register("score_customers_fallback")
+def q_score_customers_fallback(spark, sf_dir):
+    return SC.score_customers(request_rows(spark, sf_dir), AN.ModelBundle())
+
+
+@register("score_customers_lenient")
+def q_score_customers_lenient(spark, sf_dir):
+    return predictions(spark, sf_dir, lenient=True)
+
+
+@register("clv_level_abs")
+def q_clv_level_abs(spark, sf_dir):
+    return predictions(spark, sf_dir).select("request_id", "customer_id", "group", "clv", "clv_level")
+
+
+@register("round_output")
+def q_round_output(spark, sf_dir):
+    return predictions(spark, sf_dir).select("request_id", "customer_id", "clv", "p_return", "avg_spend",
+                                             "expected_purchases", "expected_value", "p_alive", "recency")
+
+
+@register("lookup_rfm_default")
+def q_lookup_rfm_default(spark, sf_dir):
+    return predictions(spark, sf_dir).select("request_id", "customer_id", "rfm_score", "segment")
+
+
+@register("rfm_constant")
+def q_rfm_constant(spark, sf_dir):
+    return predictions(spark, sf_dir, lenient=True).select("request_id", "customer_id", "rfm_score",
+                                                           "segment", "mismatch")
+
+
+@register("inner_summary")
+def q_inner_summary(spark, sf_dir):
+    p = predictions(spark, sf_dir)
+    return p.where(F.col("group") == C.GROUP_REPEATER).select("request_id", "customer_id", "frequency",
+                                                              "recency")
+
+
+@register("request_rfm")
+def q_request_rfm(spark, sf_dir):
+    feats = CU.customer_features(request_rows(spark, sf_dir), "snapshot_ts",
+                                 keys=("request_id", "customer_id", "xdays"))
+    return SC.request_rfm(feats).select("request_id", "customer_id", "r_score", "f_score", "m_score",
+                                        "rfm_score", "segment")
+
+
+def request_bodies(spark, sf_dir) -> DataFrame:
+    """Nested JSON request bodies built from the visit history: customer
+    entries of at most 50 visits, requests of at most 100 customer ids."""
+    t = CU.visit_numbers(clean_txn(spark, sf_dir))
+    rid = F.expr(f"customer_id div {REQUEST_CUSTOMERS}")
+    chunk = F.expr(f"(visit_number - 1) div {REQUEST_VISITS}")
+    v = t.select(rid.alias("rid"), chunk.alias("chunk"), F.col("customer_id").cast("string").alias("cid"),
+                 F.struct(F.date_format("arrival_ts", "yyyy-MM-dd").alias("Arrival Date"),
+                          F.col("revenue").alias("Total Revenue USD"),
+                          F.col("channel").alias("Channel")).alias("t"))
+    cust = v.groupBy("rid", "chunk", "cid").agg(F.collect_list("t").alias("transactions"))
+    req = cust.groupBy("rid", "chunk").agg(F.collect_list(F.struct(
+        F.col("cid").alias("CustomerID"), "transactions")).alias("customers"))
+    return req.select(F.to_json(F.struct(
+        F.concat_ws("-", F.col("rid").cast("string"), F.col("chunk").cast("string")).alias("request_id"),
+        F.lit(SNAP).alias("snapshot_date"), F.lit(365).alias("xdays"), "customers")).alias("body"))
+
+
+@register("scan_requests")
+def q_scan_requests(spark, sf_dir):
+    reqs = RQ.request_defaults(RQ.parse_requests(request_bodies(spark, sf_dir)))
+    flat = RQ.flatten_requests(reqs)
+    return flat.select(F.col("customer_id").cast("long").alias("customer_id"), "arrival_ts",
+                       "revenue", "channel", "snapshot_ts", "xdays")
+
+
+@register("response_json")
+def q_response_json(spark, sf_dir):
+    return SC.response_json(predictions(spark, sf_dir)).select("request_id", "count")

@@ -22,8 +22,9 @@ class ModelBundle:
 # test data's mean spend; Cox with a small spend effect).
 FIXED_BGNBD = BgNbdParams(r=2.71, alpha=255.4, a=1.355, b=2.351)
 FIXED_GAMMA_GAMMA = GammaGammaParams(p=2.0, q=4.0, v=375000.0)
+FIXED_COX_BASELINE = ((30.0, 0.1), (90.0, 0.3), (180.0, 0.5), (365.0, 0.8), (730.0, 1.2))
 FIXED_COX = CoxParams(features=("avg_spend",), coef=(1e-6,), mean=(250000.0,),
-                      baseline=((365.0, 0.8),))
+                      baseline=FIXED_COX_BASELINE)
 
 
 def fixed_models(per_channel: bool = False) -> ModelBundle:
