@@ -451,3 +451,19 @@ SQL["scan_requests"] = with_(txn_cte()) + f""" SELECT customer_id, arrival_ts, r
   coalesce(channel, 'Unknown') AS channel, TIMESTAMP '{SNAP} 00:00:00' AS snapshot_ts, CAST(365 AS BIGINT) AS xdays
   FROM clean"""
 SQL["response_json"] = _SC + "SELECT request_id, count(*) AS count FROM sc GROUP BY request_id"
+
+# --------------------------------------- log-likelihoods at fixed params
+_p, _q, _v = (repr(float(t)) for t in (GGP.p, GGP.q, GGP.v))
+SQL["bgnbd_loglik"] = REPS + f""", s AS (SELECT CAST(days_frequency AS DOUBLE) AS x, CAST(t_x AS DOUBLE) AS tx,
+   CAST(T AS DOUBLE) AS TT FROM reps),
+ t AS (SELECT x, lgamma({_r} + x) - lgamma({_r}) + {_r} * ln({_al}) + lgamma({_a} + {_b}) + lgamma({_b} + x)
+            - lgamma({_b}) - lgamma({_a} + {_b} + x) AS a12,
+            -({_r} + x) * ln({_al} + TT) AS a3,
+            CASE WHEN x > 0 THEN ln({_a}) - ln({_b} + greatest(x, 1.0) - 1.0) - ({_r} + x) * ln({_al} + tx) END AS a4
+       FROM s)
+ SELECT round(sum(a12 + CASE WHEN x > 0 THEN greatest(a3, a4) + ln(exp(a3 - greatest(a3, a4)) + exp(a4 - greatest(a3, a4)))
+                              ELSE a3 END), 6) AS log_likelihood FROM t"""
+SQL["gg_loglik"] = REPS + f""", s AS (SELECT CAST(days_frequency AS DOUBLE) AS x, monetary_value AS m FROM reps
+   WHERE days_frequency > 0 AND monetary_value > 0)
+ SELECT round(sum(lgamma({_p} * x + {_q}) - lgamma({_p} * x) - lgamma({_q}) + {_q} * ln({_v})
+   + ({_p} * x - 1.0) * ln(m) + {_p} * x * ln(x) - ({_p} * x + {_q}) * ln(x * m + {_v})), 6) AS log_likelihood FROM s"""

@@ -708,3 +708,60 @@ def q_scan_requests(spark, sf_dir):
 @register("response_json")
 def q_response_json(spark, sf_dir):
     return SC.response_json(predictions(spark, sf_dir)).select("request_id", "count")
+
+
+# ------------------------------------------- fitters (rows-only checks)
+
+from ..models import fit_bgnbd as FB  # noqa: E402
+from ..models import fit_cox as FC  # noqa: E402
+from ..models import fit_gamma_gamma as FG  # noqa: E402
+from .training import params_table  # noqa: E402
+
+BGNBD_PENALIZER = 0.001
+
+
+@register("bgnbd_fit")
+def q_bgnbd_fit(spark, sf_dir):
+    p, _, m = FB.fit(repeater_summary(spark, sf_dir), penalizer=BGNBD_PENALIZER)
+    return params_table(spark, [("bgnbd", k, v) for k, v in p.as_dict().items()]
+                        + [("bgnbd", k, float(v)) for k, v in m.items()])
+
+
+@register("gg_fit")
+def q_gg_fit(spark, sf_dir):
+    p, _, m = FG.fit(repeater_summary(spark, sf_dir), penalizer=0.0)
+    return params_table(spark, [("gamma_gamma", k, v) for k, v in p.as_dict().items()]
+                        + [("gamma_gamma", k, float(v)) for k, v in m.items()])
+
+
+@register("cox_fit")
+def q_cox_fit(spark, sf_dir):
+    models, mets = FC.fit(features(spark, sf_dir), ("avg_spend",))
+    m = models[FC.POOLED]
+    rows = [("cox", "coef_avg_spend", m.coef[0]), ("cox", "mean_avg_spend", m.mean[0]),
+            ("cox", "H0_365", m.cumulative_hazard(365.0))]
+    rows += [("cox", k, float(v)) for k, v in mets[FC.POOLED].items()]
+    return params_table(spark, rows)
+
+
+@register("cox_fit_by_channel")
+def q_cox_fit_by_channel(spark, sf_dir):
+    models, mets = FC.fit(features(spark, sf_dir), ("avg_spend",), by="channel_group",
+                          min_rows=C.MIN_CHANNEL_ROWS)
+    rows = []
+    for g, m in sorted(models.items()):
+        rows += [(f"cox[{g}]", "coef_avg_spend", m.coef[0]), (f"cox[{g}]", "H0_365", m.cumulative_hazard(365.0))]
+        rows += [(f"cox[{g}]", k, float(v)) for k, v in mets[g].items()]
+    return params_table(spark, rows)
+
+
+@register("bgnbd_loglik")
+def q_bgnbd_loglik(spark, sf_dir):
+    ll = FB.log_likelihood(repeater_summary(spark, sf_dir), FIXED_BGNBD)
+    return spark.createDataFrame([(round(ll, 6),)], "log_likelihood double")
+
+
+@register("gg_loglik")
+def q_gg_loglik(spark, sf_dir):
+    ll = FG.log_likelihood(repeater_summary(spark, sf_dir), FIXED_GAMMA_GAMMA)
+    return spark.createDataFrame([(round(ll, 6),)], "log_likelihood double")
