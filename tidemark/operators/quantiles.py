@@ -209,7 +209,7 @@ def max_group_size(df: DataFrame, partition: Sequence[str]) -> int:
 
 
 def grouped_quantile_edges(df: DataFrame, partition: Sequence[str], value: str, tie: str, q: int,
-                           prefix: str, cell_rows: int = CELL_ROWS) -> DataFrame:
+                           prefix: str, cell_rows: int = CELL_ROWS, n_max: int | None = None) -> DataFrame:
     """Per-group interior quantile edges (same integer-position rule as
     ``quantile_edges``) as columns ``{prefix}1..{prefix}{q-1}`` of a
     one-row-per-group table. Groups larger than ``cell_rows`` are split into
@@ -217,7 +217,7 @@ def grouped_quantile_edges(df: DataFrame, partition: Sequence[str], value: str,
     part = list(partition)
     base = df.select(*part, value, tie).where(F.col(value).isNotNull())
     cells = None
-    if max_group_size(base, part) > cell_rows:
+    if (max_group_size(base, part) if n_max is None else n_max) > cell_rows:
         n = base.count()
         bounds = sample_bounds(base, value, n, _n_cells(n, cell_rows))
         cells = [range_cell(F.col(value), bounds)]
@@ -244,3 +244,49 @@ def bucket_by_edge_columns(value: "str | Column", edge_cols: Sequence[str]) -> C
     for e in edge_cols:
         out = out + F.when(v > F.col(e), 1).otherwise(0)
     return out
+
+
+def _positions(n: int, q: int) -> tuple[list[tuple[int, int]], list[int]]:
+    spots = [divmod(i * (n - 1), q) for i in range(1, q)]
+    pos = set()
+    for lo, rem in spots:
+        pos.add(lo)
+        if rem:
+            pos.add(lo + 1)
+    return spots, sorted(pos)
+
+
+def _edges_from(spots, stats, q):
+    out = []
+    for lo, rem in spots:
+        x_lo = float(stats[lo])
+        out.append(x_lo if rem == 0 else x_lo + (float(stats[lo + 1]) - x_lo) * (rem / q))
+    return out
+
+
+def multi_quantile_edges(df: DataFrame, cols: Sequence[str], q: int, n: int,
+                         cell_rows: int = CELL_ROWS) -> dict[str, list[float]]:
+    """``quantile_edges`` for several non-null columns of the same ``n``
+    rows. Below ``cell_rows`` all columns share ONE job (one ordered window
+    per column over a bounded single partition); above it each column takes
+    the cell path."""
+    if n == 0:
+        return {c: [] for c in cols}
+    spots, pos = _positions(n, q)
+    if _n_cells(n, cell_rows) > 1:
+        return {c: _edges_from(spots, order_statistics(df, c, pos, n=n, cell_rows=cell_rows), q)
+                for c in cols}
+    sel = [F.col(c) for c in cols]
+    for i, c in enumerate(cols):
+        sel.append((F.row_number().over(Window.orderBy(c)) - 1).alias(f"_p{i}"))
+    ranked_df = df.select(*sel)
+    cond = None
+    for i in range(len(cols)):
+        t = F.col(f"_p{i}").isin(pos)
+        cond = t if cond is None else (cond | t)
+    rows = ranked_df.where(cond).collect()
+    out = {}
+    for i, c in enumerate(cols):
+        stats = {r[f"_p{i}"]: r[c] for r in rows if r[f"_p{i}"] in pos}
+        out[c] = _edges_from(spots, stats, q)
+    return out

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import rfm_code, segment_name
-from .quantiles import CELL_ROWS, bucket_by_edges, global_row_number, quantile_edges
+from .quantiles import (CELL_ROWS, bucket_by_edges, global_row_number, multi_quantile_edges,
+                        quantile_edges)
 
 
 class TiedEdgesError(ValueError):
@@ -51,8 +52,8 @@ def rfm_scores(rfm: DataFrame, strict: bool = False, cell_rows: int = CELL_ROWS,
                 .withColumn("rfm_segment", F.lit(None).cast("string"))
                 .withColumn("rfm_score", F.lit(None).cast("long"))
                 .withColumn("segment", F.lit(None).cast("string")))
-    r_edges = quantile_edges(base, "recency", 5, n=n, cell_rows=cell_rows)
-    m_edges = quantile_edges(base, "monetary", 5, n=n, cell_rows=cell_rows)
+    edges = multi_quantile_edges(base, ["recency", "monetary"], 5, n=n, cell_rows=cell_rows)
+    r_edges, m_edges = edges["recency"], edges["monetary"]
     _check(r_edges, strict, "recency")
     _check(m_edges, strict, "monetary")
     ranked = global_row_number(base, "frequency", "customer_id", out="_rn", n=n,

@@ -28,13 +28,14 @@ PREDICTION_COLUMNS = ("request_id", "customer_id", "group", "clv", "p_return", "
                       "rfm_score", "segment", "clv_level", "mismatch")
 
 
-def request_rfm(feats: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """RFM scores inside each request (request_id, customer_id -> scores)."""
+def request_rfm(feats: DataFrame, cell_rows: int = CELL_ROWS, n_max: int | None = None) -> DataFrame:
+    """RFM scores inside each request (request_id, customer_id -> scores).
+    ``n_max``: the largest request (customers), if already known."""
     part = ["request_id"]
     base = feats.select("request_id", "customer_id", "recency", "frequency", "monetary")
-    r_e = grouped_quantile_edges(base, part, "recency", "customer_id", 5, "r_e", cell_rows)
-    m_e = grouped_quantile_edges(base, part, "monetary", "customer_id", 5, "m_e", cell_rows)
-    n = max_group_size(base, part)
+    n = max_group_size(base, part) if n_max is None else n_max
+    r_e = grouped_quantile_edges(base, part, "recency", "customer_id", 5, "r_e", cell_rows, n_max=n)
+    m_e = grouped_quantile_edges(base, part, "monetary", "customer_id", 5, "m_e", cell_rows, n_max=n)
     rk = global_row_number(base, "frequency", "customer_id", out="_rn", n=n, cell_rows=cell_rows,
                            partition=part)
     sizes = base.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
@@ -66,7 +67,13 @@ def score_customers(rows: DataFrame, models: ModelBundle, lenient: bool = False,
     customer_id, txn_id, arrival_ts, revenue, channel)."""
     feats = customer_features(rows, "snapshot_ts", keys=("request_id", "customer_id", "xdays"))
     feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
-    horizons = [r[0] for r in feats.select("xdays").distinct().limit(1001).collect()]
+    # One small job: the largest request and the distinct horizons (capped).
+    st = (feats.groupBy("request_id").agg(F.count(F.lit(1)).alias("n"),
+                                          F.collect_set("xdays").alias("xs"))
+          .agg(F.max("n").alias("n_max"),
+               F.slice(F.array_distinct(F.flatten(F.collect_set("xs"))), 1, 1001).alias("hs"))
+          .collect()[0])
+    n_max, horizons = int(st["n_max"] or 0), list(st["hs"] or [])
     if len(horizons) > 1000:
         raise ValueError("more than 1000 distinct horizons in one scoring run")
     t_max = float(max(horizons)) if horizons else float(C.DEFAULT_XDAYS)
@@ -77,7 +84,7 @@ def score_customers(rows: DataFrame, models: ModelBundle, lenient: bool = False,
                     F.lit(C.LENIENT_SEGMENT).alias("segment")]
         scored = feats.select("*", *rfm_cols)
     else:
-        rfm = request_rfm(feats, cell_rows).select("request_id", "customer_id", "rfm_score", "segment")
+        rfm = request_rfm(feats, cell_rows, n_max=n_max).select("request_id", "customer_id", "rfm_score", "segment")
         # Lookup with defaults (every customer has a row; coalesce keeps the rule).
         scored = (feats.join(rfm, ["request_id", "customer_id"], "left")
                   .withColumn("rfm_score", F.coalesce("rfm_score", F.lit(C.MISSING_RFM_SCORE).cast("long")))
@@ -136,3 +143,16 @@ def response_json(predictions: DataFrame) -> DataFrame:
     return agg.select("request_id", "count", F.concat(
         F.lit('{"predictions": ['), F.array_join(F.array_sort("ps"), ", "),
         F.lit('], "count": '), F.col("count").cast("string"), F.lit("}")).alias("body"))
+
+
+def score_single(spark, customer_id: str, transactions: list[dict], models: ModelBundle,
+                 snapshot: str | None = None, xdays: int | None = None):
+    """Score one customer's history; the first prediction or None."""
+    import json as _json
+
+    from ..sources.requests import flatten_requests, parse_requests, request_defaults
+    body = _json.dumps({"request_id": "single", "snapshot_date": snapshot, "xdays": xdays,
+                        "customers": [{"CustomerID": customer_id, "transactions": transactions}]})
+    rows = flatten_requests(request_defaults(parse_requests(spark.createDataFrame([(body,)], "body string"))))
+    got = score_customers(rows, models).limit(1).collect()
+    return got[0].asDict() if got else None
