@@ -467,3 +467,21 @@ SQL["gg_loglik"] = REPS + f""", s AS (SELECT CAST(days_frequency AS DOUBLE) AS x
    WHERE days_frequency > 0 AND monetary_value > 0)
  SELECT round(sum(lgamma({_p} * x + {_q}) - lgamma({_p} * x) - lgamma({_q}) + {_q} * ln({_v})
    + ({_p} * x - 1.0) * ln(m) + {_p} * x * ln(x) - ({_p} * x + {_q}) * ln(x * m + {_v})), 6) AS log_likelihood FROM s"""
+
+# ------------------------------------------------ composite plans
+SQL["prep_training"] = with_(txn_cte()) + _FLAG + f""" SELECT txn_id, customer_id, channel_group, {DUMS},
+  visit_count, repeat FROM flagged"""
+SQL["prep_lenient"] = with_(txn_cte(), lenient_cte()) + f""" SELECT txn_id, customer_id, tx_count,
+  '{C.TYPE_REPEATER}' AS customer_type FROM len_flag WHERE tx_count > 1"""
+SQL["prep_inference"] = with_(txn_cte()) + _ROWS + f""" SELECT request_id, customer_id, visit_count,
+  round(avg_spend, 6) AS avg_spend, {floor_days('first_date', 'snapshot_ts')} AS duration, recency,
+  days_frequency, t_x, T, round(monetary_value, 6) AS monetary_value FROM rf"""
+SQL["flatten_requests"] = SQL["scan_requests"]
+SQL["head_sample"] = REPS + """ SELECT customer_id, days_frequency AS frequency, t_x, T,
+  round(monetary_value, 6) AS monetary_value FROM reps ORDER BY customer_id LIMIT 10"""
+SQL["request_defaults"] = with_(txn_cte()) + f""", vn AS (
+  SELECT customer_id // {REQUEST_CUSTOMERS} AS rid,
+         (row_number() OVER (PARTITION BY customer_id ORDER BY arrival_ts, txn_id) - 1) // 50 AS chunk FROM clean)
+ SELECT DISTINCT CAST(rid AS VARCHAR) || '-' || CAST(chunk AS VARCHAR) AS request_id,
+   CASE WHEN rid % 2 = 0 THEN TIMESTAMP '{SNAP} 00:00:00' ELSE TIMESTAMP '{C.DEFAULT_SNAPSHOT} 00:00:00' END AS snapshot_ts,
+   CAST({C.DEFAULT_XDAYS} AS BIGINT) AS xdays FROM vn"""

@@ -765,3 +765,67 @@ def q_bgnbd_loglik(spark, sf_dir):
 def q_gg_loglik(spark, sf_dir):
     ll = FG.log_likelihood(repeater_summary(spark, sf_dir), FIXED_GAMMA_GAMMA)
     return spark.createDataFrame([(round(ll, 6),)], "log_likelihood double")
+
+
+# ------------------------------------------------ composite plans
+
+from . import training as TR  # noqa: E402
+
+
+@register("prep_training")
+def q_prep_training(spark, sf_dir):
+    """E1 'transactions' frame (the other five frames are registered as
+    customer_agg, rfm_scores, split_onetimers, split_repeaters, latest_channel)."""
+    frames = TR.prep_training(testdata_transactions(spark, sf_dir), SNAP)
+    return frames["transactions"].select("txn_id", "customer_id", "channel_group", *DUMMY_COLUMNS,
+                                         "visit_count", "repeat")
+
+
+@register("prep_lenient")
+def q_prep_lenient(spark, sf_dir):
+    frames = TR.prep_lenient(testdata_transactions(spark, sf_dir), SNAP)
+    return frames["repeaters"].select("txn_id", "customer_id", "tx_count", "customer_type")
+
+
+@register("prep_inference")
+def q_prep_inference(spark, sf_dir):
+    """Customer-level frame of every request (per-request snapshot)."""
+    f = CU.customer_features(request_rows(spark, sf_dir), "snapshot_ts",
+                             keys=("request_id", "customer_id", "xdays"))
+    return f.select("request_id", "customer_id", "visit_count", r6("avg_spend").alias("avg_spend"),
+                    "duration", "recency", "days_frequency", "t_x", "T",
+                    r6("monetary_value").alias("monetary_value"))
+
+
+@register("flatten_requests")
+def q_flatten_requests(spark, sf_dir):
+    return q_scan_requests(spark, sf_dir)
+
+
+@register("request_defaults")
+def q_request_defaults(spark, sf_dir):
+    """Requests without snapshot / with xdays 0 take the defaults."""
+    b = request_bodies(spark, sf_dir)
+    parsed = RQ.parse_requests(b)
+    half = F.pmod(F.substring_index("request_id", "-", 1).cast("long"), F.lit(2)) == 0
+    parsed = (parsed.withColumn("snapshot_date", F.when(half, F.col("snapshot_date")))
+              .withColumn("xdays", F.when(half, F.col("xdays")).otherwise(F.lit(0))))
+    d = RQ.request_defaults(parsed)
+    return d.select("request_id", "snapshot_ts", "xdays")
+
+
+HEAD_N = 10
+
+
+@register("head_sample")
+def q_head_sample(spark, sf_dir):
+    """Preview of the first repeaters' summary rows (the limit is the feature)."""
+    s = repeater_summary(spark, sf_dir).orderBy("customer_id").limit(HEAD_N)
+    return s.select("customer_id", "frequency", "t_x", "T", r6("monetary_value").alias("monetary_value"))
+
+
+@register("train_all")
+def q_train_all(spark, sf_dir):
+    """E4 (rows-only): fit all models; parameters and metrics as rows."""
+    _, table = TR.train_all(testdata_transactions(spark, sf_dir), SNAP, bgnbd_penalizer=BGNBD_PENALIZER)
+    return table.where(F.col("name") != "training_duration_seconds")
