@@ -147,3 +147,28 @@ def test_gamma_gamma_fit_recovers_parameters(spark):
     g, res, met = fit_gamma_gamma.fit(df, penalizer=0.0)
     assert abs(g.p - p_) / p_ < 0.25 and abs(g.q - q_) / q_ < 0.35
     assert abs(g.population_mean - v_ * p_ / (q_ - 1)) / (v_ * p_ / (q_ - 1)) < 0.1
+
+
+def _brute_c(rows):
+    conc = ties = pairs = 0
+    for di, ei, vi in rows:
+        if not ei:
+            continue
+        for dj, ej, vj in rows:
+            if dj > di or (dj == di and ej == 0):
+                pairs += 1
+                conc += vi > vj
+                ties += vi == vj
+    return pairs, conc, ties
+
+
+def test_concordance_cells_match_brute_force(spark):
+    from tidemark.models.concordance import concordance
+    rng = np.random.default_rng(4)
+    rows = [(int(rng.integers(1, 40)), int(rng.random() < 0.5), float(rng.integers(0, 60))) for _ in range(500)]
+    rows += [(int(rng.integers(1, 40)), int(rng.random() < 0.5), 7.0) for _ in range(150)]  # hot tied score
+    df = spark.createDataFrame(rows, "d long, e long, v double")
+    pairs, conc, ties = _brute_c(rows)
+    for cr in (10_000, 40):
+        r = concordance(df, "d", "e", "v", cell_rows=cr).collect()[0]
+        assert (r["pairs"], r["concordant"], r["tied"]) == (pairs, conc, ties), cr

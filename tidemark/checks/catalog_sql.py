@@ -485,3 +485,12 @@ SQL["request_defaults"] = with_(txn_cte()) + f""", vn AS (
  SELECT DISTINCT CAST(rid AS VARCHAR) || '-' || CAST(chunk AS VARCHAR) AS request_id,
    CASE WHEN rid % 2 = 0 THEN TIMESTAMP '{SNAP} 00:00:00' ELSE TIMESTAMP '{C.DEFAULT_SNAPSHOT} 00:00:00' END AS snapshot_ts,
    CAST({C.DEFAULT_XDAYS} AS BIGINT) AS xdays FROM vn"""
+
+SQL["cox_concordance"] = BASE + f""", s AS (SELECT duration AS d, event AS e, {_LP} AS v FROM feats),
+ pr AS (SELECT i.v AS vi, j.v AS vj FROM s i JOIN s j
+        ON i.e = 1 AND (j.d > i.d OR (j.d = i.d AND j.e = 0)))
+ SELECT CAST(count(*) AS DOUBLE) AS pairs,
+        CAST(sum(CASE WHEN vi > vj THEN 1 ELSE 0 END) AS DOUBLE) AS concordant,
+        CAST(sum(CASE WHEN vi = vj THEN 1 ELSE 0 END) AS DOUBLE) AS tied,
+        round((sum(CASE WHEN vi > vj THEN 1 ELSE 0 END) + 0.5 * sum(CASE WHEN vi = vj THEN 1 ELSE 0 END))
+              / count(*), 6) AS concordance_index FROM pr"""

@@ -829,3 +829,11 @@ def q_train_all(spark, sf_dir):
     """E4 (rows-only): fit all models; parameters and metrics as rows."""
     _, table = TR.train_all(testdata_transactions(spark, sf_dir), SNAP, bgnbd_penalizer=BGNBD_PENALIZER)
     return table.where(F.col("name") != "training_duration_seconds")
+
+
+@register("cox_concordance")
+def q_cox_concordance(spark, sf_dir):
+    """M6 at fixed coefficients: score = linear predictor (higher = riskier)."""
+    from ..models.concordance import concordance
+    c = concordance(features(spark, sf_dir), "duration", "event", CX.linear_predictor(FIXED_COX, ["avg_spend"]))
+    return c.select("pairs", "concordant", "tied", r6("concordance_index").alias("concordance_index"))
