@@ -46,15 +46,16 @@ def fit(summary: DataFrame, penalizer: float = 0.0, x: str = "frequency", t_x: s
         names = [f"{c}{k}" for k in range(len(P)) for c in ("L", "r", "al", "a", "b")]
 
         def partial_sums(batches):
-            # Per Arrow batch: the row-dependent term and its derivatives for
-            # every candidate; one small row of sums per batch.
+            # One row of partial sums per partition: the row-dependent term
+            # and its derivatives for every candidate (like a tree aggregate,
+            # the driver receives one small row per partition).
+            acc = np.zeros(len(names))
             for pdf in batches:
                 xv = pdf["x"].to_numpy()
                 txv = pdf["tx"].to_numpy() * scale
                 Tv = pdf["T"].to_numpy() * scale
                 wv = pdf["w"].to_numpy()
                 has = xv > 0
-                out = {}
                 for k, (r, al, a, b) in enumerate(P):
                     A3 = -(r + xv) * np.log(al + Tv)
                     with np.errstate(divide="ignore", invalid="ignore"):
@@ -63,16 +64,17 @@ def fit(summary: DataFrame, penalizer: float = 0.0, x: str = "frequency", t_x: s
                     M = np.maximum(A3, A4)
                     L = M + np.log(np.exp(A3 - M) + np.exp(A4 - M))
                     p3, p4 = np.exp(A3 - L), np.exp(A4 - L)
-                    out[f"L{k}"] = float((wv * L).sum())
-                    out[f"r{k}"] = float((wv * (-p3 * np.log(al + Tv) - p4 * np.log(al + txv))).sum())
-                    out[f"al{k}"] = float((wv * (-p3 * (r + xv) / (al + Tv) - p4 * (r + xv) / (al + txv))).sum())
-                    out[f"a{k}"] = float((wv * p4 / a).sum())
-                    out[f"b{k}"] = float((wv * -p4 / (b + np.maximum(xv, 1.0) - 1.0)).sum())
-                yield pd.DataFrame([out], columns=names)
+                    acc[5 * k:5 * k + 5] += [
+                        (wv * L).sum(),
+                        (wv * (-p3 * np.log(al + Tv) - p4 * np.log(al + txv))).sum(),
+                        (wv * (-p3 * (r + xv) / (al + Tv) - p4 * (r + xv) / (al + txv))).sum(),
+                        (wv * p4 / a).sum(),
+                        (wv * -p4 / (b + np.maximum(xv, 1.0) - 1.0)).sum()]
+            yield pd.DataFrame([acc], columns=names)
 
-        schema = ", ".join(f"{n} double" for n in names)
-        row = grouped.mapInPandas(partial_sums, schema).agg(
-            *[F.sum(n).alias(n) for n in names]).collect()[0]
+        schema = ", ".join(f"{nm} double" for nm in names)
+        parts = grouped.mapInPandas(partial_sums, schema).collect()
+        row = {nm: float(sum(prt[nm] for prt in parts)) for nm in names}
         out = []
         for k, pt in enumerate(points):
             r, al, a, b = (math.exp(t) for t in pt)

@@ -12,11 +12,14 @@ from .quantiles import quantile_edges
 def frequency_table(txn: DataFrame, key: str) -> DataFrame:
     """A4/A5: rows, distinct customers and integer-truncated mean revenue per
     key (null keys dropped), largest first (O2)."""
-    return (txn.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).alias("total_customerid_count"),
-        F.countDistinct("customer_id").alias("distinct_customerid_count"),
-        (F.sum(money("revenue")).cast("double") / F.count(F.lit(1))).cast("long")
-        .alias("avg_total_revenue_usd"),
+    # Two-level aggregate (key, customer) -> key instead of a distinct
+    # aggregate: no row expansion, both levels partially aggregated.
+    per = (txn.where(F.col(key).isNotNull()).groupBy(key, "customer_id")
+           .agg(F.count(F.lit(1)).alias("n"), F.sum(money("revenue")).alias("s")))
+    return (per.groupBy(key).agg(
+        F.sum("n").cast("long").alias("total_customerid_count"),
+        F.count(F.col("customer_id")).alias("distinct_customerid_count"),
+        (F.sum("s").cast("double") / F.sum("n")).cast("long").alias("avg_total_revenue_usd"),
     ).orderBy(F.desc("total_customerid_count"), F.asc(key)))
 
 
@@ -30,7 +33,8 @@ def repeat_table(flagged: DataFrame) -> DataFrame:
 
 def repeat_distinct(flagged: DataFrame) -> DataFrame:
     """Distinct customers per repeat flag."""
-    return flagged.groupBy("repeat").agg(F.countDistinct("customer_id").alias("distinct_customer_count"))
+    per = flagged.groupBy("repeat", "customer_id").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("repeat").agg(F.count(F.col("customer_id")).alias("distinct_customer_count"))
 
 
 def spend_by_visit(numbered_repeaters: DataFrame) -> DataFrame:
@@ -85,11 +89,13 @@ def cox_metrics(customers: DataFrame, event_col: str = "event") -> DataFrame:
 
 def load_stats(flagged: DataFrame) -> DataFrame:
     """Rows, customers, distinct one-timers and repeaters."""
-    return flagged.agg(
-        F.count(F.lit(1)).alias("transactions"),
-        F.countDistinct("customer_id").alias("customers"),
-        F.countDistinct(F.when(F.col("repeat") == "N", F.col("customer_id"))).alias("one_timers"),
-        F.countDistinct(F.when(F.col("repeat") == "Y", F.col("customer_id"))).alias("repeaters"),
+    # repeat is constant per customer: aggregate per customer first.
+    per = flagged.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"), F.max("repeat").alias("r"))
+    return per.agg(
+        F.sum("n").cast("long").alias("transactions"),
+        F.count(F.col("customer_id")).alias("customers"),
+        F.count(F.when((F.col("r") == "N") & F.col("customer_id").isNotNull(), 1)).alias("one_timers"),
+        F.count(F.when((F.col("r") == "Y") & F.col("customer_id").isNotNull(), 1)).alias("repeaters"),
     )
 
 
