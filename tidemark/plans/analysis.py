@@ -72,7 +72,8 @@ def clv_table(clean: DataFrame, snapshot, models: ModelBundle, xdays: int = C.DE
     p_ret = onetimer_return_probability(models, xdays, per_channel)
     en, ev, _ = repeater_terms(models, xdays)
     one = F.col("visit_count") == 1
-    clv = F.when(one, p_ret * F.col("avg_spend")).otherwise(en * ev)
+    scored = scored.withColumn("_en", F.when(~one, en)).withColumn("_ev", F.when(~one, ev))
+    clv = F.when(one, p_ret * F.col("avg_spend")).otherwise(F.col("_en") * F.col("_ev"))
     out = scored.select(
         "customer_id",
         F.when(one, F.lit(C.GROUP_ONETIMER)).otherwise(F.lit(C.GROUP_REPEATER)).alias("group"),

@@ -107,24 +107,35 @@ def score_customers(rows: DataFrame, models: ModelBundle, lenient: bool = False,
     ev = F.col("monetary_value")
     if models.gamma_gamma is not None:
         ev = F.when(x > 0, GG.expected_value(models.gamma_gamma, "days_frequency", "monetary_value")).otherwise(ev)
-    clv = F.when(one, p_ret * F.col("avg_spend")).otherwise(en * ev)
-    level = clv_level_abs(clv, one)
+    # Heavy terms are computed once as columns; everything after refers to
+    # them by name (no copies of the series expression in the rules below).
     out = scored.where(one | F.col("days_frequency").isNotNull())  # J8: repeaters need a summary row
+    out = out.select(
+        "request_id", "customer_id", "visit_count", "avg_spend", "days_frequency", "t_x",
+        "rfm_score", "segment",
+        F.when(one, p_ret).alias("_p_ret"),
+        F.when(~one, en).alias("_en"),
+        F.when(~one, ev).alias("_ev"),
+        F.when(~one, pa).alias("_pa"))
+    one = F.col("visit_count") == 1
+    out = out.withColumn("_clv", F.when(one, F.col("_p_ret") * F.col("avg_spend"))
+                         .otherwise(F.col("_en") * F.col("_ev")))
+    out = out.withColumn("clv_level", clv_level_abs("_clv", one))
+    x = F.col("days_frequency")
     out = out.select(
         "request_id", "customer_id",
         F.when(one, F.lit(C.GROUP_ONETIMER)).otherwise(F.lit(C.GROUP_REPEATER)).alias("group"),
-        F.round(clv, 2).alias("clv"),
-        F.when(one, F.round(p_ret, 4)).alias("p_return"),
+        F.round("_clv", 2).alias("clv"),
+        F.when(one, F.round("_p_ret", 4)).alias("p_return"),
         F.when(one, F.round("avg_spend", 2)).alias("avg_spend"),
-        F.when(~one, F.round(en, 2)).alias("expected_purchases"),
-        F.when(~one, F.round(ev, 2)).alias("expected_value"),
-        (F.when(~one, F.round(pa, 4)) if not lenient else F.lit(None).cast("double")).alias("p_alive"),
+        F.when(~one, F.round("_en", 2)).alias("expected_purchases"),
+        F.when(~one, F.round("_ev", 2)).alias("expected_value"),
+        (F.when(~one, F.round("_pa", 4)) if not lenient else F.lit(None).cast("double")).alias("p_alive"),
         F.when(~one, x).alias("frequency"),
         (F.when(~one, F.round(F.col("t_x").cast("double"), 0)) if not lenient
          else F.lit(None).cast("double")).alias("recency"),
-        "rfm_score", "segment",
-        level.alias("clv_level"),
-        (F.lit(C.MISMATCH_ALIGNED) if lenient else mismatch("segment", level)).alias("mismatch"),
+        "rfm_score", "segment", "clv_level",
+        (F.lit(C.MISMATCH_ALIGNED) if lenient else mismatch("segment", "clv_level")).alias("mismatch"),
     )
     return out
 
