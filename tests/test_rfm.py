@@ -111,3 +111,40 @@ def test_partition_invariance(spark, five):
     for p in (1, 4, 16):
         got = by_id(RF.rfm_scores(CU.rfm_features(five.repartition(p), SNAP)))
         assert {k: v["rfm_segment"] for k, v in got.items()} == {k: v["rfm_segment"] for k, v in base.items()}
+
+
+def test_analysis_properties(spark):
+    """E8 on the smallest test tables: one row per customer, one-timers +
+    repeaters = customers, quartile levels balanced, labels consistent."""
+    from tidemark.plans import catalog as K
+    sf = "/root/testdata/sf0.001"
+    rows = K.analysis(spark, sf).collect()
+    n = K.features(spark, sf).count()
+    assert len(rows) == n == len({r["customer_id"] for r in rows})
+    groups = {r["group"] for r in rows}
+    assert groups <= {"onetimer", "repeater"}
+    levels = [r["clv_level"] for r in rows]
+    for lab in ("Low", "Mid", "High", "Top"):
+        assert abs(levels.count(lab) - n / 4) <= 2
+    for r in rows:
+        assert 3 <= r["rfm_score"] <= 15 and r["clv"] >= 0
+        if r["mismatch"].startswith("Overrated"):
+            assert r["segment"] in ("Champions", "Loyal Customers") and r["clv_level"] == "Low"
+        if r["mismatch"].startswith("Underrated"):
+            assert r["segment"] in ("At Risk", "Lost") and r["clv_level"] in ("High", "Top")
+
+
+def test_analysis_partition_invariance(spark):
+    from tidemark.plans import catalog as K
+    sf = "/root/testdata/sf0.001"
+    base = {r["customer_id"]: (r["clv_level"], r["mismatch"], round(r["clv"], 6)) for r in K.analysis(spark, sf).collect()}
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for p in ("1", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", p)
+            spark.catalog.clearCache()
+            got = {r["customer_id"]: (r["clv_level"], r["mismatch"], round(r["clv"], 6))
+                   for r in K.analysis(spark, sf).collect()}
+            assert got == base
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

@@ -93,3 +93,18 @@ def test_score_single(spark):
                                      for c, d, v, ch in SMALL_ROWS if c == "C001"], ModelBundle(), SNAP)
     assert r["clv"] == 541.01
     assert score_single(spark, "C404", [], ModelBundle(), SNAP) is None
+
+
+def test_lenient_training_then_scoring(spark):
+    """Lenient pipeline end to end on the smallest test tables: train with
+    the ridge penalizer (separation), then score lenient requests."""
+    from tidemark.plans.catalog import request_rows
+    from tidemark.plans.training import train_lenient
+    from tidemark.sources import testdata_transactions
+    sf = "/root/testdata/sf0.001"
+    models, table = train_lenient(testdata_transactions(spark, sf), "1996-01-01", penalizer=0.1,
+                                  bgnbd_penalizer=0.001)
+    assert models.cox.features == ("avg_revenue", "tx_count") and all(map(lambda c: c == c, models.cox.coef))
+    preds = score_customers(request_rows(spark, sf), models, lenient=True).collect()
+    assert preds and all(r["clv"] is not None and r["clv"] >= 0 for r in preds)
+    assert {r["mismatch"] for r in preds} == {"Aligned"}

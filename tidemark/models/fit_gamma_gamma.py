@@ -87,8 +87,11 @@ def fit(summary: DataFrame, penalizer: float = 0.0, x: str = "frequency", m: str
     res = bfgs(fg_batch, np.log(np.asarray(init, dtype=float)), max_iter=max_iter)
     p, q, v = (float(math.exp(t)) for t in res.x)
     rows.unpersist()
+    # q <= 1 means the spend distribution has no finite mean: predictions
+    # from such a fit are not usable (flagged, not hidden).
     metrics = {"n_customers": int(n), "log_likelihood_mean": -res.fun + penalizer * (p * p + q * q + v * v),
-               "penalizer_coef": penalizer, "iterations": res.iterations, "converged": res.converged}
+               "penalizer_coef": penalizer, "iterations": res.iterations, "converged": res.converged,
+               "finite_mean": q > 1.0}
     return GammaGammaParams(p=p, q=q, v=v), res, metrics
 
 

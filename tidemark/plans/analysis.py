@@ -24,19 +24,24 @@ from ..operators.rfm import quantile_level, rfm_scores
 from .models import ModelBundle
 
 
+def _cols(model) -> list[str]:
+    from .scoring import cox_columns
+    return cox_columns(model)
+
+
 def onetimer_return_probability(models: ModelBundle, xdays: int, per_channel: bool = False):
     """P_return for one-timers: pooled Cox, per-channel Cox (null for
     channels without a model), or the 0.1 fallback."""
     if per_channel:
         expr = None
         for g, m in sorted(models.cox_by_channel.items()):
-            e = CX.return_probability(m, xdays, cols=["avg_spend"])
+            e = CX.return_probability(m, xdays, cols=_cols(m))
             cond = F.col("channel_group") == g
             expr = F.when(cond, e) if expr is None else expr.when(cond, e)
         return expr if expr is not None else F.lit(None).cast("double")
     if models.cox is None:
         return F.lit(C.FALLBACK_P_RETURN)
-    return CX.return_probability(models.cox, xdays, cols=["avg_spend"])
+    return CX.return_probability(models.cox, xdays, cols=_cols(models.cox))
 
 
 def repeater_terms(models: ModelBundle, xdays: int, x="days_frequency", t_x="t_x", T="T",

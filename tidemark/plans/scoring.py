@@ -61,12 +61,24 @@ def _hazard_lookup(model: CX.CoxParams, horizons: list[int]):
     return F.element_at(F.create_map(*pairs), F.col("xdays"))
 
 
+# Model feature names (main and lenient training) -> scoring columns.
+COX_FEATURE_COLUMNS = {"avg_spend": "avg_spend", "avg_revenue": "avg_spend",
+                       "tx_count": "visit_count", "visit_count": "visit_count"}
+
+
+def cox_columns(model) -> list[str]:
+    return [COX_FEATURE_COLUMNS.get(f, f) for f in model.features]
+
+
 def score_customers(rows: DataFrame, models: ModelBundle, lenient: bool = False,
-                    cell_rows: int = CELL_ROWS) -> DataFrame:
+                    cell_rows: int = CELL_ROWS, cached: list | None = None) -> DataFrame:
     """Predictions for flat request rows (request_id, snapshot_ts, xdays,
-    customer_id, txn_id, arrival_ts, revenue, channel)."""
+    customer_id, txn_id, arrival_ts, revenue, channel). Frames persisted
+    here are appended to ``cached`` so a caller can release them."""
     feats = customer_features(rows, "snapshot_ts", keys=("request_id", "customer_id", "xdays"))
     feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
+    if cached is not None:
+        cached.append(feats)
     # One small job: the largest request and the distinct horizons (capped).
     st = (feats.groupBy("request_id").agg(F.count(F.lit(1)).alias("n"),
                                           F.collect_set("xdays").alias("xs"))
@@ -93,7 +105,7 @@ def score_customers(rows: DataFrame, models: ModelBundle, lenient: bool = False,
     one = F.col("visit_count") == 1
     if models.cox is not None and horizons:
         p_ret = F.lit(1.0) - F.exp(-_hazard_lookup(models.cox, horizons)
-                                   * CX.partial_hazard(models.cox, cols=["avg_spend"]))
+                                   * CX.partial_hazard(models.cox, cols=cox_columns(models.cox)))
     else:
         p_ret = F.lit(C.FALLBACK_P_RETURN)
     x, T = F.col("days_frequency"), F.col("T")

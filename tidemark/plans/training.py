@@ -86,3 +86,30 @@ def train_all(txn: DataFrame, snapshot, penalizer: float = 0.0, bgnbd_penalizer:
     rows += [("gamma_gamma", k, float(v)) for k, v in gg_m.items()]
     rows.append(("pipeline", "training_duration_seconds", time.time() - t0))
     return ModelBundle(cox=cox, cox_by_channel=by, bgnbd=bg, gamma_gamma=gg), params_table(spark, rows)
+
+
+def train_lenient(txn: DataFrame, snapshot, penalizer: float = 0.1,
+                  bgnbd_penalizer: float | None = None,
+                  gg_penalizer: float = 0.0) -> tuple[ModelBundle, DataFrame]:
+    """Lenient training variant: inclusive snapshot, Cox on (avg_revenue,
+    tx_count) over customers with T > 0, BG/NBD and Gamma-Gamma on the
+    repeaters' calendar-day summary. The event is tx_count > 1, so the
+    count separates it perfectly (trap T14): a positive ridge penalizer is
+    required for a finite coefficient and is the default here."""
+    spark = txn.sparkSession
+    clean = CL.clean_lenient(txn, snapshot)
+    cust = CU.customer_table_lenient(clean, snapshot)
+    cox_models, cox_metrics = fit_cox.fit(cust, ("avg_revenue", "tx_count"), duration="T", event="event",
+                                          penalizer=penalizer, positive_duration=True)
+    cox = cox_models.get(fit_cox.POOLED)
+    rows = [("cox", k, float(v)) for k, v in cox_metrics.get(fit_cox.POOLED, {}).items()]
+    if cox is not None:
+        rows += [("cox", f"coef_{f}", c) for f, c in zip(cox.features, cox.coef)]
+    summary = CU.purchase_summary(clean, snapshot).where(F.col("n_visits") > 1)
+    bg, _, bg_m = fit_bgnbd.fit(summary, penalizer if bgnbd_penalizer is None else bgnbd_penalizer)
+    gg, _, gg_m = fit_gamma_gamma.fit(summary, gg_penalizer)
+    rows += [("bgnbd", k, v) for k, v in bg.as_dict().items()]
+    rows += [("gamma_gamma", k, v) for k, v in gg.as_dict().items()]
+    rows += [("bgnbd", k, float(v)) for k, v in bg_m.items()]
+    rows += [("gamma_gamma", k, float(v)) for k, v in gg_m.items()]
+    return ModelBundle(cox=cox, bgnbd=bg, gamma_gamma=gg), params_table(spark, rows)

@@ -36,9 +36,14 @@ def start_scoring_stream(spark: SparkSession, request_dir: str, out_dir: str, ch
     rows = request_stream(spark, request_dir)
 
     def score_batch(batch: DataFrame, epoch_id: int) -> None:
-        preds = score_customers(batch, models, lenient=lenient).withColumn("batch_id", F.lit(epoch_id))
-        preds.write.mode("overwrite").parquet(os.path.join(out_dir, f"batch_id={epoch_id}"))
-        batch.sparkSession.catalog.clearCache()
+        cached: list = []
+        try:
+            preds = score_customers(batch, models, lenient=lenient, cached=cached)
+            preds.withColumn("batch_id", F.lit(epoch_id)).write.mode("overwrite").parquet(
+                os.path.join(out_dir, f"batch_id={epoch_id}"))
+        finally:
+            for df in cached:
+                df.unpersist()
 
     w = rows.writeStream.foreachBatch(score_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
