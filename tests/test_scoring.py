@@ -108,3 +108,15 @@ def test_lenient_training_then_scoring(spark):
     preds = score_customers(request_rows(spark, sf), models, lenient=True).collect()
     assert preds and all(r["clv"] is not None and r["clv"] >= 0 for r in preds)
     assert {r["mismatch"] for r in preds} == {"Aligned"}
+
+
+def test_request_rfm_single_pass_equals_cells(spark):
+    from tidemark.operators import customers as CU
+    from tidemark.plans import catalog as K
+    from tidemark.plans.scoring import request_rfm
+    f = CU.customer_features(K.request_rows(spark, "/root/testdata/sf0.001"), "snapshot_ts",
+                             keys=("request_id", "customer_id", "xdays"))
+    a = {(r.request_id, r.customer_id): (r.r_score, r.f_score, r.m_score) for r in request_rfm(f).collect()}
+    b = {(r.request_id, r.customer_id): (r.r_score, r.f_score, r.m_score)
+         for r in request_rfm(f, cell_rows=7).collect()}
+    assert a == b and len(a) > 0

@@ -26,12 +26,13 @@ from .optim import FitResult, bfgs, digamma
 
 
 def fit(summary: DataFrame, penalizer: float = 0.0, x: str = "frequency", t_x: str = "t_x",
-        T: str = "T", init=(1.0, 1.0, 1.0, 1.0), max_iter: int = 300
+        T: str = "T", init=(1.0, 1.0, 1.0, 1.0), max_iter: int = 300, reliable: bool = True
         ) -> tuple[BgNbdParams, FitResult, dict]:
-    grouped = (summary.groupBy(F.col(x).cast("double").alias("x"), F.col(t_x).cast("double").alias("tx"),
-                               F.col(T).cast("double").alias("T"))
-               .agg(F.count(F.lit(1)).cast("double").alias("w"))
-               .persist(StorageLevel.MEMORY_AND_DISK))
+    from ..session import stable_base
+    grouped = stable_base(
+        summary.groupBy(F.col(x).cast("double").alias("x"), F.col(t_x).cast("double").alias("tx"),
+                        F.col(T).cast("double").alias("T"))
+        .agg(F.count(F.lit(1)).cast("double").alias("w")), reliable)
     stats = grouped.agg(F.max("T").alias("tmax"), F.sum("w").alias("n")).collect()[0]
     if not stats["n"]:
         raise ValueError("empty summary")

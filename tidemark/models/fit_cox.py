@@ -97,7 +97,7 @@ def _efron(table, beta, p):
 
 def fit(customers: DataFrame, features=("avg_spend",), duration: str = "duration", event: str = "event",
         penalizer: float = 0.0, by: str | None = None, min_rows: int = 0, max_iter: int = 50,
-        tol: float = 1e-9, positive_duration: bool = False):
+        tol: float = 1e-9, positive_duration: bool = False, reliable: bool = True):
     """Fit pooled (by=None) or per-group Cox models. Groups with fewer than
     ``min_rows`` usable rows get no model (F6). Returns ({group: CoxParams},
     {group: metrics})."""
@@ -108,7 +108,8 @@ def fit(customers: DataFrame, features=("avg_spend",), duration: str = "duration
         rows = rows.where(F.col(duration) > 0)
     rows = rows.select(*([F.col(by)] if by else []), F.col(duration).alias("_dur"),
                        F.col(event).alias("_event"), *[F.col(f) for f in feats])
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    from ..session import stable_base
+    rows = stable_base(rows, reliable)
     gcol = F.col(by) if by else F.lit(POOLED)
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.col("_event").cast("long")).alias("events")]
     for j, f in enumerate(feats):

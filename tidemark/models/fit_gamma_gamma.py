@@ -31,8 +31,10 @@ def fit_rows(summary: DataFrame, x: str = "frequency", m: str = "monetary_value"
 
 
 def fit(summary: DataFrame, penalizer: float = 0.0, x: str = "frequency", m: str = "monetary_value",
-        init=(1.0, 1.0, 1.0), max_iter: int = 200) -> tuple[GammaGammaParams, FitResult, dict]:
-    rows = fit_rows(summary, x, m).persist(StorageLevel.MEMORY_AND_DISK)
+        init=(1.0, 1.0, 1.0), max_iter: int = 200, reliable: bool = True
+        ) -> tuple[GammaGammaParams, FitResult, dict]:
+    from ..session import stable_base
+    rows = stable_base(fit_rows(summary, x, m), reliable)
     hist = rows.groupBy("x").agg(F.count(F.lit(1)).alias("c"), F.sum(F.log("m")).alias("slm")).collect()
     xs = np.array([r["x"] for r in hist])
     cs = np.array([r["c"] for r in hist], dtype=float)

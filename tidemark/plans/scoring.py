@@ -10,7 +10,7 @@ mismatch label; outputs rounded like the API response (P15).
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -28,25 +28,63 @@ PREDICTION_COLUMNS = ("request_id", "customer_id", "group", "clv", "p_return", "
                       "rfm_score", "segment", "clv_level", "mismatch")
 
 
+def _rank_buckets(rn: F.Column, n: F.Column, q: int = 5) -> F.Column:
+    out = F.lit(1)
+    for i in range(1, q):
+        out = out + F.when(F.lit(q) * (rn - 1) > F.lit(i) * (n - 1), 1).otherwise(0)
+    return out
+
+
+def _edges_from_ranks(value: str, rn: str, q: int, prefix: str) -> tuple[list, list]:
+    """Aggregates picking the order statistics around each edge position of
+    a ranked column (rank ``rn`` 1-based, group size ``_n``), and the edge
+    expressions over those aggregates."""
+    aggs, edges = [], []
+    for i in range(1, q):
+        lo = F.floor((F.lit(i) * (F.col("_n") - 1)) / q).cast("long")
+        aggs += [F.max(F.when(F.col(rn) - 1 == lo, F.col(value).cast("double"))).alias(f"_{prefix}lo{i}"),
+                 F.max(F.when(F.col(rn) - 1 == lo + 1, F.col(value).cast("double"))).alias(f"_{prefix}hi{i}"),
+                 F.max(F.pmod((F.lit(i) * (F.col("_n") - 1)).cast("long"), F.lit(q))).alias(f"_{prefix}rem{i}")]
+        lo_v, hi_v, rem = F.col(f"_{prefix}lo{i}"), F.col(f"_{prefix}hi{i}"), F.col(f"_{prefix}rem{i}")
+        edges.append(F.when(rem == 0, lo_v).otherwise(lo_v + (hi_v - lo_v) * (rem.cast("double") / q))
+                     .alias(f"{prefix}{i}"))
+    return aggs, edges
+
+
 def request_rfm(feats: DataFrame, cell_rows: int = CELL_ROWS, n_max: int | None = None) -> DataFrame:
     """RFM scores inside each request (request_id, customer_id -> scores).
-    ``n_max``: the largest request (customers), if already known."""
+    ``n_max``: the largest request (customers), if already known.
+
+    Requests up to ``cell_rows`` customers: ONE window pass partitioned by
+    request_id gives the three ranks and the request size; the edge
+    aggregate and the join back reuse that partitioning (no further
+    shuffle of the customer rows). Larger requests take the cell path."""
     part = ["request_id"]
     base = feats.select("request_id", "customer_id", "recency", "frequency", "monetary")
     n = max_group_size(base, part) if n_max is None else n_max
-    r_e = grouped_quantile_edges(base, part, "recency", "customer_id", 5, "r_e", cell_rows, n_max=n)
-    m_e = grouped_quantile_edges(base, part, "monetary", "customer_id", 5, "m_e", cell_rows, n_max=n)
-    rk = global_row_number(base, "frequency", "customer_id", out="_rn", n=n, cell_rows=cell_rows,
-                           partition=part)
-    sizes = base.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
-    j = rk.join(sizes, part).join(r_e, part).join(m_e, part)
-    f_b = F.lit(1)
-    for i in range(1, 5):
-        f_b = f_b + F.when(F.lit(5) * (F.col("_rn") - 1) > F.lit(i) * (F.col("_n") - 1), 1).otherwise(0)
+    if n <= cell_rows:
+        w = Window.partitionBy("request_id")
+        ranked = base.select(
+            "*",
+            F.row_number().over(w.orderBy("recency", "customer_id")).alias("_rr"),
+            F.row_number().over(w.orderBy("monetary", "customer_id")).alias("_rm"),
+            F.row_number().over(w.orderBy("frequency", "customer_id")).alias("_rf"),
+            F.count(F.lit(1)).over(w).alias("_n"))
+        r_aggs, r_edges = _edges_from_ranks("recency", "_rr", 5, "r_e")
+        m_aggs, m_edges = _edges_from_ranks("monetary", "_rm", 5, "m_e")
+        edges = ranked.groupBy("request_id").agg(*r_aggs, *m_aggs).select("request_id", *r_edges, *m_edges)
+        j = ranked.join(edges, part).withColumnRenamed("_rf", "_rn")
+    else:
+        r_e = grouped_quantile_edges(base, part, "recency", "customer_id", 5, "r_e", cell_rows, n_max=n)
+        m_e = grouped_quantile_edges(base, part, "monetary", "customer_id", 5, "m_e", cell_rows, n_max=n)
+        rk = global_row_number(base, "frequency", "customer_id", out="_rn", n=n, cell_rows=cell_rows,
+                               partition=part)
+        sizes = base.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
+        j = rk.join(sizes, part).join(r_e, part).join(m_e, part)
     s = j.select(
         "request_id", "customer_id",
         (F.lit(6) - bucket_by_edge_columns("recency", [f"r_e{i}" for i in range(1, 5)])).cast("long").alias("r_score"),
-        f_b.cast("long").alias("f_score"),
+        _rank_buckets(F.col("_rn"), F.col("_n")).cast("long").alias("f_score"),
         bucket_by_edge_columns("monetary", [f"m_e{i}" for i in range(1, 5)]).cast("long").alias("m_score"))
     s = s.withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
     return s.withColumn("rfm_segment", rfm_code("r_score", "f_score", "m_score")) \

@@ -54,3 +54,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def shared_path(spark: SparkSession, *parts: str) -> str:
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, *parts)
+
+
+def stable_base(df: DataFrame, reliable: bool = True) -> DataFrame:
+    """Base table an iterative job reads many times. reliable=True writes it
+    once to the shared checkpoint folder (an executor lost mid-loop then
+    re-reads the small table instead of recomputing it from the raw data);
+    otherwise it is persisted in memory and on disk."""
+    from pyspark import StorageLevel
+    if reliable:
+        return cut_lineage(df)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
