@@ -494,3 +494,17 @@ SQL["cox_concordance"] = BASE + f""", s AS (SELECT duration AS d, event AS e, {_
         CAST(sum(CASE WHEN vi = vj THEN 1 ELSE 0 END) AS DOUBLE) AS tied,
         round((sum(CASE WHEN vi > vj THEN 1 ELSE 0 END) + 0.5 * sum(CASE WHEN vi = vj THEN 1 ELSE 0 END))
               / count(*), 6) AS concordance_index FROM pr"""
+
+# ------------------------------------- purchase events (times of day)
+from ..plans.catalog import EVENTS_SNAP  # noqa: E402
+from .oracle import events_cte  # noqa: E402
+
+SQL["rfm_scores_events"] = with_(events_cte(EVENTS_SNAP), rfm_cte("clean", EVENTS_SNAP), rfm_scores_cte()) + """
+ SELECT customer_id, recency, frequency, round(monetary, 6) AS monetary, r_score, f_score, m_score,
+        rfm_score, segment FROM scored"""
+SQL["purchase_summary_events"] = with_(events_cte(EVENTS_SNAP), feats_cte(EVENTS_SNAP)) + """
+ SELECT customer_id, days_frequency AS frequency, t_x, T, round(monetary_value, 6) AS monetary_value,
+        visit_count AS n_visits FROM feats"""
+SQL["customer_agg_events"] = with_(events_cte(EVENTS_SNAP), feats_cte(EVENTS_SNAP)) + """
+ SELECT customer_id, first_date, last_date, visit_count, round(avg_spend, 6) AS avg_spend, duration, recency,
+        event, days_frequency, t_x, T FROM feats"""

@@ -41,7 +41,7 @@ def floor_days(start: str, end: str) -> str:
 
 
 def snap_ts(snapshot: str = SNAP) -> str:
-    return f"TIMESTAMP '{snapshot} 00:00:00'"
+    return f"TIMESTAMP '{snapshot}'" if ":" in snapshot else f"TIMESTAMP '{snapshot} 00:00:00'"
 
 
 def money(c: str) -> str:
@@ -173,3 +173,17 @@ len_cust AS (
          count(*) AS tx_count, CAST(sum({money('revenue')}) AS DOUBLE) AS total_revenue,
          CAST(sum({money('revenue')}) AS DOUBLE) / count(*) AS avg_revenue
   FROM len_clean GROUP BY customer_id)"""
+
+
+def events_cte(snapshot: str) -> str:
+    """Purchase events as visits (no channel), strict snapshot bound."""
+    return f"""
+txn AS (
+  SELECT event_id AS txn_id, user_id AS customer_id, CAST(ts AS TIMESTAMP) AS arrival_ts,
+         CAST(value AS DOUBLE) AS revenue, CAST(NULL AS VARCHAR) AS channel
+  FROM events WHERE event_type = 'purchase'),
+clean AS (
+  SELECT * FROM txn
+  WHERE arrival_ts < {snap_ts(snapshot)} AND revenue > 0 AND customer_id IS NOT NULL),
+enc AS (
+  SELECT *, {dummy_cols()} FROM (SELECT *, {group_case()} AS channel_group FROM clean))"""

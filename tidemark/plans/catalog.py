@@ -837,3 +837,33 @@ def q_cox_concordance(spark, sf_dir):
     from ..models.concordance import concordance
     c = concordance(features(spark, sf_dir), "duration", "event", CX.linear_predictor(FIXED_COX, ["avg_spend"]))
     return c.select("pairs", "concordant", "tied", r6("concordance_index").alias("concordance_index"))
+
+
+# ------------------------------------- purchase events (times of day, T2/T3)
+
+EVENTS_SNAP = "2024-01-20 12:00:00"
+
+
+def event_visits(spark, sf_dir) -> DataFrame:
+    return CL.clean_strict(SRC.testdata_events(spark, sf_dir), EVENTS_SNAP)
+
+
+@register("rfm_scores_events")
+def q_rfm_scores_events(spark, sf_dir):
+    s = RF.rfm_scores(CU.rfm_features(event_visits(spark, sf_dir), EVENTS_SNAP))
+    return s.select("customer_id", "recency", "frequency", r6("monetary").alias("monetary"),
+                    "r_score", "f_score", "m_score", "rfm_score", "segment")
+
+
+@register("purchase_summary_events")
+def q_purchase_summary_events(spark, sf_dir):
+    s = CU.purchase_summary(event_visits(spark, sf_dir), EVENTS_SNAP)
+    return s.select("customer_id", "frequency", "t_x", "T", r6("monetary_value").alias("monetary_value"),
+                    "n_visits")
+
+
+@register("customer_agg_events")
+def q_customer_agg_events(spark, sf_dir):
+    f = CU.customer_features(event_visits(spark, sf_dir), EVENTS_SNAP)
+    return f.select("customer_id", "first_date", "last_date", "visit_count", r6("avg_spend").alias("avg_spend"),
+                    "duration", "recency", "event", "days_frequency", "t_x", "T")
