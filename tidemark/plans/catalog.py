@@ -867,3 +867,11 @@ def q_customer_agg_events(spark, sf_dir):
     f = CU.customer_features(event_visits(spark, sf_dir), EVENTS_SNAP)
     return f.select("customer_id", "first_date", "last_date", "visit_count", r6("avg_spend").alias("avg_spend"),
                     "duration", "recency", "event", "days_frequency", "t_x", "T")
+
+
+@register("rfm_vs_clv_fitted")
+def q_rfm_vs_clv_fitted(spark, sf_dir):
+    """The analysis end to end with models fitted on the same visits
+    (rows-only check: the fit is iterative)."""
+    models, _ = TR.train_all(testdata_transactions(spark, sf_dir), SNAP, bgnbd_penalizer=BGNBD_PENALIZER)
+    return _report(AN.rfm_vs_clv(clean_txn(spark, sf_dir), SNAP, models, XDAYS))
