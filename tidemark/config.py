@@ -80,7 +80,7 @@ LENIENT_MISSING_RFM_SCORE = 5
 MISSING_RFM_SCORE = 0
 MISSING_SEGMENT = "Unknown"
 
-# Target-list defaults (analysis notebook).
+# Target-list defaults (exploratory analysis).
 TARGET_LEVELS: tuple[str, ...] = ("High", "Top")
 TARGET_EXCLUDED_SEGMENTS: tuple[str, ...] = ("Lost",)
 TARGET_CHANNEL_GROUPS: tuple[str, ...] = ("WEB", "EMAIL", "GDS", "Direct")

@@ -71,7 +71,7 @@ def clv_table(clean: DataFrame, snapshot, models: ModelBundle, xdays: int = C.DE
               per_channel: bool = False, cell_rows: int = CELL_ROWS) -> DataFrame:
     """U1 + J3 + J4: one row per customer with group, latest channel, RFM
     score/segment and CLV (one-timers without a channel model drop out in
-    the per-channel variant, as in the notebook)."""
+    the per-channel variant, as in the exploratory analysis)."""
     feats = customer_features(clean, snapshot).persist(StorageLevel.MEMORY_AND_DISK)
     scored = rfm_scores(feats, persist=False, cell_rows=cell_rows)
     p_ret = onetimer_return_probability(models, xdays, per_channel)
