@@ -86,3 +86,32 @@ def test_model_store_round_trip(spark, tmp):
 def test_missing_model_store_falls_back(spark, tmp):
     got = sinks.load_models(spark, os.path.join(tmp, "nothing-here"))
     assert got.cox is None and got.bgnbd is None and got.gamma_gamma is None
+
+
+def test_jobs_train_score_analyze(spark, tmp):
+    """The spark-submit entry points end to end on a small CSV extract."""
+    import random
+    from tidemark import jobs
+    rnd = random.Random(3)
+    rows = []
+    for c in range(60):
+        for _ in range(rnd.randint(1, 4)):
+            rows.append((f"C{c:03d}", f"2024-{rnd.randint(1, 12):02d}-{rnd.randint(1, 28):02d}",
+                         round(rnd.uniform(50, 900), 2), rnd.choice(["WEB", "GDS", "RL", "CHOPRA"])))
+    inp = os.path.join(tmp, "in")
+    os.makedirs(inp)
+    _write_extract(os.path.join(inp, "transactions.csv"), rows)
+    md = os.path.join(tmp, "models")
+    assert jobs.main(["train", "--input", inp, "--snapshot", SNAP, "--model-dir", md,
+                      "--bgnbd-penalizer", "0.001"]) == 0
+    req = os.path.join(tmp, "req.json")
+    with open(req, "w") as f:
+        f.write(json.dumps({"request_id": "r", "snapshot_date": SNAP, "customers": [
+            {"CustomerID": "C001", "transactions": [{"Arrival Date": "2024-03-01", "Total Revenue USD": 100.0}]}]}) + "\n")
+    out = os.path.join(tmp, "scored")
+    assert jobs.main(["score", "--requests", req, "--model-dir", md, "--out", out]) == 0
+    body = json.loads(spark.read.text(os.path.join(out, "responses")).collect()[0][0])
+    assert body["count"] == 1
+    out2 = os.path.join(tmp, "analysis")
+    assert jobs.main(["analyze", "--input", inp, "--snapshot", SNAP, "--model-dir", md, "--out", out2]) == 0
+    assert spark.read.option("header", True).csv(os.path.join(out2, "customer_clv")).count() == 60
