@@ -97,7 +97,7 @@ def fit(summary: DataFrame, penalizer: float = 0.0, x: str = "frequency", t_x: s
     res = bfgs(fg_batch, np.log(np.asarray(init, dtype=float)), max_iter=max_iter)
     r, al, a, b = (float(math.exp(t)) for t in res.x)
     grouped.unpersist()
-    metrics = {"n_customers": int(n), "distinct_rows": len(xs), "scale": scale,
+    metrics = {"n_customers": int(n), "distinct_frequencies": len(xs), "scale": scale,
                "objective": res.fun, "penalizer_coef": penalizer, "iterations": res.iterations,
                "converged": res.converged}
     return BgNbdParams(r=r, alpha=al / scale, a=a, b=b), res, metrics

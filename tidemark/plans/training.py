@@ -57,8 +57,10 @@ def params_table(spark: SparkSession, rows: list[tuple[str, str, float]]) -> Dat
 
 def train_all(txn: DataFrame, snapshot, penalizer: float = 0.0, bgnbd_penalizer: float | None = None,
               gg_penalizer: float | None = None, cox_features=("avg_spend",),
-              by_channel: bool = False) -> tuple[ModelBundle, DataFrame]:
-    """Fit all three models; returns (bundle, metrics table)."""
+              by_channel: bool = False, with_concordance: bool = True) -> tuple[ModelBundle, DataFrame]:
+    """Fit all three models; returns (bundle, metrics table) with the Cox
+    log-likelihood, concordance index (M6) and event counts, the BG/NBD and
+    Gamma-Gamma parameters and fit diagnostics."""
     spark = txn.sparkSession
     clean = CL.clean_strict(txn, snapshot)
     feats = CU.customer_features(clean, snapshot)
@@ -70,6 +72,12 @@ def train_all(txn: DataFrame, snapshot, penalizer: float = 0.0, bgnbd_penalizer:
         rows.append(("cox", k, float(v)))
     if cox is not None:
         rows += [("cox", f"coef_{f}", c) for f, c in zip(cox.features, cox.coef)]
+        if with_concordance:
+            from ..models.concordance import concordance
+            from ..models.cox import linear_predictor
+            ci = concordance(feats.dropna(subset=["duration", "event", *cox_features]), "duration", "event",
+                             linear_predictor(cox)).collect()[0]["concordance_index"]
+            rows.append(("cox", "concordance_index", float(ci) if ci is not None else float("nan")))
     by = {}
     if by_channel:
         by, mets = fit_cox.fit(feats, cox_features, penalizer=penalizer, by="channel_group",
