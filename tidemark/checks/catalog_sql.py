@@ -21,7 +21,7 @@ SQL["rfm_segment_counts"] = with_(txn_cte(), rfm_cte(), rfm_scores_cte()) + """
 
 from .. import config as C  # noqa: E402
 from ..functions.columns import DUMMY_COLUMNS  # noqa: E402
-from .oracle import edges_cte, feats_cte, floor_days, lenient_cte, money, snap_ts  # noqa: E402
+from .oracle import edges_cte, feats_cte, floor_days, lenient_cte, money, snap_ts, sround  # noqa: E402
 
 DUMS = ", ".join(DUMMY_COLUMNS)
 BASE = with_(txn_cte(), feats_cte())
@@ -194,19 +194,18 @@ SQL["gg_expected_value"] = REPS + _bg_ctes() + \
     " SELECT customer_id, round(expected_value, 6) AS expected_value FROM en"
 _DISC = repr(1.0 / (1.0 + 0.10) ** (365 / 365.0))
 SQL["clv_repeater"] = REPS + _bg_ctes() + f""" SELECT customer_id,
-  round(expected_purchases * expected_value, 6) AS clv,
-  round(expected_purchases * expected_value * {_DISC}, 6) AS clv_discounted FROM en"""
+  {sround("expected_purchases * expected_value", 2)} AS clv,
+  {sround("expected_purchases * expected_value * " + _DISC, 2)} AS clv_discounted FROM en"""
 SQL["cox_return_prob"] = BASE + f" SELECT customer_id, round({_PRET}, 6) AS p_return FROM feats WHERE visit_count = 1"
 _cb = CoxParams(CXP.features, CXP.coef, CXP.mean, FIXED_COX_BASELINE)
 _TIMES = ", ".join(f"({t}, {repr(_cb.cumulative_hazard(float(t)))})" for t in COX_TIMES)
 SQL["cox_survival"] = BASE + f""" SELECT customer_id, CAST(tt.t AS BIGINT) AS t,
   round(exp(-tt.h * exp({_LP})), 6) AS survival
   FROM feats, (VALUES {_TIMES}) tt(t, h) WHERE visit_count = 1"""
-SQL["clv_onetimer"] = BASE + f" SELECT customer_id, round({_PRET} * avg_spend, 6) AS clv FROM feats WHERE visit_count = 1"
+SQL["clv_onetimer"] = BASE + f" SELECT customer_id, {sround(_PRET + " * avg_spend", 2)} AS clv FROM feats WHERE visit_count = 1"
 SQL["clv_fallback"] = BASE + f""" SELECT customer_id,
-  round(CASE WHEN visit_count = 1 THEN {C.FALLBACK_P_RETURN} * avg_spend
-             ELSE days_frequency * 365.0 / greatest(T, 1) * monetary_value END, 6) AS clv,
-  round(CASE WHEN visit_count = 1 THEN NULL ELSE days_frequency * 365.0 / greatest(T, 1) END, 6)
+  {sround("CASE WHEN visit_count = 1 THEN CAST(" + str(C.FALLBACK_P_RETURN) + " AS DOUBLE) * avg_spend ELSE days_frequency * CAST(365 AS DOUBLE) / greatest(T, 1) * monetary_value END", 2)} AS clv,
+  round(CASE WHEN visit_count = 1 THEN NULL ELSE days_frequency * CAST(365 AS DOUBLE) / greatest(T, 1) END, 6)
     AS expected_purchases,
   CASE WHEN visit_count = 1 THEN NULL ELSE {C.FALLBACK_P_ALIVE} END AS p_alive FROM feats"""
 _PER = f""",
@@ -255,40 +254,35 @@ ana2 AS (SELECT *, {_MISMATCH} AS mismatch FROM ana)""")
 
 ANA = _analysis()
 SQL["rfm_vs_clv"] = ANA + """ SELECT customer_id, "group", channel, channel_group, rfm_score, segment,
-  round(clv, 6) AS clv, clv_level, mismatch FROM ana2"""
-SQL["union_clv"] = ANA + """ SELECT customer_id, "group", round(clv, 6) AS clv FROM clvt"""
+  @@SCLV@@ AS clv, clv_level, mismatch FROM ana2"""
+SQL["union_clv"] = ANA + """ SELECT customer_id, "group", @@SCLV@@ AS clv FROM clvt"""
 SQL["join_latest_channel"] = ANA + """ SELECT customer_id, "group", channel, channel_group FROM clvt"""
-SQL["join_rfm"] = ANA + """ SELECT customer_id, "group", rfm_score, segment, round(clv, 6) AS clv FROM clvt"""
-SQL["clv_level_quartile"] = ANA + " SELECT customer_id, round(clv, 6) AS clv, clv_level FROM ana2"
+SQL["join_rfm"] = ANA + """ SELECT customer_id, "group", rfm_score, segment, @@SCLV@@ AS clv FROM clvt"""
+SQL["clv_level_quartile"] = ANA + " SELECT customer_id, @@SCLV@@ AS clv, clv_level FROM ana2"
 SQL["mismatch"] = ANA + " SELECT customer_id, segment, clv_level, mismatch FROM ana2"
 SQL["mismatch_counts"] = ANA + " SELECT mismatch, count(*) AS customers FROM ana2 GROUP BY mismatch"
-SQL["underrated_list"] = ANA + f""" SELECT customer_id, segment, rfm_score, round(clv, 6) AS clv, mismatch
+SQL["underrated_list"] = ANA + f""" SELECT customer_id, segment, rfm_score, @@SCLV@@ AS clv, mismatch
   FROM ana2 WHERE mismatch = '{C.MISMATCH_UNDERRATED}'"""
 _GROUPS = ", ".join(f"'{g}'" for g in C.TARGET_CHANNEL_GROUPS)
-SQL["target_list"] = ANA + f""" SELECT customer_id, round(clv, 6) AS clv, "group", channel, channel_group,
+SQL["target_list"] = ANA + f""" SELECT customer_id, @@SCLV@@ AS clv, "group", channel, channel_group,
   rfm_score, segment, clv_level FROM ana2
   WHERE clv_level IN ('High', 'Top') AND segment NOT IN ('Lost') AND channel_group IN ({_GROUPS})"""
-SQL["top_clv"] = ANA + f""" SELECT customer_id, round(clv, 6) AS clv, "group", segment FROM ana2
+SQL["top_clv"] = ANA + f""" SELECT customer_id, @@SCLV@@ AS clv, "group", segment FROM ana2
   ORDER BY clv DESC, customer_id LIMIT {TOP_N}"""
 SQL["clv_histogram"] = ANA + """, rng AS (SELECT min(clv) AS lo, max(clv) AS hi FROM ana2),
  hb AS (SELECT "group", CAST(least(floor((clv - lo) / ((hi - lo) / 30.0)), 29) AS BIGINT) AS bin,
         lo, (hi - lo) / 30.0 AS width FROM ana2, rng)
- SELECT "group", bin, round(lo + bin * width, 6) AS bin_lo, round(lo + (bin + 1) * width, 6) AS bin_hi,
+ SELECT "group", bin, @@BINLO@@ AS bin_lo, @@BINHI@@ AS bin_hi,
         count(*) AS customers FROM hb GROUP BY "group", bin, lo, width"""
 _CH_OK = f"""s.channel_group IN (SELECT channel_group FROM feats
   WHERE duration IS NOT NULL AND event IS NOT NULL AND avg_spend IS NOT NULL
   GROUP BY channel_group HAVING count(*) >= {C.MIN_CHANNEL_ROWS})"""
-SQL["union_channels"] = _analysis(onetimer_filter=_CH_OK) + """ SELECT customer_id, round(clv, 6) AS clv
+SQL["union_channels"] = _analysis(onetimer_filter=_CH_OK) + """ SELECT customer_id, @@SCLV@@ AS clv
   FROM clvt WHERE "group" = 'onetimer'"""
 
 # ---------------------------------------------------- scoring
 from ..plans.catalog import REQUEST_CUSTOMERS  # noqa: E402
-from .oracle import group_case, segment_case, SNAP  # noqa: E402
-
-
-def sround(x: str, d: int) -> str:
-    """Half-up rounding of the shortest decimal text of a double."""
-    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,12)), {d}) AS DOUBLE)"
+from .oracle import group_case, segment_case, sround, SNAP  # noqa: E402
 
 
 _RID = f"(customer_id // {REQUEST_CUSTOMERS})"
@@ -508,3 +502,10 @@ SQL["purchase_summary_events"] = with_(events_cte(EVENTS_SNAP), feats_cte(EVENTS
 SQL["customer_agg_events"] = with_(events_cte(EVENTS_SNAP), feats_cte(EVENTS_SNAP)) + """
  SELECT customer_id, first_date, last_date, visit_count, round(avg_spend, 6) AS avg_spend, duration, recency,
         event, days_frequency, t_x, T FROM feats"""
+
+
+# CLV-valued outputs: cents, with Spark's half-up rounding of doubles.
+for _k in list(SQL):
+    SQL[_k] = (SQL[_k].replace("@@SCLV@@", sround("clv", 2))
+               .replace("@@BINLO@@", sround("lo + bin * width", 2))
+               .replace("@@BINHI@@", sround("lo + (bin + 1) * width", 2)))

@@ -187,3 +187,9 @@ clean AS (
   WHERE arrival_ts < {snap_ts(snapshot)} AND revenue > 0 AND customer_id IS NOT NULL),
 enc AS (
   SELECT *, {dummy_cols()} FROM (SELECT *, {group_case()} AS channel_group FROM clean))"""
+
+
+def sround(x: str, d: int) -> str:
+    """Half-up rounding of the shortest decimal text of a double (Spark's
+    rounding of doubles); the decimal scale keeps that text exact."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,20)), {d}) AS DOUBLE)"

@@ -74,6 +74,13 @@ def features(spark, sf_dir) -> DataFrame:
     return CU.customer_features(clean_txn(spark, sf_dir), SNAP)
 
 
+def cents(c) -> F.Column:
+    """CLV-valued outputs are money: reported to the cent (like the API).
+    Model values go through exp/pow/series sums whose last bits differ
+    between engines; a cent is far above that noise."""
+    return F.round((F.col(c) if isinstance(c, str) else c).cast("double"), 2)
+
+
 def _money_cols(df: DataFrame, cols) -> DataFrame:
     return df.select(*[r6(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
@@ -447,7 +454,7 @@ def q_clv_repeater(spark, sf_dir):
     en = BG.expected_purchases(FIXED_BGNBD, XDAYS, "frequency", "t_x", "T")
     ev = GG.expected_value(FIXED_GAMMA_GAMMA, "frequency", "monetary_value")
     disc = 1.0 / (1.0 + 0.10) ** (XDAYS / 365.0)
-    return s.select("customer_id", r6(en * ev).alias("clv"), r6(en * ev * F.lit(disc)).alias("clv_discounted"))
+    return s.select("customer_id", cents(en * ev).alias("clv"), cents(en * ev * F.lit(disc)).alias("clv_discounted"))
 
 
 @register("cox_return_prob")
@@ -475,7 +482,7 @@ def q_cox_survival(spark, sf_dir):
 def q_clv_onetimer(spark, sf_dir):
     f = features(spark, sf_dir).where(F.col("visit_count") == 1)
     p = CX.return_probability(FIXED_COX, XDAYS)
-    return f.select("customer_id", r6(p * F.col("avg_spend")).alias("clv"))
+    return f.select("customer_id", cents(p * F.col("avg_spend")).alias("clv"))
 
 
 @register("clv_fallback")
@@ -485,7 +492,7 @@ def q_clv_fallback(spark, sf_dir):
     one = F.col("visit_count") == 1
     return f.select(
         "customer_id",
-        r6(F.when(one, F.lit(C.FALLBACK_P_RETURN) * F.col("avg_spend")).otherwise(en * ev)).alias("clv"),
+        cents(F.when(one, F.lit(C.FALLBACK_P_RETURN) * F.col("avg_spend")).otherwise(en * ev)).alias("clv"),
         r6(F.when(one, F.lit(None)).otherwise(en)).alias("expected_purchases"),
         F.when(one, F.lit(None)).otherwise(pa).alias("p_alive"))
 
@@ -509,7 +516,7 @@ def analysis(spark, sf_dir) -> DataFrame:
 
 def _report(df: DataFrame) -> DataFrame:
     return df.select("customer_id", "group", "channel", "channel_group", "rfm_score", "segment",
-                     r6("clv").alias("clv"), "clv_level", "mismatch")
+                     cents("clv").alias("clv"), "clv_level", "mismatch")
 
 
 @register("rfm_vs_clv")
@@ -520,7 +527,7 @@ def q_rfm_vs_clv(spark, sf_dir):
 @register("union_clv")
 def q_union_clv(spark, sf_dir):
     t = AN.clv_table(clean_txn(spark, sf_dir), SNAP, fixed_models(), XDAYS)
-    return t.select("customer_id", "group", r6("clv").alias("clv"))
+    return t.select("customer_id", "group", cents("clv").alias("clv"))
 
 
 @register("join_latest_channel")
@@ -532,12 +539,12 @@ def q_join_latest_channel(spark, sf_dir):
 @register("join_rfm")
 def q_join_rfm(spark, sf_dir):
     t = AN.clv_table(clean_txn(spark, sf_dir), SNAP, fixed_models(), XDAYS)
-    return t.select("customer_id", "group", "rfm_score", "segment", r6("clv").alias("clv"))
+    return t.select("customer_id", "group", "rfm_score", "segment", cents("clv").alias("clv"))
 
 
 @register("clv_level_quartile")
 def q_clv_level_quartile(spark, sf_dir):
-    return analysis(spark, sf_dir).select("customer_id", r6("clv").alias("clv"), "clv_level")
+    return analysis(spark, sf_dir).select("customer_id", cents("clv").alias("clv"), "clv_level")
 
 
 @register("mismatch")
@@ -553,13 +560,13 @@ def q_mismatch_counts(spark, sf_dir):
 @register("underrated_list")
 def q_underrated_list(spark, sf_dir):
     u = AN.underrated(analysis(spark, sf_dir))
-    return u.select("customer_id", "segment", "rfm_score", r6("clv").alias("clv"), "mismatch")
+    return u.select("customer_id", "segment", "rfm_score", cents("clv").alias("clv"), "mismatch")
 
 
 @register("target_list")
 def q_target_list(spark, sf_dir):
     t = AN.target_list(analysis(spark, sf_dir))
-    return t.select("customer_id", r6("clv").alias("clv"), "group", "channel", "channel_group",
+    return t.select("customer_id", cents("clv").alias("clv"), "group", "channel", "channel_group",
                     "rfm_score", "segment", "clv_level")
 
 
@@ -571,13 +578,13 @@ def q_top_clv(spark, sf_dir):
     """O3: the top-N report (the limit is the feature), ties by id."""
     a = analysis(spark, sf_dir)
     return (a.orderBy(F.desc("clv"), F.asc("customer_id")).limit(TOP_N)
-            .select("customer_id", r6("clv").alias("clv"), "group", "segment"))
+            .select("customer_id", cents("clv").alias("clv"), "group", "segment"))
 
 
 @register("clv_histogram")
 def q_clv_histogram(spark, sf_dir):
     h = PR.histogram(analysis(spark, sf_dir), "clv", "group", bins=30)
-    return h.select("group", "bin", r6("bin_lo").alias("bin_lo"), r6("bin_hi").alias("bin_hi"), "customers")
+    return h.select("group", "bin", cents("bin_lo").alias("bin_lo"), cents("bin_hi").alias("bin_hi"), "customers")
 
 
 def _channel_models(spark, sf_dir):
@@ -597,7 +604,7 @@ def q_union_channels(spark, sf_dir):
     model drop out), joined once on the channel group."""
     t = AN.clv_table(clean_txn(spark, sf_dir), SNAP, _channel_models(spark, sf_dir), XDAYS,
                      per_channel=True)
-    return t.where(F.col("group") == C.GROUP_ONETIMER).select("customer_id", r6("clv").alias("clv"))
+    return t.where(F.col("group") == C.GROUP_ONETIMER).select("customer_id", cents("clv").alias("clv"))
 
 
 # ------------------------------------------------ scoring requests
