@@ -282,7 +282,7 @@ SQL["union_channels"] = _analysis(onetimer_filter=_CH_OK) + """ SELECT customer_
 
 # ---------------------------------------------------- scoring
 from ..plans.catalog import REQUEST_CUSTOMERS  # noqa: E402
-from .oracle import group_case, segment_case, sround, SNAP  # noqa: E402
+from .oracle import segment_case, sround, SNAP  # noqa: E402
 
 
 _RID = f"(customer_id // {REQUEST_CUSTOMERS})"

@@ -6,8 +6,6 @@ plain data so it can be overridden per job.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
-from datetime import date, datetime
 
 # --------------------------------------------------------------------------
 # FIXED VALUES (must equal the analysed pipeline's tables; do not reorder)
@@ -112,30 +110,3 @@ TESTDATA_CHANNEL_CODES: tuple[str | None, ...] = tuple(CHANNEL_GROUPS) + ("RANDO
 # Default snapshot for the test-data queries.
 TESTDATA_SNAPSHOT = "1996-01-01"
 
-
-@dataclass(frozen=True)
-class Params:
-    """Run parameters shared by the operators.
-
-    snapshot: observation end (naive timestamp / date / 'YYYY-MM-DD').
-    inclusive: keep rows on the snapshot (lenient) instead of strictly before.
-    xdays: prediction horizon in days.
-    money_scale: decimal scale used to sum money exactly.
-    """
-
-    snapshot: str = DEFAULT_SNAPSHOT
-    xdays: int = DEFAULT_XDAYS
-    inclusive: bool = False
-    money_precision: int = 28
-    money_scale: int = 6
-    channel_groups: dict = field(default_factory=lambda: dict(CHANNEL_GROUPS))
-
-    def with_(self, **kw) -> "Params":
-        return replace(self, **kw)
-
-    @property
-    def snapshot_str(self) -> str:
-        s = self.snapshot
-        if isinstance(s, (datetime, date)):
-            return s.isoformat(sep=" ") if isinstance(s, datetime) else s.isoformat()
-        return str(s)

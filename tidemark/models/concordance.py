@@ -17,7 +17,6 @@ sample), so scores in a lower cell are strictly lower:
 
 from __future__ import annotations
 
-import math
 
 import numpy as np
 import pandas as pd

@@ -16,7 +16,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
