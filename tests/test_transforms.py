@@ -68,3 +68,34 @@ def test_lenient_frame_fallbacks(spark):
     assert out[1]["arrival_ts"] is None
     none = lenient_frame(raw.drop("Room Amount")).collect()
     assert {r["revenue"] for r in none} == {C.DEFAULT_REVENUE}
+
+
+@pytest.mark.parametrize("segment,level,want", [
+    ("Champions", "Low", C.MISMATCH_OVERRATED), ("Loyal Customers", "Low", C.MISMATCH_OVERRATED),
+    ("At Risk", "High", C.MISMATCH_UNDERRATED), ("Lost", "Top", C.MISMATCH_UNDERRATED),
+    ("Champions", "Top", C.MISMATCH_ALIGNED), ("Potential Loyalists", "Low", C.MISMATCH_ALIGNED),
+    ("Unknown", "High", C.MISMATCH_ALIGNED), ("Lost", "Mid", C.MISMATCH_ALIGNED),
+])
+def test_mismatch(spark, segment, level, want):
+    from tidemark.functions import mismatch
+    df = spark.createDataFrame([(segment, level)], "s string, l string")
+    assert df.select(mismatch("s", "l")).collect()[0][0] == want
+
+
+@pytest.mark.parametrize("clv,one,want", [
+    (49.99, True, "Low"), (50.0, True, "Mid"), (149.0, True, "Mid"), (150.0, True, "High"),
+    (299.99, True, "High"), (300.0, True, "Top"), (199.0, False, "Low"), (200.0, False, "Mid"),
+    (500.0, False, "High"), (999.99, False, "High"), (1000.0, False, "Top"),
+])
+def test_clv_level_thresholds(spark, clv, one, want):
+    from tidemark.functions import clv_level_abs
+    df = spark.createDataFrame([(float(clv), one)], "v double, o boolean")
+    assert df.select(clv_level_abs("v", "o")).collect()[0][0] == want
+
+
+def test_quartile_level(spark):
+    from tidemark.operators.rfm import quantile_level
+    df = spark.createDataFrame([(float(v),) for v in range(1, 9)], "clv double")
+    got = {r["clv"]: r["clv_level"] for r in quantile_level(df, "clv").collect()}
+    assert [got[v] for v in (1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0)] == \
+        ["Low", "Low", "Mid", "Mid", "High", "High", "Top", "Top"]
