@@ -92,3 +92,66 @@ def digamma(x: float) -> float:
     f = 1.0 / (x * x)
     return r + math.log(x) - 0.5 / x - f * (1.0 / 12 - f * (1.0 / 120 - f * (1.0 / 252 - f * (
         1.0 / 240 - f / 132))))
+
+
+def trigamma(x: float) -> float:
+    """psi'(x) for x > 0: recurrence up to 6, then the asymptotic series."""
+    r = 0.0
+    while x < 12.0:
+        r += 1.0 / (x * x)
+        x += 1.0
+    f = 1.0 / (x * x)
+    return r + 1.0 / x + f / 2.0 + (1.0 / x) * f * (1.0 / 6 - f * (1.0 / 30 - f * (1.0 / 42 - f / 30)))
+
+
+def newton(fgh_batch: Callable[[Sequence[np.ndarray]], list], x0, max_iter: int = 100,
+           gtol: float = 1e-6, ftol: float = 1e-12, box: float = 30.0) -> FitResult:
+    """Newton's method with the same batched step ladder as ``bfgs``:
+    ``fgh_batch(points) -> [(f, grad, hessian), ...]``. Uses the Newton
+    direction when the Hessian is positive definite; when that direction
+    finds no acceptable step, the gradient direction is tried before
+    stopping."""
+    x = np.clip(np.asarray(x0, dtype=float), -box, box)
+    (f, g, H), = fgh_batch([x])
+    n_eval, hist, converged, it = 1, [f], False, 0
+    use_newton = True
+    for it in range(1, max_iter + 1):
+        if not np.all(np.isfinite(g)):
+            break
+        if np.max(np.abs(g)) < gtol:
+            converged = True
+            break
+        d = None
+        if use_newton and np.all(np.isfinite(H)):
+            try:
+                np.linalg.cholesky(H)
+                d = -np.linalg.solve(H, g)
+            except np.linalg.LinAlgError:
+                d = None
+        newton_step = d is not None and g @ d < 0
+        if not newton_step:
+            d = -g
+        scale = min(1.0, 5.0 / max(1e-12, np.max(np.abs(d))))
+        cands = [np.clip(x + s * scale * d, -box, box) for s in STEPS]
+        res = fgh_batch(cands)
+        n_eval += len(cands)
+        pick = None
+        for s, xc, (fc, gc, Hc) in zip(STEPS, cands, res):
+            if math.isfinite(fc) and fc <= f + 1e-4 * s * scale * (g @ d):
+                pick = (xc, fc, gc, Hc)
+                break
+        if pick is None:
+            if newton_step:
+                use_newton = False      # retry along the gradient
+                continue
+            converged = True
+            break
+        use_newton = True
+        xn, fn, gn, Hn = pick
+        rel = abs(f - fn) / max(1.0, abs(f))
+        x, f, g, H = xn, fn, gn, Hn
+        hist.append(f)
+        if rel < ftol:
+            converged = True
+            break
+    return FitResult(x=x, fun=f, iterations=it, evaluations=n_eval, converged=converged, history=hist)
