@@ -41,10 +41,17 @@ def day_diff(start: "str | Column", end: "str | Column") -> Column:
     return F.datediff(F.to_date(col_(end)), F.to_date(col_(start))).cast("long")
 
 
+def _q(v: str) -> str:
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def channel_group(channel: "str | Column", mapping: dict | None = None) -> Column:
     """Channel code -> group via a literal map; unknown codes and null give
     'Unknown'. Case-sensitive, as in the analysed pipeline."""
     mapping = C.CHANNEL_GROUPS if mapping is None else mapping
+    if isinstance(channel, str):
+        pairs = ", ".join(f"{_q(k)}, {_q(v)}" for k, v in mapping.items())
+        return F.expr(f"coalesce(element_at(map({pairs}), `{channel}`), {_q(C.UNKNOWN_GROUP)})")
     m = F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
     return F.coalesce(F.element_at(m, col_(channel)), F.lit(C.UNKNOWN_GROUP))
 
@@ -55,6 +62,8 @@ def dummy_name(group: str) -> str:
 
 def channel_dummies(group_col: "str | Column" = "channel_group") -> list[Column]:
     """Fixed six boolean one-hot columns (constant output schema)."""
+    if isinstance(group_col, str):
+        return [F.expr(f"`{group_col}` = {_q(name)}").alias(dummy_name(name)) for name in C.CHANNEL_GROUP_NAMES]
     g = col_(group_col)
     return [(g == F.lit(name)).alias(dummy_name(name)) for name in C.CHANNEL_GROUP_NAMES]
 
@@ -63,6 +72,9 @@ DUMMY_COLUMNS: tuple[str, ...] = tuple(dummy_name(g) for g in C.CHANNEL_GROUP_NA
 
 
 def segment_name(score: "str | Column") -> Column:
+    if isinstance(score, str):
+        whens = " ".join(f"WHEN `{score}` >= {b} THEN {_q(n)}" for b, n in C.RFM_SEGMENT_BOUNDS)
+        return F.expr(f"CASE {whens} ELSE {_q(C.RFM_SEGMENT_FLOOR)} END")
     s = col_(score)
     out = None
     for bound, name in C.RFM_SEGMENT_BOUNDS:
@@ -76,6 +88,13 @@ def rfm_code(r: "str | Column", f: "str | Column", m: "str | Column") -> Column:
 
 def clv_level_abs(clv: "str | Column", is_onetimer: "str | Column | bool") -> Column:
     """Absolute-threshold CLV level (scoring rule)."""
+    if isinstance(clv, str) and isinstance(is_onetimer, str):
+        def ladder_sql(bounds):
+            lo, mid, hi = bounds
+            return (f"CASE WHEN `{clv}` < {lo!r}D THEN 'Low' WHEN `{clv}` < {mid!r}D THEN 'Mid' "
+                    f"WHEN `{clv}` < {hi!r}D THEN 'High' ELSE 'Top' END")
+        return F.expr(f"CASE WHEN `{is_onetimer}` THEN {ladder_sql(C.CLV_LEVEL_BOUNDS_ONETIMER)} "
+                      f"ELSE {ladder_sql(C.CLV_LEVEL_BOUNDS_REPEATER)} END")
     v = col_(clv)
     one = F.lit(is_onetimer) if isinstance(is_onetimer, bool) else col_(is_onetimer)
 
@@ -89,6 +108,12 @@ def clv_level_abs(clv: "str | Column", is_onetimer: "str | Column | bool") -> Co
 
 
 def mismatch(segment: "str | Column", level: "str | Column") -> Column:
+    if isinstance(segment, str) and isinstance(level, str):
+        hi = ", ".join(_q(x) for x in C.HIGH_RFM_SEGMENTS)
+        lo = ", ".join(_q(x) for x in C.LOW_RFM_SEGMENTS)
+        return F.expr(f"CASE WHEN `{segment}` IN ({hi}) AND `{level}` = 'Low' THEN {_q(C.MISMATCH_OVERRATED)} "
+                      f"WHEN `{segment}` IN ({lo}) AND `{level}` IN ('High', 'Top') THEN {_q(C.MISMATCH_UNDERRATED)} "
+                      f"ELSE {_q(C.MISMATCH_ALIGNED)} END")
     seg, lvl = col_(segment), col_(level)
     return (F.when(seg.isin(*C.HIGH_RFM_SEGMENTS) & (lvl == "Low"), F.lit(C.MISMATCH_OVERRATED))
             .when(seg.isin(*C.LOW_RFM_SEGMENTS) & lvl.isin("High", "Top"),

@@ -239,10 +239,13 @@ def grouped_quantile_edges(df: DataFrame, partition: Sequence[str], value: str,
 
 
 def bucket_by_edge_columns(value: "str | Column", edge_cols: Sequence[str]) -> Column:
-    v = F.col(value) if isinstance(value, str) else value
+    """1 + number of edge columns strictly below the value."""
+    if isinstance(value, str):
+        terms = " + ".join(f"CASE WHEN `{value}` > `{e}` THEN 1 ELSE 0 END" for e in edge_cols)
+        return F.expr(f"1 + {terms}") if edge_cols else F.lit(1)
     out = F.lit(1)
     for e in edge_cols:
-        out = out + F.when(v > F.col(e), 1).otherwise(0)
+        out = out + F.when(value > F.col(e), 1).otherwise(0)
     return out
 
 

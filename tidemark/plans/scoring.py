@@ -28,26 +28,27 @@ PREDICTION_COLUMNS = ("request_id", "customer_id", "group", "clv", "p_return", "
                       "rfm_score", "segment", "clv_level", "mismatch")
 
 
-def _rank_buckets(rn: F.Column, n: F.Column, q: int = 5) -> F.Column:
-    out = F.lit(1)
-    for i in range(1, q):
-        out = out + F.when(F.lit(q) * (rn - 1) > F.lit(i) * (n - 1), 1).otherwise(0)
-    return out
+def _rank_buckets(rn: str, n: str, q: int = 5) -> F.Column:
+    """Quantile bucket of a 1-based rank ``rn`` among ``n`` (column names);
+    one SQL expression (a single driver round trip)."""
+    terms = " + ".join(f"CASE WHEN {q} * (`{rn}` - 1) > {i} * (`{n}` - 1) THEN 1 ELSE 0 END"
+                       for i in range(1, q))
+    return F.expr(f"1 + {terms}")
 
 
 def _edges_from_ranks(value: str, rn: str, q: int, prefix: str) -> tuple[list, list]:
     """Aggregates picking the order statistics around each edge position of
     a ranked column (rank ``rn`` 1-based, group size ``_n``), and the edge
-    expressions over those aggregates."""
+    expressions over those aggregates (SQL text: one round trip each)."""
     aggs, edges = [], []
     for i in range(1, q):
-        lo = F.floor((F.lit(i) * (F.col("_n") - 1)) / q).cast("long")
-        aggs += [F.max(F.when(F.col(rn) - 1 == lo, F.col(value).cast("double"))).alias(f"_{prefix}lo{i}"),
-                 F.max(F.when(F.col(rn) - 1 == lo + 1, F.col(value).cast("double"))).alias(f"_{prefix}hi{i}"),
-                 F.max(F.pmod((F.lit(i) * (F.col("_n") - 1)).cast("long"), F.lit(q))).alias(f"_{prefix}rem{i}")]
-        lo_v, hi_v, rem = F.col(f"_{prefix}lo{i}"), F.col(f"_{prefix}hi{i}"), F.col(f"_{prefix}rem{i}")
-        edges.append(F.when(rem == 0, lo_v).otherwise(lo_v + (hi_v - lo_v) * (rem.cast("double") / q))
-                     .alias(f"{prefix}{i}"))
+        lo = f"CAST(floor(({i} * (`_n` - 1)) / {q}) AS BIGINT)"
+        lo_c, hi_c, rem_c = f"_{prefix}lo{i}", f"_{prefix}hi{i}", f"_{prefix}rem{i}"
+        aggs += [F.expr(f"max(CASE WHEN `{rn}` - 1 = {lo} THEN CAST(`{value}` AS DOUBLE) END)").alias(lo_c),
+                 F.expr(f"max(CASE WHEN `{rn}` - 1 = {lo} + 1 THEN CAST(`{value}` AS DOUBLE) END)").alias(hi_c),
+                 F.expr(f"max(pmod(CAST({i} * (`_n` - 1) AS BIGINT), {q}))").alias(rem_c)]
+        edges.append(F.expr(f"CASE WHEN `{rem_c}` = 0 THEN `{lo_c}` ELSE `{lo_c}` + (`{hi_c}` - `{lo_c}`) "
+                            f"* (CAST(`{rem_c}` AS DOUBLE) / {q}) END").alias(f"{prefix}{i}"))
     return aggs, edges
 
 
@@ -84,7 +85,7 @@ def request_rfm(feats: DataFrame, cell_rows: int = CELL_ROWS, n_max: int | None
     s = j.select(
         "request_id", "customer_id",
         (F.lit(6) - bucket_by_edge_columns("recency", [f"r_e{i}" for i in range(1, 5)])).cast("long").alias("r_score"),
-        _rank_buckets(F.col("_rn"), F.col("_n")).cast("long").alias("f_score"),
+        _rank_buckets("_rn", "_n").cast("long").alias("f_score"),
         bucket_by_edge_columns("monetary", [f"m_e{i}" for i in range(1, 5)]).cast("long").alias("m_score"))
     s = s.withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
     return s.withColumn("rfm_segment", rfm_code("r_score", "f_score", "m_score")) \
@@ -170,7 +171,7 @@ def score_customers(rows: DataFrame, models: ModelBundle, lenient: bool = False,
     one = F.col("visit_count") == 1
     out = out.withColumn("_clv", F.when(one, F.col("_p_ret") * F.col("avg_spend"))
                          .otherwise(F.col("_en") * F.col("_ev")))
-    out = out.withColumn("clv_level", clv_level_abs("_clv", one))
+    out = out.withColumn("_one", one).withColumn("clv_level", clv_level_abs("_clv", "_one"))
     x = F.col("days_frequency")
     out = out.select(
         "request_id", "customer_id",
