@@ -5,9 +5,11 @@ Per-customer log-likelihood (x, t_x, T):
   A1 = lgamma(r+x) - lgamma(r) + r ln alpha,
   A2 = lgamma(a+b) + lgamma(b+x) - lgamma(b) - lgamma(a+b+x),
   A3 = -(r+x) ln(alpha+T),  A4 = ln a - ln(b+x-1) - (r+x) ln(alpha+t_x).
-A1 and A2 depend on x alone (driver, from the x histogram); the last term
-and its four derivatives are one Spark aggregate per step over customers
-pre-grouped by equal (x, t_x, T) with weights. Times are rescaled so the
+A1 and A2 depend on x alone (driver, from the x histogram); the last term,
+its gradient and its Hessian are one pass per step (partial sums per
+partition) over customers pre-grouped by equal (x, t_x, T) with weights.
+Default optimiser: Newton with the exact Hessian (gradient steps where it
+is not positive definite); ``method="bfgs"`` is available. Times are rescaled so the
 largest T is 10 while fitting (alpha is rescaled back afterwards).
 """
 
@@ -21,12 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bgnbd import BgNbdParams
-from .optim import FitResult, bfgs, digamma
+from .optim import FitResult, bfgs, digamma, newton, trigamma
 
 
 def fit(summary: DataFrame, penalizer: float = 0.0, x: str = "frequency", t_x: str = "t_x",
-        T: str = "T", init=(1.0, 1.0, 1.0, 1.0), max_iter: int = 300, reliable: bool = True
-        ) -> tuple[BgNbdParams, FitResult, dict]:
+        T: str = "T", init=(1.0, 1.0, 1.0, 1.0), max_iter: int = 300, reliable: bool = True,
+        method: str = "newton") -> tuple[BgNbdParams, FitResult, dict]:
     from ..session import stable_base
     grouped = stable_base(
         summary.groupBy(F.col(x).cast("double").alias("x"), F.col(t_x).cast("double").alias("tx"),
@@ -41,45 +43,68 @@ def fit(summary: DataFrame, penalizer: float = 0.0, x: str = "frequency", t_x: s
     xs = np.array([r["x"] for r in hist])
     cs = np.array([r["c"] for r in hist])
 
-    def fg_batch(points):
+    # Hessian entries of the per-customer term, in (r, alpha, a, b) order.
+    H_KEYS = ("rr", "ral", "alal", "aa", "bb")
+
+    def fgh_batch(points):
         P = [tuple(math.exp(t) for t in pt) for pt in points]
-        names = [f"{c}{k}" for k in range(len(P)) for c in ("L", "r", "al", "a", "b")]
+        per = ("L", "r", "al", "a", "b") + tuple("h" + k for k in H_KEYS) + ("o_rr", "o_ral", "o_ra", "o_rb",
+                                                                           "o_alal", "o_ala", "o_alb",
+                                                                           "o_aa", "o_ab", "o_bb")
+        names = [f"{c}{k}" for k in range(len(P)) for c in per]
 
         def partial_sums(batches):
-            # One row of partial sums per partition: the row-dependent term
-            # and its derivatives for every candidate (like a tree aggregate,
-            # the driver receives one small row per partition).
+            # One row of partial sums per partition for every candidate: the
+            # row-dependent term, its gradient and its Hessian pieces.
             acc = np.zeros(len(names))
+            w_ = len(per)
             for pdf in batches:
                 xv = pdf["x"].to_numpy()
                 txv = pdf["tx"].to_numpy() * scale
                 Tv = pdf["T"].to_numpy() * scale
                 wv = pdf["w"].to_numpy()
                 has = xv > 0
+                bx = b_shift = None
                 for k, (r, al, a, b) in enumerate(P):
                     A3 = -(r + xv) * np.log(al + Tv)
+                    bx = b + np.maximum(xv, 1.0) - 1.0
                     with np.errstate(divide="ignore", invalid="ignore"):
-                        A4 = np.where(has, math.log(a) - np.log(b + np.maximum(xv, 1.0) - 1.0)
-                                      - (r + xv) * np.log(al + txv), -np.inf)
+                        A4 = np.where(has, math.log(a) - np.log(bx) - (r + xv) * np.log(al + txv), -np.inf)
                     M = np.maximum(A3, A4)
                     L = M + np.log(np.exp(A3 - M) + np.exp(A4 - M))
                     p3, p4 = np.exp(A3 - L), np.exp(A4 - L)
-                    acc[5 * k:5 * k + 5] += [
+                    g3 = (-np.log(al + Tv), -(r + xv) / (al + Tv), 0.0 * xv, 0.0 * xv)
+                    g4 = (-np.log(al + txv), -(r + xv) / (al + txv), np.full_like(xv, 1.0 / a), -1.0 / bx)
+                    dlt = [np.where(has, g3[i] - g4[i], 0.0) for i in range(4)]
+                    q34 = p3 * p4
+                    vals = [
                         (wv * L).sum(),
-                        (wv * (-p3 * np.log(al + Tv) - p4 * np.log(al + txv))).sum(),
-                        (wv * (-p3 * (r + xv) / (al + Tv) - p4 * (r + xv) / (al + txv))).sum(),
+                        (wv * (p3 * g3[0] + p4 * g4[0])).sum(),
+                        (wv * (p3 * g3[1] + p4 * g4[1])).sum(),
                         (wv * p4 / a).sum(),
-                        (wv * -p4 / (b + np.maximum(xv, 1.0) - 1.0)).sum()]
+                        (wv * -p4 / bx).sum(),
+                        # weighted second derivatives of A3 / A4
+                        0.0,
+                        (wv * (-p3 / (al + Tv) - p4 / (al + txv))).sum(),
+                        (wv * (p3 * (r + xv) / (al + Tv) ** 2 + p4 * (r + xv) / (al + txv) ** 2)).sum(),
+                        (wv * -p4 / (a * a)).sum(),
+                        (wv * p4 / (bx * bx)).sum(),
+                    ]
+                    for i in range(4):
+                        for j in range(i, 4):
+                            vals.append((wv * q34 * dlt[i] * dlt[j]).sum())
+                    acc[w_ * k:w_ * (k + 1)] += vals
             yield pd.DataFrame([acc], columns=names)
 
         schema = ", ".join(f"{nm} double" for nm in names)
         parts = grouped.mapInPandas(partial_sums, schema).collect()
         row = {nm: float(sum(prt[nm] for prt in parts)) for nm in names}
         out = []
+        lg = np.vectorize(math.lgamma)
+        dg = np.vectorize(digamma)
+        tg = np.vectorize(trigamma)
         for k, pt in enumerate(points):
             r, al, a, b = (math.exp(t) for t in pt)
-            lg = np.vectorize(math.lgamma)
-            dg = np.vectorize(digamma)
             A1 = lg(r + xs) - math.lgamma(r) + r * math.log(al)
             A2 = math.lgamma(a + b) + lg(b + xs) - math.lgamma(b) - lg(a + b + xs)
             ll = (cs * (A1 + A2)).sum() + row[f"L{k}"]
@@ -87,13 +112,33 @@ def fit(summary: DataFrame, penalizer: float = 0.0, x: str = "frequency", t_x: s
             dal = (cs * r / al).sum() + row[f"al{k}"]
             da = (cs * (digamma(a + b) - dg(a + b + xs))).sum() + row[f"a{k}"]
             db = (cs * (digamma(a + b) + dg(b + xs) - digamma(b) - dg(a + b + xs))).sum() + row[f"b{k}"]
+            Hll = np.zeros((4, 4))
+            Hll[0, 0] = (cs * (tg(r + xs) - trigamma(r))).sum()
+            Hll[0, 1] = (cs / al).sum() + row[f"hral{k}"]
+            Hll[1, 1] = (cs * -r / (al * al)).sum() + row[f"halal{k}"]
+            t_ab = (cs * (trigamma(a + b) - tg(a + b + xs))).sum()
+            Hll[2, 2] = t_ab + row[f"haa{k}"]
+            Hll[2, 3] = t_ab
+            Hll[3, 3] = (cs * (trigamma(a + b) + tg(b + xs) - trigamma(b) - tg(a + b + xs))).sum() + row[f"hbb{k}"]
+            idx = {(0, 0): "rr", (0, 1): "ral", (0, 2): "ra", (0, 3): "rb", (1, 1): "alal", (1, 2): "ala",
+                   (1, 3): "alb", (2, 2): "aa", (2, 3): "ab", (3, 3): "bb"}
+            for (i, j), nm in idx.items():
+                Hll[i, j] += row[f"o_{nm}{k}"]
+            Hll = np.triu(Hll) + np.triu(Hll, 1).T
             params = np.array([r, al, a, b])
             f = -ll / n + penalizer * float((params ** 2).sum())
-            grad = -np.array([dr, dal, da, db]) / n * params + 2 * penalizer * params ** 2
-            out.append((f if math.isfinite(f) else math.inf, grad))
+            g_th = -np.array([dr, dal, da, db]) / n + 2 * penalizer * params
+            grad = params * g_th
+            h_th = -Hll / n + 2 * penalizer * np.eye(4)
+            hess = np.outer(params, params) * h_th + np.diag(grad)
+            out.append((f if math.isfinite(f) else math.inf, grad, hess))
         return out
 
-    res = bfgs(fg_batch, np.log(np.asarray(init, dtype=float)), max_iter=max_iter)
+    def fg_batch(points):
+        return [(f, g) for f, g, _ in fgh_batch(points)]
+
+    x0 = np.log(np.asarray(init, dtype=float))
+    res = newton(fgh_batch, x0, max_iter=max_iter) if method == "newton" else bfgs(fg_batch, x0, max_iter=max_iter)
     r, al, a, b = (float(math.exp(t)) for t in res.x)
     grouped.unpersist()
     metrics = {"n_customers": int(n), "distinct_frequencies": len(xs), "scale": scale,
