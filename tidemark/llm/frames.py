@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -38,8 +38,12 @@ def discard(df: DataFrame) -> None:
         p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def prefer(a: Column, b: Column) -> Column:
-    return F.when(a <= b, a).otherwise(b)
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while base in taken:
+        base = "_" + base
+    return base
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

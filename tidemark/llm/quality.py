@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
+from .frames import free_name
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -135,10 +136,3 @@ def quality_filter(df: DataFrame, text: str = "text", bands: Bands = Bands()) ->
     """The rows of ``df`` whose text passes, with the columns of ``df``."""
     probe = free_name(df, "quality")
     return df.withColumn(probe, quality(F.col(text), bands)).where(F.col(probe)["kept"]).drop(probe)
-
-
-def free_name(df: DataFrame, base: str) -> str:
-    taken = {c.lower() for c in df.columns}
-    while base in taken:
-        base = "_" + base
-    return base

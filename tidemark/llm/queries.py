@@ -29,3 +29,53 @@ def op5_quality(spark, sf_dir):
     q = table(spark, sf_dir, "documents").select("doc_id", quality(F.col("text")).alias("q"))
     return q.select("doc_id", "q.n_words", "q.word_chars", "q.n_symbols", "q.n_dup_lines", "q.n_repeat_words",
                     "q.base_failed", "q.kept", F.round("q.ratio", 6).alias("ratio"), "q.verdict")
+
+
+OP6_SQL = """
+WITH sized AS (
+  SELECT doc_id, source, md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS k,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size
+  FROM documents),
+src AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS w
+  FROM sized GROUP BY source),
+steps AS (
+  SELECT *, 1.5e0 * sum(source_size) OVER () - 2 * coalesce(sum(source_size) OVER before, 0) AS open_words,
+         sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS open_w
+  FROM src
+  WINDOW before AS (ORDER BY 2e0 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (
+  SELECT open_words, open_w FROM steps
+  WHERE w * open_words / open_w <= 2e0 * source_size ORDER BY 2e0 * source_size / w, source NULLS LAST LIMIT 1),
+tgt AS (
+  SELECT s.source, s.source_size,
+         CAST(CASE WHEN s.w * l.open_words / l.open_w > 2 * s.source_size THEN 2 * s.source_size
+              ELSE s.w * l.open_words / l.open_w END AS DOUBLE) AS target
+  FROM src s LEFT JOIN level l ON true),
+runs AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target,
+         CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS whole,
+         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.size
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM sized d JOIN tgt t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (whole + CASE WHEN before + size / 2e0 <= target - whole * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM runs
+"""
+
+
+@register("op6_mixing", OP6_SQL)
+def op6_mixing(spark, sf_dir):
+    from .mixing import mix
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mix(docs).select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
+
+
+@register("op2_token_counts")
+def op2_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    from .token_counts import token_counts
+    out = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.withColumn("over_limit", F.col("n_tokens") > 1024)
