@@ -79,3 +79,20 @@ def op2_token_counts(spark, sf_dir):
     from .token_counts import token_counts
     out = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return out.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+@register("op7_language")
+def op7_language(spark, sf_dir):
+    from .language import held_out, language, train
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.where(~held_out(F.col("doc_id"))))
+    out = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), language(F.col("text"), model).alias("l"))
+    return out.select("doc_id", "held_out", F.col("l.lang").alias("lang_pred"), "l.score", "l.languages")
+
+
+@register("op9_token_files")
+def op9_token_files(spark, sf_dir):
+    import public_tokenizers
+
+    from .token_files import token_files
+    return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), by_words=True)
