@@ -96,3 +96,9 @@ def op9_token_files(spark, sf_dir):
 
     from .token_files import token_files
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), by_words=True)
+
+
+@register("op3_minhash")
+def op3_minhash(spark, sf_dir):
+    from .minhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
