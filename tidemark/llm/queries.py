@@ -102,3 +102,12 @@ def op9_token_files(spark, sf_dir):
 def op3_minhash(spark, sf_dir):
     from .minhash import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+@register("op4_pieces")
+def op4_pieces(spark, sf_dir):
+    import public_tokenizers
+
+    from .pieces import digest
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return table(spark, sf_dir, "documents").select("doc_id", digest(F.col("text"), path).alias("d")).select("doc_id", "d.*")
