@@ -111,3 +111,37 @@ def op4_pieces(spark, sf_dir):
     from .pieces import digest
     path = public_tokenizers.path("piece_bpe_32k.model")
     return table(spark, sf_dir, "documents").select("doc_id", digest(F.col("text"), path).alias("d")).select("doc_id", "d.*")
+
+
+@register("op1_vectors", """
+WITH e AS (
+  SELECT vec_id, label, embedding, len(embedding) AS d,
+         embedding IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+         AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+         AND len([x FOR x IN embedding IF x <> 0]) > 0 AS ok
+  FROM embeddings),
+u AS (
+  SELECT vec_id, label, d, [CAST(x AS DOUBLE) FOR x IN embedding] AS u FROM e WHERE ok),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b
+  ON a.label = b.label AND a.d = b.d AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.u, b.u) >= 0.98e0),
+reach AS (
+  WITH RECURSIVE r(a, b) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION
+    SELECT r.a, l.b FROM r JOIN links l ON r.b = l.a)
+  SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, r.component_id, e.vec_id = r.component_id AS kept
+FROM e JOIN reach r ON r.a = e.vec_id
+""")
+def op1_vectors(spark, sf_dir):
+    from .vectors import near_vectors
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@register("op8_html_text")
+def op8_html_text(spark, sf_dir):
+    from .html_text import main_text, train
+    pages = table(spark, sf_dir, "pages")
+    out = pages.select("page_id", "url", main_text(F.col("html"), train(pages)).alias("text"))
+    return out.withColumn("n_chars", F.char_length("text").cast("long"))
