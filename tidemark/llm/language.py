@@ -27,11 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .frames import free_name
+
 TRAIN_PER_LANG = 20_000     # documents
 TABLE = 1 << 16             # hashed trigrams
 SMOOTH = 0.5
 ROUNDS = 25                 # EM rounds at most
 SETTLED = 1e-4              # largest change of a proportion that ends EM
+LEAST_SHARE = 0.4           # of the largest language, for a document to stay in a corpus
 PENALTY = 6.0               # log likelihood per added language, plus half the log of the words
 BLOCK = 1 << 20             # bytes of text at a time
 UNKNOWN = "und"
@@ -218,3 +221,11 @@ def language(text: Column, model: tuple[list[str], np.ndarray]) -> Column:
 def held_out(key: Column) -> Column:
     """Rows that nothing is learned from (rows without an id among them)."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 == 2, F.lit(True))
+
+
+def language_filter(df: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text", least: float = LEAST_SHARE) -> DataFrame:
+    """The rows with a known language of at least ``least`` of the text, with
+    the columns of ``df``."""
+    name = free_name(df, "language")
+    found = df.withColumn(name, language(F.col(text), model))
+    return found.where((F.col(name)["lang"] != UNKNOWN) & (F.col(name)["score"] >= least)).drop(name)

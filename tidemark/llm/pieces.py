@@ -245,19 +245,25 @@ def decode(ids: Column, path: str) -> Column:
     return _udf(run, "string")(ids)
 
 
-def digest(text: Column, path: str) -> Column:
-    """Ids of a text as count and CRC-32 (little-endian unsigned 32-bit), and
-    whether decoding them gives the text back."""
+def digest(text: Column, path: str, with_ids: bool = False) -> Column:
+    """Ids of a text as count and CRC-32 (little-endian unsigned 32-bit),
+    whether decoding them gives the text back, and the ids if wanted."""
     def run(it):
         t = transducer(path)
         for column in it:
-            n, crc, same = [], [], []
+            n, crc, same, kept = [], [], [], []
             for x in column:
                 text = x.as_py() or ""
                 ids = t.encode(text)
                 n.append(len(ids))
                 crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
                 same.append(t.decode(ids) == text)
-            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())],
-                                             ["n_tokens", "ids_crc32", "round_trip"])
-    return _udf(run, "struct<n_tokens:bigint,ids_crc32:bigint,round_trip:boolean>")(text)
+                if with_ids:
+                    kept.append(ids.astype(np.int32))
+            arrays = [pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
+            names = ["n_tokens", "ids_crc32", "round_trip"]
+            if with_ids:
+                arrays.append(pa.array(kept, pa.list_(pa.int32())))
+                names.append("ids")
+            yield pa.StructArray.from_arrays(arrays, names)
+    return _udf(run, f"struct<n_tokens:bigint,ids_crc32:bigint,round_trip:boolean{',ids:array<int>' if with_ids else ''}>")(text)

@@ -145,3 +145,53 @@ def op8_html_text(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     out = pages.select("page_id", "url", main_text(F.col("html"), train(pages)).alias("text"))
     return out.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+#: Tools that the turns of ``conversations`` call: a user turn asks for an answer.
+CHAT_SCHEMAS = {"answer": {"text": {"type": "string", "required": True, "longest": 400},
+                           "turn": {"type": "integer", "required": True, "least": 0},
+                           "words": {"type": "integer", "required": True, "least": 1}}}
+
+
+def chat_events(conversations: DataFrame) -> DataFrame:
+    """The turns as events: a user turn is a call of the tool ``answer`` that
+    refers to the answer before it, an assistant turn the result of the call
+    of the turn before it, a system turn a message."""
+    from .mixing import n_words
+    kind = F.when(F.col("role") == "user", "call").when(F.col("role") == "assistant", "result").otherwise("message")
+    call = F.col("role") == "user"
+    name = lambda back: F.concat(F.lit("call-"), (F.col("turn") - back).cast("string"))
+    args = F.to_json(F.struct(n_words(F.col("text")).alias("words"), "turn", "text"), {"ignoreNullFields": "false"})
+    return conversations.select(
+        F.col("conv_id").alias("conv"), "turn", "role", kind.alias("kind"),
+        F.when(call, name(0)).when(F.col("role") == "assistant", name(1)).alias("id"),
+        F.when(call, F.lit("answer")).alias("tool"), F.when(call, args).alias("arguments"),
+        F.when(call, F.array(name(2))).alias("refs"), "text")
+
+
+@register("op10_tool_calls", """
+WITH e AS (
+  SELECT conv_id AS conv, turn, role, text,
+         CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
+         CASE role WHEN 'user' THEN 'call-' || turn WHEN 'assistant' THEN 'call-' || (turn - 1) END AS id,
+         len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words
+  FROM conversations),
+c AS (SELECT conv, turn FROM e WHERE kind = 'call'),
+r AS (SELECT conv, turn FROM e WHERE kind = 'result'),
+f AS (
+  SELECT e.*, c.conv IS NOT NULL AS has_call, r.conv IS NOT NULL AS has_result,
+         CASE WHEN e.kind = 'call' THEN concat_ws('; ', CASE WHEN text IS NULL THEN 'text: not string' WHEN length(text) > 400 THEN 'text: too long' END,
+              CASE WHEN e.turn < 0 THEN 'turn: out of range' END, CASE WHEN coalesce(words, 0) < 1 THEN 'words: out of range' END) END AS faults
+  FROM e LEFT JOIN c ON c.conv = e.conv AND c.turn = e.turn - 1 LEFT JOIN r ON r.conv = e.conv AND r.turn = e.turn + 1)
+SELECT conv, turn, kind, id, status, turn AS place_turn, CAST(0 AS BIGINT) AS place_depth, false AS cyclic,
+       CASE WHEN kind = 'call' THEN faults = '' END AS valid, faults,
+       CASE kind WHEN 'call' THEN '{"arguments":{"text":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"turn":' || turn || ',"words":' || coalesce(words, 0)
+              || '},"id":"' || id || '","kind":"call","role":"user","tool":"answer","valid":' || CASE WHEN faults = '' THEN 'true' ELSE 'false' END || '}'
+            WHEN 'result' THEN '{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"id":"' || id || '","kind":"result","role":"assistant","status":"' || status || '"}'
+            ELSE '{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"kind":"message","role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || '}' END AS line
+FROM (SELECT *, CASE kind WHEN 'message' THEN 'message' WHEN 'call' THEN CASE WHEN has_result THEN 'answered' ELSE 'unanswered' END
+                ELSE CASE WHEN has_call THEN 'linked' ELSE 'orphan' END END AS status FROM f)
+""")
+def op10_tool_calls(spark, sf_dir):
+    from .tool_calls import format_chat
+    return format_chat(chat_events(table(spark, sf_dir, "conversations")), CHAT_SCHEMAS)
