@@ -29,7 +29,7 @@ class Memo:
             pass
         local: dict[str, object] = {}
         unseen = []
-        for u in set(units) - self.young.keys():
+        for u in (x for x in set(units) if x not in self.young):
             v = self.old.get(u)
             if v is None:
                 unseen.append(u)
