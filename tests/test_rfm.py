@@ -69,41 +69,40 @@ def test_quantile_edges_match_linear_interpolation(spark):
     assert np.allclose(got, _pandas_like_edges(vals, 5), rtol=0, atol=1e-9)
 
 
-def test_cell_paths_are_exact(spark):
-    """Order statistics, edges and the frequency rank via many small cells
-    equal the single-window results (hot value included)."""
+@pytest.mark.parametrize("tied", [0.0, 0.9])
+def test_order_statistics_and_ranks_are_exact(spark, tied):
+    """Edges, boundaries and positions against NumPy, with a hot value."""
     rng = np.random.default_rng(11)
     n = 3000
     freq = np.where(rng.random(n) < 0.6, 1, rng.integers(2, 9, n))  # a dominant frequency
-    money = np.round(rng.gamma(2.0, 300.0, n), 2)
-    df = spark.createDataFrame([(int(i), int(f), float(m)) for i, (f, m) in enumerate(zip(freq, money))],
-                               "customer_id long, frequency long, monetary double").cache()
-    small = Q.quantile_edges(df, "monetary", 5)
-    cells = Q.quantile_edges(df, "monetary", 5, cell_rows=200)
-    assert small == cells
-    a = {r[0]: r[1] for r in Q.global_row_number(df, "frequency", "customer_id").select("customer_id", "rn").collect()}
-    b = {r[0]: r[1] for r in Q.global_row_number(df, "frequency", "customer_id", cell_rows=150)
-         .select("customer_id", "rn").collect()}
-    assert a == b and sorted(a.values()) == list(range(1, n + 1))
-    s1 = {r["customer_id"]: r["rfm_score"] for r in RF.rfm_scores(
-        df.withColumn("recency", (F.col("customer_id") % 97)), persist=False).collect()}
-    s2 = {r["customer_id"]: r["rfm_score"] for r in RF.rfm_scores(
-        df.withColumn("recency", (F.col("customer_id") % 97)), persist=False, cell_rows=170).collect()}
-    assert s1 == s2
-
-
-def test_grouped_edges_cells_exact(spark):
-    rng = np.random.default_rng(5)
-    rows = [(int(g), int(i), float(v)) for i, (g, v) in
-            enumerate(zip(rng.integers(0, 3, 1500), np.round(rng.normal(100, 30, 1500), 1)))]
-    df = spark.createDataFrame(rows, "g long, id long, v double")
-    a = {r["g"]: tuple(r[1:]) for r in Q.grouped_quantile_edges(df, ["g"], "v", "id", 5, "e").collect()}
-    b = {r["g"]: tuple(r[1:]) for r in Q.grouped_quantile_edges(df, ["g"], "v", "id", 5, "e",
-                                                                cell_rows=100).collect()}
-    assert a == b
-    for g in a:
-        vals = [v for gg, _, v in rows if gg == g]
-        assert np.allclose(a[g], _pandas_like_edges(vals, 5), atol=1e-9)
+    money = np.where(rng.random(n) < tied, 50.0, np.round(rng.gamma(2.0, 300.0, n), 2))
+    df = spark.createDataFrame([(int(i), int(f), float(m), int(i % 97)) for i, (f, m) in enumerate(zip(freq, money))],
+                               "customer_id long, frequency long, monetary double, recency long").repartition(6)
+    assert np.allclose(Q.quantile_edges(df, "monetary", 5), _pandas_like_edges(money, 5), atol=1e-9)
+    order = sorted(range(n), key=lambda i: (freq[i], i))
+    rank = {c: k + 1 for k, c in enumerate(order)}
+    got = {r[0]: r[1] for r in Q.global_row_number(df, ["frequency", "customer_id"]).select("customer_id", "rn").collect()}
+    assert got == rank
+    for r in RF.rfm_scores(df).collect():
+        k = rank[r["customer_id"]] - 1
+        assert r["f_score"] == 1 + sum(5 * k > i * (n - 1) for i in range(1, 5))
+
+
+def test_tied_values_are_one_row(spark):
+    """90% of the rows tied: the counted table has one row for them."""
+    df = spark.range(100_000).select(F.when(F.col("id") % 10 != 0, F.lit(7.0)).otherwise(F.col("id").cast("double")).alias("v"))
+    n, got = Q.order_statistics(df, {"v": ("v",)}, {"v": lambda n: [0, 1, 2, 60_000, 90_000, n - 1]})
+    assert n == {"v": 100_000}
+    vals = sorted(7.0 if i % 10 else float(i) for i in range(100_000))
+    assert got["v"] == {p: vals[p] for p in (0, 1, 2, 60_000, 90_000, 99_999)}
+
+
+def test_no_single_partition_over_customers(spark):
+    """The plan of the scores has no exchange to one partition."""
+    df = spark.range(1000).select(F.col("id").alias("customer_id"), (F.col("id") % 7).alias("frequency"),
+                                  (F.col("id") % 31).alias("recency"), F.col("id").cast("double").alias("monetary"))
+    plan = RF.rfm_scores(df, persist=False)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
 
 
 def test_partition_invariance(spark, five):

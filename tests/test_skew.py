@@ -50,9 +50,10 @@ def test_features_hot_customer(skewed):
     assert abs(r["monetary_value"] - d.iloc[1:].mean()) < 1e-6
 
 
-def test_rfm_cells_hot_frequency(skewed, spark):
+def test_rfm_hot_frequency(skewed, spark):
     pdf, df = skewed
-    rfm = CU.rfm_features(df, SNAP).cache()
-    a = {r["customer_id"]: r["rfm_segment"] for r in RF.rfm_scores(rfm, persist=False).collect()}
-    b = {r["customer_id"]: r["rfm_segment"] for r in RF.rfm_scores(rfm, persist=False, cell_rows=25).collect()}
-    assert a == b
+    rows = RF.rfm_scores(CU.rfm_features(df, SNAP)).collect()
+    order = sorted(rows, key=lambda r: (r["frequency"], r["customer_id"]))
+    n = len(order)
+    for k, r in enumerate(order):
+        assert r["f_score"] == 1 + sum(5 * k > i * (n - 1) for i in range(1, 5))

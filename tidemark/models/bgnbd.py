@@ -32,19 +32,21 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else (x if isinstance(x, Column) else F.lit(x))
 
 
-def series_terms(alpha: float, t: float, a_: float, b_: float, tol: float = 1e-17,
-                 max_terms: int = 4000) -> int:
-    """Terms so that the geometric tail at the largest z is below ``tol``."""
-    zmax = t / (alpha + t) if t > 0 else 0.0
-    if zmax <= 0:
-        return 1
-    base = math.ceil(math.log(tol) / math.log(zmax)) if zmax < 1 else max_terms
-    grow = abs(a_) + abs(b_)
-    return int(max(8, min(max_terms, base + 2 * grow + 20)))
-
-
-def hyp2f1_series(A: float, B: float, Cc: Column, z: Column, n_terms: int) -> Column:
-    """sum_k (A)_k (B)_k / ((C)_k k!) z^k for k < n_terms, natively."""
+SERIES_TOL = 1e-17     # tail of the series, relative to its first term
+SERIES_CHUNK = 1024    # terms per inner array
+
+
+def series_terms(z: Column, a_: float, b_: float) -> Column:
+    """Terms that a row's series needs: its geometric tail z^n falls below
+    the tolerance, plus the terms the parameters make it grow by."""
+    geometric = F.ceil(F.lit(math.log(SERIES_TOL)) / F.log(z))
+    return F.when(z > 0, geometric + F.lit(int(2 * (abs(a_) + abs(b_))) + 20)).otherwise(F.lit(2)).cast("long")
+
+
+def hyp2f1_series(A: float, B: float, Cc: Column, z: Column) -> Column:
+    """sum_k (A)_k (B)_k / ((C)_k k!) z^k, natively; every row sums as many
+    terms as its own z needs (in chunks, so the arrays stay short)."""
+    n = series_terms(z, A, B)
     init = F.struct(F.lit(1.0).alias("s"), F.lit(1.0).alias("t"))
 
     def step(acc, k):
@@ -53,21 +55,24 @@ def hyp2f1_series(A: float, B: float, Cc: Column, z: Column, n_terms: int) -> Co
         nt = acc["t"] * ratio
         return F.struct((acc["s"] + nt).alias("s"), nt.alias("t"))
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(n_terms - 2)), init, step, lambda acc: acc["s"])
+    def chunk(acc, c):
+        inner = F.sequence(F.lit(0).cast("long"), F.least(n, F.lit(SERIES_CHUNK)) - 1)
+        return F.aggregate(inner, acc, lambda a, k: step(a, c * SERIES_CHUNK + k))
+
+    chunks = F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / SERIES_CHUNK).cast("long"))
+    return F.aggregate(chunks, init, chunk, lambda acc: acc["s"])
 
 
-def expected_purchases(p: BgNbdParams, t, x, t_x, T, t_max: float | None = None) -> Column:
+def expected_purchases(p: BgNbdParams, t, x, t_x, T) -> Column:
     """M9: conditional expected number of purchases in the next t periods
-    (``t`` a number or a column; ``t_max`` bounds it to size the series)."""
+    (``t`` a number or a column)."""
     if abs(p.a - 1.0) < 1e-12:
         raise ValueError("a == 1 makes the BG/NBD expectation singular")
     x, t_x, T, tt = _c(x).cast("double"), _c(t_x).cast("double"), _c(T).cast("double"), _c(t).cast("double")
     z = tt / (F.lit(p.alpha) + T + tt)
     Cc = F.lit(p.a + p.b - 1.0) + x
     A, B = p.a + p.b - 1.0 - p.r, p.a - 1.0
-    tmax = float(t) if not isinstance(t, (str, Column)) else float(t_max or 3650.0)
-    n = series_terms(p.alpha, tmax, A, B)
-    bracket = F.pow(F.lit(1.0) - z, F.lit(p.a - 1.0)) * hyp2f1_series(A, B, Cc, z, n)
+    bracket = F.pow(F.lit(1.0) - z, F.lit(p.a - 1.0)) * hyp2f1_series(A, B, Cc, z)
     first = (Cc) / F.lit(p.a - 1.0)
     denom = F.lit(1.0) + F.when(x > 0, F.lit(p.a) / (F.lit(p.b) + x - 1.0)
                                 * F.pow((F.lit(p.alpha) + T) / (F.lit(p.alpha) + t_x), F.lit(p.r) + x)

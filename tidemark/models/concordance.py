@@ -4,144 +4,87 @@ Comparable pairs (i, j): i had the event at d_i and j lasted longer
 (T_j > d_i) or was censored at d_i. The pair is concordant when i's risk
 score is higher, half when tied. c = (concordant + ties / 2) / pairs.
 
-Nothing is paired row by row. Rows are counted per (score cell, score
-value, duration); cells are ranges of the score (bounds from a bounded
-sample), so scores in a lower cell are strictly lower:
-  * pairs: from the per-duration histogram (suffix sums);
-  * cross-cell concordant pairs: 2-D prefix sums on the (cell x duration)
-    grid, whose size is bounded by cells x distinct durations;
-  * within-cell pairs: per cell, a Fenwick sweep over its (value,
-    duration) count table (applyInPandas; a hot tied value is one row per
-    duration, so no task sees more than one cell's table).
+Nothing is paired row by row. Rows are counted per (score, duration), so a hot
+tied score is one row per duration, and range partitioned by score into cells:
+  * pairs and ties: suffix sums over the durations, of all rows and of each
+    score;
+  * concordant pairs inside a cell: vectorised merge counting in the task that
+    holds the cell's counts;
+  * concordant pairs across cells: the cells are the leaves of a binary tree.
+    Two cells part at exactly one node, the lower one into its left half; per
+    node and duration the left half's rows and the right half's events are
+    summed, and a suffix sum over the durations pairs them. Only (node,
+    duration) pairs that occur are rows; there is no grid and no limit.
 """
 
 from __future__ import annotations
 
-
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.quantiles import _n_cells, range_cell, sample_bounds
 
-CELL_ROWS = 200_000
-MAX_GRID = 50_000_000
+def concordant_inside(v: np.ndarray, d: np.ndarray, n_all: np.ndarray, n_cens: np.ndarray, n_ev: np.ndarray) -> float:
+    """Concordant pairs within one table of counts by (score, duration): the
+    same tree over the ranks of the scores, one vectorised pass per level."""
+    rank = np.unique(v, return_inverse=True)[1]
+    total, level = 0.0, 0
+    while rank.size and (rank.max() >> level):
+        node, right = rank >> (level + 1), (rank >> level) & 1
+        # durations descending inside each node; a right row sees the left rows before it
+        order = np.lexsort((-d, node))
+        nd, dd, side = node[order], d[order], right[order]
+        left_all = np.where(side == 0, n_all[order], 0.0)
+        left_cens = np.where(side == 0, n_cens[order], 0.0)
+        run = np.flatnonzero(np.r_[True, (nd[1:] != nd[:-1]) | (dd[1:] != dd[:-1])])     # (node, duration) runs
+        first = np.flatnonzero(np.r_[True, nd[run][1:] != nd[run][:-1]])                 # runs that start a node
+        before = np.cumsum(np.r_[0.0, np.add.reduceat(left_all, run)])[:-1]
+        before -= np.repeat(before[first], np.diff(np.r_[first, len(run)]))
+        events = np.add.reduceat(np.where(side == 1, n_ev[order], 0.0), run)
+        total += float((events * (before + np.add.reduceat(left_cens, run))).sum())
+        level += 1
+    return total
 
 
 def _within_cell(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Concordant and tied comparable pairs inside one cell, from its
-    (v, d, n_all, n_cens, n_ev) count table."""
-    if pdf.empty:
-        return pd.DataFrame({"c": [], "conc": [], "ties": []})
-    vals = np.unique(pdf["v"].to_numpy())
-    rank = np.searchsorted(vals, pdf["v"].to_numpy())
-    m = len(vals)
-    tree = np.zeros(m + 1)
-
-    def add(i, w):
-        i += 1
-        while i <= m:
-            tree[i] += w
-            i += i & (-i)
-
-    def prefix(i):  # sum of weights with rank < i
-        s = 0.0
-        while i > 0:
-            s += tree[i]
-            i -= i & (-i)
-        return s
-
-    d = pdf["d"].to_numpy()
-    n_all = pdf["n_all"].to_numpy(dtype=float)
-    n_cens = pdf["n_cens"].to_numpy(dtype=float)
-    n_ev = pdf["n_ev"].to_numpy(dtype=float)
-    order = np.argsort(-d, kind="stable")
-    conc = ties = 0.0
-    i = 0
-    while i < len(order):
-        j = i
-        while j < len(order) and d[order[j]] == d[order[i]]:
-            j += 1
-        grp = order[i:j]
-        # censored at this same duration, by value rank (compared with events here)
-        cens_w = {}
-        for k in grp:
-            if n_cens[k] > 0:
-                cens_w[rank[k]] = cens_w.get(rank[k], 0.0) + n_cens[k]
-        if cens_w:
-            cr = np.array(sorted(cens_w))
-            cw = np.cumsum([cens_w[r] for r in cr])
-        for k in grp:
-            if n_ev[k] == 0:
-                continue
-            r = rank[k]
-            lower = prefix(r)
-            same = prefix(r + 1) - lower
-            if cens_w:
-                pos = np.searchsorted(cr, r)
-                c_lower = cw[pos - 1] if pos > 0 else 0.0
-                c_same = cens_w.get(r, 0.0)
-            else:
-                c_lower = c_same = 0.0
-            conc += n_ev[k] * (lower + c_lower)
-            ties += n_ev[k] * (same + c_same)
-        for k in grp:  # rows at this duration are 'later' for shorter durations
-            add(rank[k], n_all[k])
-        i = j
-    return pd.DataFrame({"c": [int(pdf["c"].iloc[0])], "conc": [conc], "ties": [ties]})
+    cols = [pdf[c].to_numpy(dtype=float) for c in ("v", "d", "n_all", "n_cens", "n_ev")]
+    return pd.DataFrame({"conc": [concordant_inside(*cols)]})
 
 
-def concordance(df: DataFrame, duration: str, event: str, score: "str | F.Column",
-                cell_rows: int = CELL_ROWS) -> DataFrame:
+def concordance(df: DataFrame, duration: str, event: str, score: "str | F.Column") -> DataFrame:
     """One row: pairs, concordant, tied, concordance_index. ``score``:
     higher = higher risk (e.g. the Cox linear predictor)."""
     s = F.col(score) if isinstance(score, str) else score
     rows = df.select(F.col(duration).cast("long").alias("d"), F.col(event).cast("long").alias("e"),
                      s.cast("double").alias("v")).dropna()
-    cnt0 = rows.groupBy("v", "d").agg(
-        F.count(F.lit(1)).alias("n_all"), F.sum(1 - F.col("e")).alias("n_cens"),
-        F.sum("e").alias("n_ev")).persist(StorageLevel.MEMORY_AND_DISK)
-    n = int(cnt0.agg(F.sum("n_all")).collect()[0][0] or 0)
-    spark = df.sparkSession
-    if n == 0:
-        return spark.createDataFrame([(0.0, 0.0, 0.0, None)],
-                                     "pairs double, concordant double, tied double, concordance_index double")
-    cells = _n_cells(n, cell_rows)
-    bounds = sample_bounds(cnt0, "v", cnt0.count(), cells) if cells > 1 else []
-    cnt = cnt0.withColumn("c", range_cell(F.col("v"), bounds) if bounds else F.lit(0))
-
-    # pairs from the per-duration histogram
-    per_d = cnt.groupBy("d").agg(F.sum("n_all").alias("a"), F.sum("n_cens").alias("cz"), F.sum("n_ev").alias("ev"))
-    gt = F.coalesce(F.sum("a").over(Window.orderBy(F.desc("d")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    pairs = per_d.select((F.col("ev") * (gt + F.col("cz"))).alias("p")).agg(F.sum("p")).collect()[0][0] or 0
-
-    # cross-cell: dense (cell x duration) grid, bounded by cells x distinct durations
-    cross = 0.0
-    n_c = len(bounds) + 1
-    if n_c > 1:
-        durations = per_d.select("d")
-        n_d = durations.count()
-        if n_c * n_d > MAX_GRID:
-            raise ValueError(f"concordance grid {n_c}x{n_d} exceeds {MAX_GRID}; raise cell_rows")
-        cd = cnt.groupBy("c", "d").agg(F.sum("n_all").alias("a"), F.sum("n_cens").alias("cz"),
-                                       F.sum("n_ev").alias("ev"))
-        grid = (durations.select("d", F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).alias("c"))
-                .join(cd, ["c", "d"], "left").na.fill(0, ["a", "cz", "ev"]))
-        w_c = Window.partitionBy("d").orderBy("c").rowsBetween(Window.unboundedPreceding, -1)
-        g1 = grid.select("c", "d", "ev", F.coalesce(F.sum("a").over(w_c), F.lit(0)).alias("lo_a"),
-                         F.coalesce(F.sum("cz").over(w_c), F.lit(0)).alias("lo_cz"))
-        w_d = Window.partitionBy("c").orderBy(F.desc("d")).rowsBetween(Window.unboundedPreceding, -1)
-        g2 = g1.select("ev", "lo_cz", F.coalesce(F.sum("lo_a").over(w_d), F.lit(0)).alias("lo_gt"))
-        cross = g2.agg(F.sum(F.col("ev") * (F.col("lo_gt") + F.col("lo_cz")))).collect()[0][0] or 0.0
-
-    within = (cnt.select("c", "v", "d", "n_all", "n_cens", "n_ev").groupBy("c")
-              .applyInPandas(_within_cell, "c long, conc double, ties double")
-              .agg(F.sum("conc").alias("conc"), F.sum("ties").alias("ties")).collect()[0])
-    conc = float(cross) + float(within["conc"] or 0.0)
-    ties = float(within["ties"] or 0.0)
-    cnt0.unpersist()
-    ci = (conc + 0.5 * ties) / pairs if pairs else None
-    return spark.createDataFrame([(float(pairs), conc, ties, ci)],
-                                 "pairs double, concordant double, tied double, concordance_index double")
+    counts = rows.groupBy("v", "d").agg(F.count(F.lit(1)).alias("n_all"), F.sum(1 - F.col("e")).alias("n_cens"), F.sum("e").alias("n_ev"))
+    cnt = counts.repartitionByRange("v").withColumn("c", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def later(sums, keys):
+        """Events times the rows that last longer or are censored then."""
+        w = Window.partitionBy(*keys).orderBy(F.desc("d")).rowsBetween(Window.unboundedPreceding, -1)
+        pair = F.col("ev") * (F.coalesce(F.sum("a").over(w), F.lit(0)) + F.col("cz"))
+        return sums.select(pair.cast("double").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0.0)).alias("n"))
+
+    total = [F.sum("n_all").alias("a"), F.sum("n_cens").alias("cz"), F.sum("n_ev").alias("ev")]
+    one = F.lit(0).alias("all")
+    pairs = later(cnt.groupBy(one, "d").agg(*total), ["all"])       # one row per duration
+    ties = later(cnt.select("v", "d", F.col("n_all").alias("a"), F.col("n_cens").alias("cz"), F.col("n_ev").alias("ev")), ["v"])
+    cells = cnt.agg(F.max("c")).collect()[0][0]
+    levels = int(cells or 0).bit_length()
+    left = F.expr("shiftright(c, level) & 1") == 0
+    nodes = (cnt.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(max(levels - 1, 0)))))
+             .groupBy("level", F.expr("shiftright(c, level + 1)").alias("node"), "d")
+             .agg(F.sum(F.when(left, F.col("n_all")).otherwise(0)).alias("a"), F.sum(F.when(left, F.col("n_cens")).otherwise(0)).alias("cz"),
+                  F.sum(F.when(left, 0).otherwise(F.col("n_ev"))).alias("ev")))
+    across = later(nodes, ["level", "node"])
+    inside = cnt.groupBy("c").applyInPandas(_within_cell, "conc double").agg(F.coalesce(F.sum("conc"), F.lit(0.0)).alias("n"))
+    parts = {k: d.select(F.lit(k).alias("k"), "n") for k, d in (("pairs", pairs), ("ties", ties), ("across", across), ("inside", inside))}
+    got = {r["k"]: float(r["n"]) for r in parts["pairs"].union(parts["ties"]).union(parts["across"]).union(parts["inside"]).collect()}
+    cnt.unpersist()
+    conc = got["inside"] + (got["across"] if levels else 0.0)
+    index = (conc + 0.5 * got["ties"]) / got["pairs"] if got["pairs"] else None
+    return df.sparkSession.createDataFrame([(got["pairs"], conc, got["ties"], index)],
+                                           "pairs double, concordant double, tied double, concordance_index double")

@@ -93,12 +93,43 @@ def breslow_baseline(df, c: CoxParams, duration: str = "duration", event: str =
             .withColumn("cumulative_hazard", F.sum("baseline_hazard").over(w)))
 
 
+#: Terms of an Efron sum that are added one by one: those with the smallest
+#: arguments, where the asymptotic series does not hold.
+EFRON_TAIL = 16
+
+
+def efron_log_sum(m: Column, R0: Column, D0: Column) -> Column:
+    """sum over l < m of ln(R0 - l D0 / m), in closed form: with c = m R0 / D0
+    the first m' = m - 16 terms are m' ln R0 plus a difference of lgamma(c + 1)
+    and lgamma(c - m' + 1), written without cancellation; the last 16 are
+    added one by one. Work and memory do not depend on m."""
+    k = F.greatest(m - EFRON_TAIL, F.lit(0.0))
+    c = m * R0 / D0
+    d = c - k
+    s = lambda z: 1.0 / (12.0 * z) - 1.0 / (360.0 * F.pow(z, F.lit(3.0))) + 1.0 / (1260.0 * F.pow(z, F.lit(5.0)))
+    closed = k * F.log(R0) - (d + 0.5) * F.log1p(-k / c) - k + s(c) - s(d)
+    tail = F.aggregate(F.sequence(F.lit(1), F.least(m, F.lit(float(EFRON_TAIL))).cast("int")), F.lit(0.0),
+                       lambda acc, j: acc + F.log(R0 - (m - j.cast("double")) / m * D0))
+    return F.when(k > 0, closed).otherwise(F.lit(0.0)) + tail
+
+
 def efron_loglik(df, c: CoxParams, duration: str = "duration", event: str = "event", cols=None):
     """M7: Efron partial log-likelihood at fixed coefficients (one row)."""
-    per = _duration_table(df, c, duration, event, cols)
-    m = F.col("m")
-    ties = F.aggregate(
-        F.sequence(F.lit(0), F.greatest(m.cast("int") - 1, F.lit(0))), F.lit(0.0),
-        lambda acc, l: acc + F.log(F.col("S0") - l.cast("double") / m * F.col("D0")))
-    term = F.when(m > 0, F.col("Dlp") - ties).otherwise(F.lit(0.0))
-    return per.agg(F.sum(term).alias("log_likelihood"), F.sum("m").cast("long").alias("n_events"))
+    per = _duration_table(df, c, duration, event, cols).where(F.col("m") > 0)
+    term = F.col("Dlp") - efron_log_sum(F.col("m"), F.col("S0"), F.col("D0"))
+    return per.agg(F.coalesce(F.sum(term), F.lit(0.0)).alias("log_likelihood"),
+                   F.coalesce(F.sum("m"), F.lit(0.0)).cast("long").alias("n_events"))
+
+
+def hazard_at(c: CoxParams, t: Column) -> Column:
+    """H0(t) as a column expression over the baseline's (time, H0) points."""
+    times = F.array(F.lit(0.0), *[F.lit(float(p[0])) for p in c.baseline])
+    hs = F.array(F.lit(0.0), *[F.lit(float(p[1])) for p in c.baseline])
+    i = F.greatest(F.size(F.filter(times, lambda x: x <= t)), F.lit(1))
+    last = i >= len(c.baseline) + 1
+    t0, h0 = F.element_at(times, i), F.element_at(hs, i)
+    nxt = F.when(last, i).otherwise(i + 1)
+    t1, h1 = F.element_at(times, nxt), F.element_at(hs, nxt)
+    if c.interpolation == "step":
+        return h0
+    return F.when(last | (t == t0), h0).otherwise(h0 + (h1 - h0) * (t - t0) / (t1 - t0))

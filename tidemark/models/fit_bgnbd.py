@@ -29,7 +29,7 @@ from .optim import FitResult, bfgs, digamma, newton, trigamma
 def fit(summary: DataFrame, penalizer: float = 0.0, x: str = "frequency", t_x: str = "t_x",
         T: str = "T", init=(1.0, 1.0, 1.0, 1.0), max_iter: int = 300, reliable: bool = True,
         method: str = "newton") -> tuple[BgNbdParams, FitResult, dict]:
-    from ..session import stable_base
+    from ..session import release, stable_base
     grouped = stable_base(
         summary.groupBy(F.col(x).cast("double").alias("x"), F.col(t_x).cast("double").alias("tx"),
                         F.col(T).cast("double").alias("T"))
@@ -54,8 +54,8 @@ def fit(summary: DataFrame, penalizer: float = 0.0, x: str = "frequency", t_x: s
         names = [f"{c}{k}" for k in range(len(P)) for c in per]
 
         def partial_sums(batches):
-            # One row of partial sums per partition for every candidate: the
-            # row-dependent term, its gradient and its Hessian pieces.
+            # One row of partial sums per partition for every candidate (added
+            # up by Spark): the row-dependent term, its gradient and Hessian.
             acc = np.zeros(len(names))
             w_ = len(per)
             for pdf in batches:
@@ -97,8 +97,7 @@ def fit(summary: DataFrame, penalizer: float = 0.0, x: str = "frequency", t_x: s
             yield pd.DataFrame([acc], columns=names)
 
         schema = ", ".join(f"{nm} double" for nm in names)
-        parts = grouped.mapInPandas(partial_sums, schema).collect()
-        row = {nm: float(sum(prt[nm] for prt in parts)) for nm in names}
+        row = grouped.mapInPandas(partial_sums, schema).agg(*[F.sum(nm).alias(nm) for nm in names]).collect()[0].asDict()
         out = []
         lg = np.vectorize(math.lgamma)
         dg = np.vectorize(digamma)
@@ -140,10 +139,10 @@ def fit(summary: DataFrame, penalizer: float = 0.0, x: str = "frequency", t_x: s
     x0 = np.log(np.asarray(init, dtype=float))
     res = newton(fgh_batch, x0, max_iter=max_iter) if method == "newton" else bfgs(fg_batch, x0, max_iter=max_iter)
     r, al, a, b = (float(math.exp(t)) for t in res.x)
-    grouped.unpersist()
+    release(grouped)
     metrics = {"n_customers": int(n), "distinct_frequencies": len(xs), "scale": scale,
                "objective": res.fun, "penalizer_coef": penalizer, "iterations": res.iterations,
-               "converged": res.converged}
+               "converged": res.converged, "gradient": res.gradient, "reason": res.reason}
     return BgNbdParams(r=r, alpha=al / scale, a=a, b=b), res, metrics
 
 

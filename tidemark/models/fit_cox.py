@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cox import CoxParams
+from .cox import EFRON_TAIL, CoxParams
 
 POOLED = "__all__"
 
@@ -60,6 +60,28 @@ def _per_duration(rows: DataFrame, feats, stats, betas, by):
     return tables
 
 
+def tie_sums(m: float, R0: float, D0: float) -> tuple[float, float, float]:
+    """Over l = 0..m-1 with c = m R0 / D0: sum ln(R0 - l D0 / m), sum 1/(c - l)
+    and sum 1/(c - l)^2. The last terms are added one by one, the others are
+    differences of the asymptotic series of lgamma, digamma and trigamma,
+    written without cancellation: work does not depend on m."""
+    c = m * R0 / D0
+    k = max(m - EFRON_TAIL, 0.0)
+    tail = c - np.arange(k, m)
+    log_sum, p, q = float(np.log(tail * (D0 / m)).sum()), float((1.0 / tail).sum()), float((1.0 / tail ** 2).sum())
+    if k:
+        d = c - k
+        s = lambda z: 1 / (12 * z) - 1 / (360 * z ** 3) + 1 / (1260 * z ** 5)
+        u = lambda z: 1 / (2 * z) - 1 / (12 * z ** 2) + 1 / (120 * z ** 4)
+        w = lambda z: 1 / (6 * z ** 3) - 1 / (30 * z ** 5)
+        log1 = math.log1p(-k / c)
+        log_sum += k * math.log(R0) - (d + 0.5) * log1 - k + s(c) - s(d)
+        p += -log1 + u(c) - u(d)
+        gap = k / (c * d)                                   # 1/d - 1/c
+        q += gap - 0.5 * gap * (1 / c + 1 / d) + w(d) - w(c)
+    return log_sum, p, q
+
+
 def _efron(table, beta, p):
     """Log-likelihood, gradient, Hessian and Breslow increments for one group."""
     rows = sorted(table, key=lambda r: -r["duration"])
@@ -83,13 +105,16 @@ def _efron(table, beta, p):
         if m == 0:
             continue
         Dz = np.array([r[f"Dz_{j}"] for j in range(p)])
-        frac = np.arange(m) / m
-        den = R0 - frac * r["D0"]
-        n1 = R1[None, :] - frac[:, None] * D1[None, :]
-        ll += float(beta @ Dz) - float(np.log(den).sum())
-        grad += Dz - (n1 / den[:, None]).sum(axis=0)
-        n2 = R2[None, :, :] - frac[:, None, None] * D2[None, :, :]
-        hess -= (n2 / den[:, None, None]).sum(axis=0) - np.einsum("li,lj->ij", n1 / den[:, None], n1 / den[:, None])
+        log_sum, P, Q = tie_sums(float(m), R0, r["D0"])
+        g = m / r["D0"]
+        c = g * R0
+        # sums over l of w, w l/m with w = 1 / (R0 - l D0 / m), and of w^2, w^2 l/m, w^2 (l/m)^2
+        w0, w1 = g * P, g * (c * P - m) / m
+        v0, v1, v2 = g * g * Q, g * g * (c * Q - P) / m, g * g * (c * c * Q - 2 * c * P + m) / (m * m)
+        ll += float(beta @ Dz) - log_sum
+        grad += Dz - (R1 * w0 - D1 * w1)
+        cross = np.outer(R1, D1)
+        hess -= (R2 * w0 - D2 * w1) - (np.outer(R1, R1) * v0 - (cross + cross.T) * v1 + np.outer(D1, D1) * v2)
     base.sort()
     return ll, grad, hess, base
 
@@ -97,7 +122,9 @@ def _efron(table, beta, p):
 def fit(customers: DataFrame, features=("avg_spend",), duration: str = "duration", event: str = "event",
         penalizer: float = 0.0, by: str | None = None, min_rows: int = 0, max_iter: int = 50,
         tol: float = 1e-9, positive_duration: bool = False, reliable: bool = True):
-    """Fit pooled (by=None) or per-group Cox models. Groups with fewer than
+    """Fit pooled (by=None) or per-group Cox models. As in the other fitters
+    the penalizer acts on the mean log-likelihood per row: the objective is
+    ll / n - penalizer / 2 * |b|^2 over standardised coefficients. Groups with fewer than
     ``min_rows`` usable rows get no model (F6). Returns ({group: CoxParams},
     {group: metrics})."""
     feats = list(features)
@@ -107,8 +134,8 @@ def fit(customers: DataFrame, features=("avg_spend",), duration: str = "duration
         rows = rows.where(F.col(duration) > 0)
     rows = rows.select(*([F.col(by)] if by else []), F.col(duration).alias("_dur"),
                        F.col(event).alias("_event"), *[F.col(f) for f in feats])
-    from ..session import stable_base
-    rows = stable_base(rows, reliable)
+    from ..session import release, stable_base
+    rows = base = stable_base(rows, reliable)
     gcol = F.col(by) if by else F.lit(POOLED)
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.col("_event").cast("long")).alias("events")]
     for j, f in enumerate(feats):
@@ -125,12 +152,14 @@ def fit(customers: DataFrame, features=("avg_spend",), duration: str = "duration
     if by:
         rows = rows.where(F.col(by).isin(list(stats)))
     p = len(feats)
+    pen = {g: penalizer * info[g]["n_samples"] for g in stats}     # the penalty weighs against the mean log-likelihood
     beta = {g: np.zeros(p) for g in stats}
     state = {}
     tables = _per_duration(rows, feats, stats, beta, by)
     for g in stats:
         state[g] = _efron(tables.get(g, []), beta[g], p)
     done = {g: False for g in stats}
+    reason = {g: "iterations" for g in stats}
     iters = {g: 0 for g in stats}
     for _ in range(max_iter):
         live = [g for g in stats if not done[g]]
@@ -139,8 +168,8 @@ def fit(customers: DataFrame, features=("avg_spend",), duration: str = "duration
         prop = dict(beta)
         for g in live:
             ll, grad, hess, _b = state[g]
-            grad_p = grad - penalizer * beta[g]
-            hess_p = hess - penalizer * np.eye(p)
+            grad_p = grad - pen[g] * beta[g]
+            hess_p = hess - pen[g] * np.eye(p)
             try:
                 step = np.linalg.solve(hess_p, grad_p)
             except np.linalg.LinAlgError:
@@ -152,19 +181,21 @@ def fit(customers: DataFrame, features=("avg_spend",), duration: str = "duration
             new = {g: _efron(tables.get(g, []), prop[g], p) for g in live}
             retry = []
             for g in live:
-                pen_old = state[g][0] - 0.5 * penalizer * float(beta[g] @ beta[g])
-                pen_new = new[g][0] - 0.5 * penalizer * float(prop[g] @ prop[g])
+                pen_old = state[g][0] - 0.5 * pen[g] * float(beta[g] @ beta[g])
+                pen_new = new[g][0] - 0.5 * pen[g] * float(prop[g] @ prop[g])
                 if math.isfinite(pen_new) and pen_new >= pen_old - 1e-12 * max(1.0, abs(pen_old)):
                     delta = float(np.max(np.abs(prop[g] - beta[g])))
                     beta[g], state[g] = prop[g], new[g]
                     iters[g] += 1
-                    if delta < tol or abs(pen_new - pen_old) < 1e-10 * max(1.0, abs(pen_old)):
-                        done[g] = True
+                    if delta < tol:
+                        done[g], reason[g] = True, "step"
+                    elif abs(pen_new - pen_old) < 1e-10 * max(1.0, abs(pen_old)):
+                        done[g], reason[g] = True, "objective"
                 else:
                     retry.append(g)
             if not retry or halvings >= 20:
                 for g in retry:
-                    done[g] = True
+                    done[g], reason[g] = True, "line search"
                 break
             halvings += 1
             for g in retry:
@@ -172,14 +203,15 @@ def fit(customers: DataFrame, features=("avg_spend",), duration: str = "duration
             live = retry
     models, metrics = {}, {}
     for g, (mean, std) in stats.items():
-        ll, grad, hess, base = state[g]
+        ll, grad, hess, hazards = state[g]
         coef = tuple(float(b / s) for b, s in zip(beta[g], std))
         H, acc = [], 0.0
-        for t, h in base:
+        for t, h in hazards:
             acc += h
             H.append((t, acc))
         models[g] = CoxParams(features=tuple(feats), coef=coef, mean=tuple(mean), baseline=tuple(H))
-        metrics[g] = {**info[g], "log_likelihood": ll, "iterations": iters[g], "converged": done[g],
-                      "penalizer": penalizer}
-    rows.unpersist()
+        metrics[g] = {**info[g], "log_likelihood": ll, "iterations": iters[g],
+                      "converged": reason[g] in ("step", "objective"), "reason": reason[g],
+                      "gradient": float(np.max(np.abs(grad - pen[g] * beta[g]))) if p else 0.0, "penalizer": penalizer}
+    release(base)
     return models, metrics

@@ -15,7 +15,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +34,7 @@ def fit(summary: DataFrame, penalizer: float = 0.0, x: str = "frequency", m: str
     """Fit p, q, v. Default: Newton (exact Hessian; every term is a per-x
     sum) from the moment-matched start; with a caller-supplied ``init`` the
     default is BFGS, which is more robust from arbitrary starting points."""
-    from ..session import stable_base
+    from ..session import release, stable_base
     rows = stable_base(fit_rows(summary, x, m), reliable)
     hist = rows.groupBy("x").agg(F.count(F.lit(1)).alias("c"), F.sum(F.log("m")).alias("slm"),
                                  F.sum("m").alias("sm")).collect()
@@ -54,28 +53,18 @@ def fit(summary: DataFrame, penalizer: float = 0.0, x: str = "frequency", m: str
         init = (1.0, 3.0, 2.0 * float(sum(r["sm"] for r in hist)) / n)
 
     def fg_batch(points):
-        vs = [math.exp(pt[2]) for pt in points]
-
-        def partial_sums(batches):
-            # Per Arrow batch and candidate v: sum ln(xm+v) and sum 1/(xm+v) per x.
-            for pdf in batches:
-                xv, mv = pdf["x"].to_numpy(), pdf["m"].to_numpy()
-                parts = []
-                for k, v in enumerate(vs):
-                    d = xv * mv + v
-                    g = pd.DataFrame({"x": xv, "l": np.log(d), "i": 1.0 / d, "j": 1.0 / (d * d)}
-                                     ).groupby("x", as_index=False).sum()
-                    g["k"] = k
-                    parts.append(g)
-                if parts:
-                    yield pd.concat(parts)[["x", "k", "l", "i", "j"]]
-
-        per = (rows.mapInPandas(partial_sums, "x double, k long, l double, i double, j double")
-               .groupBy("x", "k").agg(F.sum("l").alias("l"), F.sum("i").alias("i"), F.sum("j").alias("j"))
-               .collect())
-        Ls = {(r["x"], r["k"]): (r["l"], r["i"], r["j"]) for r in per}
+        vs = [math.exp(pt[2]) if pt[2] < 700 else math.inf for pt in points]
+        sums = []
+        for k, v in enumerate(vs):
+            d = F.col("x") * F.col("m") + F.lit(v)
+            sums += [F.sum(F.log(d)).alias(f"l{k}"), F.sum(1.0 / d).alias(f"i{k}"), F.sum(1.0 / (d * d)).alias(f"j{k}")]
+        per = rows.groupBy("x").agg(*sums).collect()
+        Ls = {(r["x"], k): (r[f"l{k}"], r[f"i{k}"], r[f"j{k}"]) for r in per for k in range(len(vs))}
         out = []
         for k, pt in enumerate(points):
+            if not np.all(np.abs(pt) < 300):
+                out.append((math.inf, np.full(3, math.nan), np.full((3, 3), math.nan)))
+                continue
             p, q, v = (math.exp(t) for t in pt)
             L = np.zeros(len(xs))
             I = np.zeros(len(xs))
@@ -115,11 +104,12 @@ def fit(summary: DataFrame, penalizer: float = 0.0, x: str = "frequency", m: str
     else:
         res = bfgs(lambda pts: [(f, g) for f, g, _ in fg_batch(pts)], x0, max_iter=max_iter)
     p, q, v = (float(math.exp(t)) for t in res.x)
-    rows.unpersist()
+    release(rows)
     # q <= 1 means the spend distribution has no finite mean: predictions
     # from such a fit are not usable (flagged, not hidden).
     metrics = {"n_customers": int(n), "log_likelihood_mean": -res.fun + penalizer * (p * p + q * q + v * v),
                "penalizer_coef": penalizer, "iterations": res.iterations, "converged": res.converged,
+               "gradient": res.gradient, "reason": res.reason,
                "finite_mean": q > 1.0}
     return GammaGammaParams(p=p, q=q, v=v), res, metrics
 

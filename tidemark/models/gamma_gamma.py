@@ -32,3 +32,10 @@ def expected_value(g: GammaGammaParams, x, m) -> Column:
     x, m = _c(x).cast("double"), _c(m).cast("double")
     w = F.lit(g.p) * x / (F.lit(g.p) * x + F.lit(g.q - 1.0))
     return (F.lit(1.0) - w) * F.lit(g.population_mean) + w * m
+
+
+def lifetime_value(expected_purchases, expected_value, time: float = 365.0, discount_rate: float = 0.0):
+    """Expected purchases times expected value over ``time`` days,
+    discounted once at a yearly rate."""
+    clv = expected_purchases * expected_value
+    return clv if discount_rate <= 0 else clv * F.lit(1.0 / (1.0 + discount_rate) ** (time / 365.0))

@@ -1,9 +1,9 @@
 """Driver-side optimiser for models whose objective is a Spark aggregate.
 
 The driver holds only the parameter vector (3-4 numbers) and a quasi-Newton
-matrix; every objective/gradient evaluation is one Spark job. Line-search
-candidates are evaluated as a batch inside that same job, so each BFGS
-iteration costs one pass over the (persisted, pre-grouped) data.
+matrix; every evaluation is one Spark job over the (stored, pre-grouped) data.
+A step tries its full length first and evaluates the shorter ones, as one
+batch in one job, only when that fails.
 """
 
 from __future__ import annotations
@@ -25,48 +25,66 @@ class FitResult:
     evaluations: int
     converged: bool
     history: list = field(default_factory=list)
+    reason: str = ""           # gradient, objective, drifting, line search, not finite or iterations
+    gradient: float = math.nan  # largest component at the end
 
 
-def bfgs(fg_batch: Callable[[Sequence[np.ndarray]], list], x0, max_iter: int = 200,
-         gtol: float = 1e-6, ftol: float = 1e-12, box: float = 30.0) -> FitResult:
-    """Minimise f given ``fg_batch(points) -> [(f, grad), ...]``.
+#: A fit whose next full step would still move a log parameter this far is
+#: not at an optimum, however flat the objective.
+DRIFT = 0.02
+
+
+def _searched(batch, x, f, slope, d, scale):
+    """The full step first; the rest of the ladder, in one job, only when it
+    fails. Returns (point, result) or None, and the evaluations."""
+    used = 0
+    for steps in (STEPS[:1], STEPS[1:]):
+        cands = [x + s * scale * d for s in steps]
+        res = batch(cands)
+        used += len(cands)
+        for s, xc, r in zip(steps, cands, res):
+            if math.isfinite(r[0]) and r[0] <= f + 1e-4 * s * scale * slope:
+                return (xc, r), used
+    return None, used
+
 
-    Backtracking on a fixed ladder of step sizes, all evaluated in one batch;
-    Armijo acceptance; BFGS inverse-Hessian update when curvature is
-    positive, reset to the identity when a direction fails."""
-    x = np.clip(np.asarray(x0, dtype=float), -box, box)
+def _verdict(x, f, g, step, reason, it, n_eval, hist) -> FitResult:
+    """``step``: the full step from the last point."""
+    if reason in ("gradient", "objective") and not np.max(np.abs(step)) < DRIFT:
+        reason = "drifting"
+    return FitResult(x=x, fun=f, iterations=it, evaluations=n_eval, converged=reason in ("gradient", "objective"),
+                     history=hist, reason=reason, gradient=float(np.max(np.abs(g))))
+
+
+def bfgs(fg_batch: Callable[[Sequence[np.ndarray]], list], x0, max_iter: int = 200,
+         gtol: float = 1e-6, ftol: float = 1e-12) -> FitResult:
+    """Minimise f given ``fg_batch(points) -> [(f, grad), ...]``: Armijo
+    acceptance, BFGS inverse-Hessian update when curvature is positive, reset
+    to the identity when a direction fails."""
+    x = np.asarray(x0, dtype=float)
     (f, g), = fg_batch([x])
-    n_eval = 1
-    H = np.eye(len(x))
-    hist = [f]
-    converged = False
-    it = 0
+    n_eval, H, hist, it, reason = 1, np.eye(len(x)), [f], 0, "iterations"
     for it in range(1, max_iter + 1):
         if not np.all(np.isfinite(g)):
+            reason = "not finite"
             break
         if np.max(np.abs(g)) < gtol:
-            converged = True
+            reason = "gradient"
             break
         d = -H @ g
         if g @ d >= 0:
             H = np.eye(len(x))
             d = -g
         scale = min(1.0, 5.0 / max(1e-12, np.max(np.abs(d))))  # at most 5 log-units per step
-        cands = [np.clip(x + s * scale * d, -box, box) for s in STEPS]
-        res = fg_batch(cands)
-        n_eval += len(cands)
-        pick = None
-        for s, xc, (fc, gc) in zip(STEPS, cands, res):
-            if math.isfinite(fc) and fc <= f + 1e-4 * s * scale * (g @ d):
-                pick = (xc, fc, gc)
-                break
+        pick, used = _searched(fg_batch, x, f, g @ d, d, scale)
+        n_eval += used
         if pick is None:
             if np.allclose(H, np.eye(len(x))):
-                converged = True  # no descent possible along the gradient
+                reason = "line search"
                 break
             H = np.eye(len(x))
             continue
-        xn, fn, gn = pick
+        xn, (fn, gn) = pick
         s_vec, y_vec = xn - x, gn - g
         sy = s_vec @ y_vec
         if sy > 1e-12:
@@ -78,9 +96,9 @@ def bfgs(fg_batch: Callable[[Sequence[np.ndarray]], list], x0, max_iter: int = 2
         x, f, g = xn, fn, gn
         hist.append(f)
         if rel < ftol:
-            converged = True
+            reason = "objective"
             break
-    return FitResult(x=x, fun=f, iterations=it, evaluations=n_eval, converged=converged, history=hist)
+    return _verdict(x, f, g, H @ g, reason, it, n_eval, hist)
 
 
 def digamma(x: float) -> float:
@@ -105,53 +123,51 @@ def trigamma(x: float) -> float:
 
 
 def newton(fgh_batch: Callable[[Sequence[np.ndarray]], list], x0, max_iter: int = 100,
-           gtol: float = 1e-6, ftol: float = 1e-12, box: float = 30.0) -> FitResult:
-    """Newton's method with the same batched step ladder as ``bfgs``:
-    ``fgh_batch(points) -> [(f, grad, hessian), ...]``. Uses the Newton
-    direction when the Hessian is positive definite; when that direction
-    finds no acceptable step, the gradient direction is tried before
+           gtol: float = 1e-6, ftol: float = 1e-12) -> FitResult:
+    """Newton's method: ``fgh_batch(points) -> [(f, grad, hessian), ...]``.
+    Uses the Newton direction when the Hessian is positive definite; when that
+    direction finds no acceptable step, the gradient direction is tried before
     stopping."""
-    x = np.clip(np.asarray(x0, dtype=float), -box, box)
+    x = np.asarray(x0, dtype=float)
     (f, g, H), = fgh_batch([x])
-    n_eval, hist, converged, it = 1, [f], False, 0
+    n_eval, hist, it, reason = 1, [f], 0, "iterations"
     use_newton = True
+
+    def direction():
+        if np.all(np.isfinite(H)):
+            try:
+                np.linalg.cholesky(H)
+                return -np.linalg.solve(H, g)
+            except np.linalg.LinAlgError:
+                pass
+        return None
     for it in range(1, max_iter + 1):
         if not np.all(np.isfinite(g)):
+            reason = "not finite"
             break
         if np.max(np.abs(g)) < gtol:
-            converged = True
+            reason = "gradient"
             break
-        d = None
-        if use_newton and np.all(np.isfinite(H)):
-            try:
-                np.linalg.cholesky(H)
-                d = -np.linalg.solve(H, g)
-            except np.linalg.LinAlgError:
-                d = None
+        d = direction() if use_newton else None
         newton_step = d is not None and g @ d < 0
         if not newton_step:
             d = -g
         scale = min(1.0, 5.0 / max(1e-12, np.max(np.abs(d))))
-        cands = [np.clip(x + s * scale * d, -box, box) for s in STEPS]
-        res = fgh_batch(cands)
-        n_eval += len(cands)
-        pick = None
-        for s, xc, (fc, gc, Hc) in zip(STEPS, cands, res):
-            if math.isfinite(fc) and fc <= f + 1e-4 * s * scale * (g @ d):
-                pick = (xc, fc, gc, Hc)
-                break
+        pick, used = _searched(fgh_batch, x, f, g @ d, d, scale)
+        n_eval += used
         if pick is None:
             if newton_step:
                 use_newton = False      # retry along the gradient
                 continue
-            converged = True
+            reason = "line search"
             break
         use_newton = True
-        xn, fn, gn, Hn = pick
+        xn, (fn, gn, Hn) = pick
         rel = abs(f - fn) / max(1.0, abs(f))
         x, f, g, H = xn, fn, gn, Hn
         hist.append(f)
         if rel < ftol:
-            converged = True
+            reason = "objective"
             break
-    return FitResult(x=x, fun=f, iterations=it, evaluations=n_eval, converged=converged, history=hist)
+    last = direction()
+    return _verdict(x, f, g, np.full(len(x), math.inf) if last is None else last, reason, it, n_eval, hist)

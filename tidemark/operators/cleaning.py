@@ -9,20 +9,26 @@ from .. import config as C
 from ..functions import channel_dummies, channel_group, ts_literal
 
 
-def clean_strict(txn: DataFrame, snapshot, inclusive: bool = False) -> DataFrame:
-    """visits strictly before the snapshot with positive revenue (null
-    revenue/date drop out, as NaN does). Null ids are dropped at ingest (T19)."""
+def is_clean(snapshot, inclusive: bool = False):
+    """F1 as a condition: a visit before the snapshot with positive revenue
+    (null and NaN revenue and null dates drop out). Null ids are dropped at
+    ingest (T19)."""
     ts = F.col("arrival_ts")
     snap = ts_literal(snapshot)
-    return txn.where((ts <= snap if inclusive else ts < snap) & (F.col("revenue") > 0)
-                     & F.col("customer_id").isNotNull())
+    return ((ts <= snap if inclusive else ts < snap) & (F.col("revenue") > 0) & ~F.isnan("revenue")
+            & F.col("customer_id").isNotNull())
+
+
+def clean_strict(txn: DataFrame, snapshot, inclusive: bool = False) -> DataFrame:
+    """the visits that ``is_clean`` keeps."""
+    return txn.where(is_clean(snapshot, inclusive))
 
 
 def clean_lenient(txn: DataFrame, snapshot) -> DataFrame:
     """date present, on or before the snapshot, revenue > 0 after the
-    null -> 0 coercion."""
+    null -> 0 coercion (NaN counts as null)."""
     return txn.where(F.col("arrival_ts").isNotNull() & (F.col("arrival_ts") <= ts_literal(snapshot))
-                     & (F.coalesce(F.col("revenue"), F.lit(0.0)) > 0)
+                     & (F.coalesce(F.col("revenue"), F.lit(0.0)) > 0) & ~F.isnan("revenue")
                      & F.col("customer_id").isNotNull())
 
 

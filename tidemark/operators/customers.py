@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import DUMMY_COLUMNS, day_diff, floor_days, money, ts_literal
+from .quantiles import global_row_number
 
 
 
@@ -135,20 +136,14 @@ def first_row(txn: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def visit_numbers(txn: DataFrame) -> DataFrame:
-    """Running visit number per customer in (time, txn id) order.
-
-    Skew-safe form of row_number over the customer: the offset of each
-    customer-day comes from a cumulative count over the (pre-aggregated)
-    customer-day table, whose size per customer is bounded by the number of
-    distinct days; rows are then numbered inside their customer-day only."""
-    t = txn.withColumn("_day", F.to_date("arrival_ts"))
-    per_day = t.groupBy("customer_id", "_day").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy("customer_id").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    offs = per_day.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    inner = F.row_number().over(Window.partitionBy("customer_id", "_day").orderBy("arrival_ts", "txn_id"))
-    return (t.withColumn("_k", inner).join(offs, ["customer_id", "_day"], "inner")
-            .withColumn("visit_number", (F.col("_off") + F.col("_k")).cast("long"))
-            .drop("_day", "_k", "_off"))
+    """Running visit number per customer in (time, txn id) order: the
+    row's position in the whole order minus the customer's first position.
+    Positions come from range partitions, so a customer with a third of all
+    visits, or with all of them on one day, is spread like any other rows."""
+    n = global_row_number(txn, ["customer_id", "arrival_ts", "txn_id"], out="_rn")
+    first = n.groupBy(F.col("customer_id").alias("_id")).agg(F.min("_rn").alias("_first"))
+    return (n.join(first, F.col("customer_id").eqNullSafe(F.col("_id")))
+            .withColumn("visit_number", F.col("_rn") - F.col("_first") + 1).drop("_id", "_rn", "_first"))
 
 
 def elapsed(txn: DataFrame, snapshot) -> DataFrame:

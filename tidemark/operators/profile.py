@@ -43,14 +43,18 @@ def spend_by_visit(numbered_repeaters: DataFrame) -> DataFrame:
         (F.sum(money("revenue")).cast("double") / F.count(F.lit(1))).alias("avg_spend"))
 
 
-def profile(raw: DataFrame, clean: DataFrame) -> DataFrame:
+def profile(raw: DataFrame, is_clean) -> DataFrame:
     """Ids, distinct ids, date range of the raw rows and distinct
-    customers after cleaning - one global aggregate each, joined as 1x1."""
-    a = raw.agg(F.count("customer_id").alias("total_ids"),
-                F.countDistinct("customer_id").alias("distinct_ids"),
-                F.min("arrival_ts").alias("min_date"), F.max("arrival_ts").alias("max_date"))
-    b = clean.agg(F.countDistinct("customer_id").alias("distinct_customers_clean"))
-    return a.join(b, how="inner")
+    customers among those that are clean (a condition), in one scan."""
+    per = raw.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("arrival_ts").alias("lo"), F.max("arrival_ts").alias("hi"),
+        F.max(F.coalesce(is_clean, F.lit(False)).cast("int")).alias("clean"))
+    known = F.col("customer_id").isNotNull()
+    return per.agg(
+        F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).cast("long").alias("total_ids"),
+        F.count(F.col("customer_id")).alias("distinct_ids"),
+        F.min("lo").alias("min_date"), F.max("hi").alias("max_date"),
+        F.count(F.when(known & (F.col("clean") == 1), 1)).alias("distinct_customers_clean"))
 
 
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:

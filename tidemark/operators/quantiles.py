@@ -1,139 +1,110 @@
-"""Exact order statistics, quantile edges and global ranks without pulling
-all rows into one task.
-
-Plain ``percentile`` keeps every distinct value of a group in one buffer and
-``row_number().over(Window.orderBy(...))`` moves all rows to one partition.
-Both are fine below a size bound and wrong at scale, so above
-``cell_rows`` rows the value range is cut into cells whose bounds come from a
-bounded sample; each row gets its cell by a balanced CASE tree (O(log B) per
-row, no join), cell counts give prefix offsets, and only the few cells that
-hold a wanted position are ordered. Results are exact for any cell bounds;
-the sample only balances cell sizes.
+"""Exact order statistics, quantile edges and global positions without
+pulling all rows into one task.
+
+One path for every size: equal values collapse to one counted row (a tied
+value is one row however often it occurs), the counted rows are range
+partitioned, and the partitions' totals (one number per partition) tell which
+partitions hold the wanted positions and with which offset. Only those
+partitions are ordered, and only the wanted rows reach the driver.
 """
 
 from __future__ import annotations
 
-import math
-from typing import Any, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows a single window partition may hold before we split into cells.
-CELL_ROWS = 2_000_000
-# Samples drawn per cell when estimating cell bounds.
-SAMPLES_PER_CELL = 16
-# Upper bound on cells (keeps the CASE tree shallow: depth <= 12).
-MAX_CELLS = 4096
-
-
-def range_cell(value: Column, bounds: Sequence[Any]) -> Column:
-    """Index of the cell holding ``value``: the number of bounds < value.
-
-    ``bounds`` must be sorted ascending. Built as a balanced binary CASE
-    tree so each row does ~log2(len(bounds)) comparisons."""
-
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(value <= F.lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
 
-    return build(0, len(bounds))
-
-
-def _n_cells(n: int, cell_rows: int) -> int:
-    return max(1, min(MAX_CELLS, math.ceil(n / cell_rows)))
+def order_statistics(df: DataFrame, keys: Mapping[str, Sequence[str]],
+                     wanted: Mapping[str, Callable[[int], Sequence[int]]]) -> tuple[dict[str, int], dict[str, dict[int, Any]]]:
+    """Row counts and the values at 0-based positions of several orders at
+    once. ``keys``: name -> (value column,) or (value column, tie column);
+    rows with a null value are left out. ``wanted``: name -> positions for n
+    rows. Values come back as doubles, with a tie column as (double, tie)."""
+    ties = {c[1] for c in keys.values() if len(c) > 1}
+    kind = df.select(*ties).schema[0].dataType.simpleString() if ties else "string"
+    rows = F.explode(F.array(*[F.struct(
+        F.lit(k).alias("k"), F.col(c[0]).cast("double").alias("a"),
+        (F.col(c[1]) if len(c) > 1 else F.lit(None)).cast(kind).alias("b")) for k, c in keys.items()]))
+    counts = (df.select(rows.alias("r")).select("r.*").where(F.col("a").isNotNull())
+              .groupBy("k", "a", "b").agg(F.count(F.lit(1)).alias("cnt")))
+    ranged = (counts.repartitionByRange("k", "a", "b").withColumn("part", F.spark_partition_id())
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    totals = {k: {} for k in keys}
+    for r in ranged.groupBy("k", "part").agg(F.sum("cnt").alias("n")).collect():
+        totals[r["k"]][r["part"]] = int(r["n"])
+    n = {k: sum(t.values()) for k, t in totals.items()}
+    need: dict[tuple[str, int], dict[int, int]] = {}
+    for k, t in totals.items():
+        todo = sorted({p for p in wanted[k](n[k]) if 0 <= p < n[k]})
+        before = 0
+        for part in sorted(t):
+            inside = {p - before: p for p in todo if before <= p < before + t[part]}
+            if inside:
+                need[k, part] = inside
+            before += t[part]
+    out: dict[str, dict[int, Any]] = {k: {} for k in keys}
+    if need:
+        hit = None
+        for (k, part), inside in need.items():
+            spots = None
+            for p in inside:
+                s = (F.col("hi") > p) & (F.col("hi") - F.col("cnt") <= p)
+                spots = s if spots is None else spots | s
+            term = (F.col("k") == k) & (F.col("part") == part) & spots
+            hit = term if hit is None else hit | term
+        parts = F.struct("k", "part").isin([F.struct(F.lit(k), F.lit(p)) for k, p in need])
+        w = Window.partitionBy("k", "part").orderBy("a", "b")
+        for r in ranged.where(parts).withColumn("hi", F.sum("cnt").over(w)).where(hit).collect():
+            for local, p in need[r["k"], r["part"]].items():
+                if r["hi"] - r["cnt"] <= local < r["hi"]:
+                    out[r["k"]][p] = (r["a"], r["b"]) if len(keys[r["k"]]) > 1 else r["a"]
+    ranged.unpersist()
+    return n, out
+
+
+def edge_positions(n: int, q: int) -> list[int]:
+    """Positions around the interior edges i/q: i * (n - 1) div q, and the
+    next one where the remainder is not 0."""
+    out = set()
+    for i in range(1, q):
+        lo, rem = divmod(i * (n - 1), q)
+        out |= {lo, lo + 1} if rem else {lo}
+    return sorted(out) if n else []
 
 
-def sample_bounds(df: DataFrame, col: str, n: int, cells: int, seed: int = 7) -> list:
-    """Sorted distinct cell bounds from a bounded random sample of ``col``."""
-    if cells <= 1:
-        return []
-    want = cells * SAMPLES_PER_CELL
-    frac = min(1.0, 2.0 * want / max(n, 1))
-    rows = (df.select(F.col(col).alias("v")).where(F.col("v").isNotNull())
-            .sample(False, frac, seed).limit(4 * want).collect())
-    vals = sorted(r["v"] for r in rows)
-    if not vals:
-        return []
-    step = len(vals) / cells
-    picked = [vals[min(len(vals) - 1, int(step * i))] for i in range(1, cells)]
+def edges_at(stats: Mapping[int, float], n: int, q: int) -> list[float]:
+    """Interior edges by linear interpolation between order statistics; an
+    edge that falls on a data value equals it exactly."""
     out = []
-    for v in picked:
-        if not out or v > out[-1]:
-            out.append(v)
+    for i in range(1, q) if n else ():
+        lo, rem = divmod(i * (n - 1), q)
+        out.append(stats[lo] if rem == 0 else stats[lo] + (stats[lo + 1] - stats[lo]) * (rem / q))
     return out
 
 
-def order_statistics(df: DataFrame, col: str, positions: Sequence[int], n: int | None = None,
-                     cell_rows: int = CELL_ROWS) -> dict[int, Any]:
-    """Values at the given 0-based positions of ``col`` sorted ascending
-    (nulls excluded). Returns {position: value}."""
-    base = df.select(F.col(col).alias("v")).where(F.col("v").isNotNull())
-    if n is None:
-        n = base.count()
-    wanted = sorted({p for p in positions if 0 <= p < n})
-    if not wanted:
-        return {}
-    cells = _n_cells(n, cell_rows)
-    if cells == 1:
-        ranked = base.withColumn("pos", F.row_number().over(Window.orderBy("v")) - 1)
-        rows = ranked.where(F.col("pos").isin(wanted)).collect()
-        return {r["pos"]: r["v"] for r in rows}
+def quantile_edges(df: DataFrame, col: str, q: int) -> list[float]:
+    """Interior edges i/q (i = 1..q-1) of a column, nulls left out."""
+    n, stats = order_statistics(df, {"v": (col,)}, {"v": lambda n: edge_positions(n, q)})
+    return edges_at(stats["v"], n["v"], q)
 
-    bounds = sample_bounds(base, "v", n, cells)
-    celled = base.withColumn("cell", range_cell(F.col("v"), bounds))
-    counts = dict(celled.groupBy("cell").count().collect())
-    offsets, acc = {}, 0
-    for c in sorted(counts):
-        offsets[c] = acc
-        acc += counts[c]
-    # Locate each wanted position: (cell, local 0-based index).
-    need: dict[int, list[tuple[int, int]]] = {}
-    for p in wanted:
-        for c in sorted(counts):
-            if offsets[c] <= p < offsets[c] + counts[c]:
-                need.setdefault(c, []).append((p, p - offsets[c]))
-                break
-    cond = None
-    for c, items in need.items():
-        term = (F.col("cell") == c) & F.col("local").isin([i for _, i in items])
-        cond = term if cond is None else (cond | term)
-    local = (celled.where(F.col("cell").isin(list(need)))
-             .withColumn("local", F.row_number().over(Window.partitionBy("cell").orderBy("v")) - 1))
-    rows = local.where(cond).collect()
-    out = {}
-    for r in rows:
-        out[offsets[r["cell"]] + r["local"]] = r["v"]
-    return out
 
+def rank_positions(n: int, q: int) -> list[int]:
+    """0-based positions whose rows end the quantile buckets of a rank."""
+    return [i * (n - 1) // q for i in range(1, q)] if n else []
 
-def quantile_edges(df: DataFrame, col: str, q: int, n: int | None = None,
-                   cell_rows: int = CELL_ROWS) -> list[float]:
-    """Interior edges i/q (i=1..q-1) with linear interpolation between order
-    statistics, positions in exact integer arithmetic (i*(n-1) div/mod q) so
-    an edge that falls on a data value equals it exactly."""
-    if n is None:
-        n = df.where(F.col(col).isNotNull()).count()
-    if n == 0:
-        return []
-    spots = [divmod(i * (n - 1), q) for i in range(1, q)]
-    positions = set()
-    for lo, rem in spots:
-        positions.add(lo)
-        if rem:
-            positions.add(lo + 1)
-    stats = order_statistics(df, col, sorted(positions), n=n, cell_rows=cell_rows)
-    edges = []
-    for lo, rem in spots:
-        x_lo = float(stats[lo])
-        if rem == 0:
-            edges.append(x_lo)
-        else:
-            x_hi = float(stats[lo + 1])
-            edges.append(x_lo + (x_hi - x_lo) * (rem / q))
-    return edges
+
+def bucket_by_boundaries(value: str, tie: str, bounds: Sequence[tuple[float, Any]]) -> Column:
+    """Quantile bucket of a row's position in (value, tie) order: 1 + the
+    boundary rows that it comes after (a null tie comes first)."""
+    out = F.lit(1)
+    for a, b in bounds:
+        after = F.col(tie).isNotNull() if b is None else F.coalesce(F.col(tie) > F.lit(b), F.lit(False))
+        out = out + F.when((F.col(value) > F.lit(a)) | ((F.col(value) == F.lit(a)) & after), 1).otherwise(0)
+    return out
 
 
 def bucket_by_edges(value: "str | Column", edges: Sequence[float]) -> Column:
@@ -146,150 +117,21 @@ def bucket_by_edges(value: "str | Column", edges: Sequence[float]) -> Column:
     return out
 
 
-def global_row_number(df: DataFrame, coarse: str, fine: str, out: str = "rn",
-                      n: int | None = None, cell_rows: int = CELL_ROWS,
-                      partition: Sequence[str] = ()) -> DataFrame:
-    """1-based position of each row in (coarse, fine) order over the whole
-    frame (or inside each ``partition`` group); ``coarse`` has few distinct
-    values, ``fine`` is unique per row.
-
-    Small input: one ordered window (bounded by ``cell_rows``). Large input:
-    cells = (coarse, range cell of fine); per-cell counts -> prefix offsets
-    (a table of at most distinct(coarse) x cells rows per group) ->
-    row_number inside each cell + offset. Exact; a hot coarse value (e.g.
-    every one-timer has frequency 1) is spread over many cells."""
-    part = list(partition)
-    if n is None:
-        n = max_group_size(df, part) if part else df.count()
-    cells = _n_cells(n, cell_rows)
-    if cells == 1:
-        return ranked(df, [coarse, fine], part, out=out)
-    bounds = sample_bounds(df, fine, n, cells)
-    return ranked(df, [coarse, fine], part, cells=[F.col(coarse), range_cell(F.col(fine), bounds)],
-                  out=out)
-
-
-def ranked(df: DataFrame, order: Sequence[str], partition: Sequence[str] = (),
-           cells: Sequence[Column] | None = None, out: str = "rn",
-           count_out: str | None = None) -> DataFrame:
-    """1-based position in ``order`` inside each ``partition`` group.
-
-    ``cells``: optional key expressions whose lexicographic order is
-    consistent with ``order`` (e.g. [exact coarse value, range cell of the
-    fine key] or [range cell of the first key]). With cells, rows are
-    numbered inside (group, cell) and shifted by the cell's prefix count, so
-    no task holds more than one cell even if one group is huge.
-    ``count_out`` also attaches the group size."""
-    part = list(partition)
-    if not cells:
-        w = Window.partitionBy(*part).orderBy(*order) if part else Window.orderBy(*order)
-        r = df.withColumn(out, F.row_number().over(w).cast("long"))
-        if count_out:
-            wc = Window.partitionBy(*part) if part else Window.partitionBy()
-            r = r.withColumn(count_out, F.count(F.lit(1)).over(wc))
-        return r
-    celled = df.withColumn("_c", F.struct(*cells))
-    counts = celled.groupBy(*part, "_c").agg(F.count(F.lit(1)).alias("_cnt"))
-    wo = (Window.partitionBy(*part) if part else Window.partitionBy()).orderBy("_c")
-    offs = counts.withColumn("_off", F.coalesce(
-        F.sum("_cnt").over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    if count_out:
-        wn = Window.partitionBy(*part) if part else Window.partitionBy()
-        offs = offs.withColumn(count_out, F.sum("_cnt").over(wn))
-    offs = offs.drop("_cnt")
-    local = celled.withColumn("_local", F.row_number().over(Window.partitionBy(*part, "_c").orderBy(*order)))
-    return (local.join(offs, [*part, "_c"], "inner")
-            .withColumn(out, (F.col("_off") + F.col("_local")).cast("long"))
-            .drop("_c", "_local", "_off"))
-
-
-def max_group_size(df: DataFrame, partition: Sequence[str]) -> int:
-    r = df.groupBy(*partition).count().agg(F.max("count")).collect()[0][0]
-    return int(r or 0)
-
-
-def grouped_quantile_edges(df: DataFrame, partition: Sequence[str], value: str, tie: str, q: int,
-                           prefix: str, cell_rows: int = CELL_ROWS, n_max: int | None = None) -> DataFrame:
-    """Per-group interior quantile edges (same integer-position rule as
-    ``quantile_edges``) as columns ``{prefix}1..{prefix}{q-1}`` of a
-    one-row-per-group table. Groups larger than ``cell_rows`` are split into
-    value-range cells from a bounded sample."""
-    part = list(partition)
-    base = df.select(*part, value, tie).where(F.col(value).isNotNull())
-    cells = None
-    if (max_group_size(base, part) if n_max is None else n_max) > cell_rows:
-        n = base.count()
-        bounds = sample_bounds(base, value, n, _n_cells(n, cell_rows))
-        cells = [range_cell(F.col(value), bounds)]
-    r = ranked(base, [value, tie], part, cells=cells, out="_rn", count_out="_n")
-    aggs = []
-    for i in range(1, q):
-        lo = (F.lit(i) * (F.col("_n") - 1)).cast("long")
-        lo_pos = F.floor(lo / q).cast("long")
-        aggs += [F.max(F.when(F.col("_rn") - 1 == lo_pos, F.col(value).cast("double"))).alias(f"_lo{i}"),
-                 F.max(F.when(F.col("_rn") - 1 == lo_pos + 1, F.col(value).cast("double"))).alias(f"_hi{i}"),
-                 F.max(F.pmod(lo, F.lit(q))).alias(f"_rem{i}")]
-    e = r.groupBy(*part).agg(*aggs)
-    cols = []
-    for i in range(1, q):
-        lo_v, hi_v, rem = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_rem{i}")
-        cols.append(F.when(rem == 0, lo_v).otherwise(lo_v + (hi_v - lo_v) * (rem.cast("double") / q))
-                    .alias(f"{prefix}{i}"))
-    return e.select(*part, *cols)
-
-
-def bucket_by_edge_columns(value: "str | Column", edge_cols: Sequence[str]) -> Column:
+def bucket_by_edge_columns(value: str, edge_cols: Sequence[str]) -> Column:
     """1 + number of edge columns strictly below the value."""
-    if isinstance(value, str):
-        terms = " + ".join(f"CASE WHEN `{value}` > `{e}` THEN 1 ELSE 0 END" for e in edge_cols)
-        return F.expr(f"1 + {terms}") if edge_cols else F.lit(1)
-    out = F.lit(1)
-    for e in edge_cols:
-        out = out + F.when(value > F.col(e), 1).otherwise(0)
-    return out
-
-
-def _positions(n: int, q: int) -> tuple[list[tuple[int, int]], list[int]]:
-    spots = [divmod(i * (n - 1), q) for i in range(1, q)]
-    pos = set()
-    for lo, rem in spots:
-        pos.add(lo)
-        if rem:
-            pos.add(lo + 1)
-    return spots, sorted(pos)
-
-
-def _edges_from(spots, stats, q):
-    out = []
-    for lo, rem in spots:
-        x_lo = float(stats[lo])
-        out.append(x_lo if rem == 0 else x_lo + (float(stats[lo + 1]) - x_lo) * (rem / q))
-    return out
-
-
-def multi_quantile_edges(df: DataFrame, cols: Sequence[str], q: int, n: int,
-                         cell_rows: int = CELL_ROWS) -> dict[str, list[float]]:
-    """``quantile_edges`` for several non-null columns of the same ``n``
-    rows. Below ``cell_rows`` all columns share ONE job (one ordered window
-    per column over a bounded single partition); above it each column takes
-    the cell path."""
-    if n == 0:
-        return {c: [] for c in cols}
-    spots, pos = _positions(n, q)
-    if _n_cells(n, cell_rows) > 1:
-        return {c: _edges_from(spots, order_statistics(df, c, pos, n=n, cell_rows=cell_rows), q)
-                for c in cols}
-    sel = [F.col(c) for c in cols]
-    for i, c in enumerate(cols):
-        sel.append((F.row_number().over(Window.orderBy(c)) - 1).alias(f"_p{i}"))
-    ranked_df = df.select(*sel)
-    cond = None
-    for i in range(len(cols)):
-        t = F.col(f"_p{i}").isin(pos)
-        cond = t if cond is None else (cond | t)
-    rows = ranked_df.where(cond).collect()
-    out = {}
-    for i, c in enumerate(cols):
-        stats = {r[f"_p{i}"]: r[c] for r in rows if r[f"_p{i}"] in pos}
-        out[c] = _edges_from(spots, stats, q)
-    return out
+    terms = " + ".join(f"CASE WHEN `{value}` > `{e}` THEN 1 ELSE 0 END" for e in edge_cols)
+    return F.expr(f"1 + {terms}") if edge_cols else F.lit(1)
+
+
+def global_row_number(df: DataFrame, order: Sequence[str], out: str = "rn") -> DataFrame:
+    """1-based position of every row in ``order``: rows are range partitioned,
+    numbered inside their partition and shifted by the counts of the
+    partitions before it. The frame stays cached for the reader."""
+    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = {r["_part"]: r["count"] for r in ranged.groupBy("_part").count().collect()}
+    pairs, before = [F.lit(-1), F.lit(0).cast("long")], 0
+    for part in sorted(counts):
+        pairs += [F.lit(part), F.lit(before).cast("long")]
+        before += counts[part]
+    local = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return ranged.withColumn(out, F.element_at(F.create_map(*pairs), F.col("_part")) + local).drop("_part")

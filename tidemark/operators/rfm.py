@@ -3,9 +3,9 @@
 Quintile semantics: interpolated quantile edges, right-closed bins with the
 lowest value included (bucket = 1 + number of interior edges below the
 value). Frequency is ranked first (position in (frequency, customer_id)
-order) and the rank is bucketed with exact integer arithmetic. Edges are
-computed once on the driver from a handful of order statistics and enter
-the plan as literals.
+order): its buckets end at four boundary rows, compared as literals, so no
+rank is materialised. Edges and boundaries come from one pass of exact order
+statistics and enter the plan as literals.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import rfm_code, segment_name
-from .quantiles import (CELL_ROWS, bucket_by_edges, global_row_number, multi_quantile_edges,
-                        quantile_edges)
+from .quantiles import (bucket_by_boundaries, bucket_by_edges, edge_positions, edges_at, order_statistics,
+                        quantile_edges, rank_positions)
 
 
 class TiedEdgesError(ValueError):
@@ -29,40 +29,29 @@ def _check(edges, strict: bool, what: str):
         raise TiedEdgesError(f"{what}: tied bin edges {edges}")
 
 
-def rank_bucket(rn: "str | F.Column", n: int, q: int) -> F.Column:
-    """Quantile bucket of a 1-based rank among n (ranks are distinct):
-    1 + #{i in 1..q-1 : q*(rn-1) > i*(n-1)}; n = 1 gives 1."""
-    r = F.col(rn) if isinstance(rn, str) else rn
-    out = F.lit(1)
-    for i in range(1, q):
-        out = out + F.when(F.lit(q) * (r - 1) > F.lit(i * (n - 1)), 1).otherwise(0)
-    return out
-
-
-def rfm_scores(rfm: DataFrame, strict: bool = False, cell_rows: int = CELL_ROWS,
-               persist: bool = True) -> DataFrame:
+def rfm_scores(rfm: DataFrame, strict: bool = False, persist: bool = True) -> DataFrame:
     """R (reversed quintile of recency), F (quintile of first-rank of
     frequency), M (quintile of monetary), code, total and segment name."""
     base = rfm.persist(StorageLevel.MEMORY_AND_DISK) if persist else rfm
-    n = base.count()
-    if n == 0:
+    counts, stats = order_statistics(
+        base, {"r": ("recency",), "m": ("monetary",), "f": ("frequency", "customer_id")},
+        {"r": lambda n: edge_positions(n, 5), "m": lambda n: edge_positions(n, 5), "f": lambda n: rank_positions(n, 5)})
+    if counts["f"] == 0:
         return (base.withColumn("r_score", F.lit(None).cast("long"))
                 .withColumn("f_score", F.lit(None).cast("long"))
                 .withColumn("m_score", F.lit(None).cast("long"))
                 .withColumn("rfm_segment", F.lit(None).cast("string"))
                 .withColumn("rfm_score", F.lit(None).cast("long"))
                 .withColumn("segment", F.lit(None).cast("string")))
-    edges = multi_quantile_edges(base, ["recency", "monetary"], 5, n=n, cell_rows=cell_rows)
-    r_edges, m_edges = edges["recency"], edges["monetary"]
+    r_edges, m_edges = edges_at(stats["r"], counts["r"], 5), edges_at(stats["m"], counts["m"], 5)
     _check(r_edges, strict, "recency")
     _check(m_edges, strict, "monetary")
-    ranked = global_row_number(base, "frequency", "customer_id", out="_rn", n=n,
-                               cell_rows=cell_rows)
-    scored = ranked.select(
+    bounds = [stats["f"][p] for p in rank_positions(counts["f"], 5)]
+    scored = base.select(
         *[c for c in rfm.columns],
-        (F.lit(6) - bucket_by_edges("recency", r_edges)).cast("long").alias("r_score"),
-        rank_bucket("_rn", n, 5).cast("long").alias("f_score"),
-        bucket_by_edges("monetary", m_edges).cast("long").alias("m_score"),
+        F.when(F.col("recency").isNotNull(), F.lit(6) - bucket_by_edges("recency", r_edges)).cast("long").alias("r_score"),
+        bucket_by_boundaries("frequency", "customer_id", bounds).cast("long").alias("f_score"),
+        F.when(F.col("monetary").isNotNull(), bucket_by_edges("monetary", m_edges)).cast("long").alias("m_score"),
     )
     return scored.select(
         "*",
@@ -72,14 +61,13 @@ def rfm_scores(rfm: DataFrame, strict: bool = False, cell_rows: int = CELL_ROWS,
 
 
 def quantile_level(df: DataFrame, col: str, labels=C.CLV_LEVELS, out: str = "clv_level",
-                   strict: bool = False, cell_rows: int = CELL_ROWS) -> DataFrame:
+                   strict: bool = False) -> DataFrame:
     """Label rows by quantile bucket of ``col`` (quartiles by default);
     rows with a null value get a null label."""
     q = len(labels)
-    n = df.where(F.col(col).isNotNull()).count()
-    if n == 0:
+    edges = quantile_edges(df, col, q)
+    if not edges:
         return df.withColumn(out, F.lit(None).cast("string"))
-    edges = quantile_edges(df, col, q, n=n, cell_rows=cell_rows)
     _check(edges, strict, col)
     b = bucket_by_edges(col, edges)
     expr = F.when(F.col(col).isNull(), F.lit(None).cast("string"))

@@ -19,7 +19,6 @@ from ..models import bgnbd as BG
 from ..models import cox as CX
 from ..models import gamma_gamma as GG
 from ..operators.customers import customer_features
-from ..operators.quantiles import CELL_ROWS
 from ..operators.rfm import quantile_level, rfm_scores
 from .models import ModelBundle
 
@@ -68,12 +67,12 @@ def repeater_terms(models: ModelBundle, xdays: int, x="days_frequency", t_x="t_x
 
 
 def clv_table(clean: DataFrame, snapshot, models: ModelBundle, xdays: int = C.DEFAULT_XDAYS,
-              per_channel: bool = False, cell_rows: int = CELL_ROWS) -> DataFrame:
+              per_channel: bool = False) -> DataFrame:
     """U1 + J3 + J4: one row per customer with group, latest channel, RFM
     score/segment and CLV (one-timers without a channel model drop out in
     the per-channel variant, as in the exploratory analysis)."""
     feats = customer_features(clean, snapshot).persist(StorageLevel.MEMORY_AND_DISK)
-    scored = rfm_scores(feats, persist=False, cell_rows=cell_rows)
+    scored = rfm_scores(feats, persist=False)
     p_ret = onetimer_return_probability(models, xdays, per_channel)
     en, ev, _ = repeater_terms(models, xdays)
     one = F.col("visit_count") == 1
@@ -93,11 +92,11 @@ def clv_table(clean: DataFrame, snapshot, models: ModelBundle, xdays: int = C.DE
 
 
 def rfm_vs_clv(clean: DataFrame, snapshot, models: ModelBundle, xdays: int = C.DEFAULT_XDAYS,
-               per_channel: bool = False, cell_rows: int = CELL_ROWS) -> DataFrame:
+               per_channel: bool = False) -> DataFrame:
     """CLV table + quartile level (W6) + mismatch."""
-    t = clv_table(clean, snapshot, models, xdays, per_channel, cell_rows)
+    t = clv_table(clean, snapshot, models, xdays, per_channel)
     t = t.persist(StorageLevel.MEMORY_AND_DISK)
-    leveled = quantile_level(t, "clv", cell_rows=cell_rows)
+    leveled = quantile_level(t, "clv")
     return leveled.withColumn("mismatch", mismatch("segment", "clv_level"))
 
 

@@ -326,16 +326,13 @@ def q_spend_by_visit(spark, sf_dir):
 
 @register("profile")
 def q_profile(spark, sf_dir):
-    return PR.profile(testdata_transactions(spark, sf_dir), clean_txn(spark, sf_dir))
+    return PR.profile(testdata_transactions(spark, sf_dir), CL.is_clean(SNAP))
 
 
 @register("distinct_values")
 def q_distinct_values(spark, sf_dir):
-    t = testdata_transactions(spark, sf_dir)
-    o = SRC.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("txn_id"),
-                                                   "o_orderstatus", "o_orderpriority")
-    wide = t.join(o, "txn_id").select("channel", F.col("o_orderstatus").alias("order_status"),
-                                      F.col("o_orderpriority").alias("order_priority"))
+    wide = SRC.testdata_transactions(spark, sf_dir, keep=("o_orderstatus", "o_orderpriority")).select(
+        "channel", F.col("o_orderstatus").alias("order_status"), F.col("o_orderpriority").alias("order_priority"))
     return PR.distinct_values(wide, ["channel", "order_status", "order_priority"])
 
 
@@ -381,7 +378,7 @@ def q_visit_number(spark, sf_dir):
 def q_rank_first(spark, sf_dir):
     r = rfm_table(spark, sf_dir)
     from ..operators.quantiles import global_row_number
-    return global_row_number(r, "frequency", "customer_id", out="f_rank").select(
+    return global_row_number(r, ["frequency", "customer_id"], out="f_rank").select(
         "customer_id", "frequency", "f_rank")
 
 
@@ -399,12 +396,16 @@ def q_first_row(spark, sf_dir):
 
 @register("sort_txn")
 def q_sort_txn(spark, sf_dir):
-    return clean_txn(spark, sf_dir).orderBy("customer_id", "arrival_ts", "txn_id")
+    from ..operators.quantiles import global_row_number
+    return global_row_number(clean_txn(spark, sf_dir), ["customer_id", "arrival_ts", "txn_id"], out="position")
 
 
 @register("sort_freq")
 def q_sort_freq(spark, sf_dir):
-    return PR.frequency_table(enc_txn(spark, sf_dir), "channel_group")
+    from pyspark.sql import Window
+    t = PR.frequency_table(enc_txn(spark, sf_dir), "channel_group")     # one row per channel group
+    order = Window.orderBy(F.desc("total_customerid_count"), F.asc("channel_group"))
+    return t.withColumn("position", F.row_number().over(order).cast("long"))
 
 
 @register("distinct_customers")
@@ -434,6 +435,20 @@ def q_bgnbd_expected(spark, sf_dir):
                     .alias("expected_purchases"))
 
 
+#: Small alphas put z close to 1: the series needs thousands of terms.
+SMALL_ALPHAS = (0.5, 4.41)
+
+
+@register("bgnbd_expected_small_alpha")
+def q_bgnbd_expected_small_alpha(spark, sf_dir):
+    """Ten years ahead, per distinct repeat count and age in years."""
+    from dataclasses import replace
+    s = repeater_summary(spark, sf_dir).select("frequency", F.least(F.col("T"), F.lit(4)).alias("T")).distinct()
+    en = [r6(BG.expected_purchases(replace(FIXED_BGNBD, alpha=a), 3650, "frequency", F.lit(0.0), "T")).alias(f"expected_{i}")
+          for i, a in enumerate(SMALL_ALPHAS)]
+    return s.select("frequency", "T", *en)
+
+
 @register("bgnbd_p_alive")
 def q_bgnbd_p_alive(spark, sf_dir):
     s = repeater_summary(spark, sf_dir)
@@ -453,8 +468,8 @@ def q_clv_repeater(spark, sf_dir):
     s = repeater_summary(spark, sf_dir)
     en = BG.expected_purchases(FIXED_BGNBD, XDAYS, "frequency", "t_x", "T")
     ev = GG.expected_value(FIXED_GAMMA_GAMMA, "frequency", "monetary_value")
-    disc = 1.0 / (1.0 + 0.10) ** (XDAYS / 365.0)
-    return s.select("customer_id", cents(en * ev).alias("clv"), cents(en * ev * F.lit(disc)).alias("clv_discounted"))
+    return s.select("customer_id", cents(GG.lifetime_value(en, ev, XDAYS)).alias("clv"),
+                    cents(GG.lifetime_value(en, ev, XDAYS, 0.10)).alias("clv_discounted"))
 
 
 @register("cox_return_prob")
@@ -613,7 +628,6 @@ from ..sources import requests as RQ  # noqa: E402
 from . import scoring as SC  # noqa: E402
 
 REQUEST_CUSTOMERS = 100      # customers per test request (the API's intended cap)
-REQUEST_VISITS = 50          # visits per customer entry in a request body
 
 
 def request_rows(spark, sf_dir) -> DataFrame:
@@ -662,7 +676,10 @@ def q_round_output(spark, sf_dir):
 
 @register("lookup_rfm_default")
 def q_lookup_rfm_default(spark, sf_dir):
-    return predictions(spark, sf_dir).select("request_id", "customer_id", "rfm_score", "segment")
+    """J6 with scores for repeaters only: one-timers take the defaults."""
+    feats = CU.customer_features(request_rows(spark, sf_dir), "snapshot_ts", keys=("request_id", "customer_id", "xdays"))
+    rfm = SC.request_rfm(feats.where(F.col("visit_count") > 1)).select("request_id", "customer_id", "rfm_score", "segment")
+    return SC.lookup_rfm(feats.select("request_id", "customer_id"), rfm)
 
 
 @register("rfm_constant")
@@ -673,9 +690,14 @@ def q_rfm_constant(spark, sf_dir):
 
 @register("inner_summary")
 def q_inner_summary(spark, sf_dir):
-    p = predictions(spark, sf_dir)
-    return p.where(F.col("group") == C.GROUP_REPEATER).select("request_id", "customer_id", "frequency",
-                                                              "recency")
+    """J8 with summaries of the visits of even orders only: repeaters without
+    one drop out."""
+    rows = request_rows(spark, sf_dir)
+    keys = ("request_id", "customer_id", "xdays")
+    feats = CU.customer_features(rows, "snapshot_ts", keys=keys).select("request_id", "customer_id", "visit_count")
+    even = CU.customer_features(rows.where(F.col("txn_id") % 2 == 0), "snapshot_ts", keys=keys)
+    both = feats.join(even.select("request_id", "customer_id", "days_frequency", "t_x"), ["request_id", "customer_id"], "left")
+    return both.where(SC.has_summary())
 
 
 @register("request_rfm")
@@ -687,20 +709,19 @@ def q_request_rfm(spark, sf_dir):
 
 
 def request_bodies(spark, sf_dir) -> DataFrame:
-    """Nested JSON request bodies built from the visit history: customer
-    entries of at most 50 visits, requests of at most 100 customer ids."""
-    t = CU.visit_numbers(clean_txn(spark, sf_dir))
+    """Nested JSON request bodies built from the visit history: whole
+    customers, at most 100 customer ids a request."""
     rid = F.expr(f"customer_id div {REQUEST_CUSTOMERS}")
-    chunk = F.expr(f"(visit_number - 1) div {REQUEST_VISITS}")
-    v = t.select(rid.alias("rid"), chunk.alias("chunk"), F.col("customer_id").cast("string").alias("cid"),
-                 F.struct(F.date_format("arrival_ts", "yyyy-MM-dd").alias("Arrival Date"),
-                          F.col("revenue").alias("Total Revenue USD"),
-                          F.col("channel").alias("Channel")).alias("t"))
-    cust = v.groupBy("rid", "chunk", "cid").agg(F.collect_list("t").alias("transactions"))
-    req = cust.groupBy("rid", "chunk").agg(F.collect_list(F.struct(
+    v = clean_txn(spark, sf_dir).select(
+        rid.alias("rid"), F.col("customer_id").cast("string").alias("cid"),
+        F.struct(F.date_format("arrival_ts", "yyyy-MM-dd").alias("Arrival Date"),
+                 F.col("revenue").alias("Total Revenue USD"),
+                 F.col("channel").alias("Channel")).alias("t"))
+    cust = v.groupBy("rid", "cid").agg(F.collect_list("t").alias("transactions"))
+    req = cust.groupBy("rid").agg(F.collect_list(F.struct(
         F.col("cid").alias("CustomerID"), "transactions")).alias("customers"))
-    return req.select(F.to_json(F.struct(
-        F.concat_ws("-", F.col("rid").cast("string"), F.col("chunk").cast("string")).alias("request_id"),
+    return req.select("rid", F.to_json(F.struct(
+        F.col("rid").cast("string").alias("request_id"),
         F.lit(SNAP).alias("snapshot_date"), F.lit(365).alias("xdays"), "customers")).alias("body"))
 
 
@@ -712,9 +733,39 @@ def q_scan_requests(spark, sf_dir):
                        "revenue", "channel", "snapshot_ts", "xdays")
 
 
+RESPONSE_FIELDS = ("CustomerID", "CLV", "group", "P_return", "avg_spend", "expected_purchases", "expected_value", "P_alive",
+                   "frequency", "recency", "RFM_Score", "Segment", "CLV_Level", "Mismatch")
+
+
 @register("response_json")
 def q_response_json(spark, sf_dir):
-    return SC.response_json(predictions(spark, sf_dir)).select("request_id", "count")
+    """The bodies, read back: one row per prediction with its fields as text."""
+    fields = ", ".join(f"`{f}`: string" for f in RESPONSE_FIELDS)
+    shape = f"struct<predictions: array<struct<{fields}>>, count: bigint>"
+    out = SC.response_json(predictions(spark, sf_dir)).select("request_id", F.from_json("body", shape).alias("b"))
+    flat = out.select("request_id", F.col("b.count").alias("count"), F.explode("b.predictions").alias("p")).select("request_id", "count", "p.*")
+    numbers = {"CLV", "P_return", "avg_spend", "expected_purchases", "expected_value", "P_alive", "recency"}
+    return flat.select("request_id", "count", *[
+        F.col(f).cast("double" if f in numbers else "long" if f in ("CustomerID", "frequency", "RFM_Score") else "string").alias(f"f_{f}".lower())
+        for f in RESPONSE_FIELDS])
+
+
+@register("response_edge_cases")
+def q_response_edge_cases(spark, sf_dir):
+    """Every request of the table as it is, twice over, emptied, cut short, as
+    a bare customer list and with an unreadable date: predictions of each, and
+    what is rejected."""
+    b = request_bodies(spark, sf_dir)
+    kinds = [("asis", F.col("body")), ("again", F.col("body")), ("empty", F.lit('{"customers": []}')),
+             ("cut", F.substring("body", 1, 40)), ("list", F.get_json_object("body", "$.customers")),
+             ("baddate", F.regexp_replace("body", '"Arrival Date":"[^"]*"', '"Arrival Date":"some day"'))]
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), e.alias("body")) for k, e in kinds]))
+    named = b.select("rid", rows.alias("r")).select(F.concat_ws("/", "r.kind", F.col("rid").cast("string")).alias("key"), "r.body")
+    reqs = RQ.request_defaults(RQ.parse_requests(named, "body", "key"), SNAP, 365).persist()
+    body = SC.response_json(SC.score_customers(RQ.flatten_requests(reqs), fixed_models()), reqs)
+    bad = RQ.rejected_visits(reqs).groupBy("request_id").agg(F.count(F.lit(1)).alias("bad_visits"))
+    return (body.join(bad, "request_id", "left").join(RQ.rejected_requests(reqs).select("request_id", "error"), "request_id", "left")
+            .select("request_id", "count", F.coalesce("bad_visits", F.lit(0)).alias("bad_visits"), "error"))
 
 
 # ------------------------------------------- fitters (rows-only checks)
@@ -722,44 +773,81 @@ def q_response_json(spark, sf_dir):
 from ..models import fit_bgnbd as FB  # noqa: E402
 from ..models import fit_cox as FC  # noqa: E402
 from ..models import fit_gamma_gamma as FG  # noqa: E402
-from .training import params_table  # noqa: E402
+from .training import metric_rows, params_table  # noqa: E402
 
 BGNBD_PENALIZER = 0.001
 
 
+def flags(spark, rows: list[tuple[str, bool]]) -> DataFrame:
+    """Checks of a fit, which the oracle expects to hold."""
+    return spark.createDataFrame([(k, bool(v)) for k, v in rows], "name string, ok boolean")
+
+
+def is_optimum(objective, params: dict, step: float = 0.02) -> bool:
+    """No parameter moved by ``step`` of itself either way gives a lower
+    objective (evaluated by the closed-form log-likelihood, not the fitter)."""
+    best = objective(params)
+    return all(objective({**params, k: v * s}) >= best - 1e-12 * abs(best) for k, v in params.items() for s in (1 + step, 1 - step))
+
+
 @register("bgnbd_fit")
 def q_bgnbd_fit(spark, sf_dir):
-    p, _, m = FB.fit(repeater_summary(spark, sf_dir), penalizer=BGNBD_PENALIZER)
-    return params_table(spark, [("bgnbd", k, v) for k, v in p.as_dict().items()]
-                        + [("bgnbd", k, float(v)) for k, v in m.items()])
+    s = repeater_summary(spark, sf_dir).select("frequency", "t_x", "T").persist()
+    p, _, m = FB.fit(s, penalizer=BGNBD_PENALIZER)
+
+    def objective(q):
+        scaled = {**q, "alpha": q["alpha"] * m["scale"]}
+        return -FB.log_likelihood(s, BG.BgNbdParams(**q)) / m["n_customers"] + BGNBD_PENALIZER * sum(v * v for v in scaled.values())
+    fixed = objective(FIXED_BGNBD.as_dict())
+    return flags(spark, [("converged", m["converged"]), ("gradient", m["gradient"] < 1e-4),
+                         ("optimum", is_optimum(objective, p.as_dict())), ("not_above_fixed", objective(p.as_dict()) <= fixed + 1e-9)])
+
+
+GG_PENALIZER = 0.0001
 
 
 @register("gg_fit")
 def q_gg_fit(spark, sf_dir):
-    p, _, m = FG.fit(repeater_summary(spark, sf_dir), penalizer=0.0)
-    return params_table(spark, [("gamma_gamma", k, v) for k, v in p.as_dict().items()]
-                        + [("gamma_gamma", k, float(v)) for k, v in m.items()])
+    s = repeater_summary(spark, sf_dir).select("frequency", "monetary_value").persist()
+    p, _, m = FG.fit(s, penalizer=GG_PENALIZER)
+
+    def objective(q):
+        return -FG.log_likelihood(s, GG.GammaGammaParams(**q)) / m["n_customers"] + GG_PENALIZER * sum(v * v for v in q.values())
+    return flags(spark, [("converged", m["converged"]), ("gradient", m["gradient"] < 1e-4),
+                         ("optimum", is_optimum(objective, p.as_dict()))])
+
+
+def cox_objective(rows, model):
+    """Minus the partial log-likelihood by its closed form, of coefficients."""
+    from dataclasses import replace
+
+    def objective(q):
+        c = replace(model, coef=tuple(q[f] for f in model.features))
+        return -CX.efron_loglik(rows, c).collect()[0]["log_likelihood"]
+    return objective
 
 
 @register("cox_fit")
 def q_cox_fit(spark, sf_dir):
-    models, mets = FC.fit(features(spark, sf_dir), ("avg_spend",))
-    m = models[FC.POOLED]
-    rows = [("cox", "coef_avg_spend", m.coef[0]), ("cox", "mean_avg_spend", m.mean[0]),
-            ("cox", "H0_365", m.cumulative_hazard(365.0))]
-    rows += [("cox", k, float(v)) for k, v in mets[FC.POOLED].items()]
-    return params_table(spark, rows)
+    f = features(spark, sf_dir).select("duration", "event", "avg_spend").persist()
+    models, mets = FC.fit(f, ("avg_spend",))
+    m, met = models[FC.POOLED], mets[FC.POOLED]
+    objective = cox_objective(f, m)
+    coef = dict(zip(m.features, m.coef))
+    return flags(spark, [("converged", met["converged"]), ("optimum", is_optimum(objective, coef)),
+                         ("not_above_zero", objective(coef) <= objective({k: 0.0 for k in coef}) + 1e-9),
+                         ("likelihood", abs(objective(coef) + met["log_likelihood"]) < 1e-6 * abs(met["log_likelihood"]))])
 
 
 @register("cox_fit_by_channel")
 def q_cox_fit_by_channel(spark, sf_dir):
-    models, mets = FC.fit(features(spark, sf_dir), ("avg_spend",), by="channel_group",
-                          min_rows=C.MIN_CHANNEL_ROWS)
+    f = features(spark, sf_dir).select("duration", "event", "avg_spend", "channel_group").persist()
+    models, mets = FC.fit(f, ("avg_spend",), by="channel_group", min_rows=C.MIN_CHANNEL_ROWS)
     rows = []
     for g, m in sorted(models.items()):
-        rows += [(f"cox[{g}]", "coef_avg_spend", m.coef[0]), (f"cox[{g}]", "H0_365", m.cumulative_hazard(365.0))]
-        rows += [(f"cox[{g}]", k, float(v)) for k, v in mets[g].items()]
-    return params_table(spark, rows)
+        objective = cox_objective(f.where(F.col("channel_group") == g), m)
+        rows += [(f"{g}: converged", mets[g]["converged"]), (f"{g}: optimum", is_optimum(objective, dict(zip(m.features, m.coef))))]
+    return flags(spark, rows)
 
 
 @register("bgnbd_loglik")
@@ -788,6 +876,58 @@ def q_prep_training(spark, sf_dir):
                                          "visit_count", "repeat")
 
 
+def prep_frame(spark, sf_dir, name) -> DataFrame:
+    return TR.prep_training(testdata_transactions(spark, sf_dir), SNAP)[name]
+
+
+@register("prep_customer_data")
+def q_prep_customer_data(spark, sf_dir):
+    c = prep_frame(spark, sf_dir, "customer_data")
+    return c.select("customer_id", "visit_count", r6("avg_spend").alias("avg_spend"))
+
+
+@register("prep_rfm")
+def q_prep_rfm(spark, sf_dir):
+    return prep_frame(spark, sf_dir, "rfm").select("customer_id", "r_score", "f_score", "m_score", "segment")
+
+
+@register("prep_one_timers")
+def q_prep_one_timers(spark, sf_dir):
+    return prep_frame(spark, sf_dir, "one_timers").select("txn_id", "customer_id", "repeat")
+
+
+@register("prep_repeaters")
+def q_prep_repeaters(spark, sf_dir):
+    return prep_frame(spark, sf_dir, "repeaters").select("txn_id", "customer_id", "repeat")
+
+
+@register("prep_latest_channel")
+def q_prep_latest_channel(spark, sf_dir):
+    return prep_frame(spark, sf_dir, "latest_channel").select("customer_id", "channel", "channel_group")
+
+
+def nan_txn(spark, sf_dir) -> DataFrame:
+    """Visits whose revenue is NaN for every fifth order and text for none."""
+    t = testdata_transactions(spark, sf_dir)
+    return t.withColumn("revenue", F.when(F.col("txn_id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("revenue")))
+
+
+@register("clean_strict_nan")
+def q_clean_strict_nan(spark, sf_dir):
+    return CL.clean_strict(nan_txn(spark, sf_dir), SNAP).select("txn_id", "customer_id", "arrival_ts", "revenue")
+
+
+@register("clean_lenient_nan")
+def q_clean_lenient_nan(spark, sf_dir):
+    return CL.clean_lenient(nan_txn(spark, sf_dir), SNAP).select("txn_id", "customer_id", "arrival_ts", "revenue")
+
+
+@register("channel_spend_all_orders")
+def q_channel_spend_all_orders(spark, sf_dir):
+    """A4 over every order, without a snapshot."""
+    return PR.frequency_table(testdata_transactions(spark, sf_dir), "channel")
+
+
 @register("prep_lenient")
 def q_prep_lenient(spark, sf_dir):
     frames = TR.prep_lenient(testdata_transactions(spark, sf_dir), SNAP)
@@ -814,11 +954,11 @@ def q_request_defaults(spark, sf_dir):
     """Requests without snapshot / with xdays 0 take the defaults."""
     b = request_bodies(spark, sf_dir)
     parsed = RQ.parse_requests(b)
-    half = F.pmod(F.substring_index("request_id", "-", 1).cast("long"), F.lit(2)) == 0
+    half = F.pmod(F.col("caller_id").cast("long"), F.lit(2)) == 0
     parsed = (parsed.withColumn("snapshot_date", F.when(half, F.col("snapshot_date")))
               .withColumn("xdays", F.when(half, F.col("xdays")).otherwise(F.lit(0))))
     d = RQ.request_defaults(parsed)
-    return d.select("request_id", "snapshot_ts", "xdays")
+    return d.select(F.col("caller_id").alias("request_id"), "snapshot_ts", "xdays")
 
 
 HEAD_N = 10
@@ -833,9 +973,12 @@ def q_head_sample(spark, sf_dir):
 
 @register("train_all")
 def q_train_all(spark, sf_dir):
-    """E4 (rows-only): fit all models; parameters and metrics as rows."""
-    _, table = TR.train_all(testdata_transactions(spark, sf_dir), SNAP, bgnbd_penalizer=BGNBD_PENALIZER)
-    return table.where(F.col("name") != "training_duration_seconds")
+    """Fit all models; what must hold of them."""
+    models, table = TR.train_all(testdata_transactions(spark, sf_dir), SNAP, bgnbd_penalizer=BGNBD_PENALIZER, gg_penalizer=GG_PENALIZER)
+    got = {(r["model"], r["name"]): r["value"] for r in table.collect()}
+    return flags(spark, [(f"{m} converged", got[m, "converged"] == 1.0) for m in ("cox", "bgnbd", "gamma_gamma")]
+                 + [("concordance in range", 0.0 < got["cox", "concordance_index"] < 1.0),
+                    ("baseline rises", list(models.cox.baseline) == sorted(models.cox.baseline, key=lambda p: (p[0], p[1])))])
 
 
 @register("cox_concordance")
@@ -878,8 +1021,10 @@ def q_customer_agg_events(spark, sf_dir):
 
 @register("rfm_vs_clv_fitted")
 def q_rfm_vs_clv_fitted(spark, sf_dir):
-    """The analysis end to end with models fitted on the same visits
-    (rows-only check: the fit is iterative)."""
-    models, _ = TR.train_all(testdata_transactions(spark, sf_dir), SNAP, bgnbd_penalizer=BGNBD_PENALIZER,
+    """The analysis end to end with models fitted on the same visits: all
+    customers, no value missing or negative, quartiles of equal size."""
+    models, _ = TR.train_all(testdata_transactions(spark, sf_dir), SNAP, bgnbd_penalizer=BGNBD_PENALIZER, gg_penalizer=GG_PENALIZER,
                              with_concordance=False)
-    return _report(AN.rfm_vs_clv(clean_txn(spark, sf_dir), SNAP, models, XDAYS))
+    out = AN.rfm_vs_clv(clean_txn(spark, sf_dir), SNAP, models, XDAYS)
+    per = out.groupBy("clv_level").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(~(F.col("clv") >= 0) | F.col("clv").isNull(), 1)).alias("bad"))
+    return per.agg(F.sum("n").alias("customers"), F.sum("bad").alias("bad"), (F.max("n") - F.min("n") <= 1).alias("quartiles"))

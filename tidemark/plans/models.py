@@ -3,7 +3,7 @@ missing models use the documented no-model fallbacks)."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from .. import config as C
 from ..models import BgNbdParams, CoxParams, GammaGammaParams
@@ -15,6 +15,7 @@ class ModelBundle:
     cox_by_channel: dict = field(default_factory=dict)
     bgnbd: BgNbdParams | None = None
     gamma_gamma: GammaGammaParams | None = None
+    config: dict = field(default_factory=dict)     # snapshot_date, xdays, penalizer of the training
 
 
 # FIXED VALUES for the oracle-checked queries: parameters in the region the
@@ -28,6 +29,8 @@ FIXED_COX = CoxParams(features=("avg_spend",), coef=(1e-6,), mean=(250000.0,),
 
 
 def fixed_models(per_channel: bool = False) -> ModelBundle:
-    chans = {g: FIXED_COX for g in C.CHANNEL_GROUP_NAMES} if per_channel else {}
+    # every channel group has parameters of its own, so a mix-up shows
+    chans = {g: replace(FIXED_COX, coef=(1e-6 * (i + 1),), baseline=tuple((t, h * (1 + 0.1 * i)) for t, h in FIXED_COX_BASELINE))
+             for i, g in enumerate(C.CHANNEL_GROUP_NAMES)} if per_channel else {}
     return ModelBundle(cox=FIXED_COX, cox_by_channel=chans, bgnbd=FIXED_BGNBD,
                        gamma_gamma=FIXED_GAMMA_GAMMA)

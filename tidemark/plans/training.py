@@ -1,7 +1,7 @@
 """Training preparation and the train-all job.
 
-prep_training returns the six named frames of the analysed pipeline as lazy
-DataFrames over one cleaned transaction frame; train_all fits Cox (all
+prep_training returns the six named frames of the analysed pipeline, each planned
+when asked for, over one cleaned transaction frame; train_all fits Cox (all
 customers), BG/NBD (repeaters' calendar-day summary) and Gamma-Gamma (rows
 with positive frequency and spend) and returns the model bundle plus a
 metrics table.
@@ -10,6 +10,7 @@ metrics table.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,23 +20,43 @@ from ..models import fit_bgnbd, fit_cox, fit_gamma_gamma
 from ..operators import cleaning as CL
 from ..operators import customers as CU
 from ..operators.rfm import rfm_scores
+from ..session import release, stable_base
 from .models import ModelBundle
 
 
-def prep_training(txn: DataFrame, snapshot, inclusive: bool = False) -> dict[str, DataFrame]:
+class Frames(Mapping):
+    """Named frames, each planned when it is first asked for."""
+
+    def __init__(self, **plans: Callable[[], DataFrame]):
+        self._plans, self._made = plans, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._plans[name]()
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(self._plans)
+
+    def __len__(self) -> int:
+        return len(self._plans)
+
+
+def prep_training(txn: DataFrame, snapshot, inclusive: bool = False) -> Mapping[str, DataFrame]:
     """Transactions (with groups, dummies, repeat flag), customer table,
-    RFM scores, one-timer and repeater visits, latest channel."""
+    RFM scores, one-timer and repeater visits, latest channel. Nothing runs
+    for a frame that is not asked for (the RFM scores need their edges)."""
     clean = CL.clean_strict(txn, snapshot, inclusive)
     enc = CL.add_repeat_flag(CL.add_channel_groups(clean))
     one, rep = CL.split_customers(enc)
-    return {
-        "transactions": enc,
-        "customer_data": CU.customer_table(enc, snapshot),
-        "rfm": rfm_scores(CU.rfm_features(clean, snapshot)),
-        "one_timers": one,
-        "repeaters": rep,
-        "latest_channel": CU.latest_channel(enc),
-    }
+    return Frames(
+        transactions=lambda: enc,
+        customer_data=lambda: CU.customer_table(enc, snapshot),
+        rfm=lambda: rfm_scores(CU.rfm_features(clean, snapshot)),
+        one_timers=lambda: one,
+        repeaters=lambda: rep,
+        latest_channel=lambda: CU.latest_channel(enc),
+    )
 
 
 def prep_lenient(txn: DataFrame, snapshot) -> dict[str, DataFrame]:
@@ -55,21 +76,26 @@ def params_table(spark: SparkSession, rows: list[tuple[str, str, float]]) -> Dat
                                  "model string, name string, value double")
 
 
+def metric_rows(model: str, metrics: dict) -> list[tuple[str, str, float]]:
+    """Metrics as (model, name, value); a text goes into the name."""
+    return [(model, f"{k}={v}", 1.0) if isinstance(v, str) else (model, k, float(v)) for k, v in metrics.items()]
+
+
 def train_all(txn: DataFrame, snapshot, penalizer: float = 0.0, bgnbd_penalizer: float | None = None,
               gg_penalizer: float | None = None, cox_features=("avg_spend",),
-              by_channel: bool = False, with_concordance: bool = True) -> tuple[ModelBundle, DataFrame]:
+              by_channel: bool = False, with_concordance: bool = True, xdays: int = C.DEFAULT_XDAYS) -> tuple[ModelBundle, DataFrame]:
     """Fit all three models; returns (bundle, metrics table) with the Cox
     log-likelihood, concordance index (M6) and event counts, the BG/NBD and
     Gamma-Gamma parameters and fit diagnostics."""
     spark = txn.sparkSession
     clean = CL.clean_strict(txn, snapshot)
-    feats = CU.customer_features(clean, snapshot)
     t0 = time.time()
+    # every fit and the concordance read the same stored customer table
+    feats = stable_base(CU.customer_features(clean, snapshot))
     rows: list[tuple[str, str, float]] = []
     cox_models, cox_metrics = fit_cox.fit(feats, cox_features, penalizer=penalizer)
     cox = cox_models.get(fit_cox.POOLED)
-    for k, v in cox_metrics.get(fit_cox.POOLED, {}).items():
-        rows.append(("cox", k, float(v)))
+    rows += metric_rows("cox", cox_metrics.get(fit_cox.POOLED, {}))
     if cox is not None:
         rows += [("cox", f"coef_{f}", c) for f, c in zip(cox.features, cox.coef)]
         if with_concordance:
@@ -88,17 +114,19 @@ def train_all(txn: DataFrame, snapshot, penalizer: float = 0.0, bgnbd_penalizer:
         "customer_id", F.col("days_frequency").alias("frequency"), "t_x", "T", "monetary_value")
     bg, _, bg_m = fit_bgnbd.fit(summary, penalizer if bgnbd_penalizer is None else bgnbd_penalizer)
     rows += [("bgnbd", k, v) for k, v in bg.as_dict().items()]
-    rows += [("bgnbd", k, float(v)) for k, v in bg_m.items()]
+    rows += metric_rows("bgnbd", bg_m)
     gg, _, gg_m = fit_gamma_gamma.fit(summary, penalizer if gg_penalizer is None else gg_penalizer)
     rows += [("gamma_gamma", k, v) for k, v in gg.as_dict().items()]
-    rows += [("gamma_gamma", k, float(v)) for k, v in gg_m.items()]
+    rows += metric_rows("gamma_gamma", gg_m)
+    release(feats)
     rows.append(("pipeline", "training_duration_seconds", time.time() - t0))
-    return ModelBundle(cox=cox, cox_by_channel=by, bgnbd=bg, gamma_gamma=gg), params_table(spark, rows)
+    config = {"snapshot_date": str(snapshot), "xdays": xdays, "penalizer": penalizer}
+    return ModelBundle(cox=cox, cox_by_channel=by, bgnbd=bg, gamma_gamma=gg, config=config), params_table(spark, rows)
 
 
 def train_lenient(txn: DataFrame, snapshot, penalizer: float = 0.1,
                   bgnbd_penalizer: float | None = None,
-                  gg_penalizer: float = 0.0) -> tuple[ModelBundle, DataFrame]:
+                  gg_penalizer: float = 0.0, xdays: int = C.DEFAULT_XDAYS) -> tuple[ModelBundle, DataFrame]:
     """Lenient training variant: inclusive snapshot, Cox on (avg_revenue,
     tx_count) over customers with T > 0, BG/NBD and Gamma-Gamma on the
     repeaters' calendar-day summary. The event is tx_count > 1, so the
@@ -110,7 +138,7 @@ def train_lenient(txn: DataFrame, snapshot, penalizer: float = 0.1,
     cox_models, cox_metrics = fit_cox.fit(cust, ("avg_revenue", "tx_count"), duration="T", event="event",
                                           penalizer=penalizer, positive_duration=True)
     cox = cox_models.get(fit_cox.POOLED)
-    rows = [("cox", k, float(v)) for k, v in cox_metrics.get(fit_cox.POOLED, {}).items()]
+    rows = metric_rows("cox", cox_metrics.get(fit_cox.POOLED, {}))
     if cox is not None:
         rows += [("cox", f"coef_{f}", c) for f, c in zip(cox.features, cox.coef)]
     summary = CU.purchase_summary(clean, snapshot).where(F.col("n_visits") > 1)
@@ -118,6 +146,7 @@ def train_lenient(txn: DataFrame, snapshot, penalizer: float = 0.1,
     gg, _, gg_m = fit_gamma_gamma.fit(summary, gg_penalizer)
     rows += [("bgnbd", k, v) for k, v in bg.as_dict().items()]
     rows += [("gamma_gamma", k, v) for k, v in gg.as_dict().items()]
-    rows += [("bgnbd", k, float(v)) for k, v in bg_m.items()]
-    rows += [("gamma_gamma", k, float(v)) for k, v in gg_m.items()]
-    return ModelBundle(cox=cox, bgnbd=bg, gamma_gamma=gg), params_table(spark, rows)
+    rows += metric_rows("bgnbd", bg_m)
+    rows += metric_rows("gamma_gamma", gg_m)
+    config = {"snapshot_date": str(snapshot), "xdays": xdays, "penalizer": penalizer}
+    return ModelBundle(cox=cox, bgnbd=bg, gamma_gamma=gg, config=config), params_table(spark, rows)
