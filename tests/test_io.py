@@ -8,7 +8,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL_ROWS, SNAP
+from conftest import SMALL_ROWS, SNAP, by_id
 from tidemark import sinks
 from tidemark.plans.models import fixed_models
 from tidemark.sources import read_lenient, read_transactions, training_paths
@@ -46,7 +46,40 @@ def test_read_lenient_untidy_headers(spark, tmp):
     assert by["A"]["revenue"] == 12.5 and by["B"]["arrival_ts"] is None and by["C"]["revenue"] == 0.0
 
 
-def test_training_file_discovery(tmp):
+def test_columns_are_taken_by_name(spark, tmp):
+    """Reordered, extra and missing columns; two files in different order."""
+    with open(os.path.join(tmp, "a.csv"), "w") as f:
+        f.write("Channel,Market Seg,Arrival Date,Total Revenue USD,CustomerID\nWEB,m,2024-01-01,10,C1\nGDS,m,2024-01-02,NaN,C2\n")
+    with open(os.path.join(tmp, "b.csv"), "w") as f:
+        f.write("CustomerID,Arrival Date,Total Revenue USD\nC3,2024-02-01,30\n")
+    got = by_id(read_transactions(spark, tmp))
+    assert got["C1"]["channel"] == "WEB" and got["C1"]["revenue"] == 10.0
+    assert got["C2"]["revenue"] is None and got["C3"]["revenue"] == 30.0 and got["C3"]["channel"] is None
+    got = by_id(read_lenient(spark, tmp))
+    assert got["C3"]["revenue"] == 30.0 and got["C2"]["revenue"] == 0.0
+    with open(os.path.join(tmp, "c.csv"), "w") as f:
+        f.write("CustomerID,Total Revenue USD\nC9,1\n")
+    with pytest.raises(ValueError, match="Arrival Date"):
+        read_transactions(spark, tmp)
+
+
+def test_lenient_keeps_its_date_columns(spark, tmp):
+    p = os.path.join(tmp, "x.csv")
+    with open(p, "w") as f:
+        f.write("CustomerID,Arrival Date,Departure Date,Booked Date,Amount\nA,2024-01-01,2024-01-03,bad,5\n")
+    r = read_lenient(spark, p).collect()[0]
+    assert str(r["Departure Date"]).startswith("2024-01-03") and r["Booked Date"] is None and r["revenue"] == 5.0
+
+
+@pytest.mark.parametrize("clean", ["clean_strict", "clean_lenient"])
+def test_nan_revenue_is_missing(spark, clean):
+    from tidemark.operators import cleaning
+    df = spark.createDataFrame([("A", "2024-01-01", float("nan")), ("A", "2024-01-02", 5.0)], "customer_id string, d string, revenue double")
+    df = df.withColumn("arrival_ts", F.col("d").cast("timestamp_ntz"))
+    assert [r["revenue"] for r in getattr(cleaning, clean)(df, SNAP).collect()] == [5.0]
+
+
+def test_training_file_discovery(spark, tmp):
     with pytest.raises(FileNotFoundError):
         training_paths(tmp)
     for n in ("b.csv", "a.csv", "notes.txt"):
@@ -88,6 +121,31 @@ def test_missing_model_store_falls_back(spark, tmp):
     assert got.cox is None and got.bgnbd is None and got.gamma_gamma is None
 
 
+def test_model_config_and_damaged_store(spark, tmp):
+    from dataclasses import replace
+    b = replace(fixed_models(), config={"snapshot_date": "2024-05-05", "xdays": 90, "penalizer": 0.5})
+    path = os.path.join(tmp, "models")
+    sinks.save_models(spark, b, path)
+    assert sinks.load_models(spark, path).config == b.config
+    for name in os.listdir(os.path.join(path, "params")):
+        if name.startswith("part-"):
+            with open(os.path.join(path, "params", name), "w") as f:
+                f.write("not json\n")
+        elif name.endswith(".crc"):
+            os.remove(os.path.join(path, "params", name))
+    with pytest.raises(Exception):
+        sinks.load_models(spark, path)
+
+
+def test_cox_without_baseline_is_an_error(spark, tmp):
+    from dataclasses import replace
+    b = fixed_models()
+    b.cox = replace(b.cox, baseline=())
+    sinks.save_models(spark, b, os.path.join(tmp, "m"))
+    with pytest.raises(ValueError, match="baseline"):
+        sinks.load_models(spark, os.path.join(tmp, "m"))
+
+
 def test_jobs_train_score_analyze(spark, tmp):
     """The spark-submit entry points end to end on a small CSV extract."""
     import random

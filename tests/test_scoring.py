@@ -43,7 +43,7 @@ def test_fallback_clv_five(spark):
 def test_requests_are_independent(spark):
     a = _request(SMALL_ROWS, rid="a")
     b = _request(FIVE_ROWS, rid="b")
-    both = {(r["request_id"], r["customer_id"]): r["rfm_score"]
+    both = {(r["caller_id"], r["customer_id"]): r["rfm_score"]
             for r in score_customers(_rows(spark, a, b), fixed_models()).collect()}
     alone = {("a", r["customer_id"]): r["rfm_score"] for r in score_customers(_rows(spark, a), fixed_models()).collect()}
     assert all(both[k] == v for k, v in alone.items())
@@ -84,7 +84,7 @@ def test_response_body(spark):
     body = json.loads(response_json(p).collect()[0]["body"])
     assert body["count"] == 3 and len(body["predictions"]) == 3
     one = [x for x in body["predictions"] if x["group"] == "onetimer"][0]
-    assert "p_return" in one and "expected_purchases" not in one
+    assert set(one) == {"CustomerID", "CLV", "group", "P_return", "avg_spend", "RFM_Score", "Segment", "CLV_Level", "Mismatch"}
 
 
 def test_score_single(spark):
@@ -110,13 +110,46 @@ def test_lenient_training_then_scoring(spark):
     assert {r["mismatch"] for r in preds} == {"Aligned"}
 
 
-def test_request_rfm_single_pass_equals_cells(spark):
-    from tidemark.operators import customers as CU
-    from tidemark.plans import catalog as K
-    from tidemark.plans.scoring import request_rfm
-    f = CU.customer_features(K.request_rows(spark, "/root/testdata/sf0.001"), "snapshot_ts",
-                             keys=("request_id", "customer_id", "xdays"))
-    a = {(r.request_id, r.customer_id): (r.r_score, r.f_score, r.m_score) for r in request_rfm(f).collect()}
-    b = {(r.request_id, r.customer_id): (r.r_score, r.f_score, r.m_score)
-         for r in request_rfm(f, cell_rows=7).collect()}
-    assert a == b and len(a) > 0
+def _answers(spark, bodies):
+    reqs = RQ.request_defaults(RQ.parse_requests(spark.createDataFrame([(str(i), b) for i, b in enumerate(bodies)], "k string, body string"), "body", "k"))
+    preds = score_customers(RQ.flatten_requests(reqs), ModelBundle())
+    out = {r["request_id"]: json.loads(r["body"]) for r in response_json(preds, reqs).collect()}
+    return out, reqs
+
+
+def test_equal_bodies_empty_and_broken_requests_each_get_an_answer(spark):
+    good = _request(SMALL_ROWS)
+    out, reqs = _answers(spark, [good, good, '{"customers": []}', '{"customers": [{"Cust', good.replace("2025-06-04", "someday"),
+                                 json.dumps(json.loads(good)["customers"]), "  "])
+    assert set(out) == {"0", "1", "2", "3", "4", "5"}
+    assert out["0"] == out["1"] and out["0"]["count"] == 3
+    assert out["2"] == {"predictions": [], "count": 0}
+    assert out["3"]["error"] == "not a request" and out["4"]["error"] == "unreadable snapshot_date" and out["4"]["count"] == 0
+    assert {p["CustomerID"] for p in out["5"]["predictions"]} == {"C001", "C002", "C003"}
+    assert {r["request_id"] for r in RQ.rejected_requests(reqs).collect()} == {"3", "4"}
+
+
+def test_unreadable_visit_date_is_rejected_not_scored(spark):
+    body = json.dumps({"customers": [{"CustomerID": "A", "transactions": [
+        {"Arrival Date": "2024-01-01", "Total Revenue USD": 5.0}, {"Arrival Date": "no day", "Total Revenue USD": 9.0}]},
+        {"CustomerID": "B", "transactions": [{"Arrival Date": None, "Total Revenue USD": 9.0}]}]})
+    out, reqs = _answers(spark, [body])
+    assert [p["CustomerID"] for p in out["0"]["predictions"]] == ["A"]
+    assert sorted(r["customer_id"] for r in RQ.rejected_visits(reqs).collect()) == ["A", "B"]
+
+
+def test_many_horizons(spark):
+    """Every customer of 1,500 requests has a horizon of its own."""
+    from tidemark.plans.models import fixed_models
+    bodies = [json.dumps({"xdays": i + 1, "customers": [{"CustomerID": "A", "transactions": [{"Arrival Date": "2024-01-01", "Total Revenue USD": 5.0}]}]})
+              for i in range(1500)]
+    reqs = RQ.request_defaults(RQ.parse_requests(spark.createDataFrame([(b,) for b in bodies], "body string")))
+    m = fixed_models()
+    got = score_customers(RQ.flatten_requests(reqs), m).select("p_return").collect()
+    assert len(got) == 1500 and len({r[0] for r in got}) > 500
+
+
+def test_defaults_come_from_the_models_config(spark):
+    r = RQ.request_defaults(RQ.parse_requests(spark.createDataFrame([('{"customers": []}',)], "body string")),
+                            config={"snapshot_date": "2020-02-02", "xdays": 77}).collect()[0]
+    assert r["xdays"] == 77 and str(r["snapshot_ts"]).startswith("2020-02-02")

@@ -24,12 +24,17 @@ def test_stream_scores_each_request(spark):
     os.makedirs(inbox)
     _write(os.path.join(inbox, "r1.json"), "r1", SMALL_ROWS)
     _write(os.path.join(inbox, "r2.json"), "r2", FIVE_ROWS)
+    _write(os.path.join(inbox, "r1-again.json"), "r3", [])
+    with open(os.path.join(inbox, "broken.json"), "w") as f:
+        f.write('{"customers": [\n')
     q = start_scoring_stream(spark, inbox, out, ckpt, ModelBundle())
     q.awaitTermination(120)
     got = spark.read.parquet(out).collect()
-    clv = {(r["request_id"], r["customer_id"]): r["clv"] for r in got}
+    clv = {(r["caller_id"], r["customer_id"]): r["clv"] for r in got}
     assert clv[("r1", "C001")] == 541.01 and clv[("r2", "TEST005")] == 760.42
     assert len(got) == 8
+    bodies = [json.loads(r["body"]) for r in spark.read.json(os.path.join(out, "_responses", "*")).collect()]
+    assert sorted(b["count"] for b in bodies) == [0, 0, 3, 5] and sum("error" in b for b in bodies) == 1
     # a second run with no new files adds nothing (progress is checkpointed)
     q2 = start_scoring_stream(spark, inbox, out, ckpt, ModelBundle())
     q2.awaitTermination(120)

@@ -74,7 +74,6 @@ FALLBACK_P_ALIVE = 0.5
 # Lenient scoring: constant RFM score / segment, and the lookup default.
 LENIENT_RFM_SCORE = 9
 LENIENT_SEGMENT = "Potential Loyalists"
-LENIENT_MISSING_RFM_SCORE = 5
 MISSING_RFM_SCORE = 0
 MISSING_SEGMENT = "Unknown"
 
@@ -95,6 +94,9 @@ KNOWN_TRAINING_FILES: tuple[str, ...] = (
 # Minimum customers for a per-channel Cox model.
 MIN_CHANNEL_ROWS = 100
 
+# Further date columns of the lenient extract.
+LENIENT_DATES = ("Departure Date", "Booked Date")
+
 # Source column names of the transaction extract.
 SOURCE_COLUMNS = {
     "customer_id": "CustomerID",

@@ -1,11 +1,14 @@
 """Job entry points for spark-submit.
 
-  spark-submit -m tidemark.jobs train   --input DIR_OR_FILE --snapshot 2025-06-04 --model-dir OUT
-  spark-submit -m tidemark.jobs score   --requests GLOB --model-dir DIR --out OUT
-  spark-submit -m tidemark.jobs analyze --input DIR_OR_FILE --snapshot 2025-06-04 --model-dir DIR --out OUT
+  python -m build --wheel            (or: zip -r tidemark.zip tidemark)
+  spark-submit --py-files tidemark.zip --conf spark.checkpoint.dir=hdfs:///tmp/ck tidemark/jobs.py train \\
+      --input DIR_OR_FILE --snapshot 2025-06-04 --model-dir OUT
+  spark-submit ... tidemark/jobs.py score   --requests GLOB --model-dir DIR --out OUT [--multiline]
+  spark-submit ... tidemark/jobs.py analyze --input DIR_OR_FILE --snapshot 2025-06-04 --model-dir DIR --out OUT
 
-The session comes from the cluster (``getOrCreate``); only an unset
-checkpoint folder is filled in.
+The session comes from the cluster (``getOrCreate``); the package is shipped to
+the workers by ``ship_package``, so a plain ``python -m tidemark.jobs`` against a
+cluster works too.
 """
 
 from __future__ import annotations
@@ -16,19 +19,19 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from . import config as C
-from . import sinks
-from .operators.cleaning import clean_strict
-from .plans.analysis import rfm_vs_clv, target_list, underrated
-from .plans.scoring import response_json, score_customers
-from .plans.training import train_all, train_lenient
-from .session import ensure_checkpoint_dir
-from .sources import read_lenient, read_transactions, training_paths
-from .sources.requests import flatten_requests, read_requests, request_defaults
+from tidemark import config as C
+from tidemark import sinks
+from tidemark.operators.cleaning import clean_strict
+from tidemark.plans.analysis import rfm_vs_clv, target_list, underrated
+from tidemark.plans.scoring import response_json, score_customers
+from tidemark.plans.training import train_all, train_lenient
+from tidemark.session import ensure_checkpoint_dir, ship_package
+from tidemark.sources import read_lenient, read_transactions, training_paths
+from tidemark.sources.requests import flatten_requests, read_requests, rejected_requests, rejected_visits, request_defaults
 
 
 def _input(spark, path: str, lenient: bool):
-    paths = training_paths(path) if os.path.isdir(path) else [path]
+    paths = training_paths(path, spark) if sinks.is_folder(spark, path) else [path]
     return read_lenient(spark, paths) if lenient else read_transactions(spark, paths)
 
 
@@ -48,6 +51,7 @@ def main(argv=None) -> int:
     s.add_argument("--model-dir", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--lenient", action="store_true")
+    s.add_argument("--multiline", action="store_true")
     a = sub.add_parser("analyze")
     a.add_argument("--input", required=True)
     a.add_argument("--snapshot", required=True)
@@ -58,6 +62,7 @@ def main(argv=None) -> int:
 
     spark = SparkSession.builder.appName(f"tidemark-{args.cmd}").getOrCreate()
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     if args.cmd == "train":
         txn = _input(spark, args.input, args.lenient)
         if args.lenient:
@@ -69,11 +74,13 @@ def main(argv=None) -> int:
         sinks.save_models(spark, models, args.model_dir, metrics)
     elif args.cmd == "score":
         models = sinks.load_models(spark, args.model_dir)
-        rows = flatten_requests(request_defaults(read_requests(spark, args.requests),
-                                                 zero_is_missing=not args.lenient))
-        preds = score_customers(rows, models, lenient=args.lenient)
+        requests = request_defaults(read_requests(spark, args.requests, args.multiline),
+                                    zero_is_missing=not args.lenient, config=models.config).persist()
+        preds = score_customers(flatten_requests(requests), models, lenient=args.lenient).persist()
         preds.write.mode("overwrite").parquet(os.path.join(args.out, "predictions"))
-        sinks.write_responses(response_json(preds), os.path.join(args.out, "responses"))
+        sinks.write_responses(response_json(preds, requests), os.path.join(args.out, "responses"))
+        rejected_requests(requests).write.mode("overwrite").json(os.path.join(args.out, "rejected_requests"))
+        rejected_visits(requests).write.mode("overwrite").json(os.path.join(args.out, "rejected_visits"))
     else:
         models = sinks.load_models(spark, args.model_dir)
         txn = _input(spark, args.input, False)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,38 +30,64 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is
-    unset (tests, laptops) fall back to a fresh local scratch folder."""
+    """The cluster's shared ``spark.checkpoint.dir``. In local mode (tests,
+    laptops) an unset folder becomes a fresh local one; on a cluster that is
+    an error, as a machine's own folder is no place for shared tables."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives
-    executor loss, unlike a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def shared_path(spark: SparkSession, *parts: str) -> str:
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, *parts)
+    return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), *parts])
 
 
 def stable_base(df: DataFrame, reliable: bool = True) -> DataFrame:
-    """Base table an iterative job reads many times. reliable=True writes it
-    once to the shared checkpoint folder (an executor lost mid-loop then
-    re-reads the small table instead of recomputing it from the raw data);
-    otherwise it is persisted in memory and on disk."""
+    """Base table that an iterative job reads many times. reliable=True writes
+    it once below the shared checkpoint folder (an executor lost mid-loop then
+    rereads the table instead of recomputing it from the raw data); otherwise
+    it is persisted in memory and on disk. Give it back with ``release``."""
     from pyspark import StorageLevel
-    if reliable:
-        return cut_lineage(df)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if not reliable:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = shared_path(df.sparkSession, f"base-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stable_path = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files of a ``stable_base`` (or unpersist it)."""
+    path = getattr(df, "_stable_path", None)
+    if path is None:
+        df.unpersist()
+        return
+    p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers as a zip (functions are pickled by
+    reference, so workers must be able to import it)."""
+    import os
+    import zipfile
+
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidemark-ship-"), "tidemark.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(here):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("tidemark", os.path.relpath(full, here)))
+    spark.sparkContext.addPyFile(path)

@@ -53,29 +53,41 @@ def save_models(spark: SparkSession, bundle, path: str, metrics: DataFrame | Non
         .coalesce(1).write.mode("overwrite").parquet(os.path.join(path, "baseline"))
     if metrics is not None:
         metrics.coalesce(1).write.mode("overwrite").json(os.path.join(path, "metrics"))
-    cfg = {"models": {"params": "params", "baseline": "baseline", "metrics": "metrics"}}
+    cfg = {"models": {"params": "params", "baseline": "baseline", "metrics": "metrics"}, **(bundle.config or {})}
     spark.createDataFrame([(json.dumps(cfg),)], "value string").coalesce(1) \
         .write.mode("overwrite").text(os.path.join(path, "model_config"))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
 def load_models(spark: SparkSession, path: str):
-    """Read a model store; a missing part leaves that model unset (the
-    scoring fallbacks apply) and logs a warning."""
+    """Read a model store. Only a missing path, or a model that was not
+    saved, leaves that model unset (the scoring fallbacks apply, with a
+    warning); a store that is there but damaged is an error. The training's
+    snapshot, horizon and penalizer come back as ``config``."""
     from ..plans.models import ModelBundle
     b = ModelBundle()
     p_path = os.path.join(path, "params")
-    try:
-        params = spark.read.json(p_path).collect()
-    except Exception:  # noqa: BLE001 - absent store
+    if not _exists(spark, p_path):
         log.warning("no model parameters at %s; using fallbacks", p_path)
         return b
+    params = spark.read.schema("model string, name string, value double").option("mode", "FAILFAST").json(p_path).collect()
+    cfg = os.path.join(path, "model_config")
+    if _exists(spark, cfg):
+        b.config = {k: v for k, v in json.loads("".join(r[0] for r in spark.read.text(cfg).collect())).items() if k != "models"}
     by: dict[str, dict[str, float]] = {}
     for r in params:
         by.setdefault(r["model"], {})[r["name"]] = r["value"]
-    try:
-        base_rows = spark.read.parquet(os.path.join(path, "baseline")).collect()
-    except Exception:  # noqa: BLE001
-        base_rows = []
+    base_rows = spark.read.schema("model string, time double, cumulative_hazard double").parquet(os.path.join(path, "baseline")).collect()
     baselines: dict[str, list] = {}
     for r in base_rows:
         baselines.setdefault(r["model"], []).append((r["time"], r["cumulative_hazard"]))
@@ -90,6 +102,8 @@ def load_models(spark: SparkSession, path: str):
     for name, vals in by.items():
         if not name.startswith("cox"):
             continue
+        if not baselines.get(name):
+            raise ValueError(f"{path}: {name} has no baseline")
         feats = sorted(k.split(":", 1)[1] for k in vals if k.startswith("coef:"))
         m = CoxParams(features=tuple(feats), coef=tuple(vals[f"coef:{f}"] for f in feats),
                       mean=tuple(vals[f"mean:{f}"] for f in feats),
