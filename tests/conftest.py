@@ -28,22 +28,20 @@ def txn_df(spark, rows):
 
 
 SMALL_ROWS = [
-    ("C001", "2024-01-15", 500, "WEB"),
-    ("C001", "2024-06-20", 750, "WEB"),
-    ("C002", "2024-03-10", 300, "GDS"),
-    ("C003", "2024-02-01", 1000, "CHOPRA"),
-    ("C003", "2024-05-15", 800, "CHOPRA"),
-    ("C003", "2024-08-20", 1200, "CHOPRA"),
+    ("K1", "2024-02-10", 420, "WEB"),
+    ("K1", "2024-07-01", 610, "WEB"),
+    ("K2", "2024-04-22", 260, "GDS"),
+    ("K3", "2024-01-09", 900, "CHOPRA"),
+    ("K3", "2024-05-30", 700, "CHOPRA"),
+    ("K3", "2024-09-12", 1300, "CHOPRA"),
 ]
 
 FIVE_ROWS = [
-    ("TEST001", "2024-01-15", 500, "WEB"), ("TEST001", "2024-06-20", 750, "WEB"),
-    ("TEST002", "2024-03-10", 300, "GDS"),
-    ("TEST003", "2024-02-01", 1000, "CHOPRA"), ("TEST003", "2024-05-15", 800, "CHOPRA"),
-    ("TEST003", "2024-08-20", 1200, "CHOPRA"),
-    ("TEST004", "2024-04-01", 2500, "WEB"),
-    ("TEST005", "2023-06-15", 400, "RL"), ("TEST005", "2024-01-10", 450, "RL"),
-    ("TEST005", "2024-07-20", 500, "RL"), ("TEST005", "2025-01-05", 550, "RL"),
+    ("P1", "2024-02-10", 420, "WEB"), ("P1", "2024-07-01", 610, "WEB"),
+    ("P2", "2024-04-22", 260, "GDS"),
+    ("P3", "2024-01-09", 900, "CHOPRA"), ("P3", "2024-05-30", 700, "CHOPRA"), ("P3", "2024-09-12", 1300, "CHOPRA"),
+    ("P4", "2024-05-14", 2100, "WEB"),
+    ("P5", "2023-08-21", 380, "RL"), ("P5", "2024-02-03", 470, "RL"), ("P5", "2024-06-25", 520, "RL"), ("P5", "2025-02-16", 600, "RL"),
 ]
 SNAP = "2025-06-04"
 

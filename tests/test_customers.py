@@ -7,17 +7,17 @@ from tidemark.operators import customers as CU
 
 def test_customer_table(small):
     got = by_id(CU.customer_table(CL.add_channel_groups(small), SNAP))
-    c1 = got["C001"]
-    assert c1["visit_count"] == 2 and c1["avg_spend"] == 625.0 and c1["duration"] == 506 and c1["event"] == 1
-    assert got["C002"]["event"] == 0 and got["C002"]["duration"] == 451
-    assert got["C003"]["channel_group"] == "Specialty" and got["C003"]["channel_specialty"] is True
+    c1 = got["K1"]
+    assert c1["visit_count"] == 2 and c1["avg_spend"] == 515.0 and c1["duration"] == 480 and c1["event"] == 1
+    assert got["K2"]["event"] == 0 and got["K2"]["duration"] == 408
+    assert got["K3"]["channel_group"] == "Specialty" and got["K3"]["channel_specialty"] is True
     assert c1["channel_web"] is True and c1["channel_specialty"] is False
 
 
 def test_purchase_summary(five):
     got = by_id(CU.purchase_summary(five, SNAP))
-    want = {"TEST001": (1, 157, 506, 750.0), "TEST002": (0, 0, 451, 0.0), "TEST003": (2, 201, 489, 1000.0),
-            "TEST004": (0, 0, 429, 0.0), "TEST005": (3, 570, 720, 500.0)}
+    want = {"P1": (1, 142, 480, 610.0), "P2": (0, 0, 408, 0.0), "P3": (2, 247, 512, 1000.0),
+            "P4": (0, 0, 386, 0.0), "P5": (3, 545, 653, 530.0)}
     for c, (f, tx, T, m) in want.items():
         r = got[c]
         assert (r["frequency"], r["t_x"], r["T"], r["monetary_value"]) == (f, tx, T, m), c
@@ -47,4 +47,4 @@ def test_latest_channel_and_tie_break(spark):
 
 def test_visit_numbers(five):
     got = {(r["customer_id"], r["txn_id"]): r["visit_number"] for r in CU.visit_numbers(five).collect()}
-    assert [got[("TEST005", i)] for i in (8, 9, 10, 11)] == [1, 2, 3, 4]
+    assert [got[("P5", i)] for i in (8, 9, 10, 11)] == [1, 2, 3, 4]

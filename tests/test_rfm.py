@@ -14,25 +14,25 @@ from tidemark.operators import rfm as RF
 
 def test_rfm_features_small(small):
     got = by_id(CU.rfm_features(small, SNAP))
-    assert (got["C001"]["recency"], got["C001"]["frequency"], got["C001"]["monetary"]) == (349, 2, 1250.0)
-    assert (got["C002"]["recency"], got["C002"]["frequency"], got["C002"]["monetary"]) == (451, 1, 300.0)
-    assert (got["C003"]["recency"], got["C003"]["frequency"], got["C003"]["monetary"]) == (288, 3, 3000.0)
+    assert (got["K1"]["recency"], got["K1"]["frequency"], got["K1"]["monetary"]) == (338, 2, 1030.0)
+    assert (got["K2"]["recency"], got["K2"]["frequency"], got["K2"]["monetary"]) == (408, 1, 260.0)
+    assert (got["K3"]["recency"], got["K3"]["frequency"], got["K3"]["monetary"]) == (265, 3, 2900.0)
 
 
 def test_rfm_scores_small(small):
     got = by_id(RF.rfm_scores(CU.rfm_features(small, SNAP)))
-    assert [got[c]["rfm_segment"] for c in ("C001", "C002", "C003")] == ["333", "111", "555"]
-    assert [got[c]["rfm_score"] for c in ("C001", "C002", "C003")] == [9, 3, 15]
-    assert got["C003"]["segment"] == "Champions" and got["C002"]["segment"] == "Lost"
+    assert [got[c]["rfm_segment"] for c in ("K1", "K2", "K3")] == ["333", "111", "555"]
+    assert [got[c]["rfm_score"] for c in ("K1", "K2", "K3")] == [9, 3, 15]
+    assert got["K3"]["segment"] == "Champions" and got["K2"]["segment"] == "Lost"
 
 
 def test_rfm_scores_five(five):
     got = by_id(RF.rfm_scores(CU.rfm_features(five, SNAP)))
-    want = {"TEST001": (3, 3, 2), "TEST002": (1, 1, 1), "TEST003": (4, 4, 5), "TEST004": (2, 2, 4),
-            "TEST005": (5, 5, 3)}
+    want = {"P1": (3, 3, 2), "P2": (1, 1, 1), "P3": (4, 4, 5), "P4": (2, 2, 4),
+            "P5": (5, 5, 3)}
     for c, (r, f, m) in want.items():
         assert (got[c]["r_score"], got[c]["f_score"], got[c]["m_score"]) == (r, f, m), c
-    assert got["TEST003"]["rfm_score"] == 13 and got["TEST005"]["rfm_score"] == 13
+    assert got["P3"]["rfm_score"] == 13 and got["P5"]["rfm_score"] == 13
 
 
 @pytest.mark.parametrize("score,name", [(15, "Champions"), (13, "Champions"), (12, "Loyal Customers"),

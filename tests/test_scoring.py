@@ -28,16 +28,16 @@ def _rows(spark, *bodies):
 
 def test_fallback_clv_small(spark):
     got = {r["customer_id"]: r for r in score_customers(_rows(spark, _request(SMALL_ROWS)), ModelBundle()).collect()}
-    assert got["C001"]["clv"] == 541.01 and got["C003"]["clv"] == 1492.84 and got["C002"]["clv"] == 30.0
-    assert got["C002"]["group"] == C.GROUP_ONETIMER and got["C002"]["p_return"] == 0.1
-    assert got["C001"]["p_alive"] == 0.5 and got["C001"]["frequency"] == 1 and got["C001"]["recency"] == 157.0
-    assert got["C003"]["segment"] == "Champions"
+    assert got["K1"]["clv"] == 463.85 and got["K3"]["clv"] == 1425.78 and got["K2"]["clv"] == 26.0
+    assert got["K2"]["group"] == C.GROUP_ONETIMER and got["K2"]["p_return"] == 0.1
+    assert got["K1"]["p_alive"] == 0.5 and got["K1"]["frequency"] == 1 and got["K1"]["recency"] == 142.0
+    assert got["K3"]["segment"] == "Champions"
 
 
 def test_fallback_clv_five(spark):
     got = {r["customer_id"]: r["clv"] for r in
            score_customers(_rows(spark, _request(FIVE_ROWS)), ModelBundle()).collect()}
-    assert got == {"TEST001": 541.01, "TEST002": 30.0, "TEST003": 1492.84, "TEST004": 250.0, "TEST005": 760.42}
+    assert got == {"P1": 463.85, "P2": 26.0, "P3": 1425.78, "P4": 210.0, "P5": 888.74}
 
 
 def test_requests_are_independent(spark):
@@ -89,9 +89,9 @@ def test_response_body(spark):
 
 def test_score_single(spark):
     from tidemark.plans.scoring import score_single
-    r = score_single(spark, "C001", [{"Arrival Date": d, "Total Revenue USD": v, "Channel": ch}
-                                     for c, d, v, ch in SMALL_ROWS if c == "C001"], ModelBundle(), SNAP)
-    assert r["clv"] == 541.01
+    r = score_single(spark, "K1", [{"Arrival Date": d, "Total Revenue USD": v, "Channel": ch}
+                                     for c, d, v, ch in SMALL_ROWS if c == "K1"], ModelBundle(), SNAP)
+    assert r["clv"] == 463.85
     assert score_single(spark, "C404", [], ModelBundle(), SNAP) is None
 
 
@@ -125,7 +125,7 @@ def test_equal_bodies_empty_and_broken_requests_each_get_an_answer(spark):
     assert out["0"] == out["1"] and out["0"]["count"] == 3
     assert out["2"] == {"predictions": [], "count": 0}
     assert out["3"]["error"] == "not a request" and out["4"]["error"] == "unreadable snapshot_date" and out["4"]["count"] == 0
-    assert {p["CustomerID"] for p in out["5"]["predictions"]} == {"C001", "C002", "C003"}
+    assert {p["CustomerID"] for p in out["5"]["predictions"]} == {"K1", "K2", "K3"}
     assert {r["request_id"] for r in RQ.rejected_requests(reqs).collect()} == {"3", "4"}
 
 

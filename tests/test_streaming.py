@@ -31,7 +31,7 @@ def test_stream_scores_each_request(spark):
     q.awaitTermination(120)
     got = spark.read.parquet(out).collect()
     clv = {(r["caller_id"], r["customer_id"]): r["clv"] for r in got}
-    assert clv[("r1", "C001")] == 541.01 and clv[("r2", "TEST005")] == 760.42
+    assert clv[("r1", "K1")] == 463.85 and clv[("r2", "P5")] == 888.74
     assert len(got) == 8
     bodies = [json.loads(r["body"]) for r in spark.read.json(os.path.join(out, "_responses", "*")).collect()]
     assert sorted(b["count"] for b in bodies) == [0, 0, 3, 5] and sum("error" in b for b in bodies) == 1

@@ -37,10 +37,10 @@ def test_onehot_fixed_columns(small):
 def test_repeat_flag_and_split(small):
     flagged = CL.add_repeat_flag(small)
     flags = {r["customer_id"]: r["repeat"] for r in flagged.collect()}
-    assert flags == {"C001": "Y", "C002": "N", "C003": "Y"}
+    assert flags == {"K1": "Y", "K2": "N", "K3": "Y"}
     one, rep = CL.split_customers(small)
     assert one.count() == 1 and rep.count() == 5
-    assert {r[0] for r in one.select("customer_id").collect()} == {"C002"}
+    assert {r[0] for r in one.select("customer_id").collect()} == {"K2"}
 
 
 def test_clean_strict_and_lenient(spark):
