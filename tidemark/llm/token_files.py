@@ -48,7 +48,7 @@ def encoder(path: str, by_words: bool, end_id: int):
     end = np.array([end_id], kind).tobytes()
     specials = [x.content for x in t.get_added_tokens_decoder().values()]
     odd = re.compile("|".join([_ODD.pattern, *map(re.escape, specials)]))
-    memo = Memo(t, lambda ids: np.array(ids, kind).tobytes())
+    memo = Memo(t, lambda ids: np.array(ids, kind).tobytes(), joiner=" ")
 
     def ids(text: str | None) -> bytes:
         if not text:
