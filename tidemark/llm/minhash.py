@@ -13,7 +13,8 @@ costs as many comparisons as it has members. What remains are pairs of which
 one is not linked with the centre. Such a pair can only be similar enough if
 the two share parts of their *differences* from the centre; with differences
 ordered alike (added shingles first) it must share one among the first few of
-each (prefix filtering, exact), so these are found by an equi-join. They pass
+each, with enough of both left after it (prefix and position filtering, exact),
+so these are found by an equi-join. They pass
 a collision-corrected sketch estimate (five standard deviations below the
 threshold) and are confirmed on full sets. Links give connected components.
 
@@ -180,21 +181,25 @@ def similar(inter: int, na: int, nb: int, percent: int) -> bool:
     return 100 * inter >= percent * (na + nb - inter)
 
 
-def differences(c: np.ndarray, x: np.ndarray, percent: int) -> tuple[bool, np.ndarray, np.ndarray]:
-    """Whether x is linked with the centre c, and the items of its difference
-    from c that it is looked up by as an unlinked member, and found by."""
+def difference(c: np.ndarray, x: np.ndarray, percent: int) -> tuple[bool, int, np.ndarray, np.ndarray]:
+    """Whether x is linked with the centre c, the size of its difference from
+    c, and the items of it that x is looked up by as an unlinked member, and
+    found by."""
     hit = common(c, x)
     inter = int(hit.sum())
     linked = similar(inter, len(c), len(x), percent)
     d = np.concatenate([x[~hit], c[~common(x, c)]])      # added first, then removed; each in hash order
-    t = percent / 100
-    alpha = (1 - t) / (1 + t)                            # |x ^ y| <= alpha (|x| + |y|) for a link
+    alpha = slack(percent)                               # |x ^ y| <= alpha (|x| + |y|) for a link
     # shared differences: at least |Dx| - alpha |x| (1 + 1/t) ...
-    least = max(1, int(np.ceil(len(d) - alpha * len(x) * (1 + 1 / t) - 1e-9)))
+    least = max(1, int(np.ceil(len(d) - alpha * len(x) * (1 + 100 / percent) - 1e-9)))
     by = d[:max(0, len(d) - least + 1)] if not linked else d[:0]
     # ... and, with an unlinked partner, more than half of |Dy| - alpha (|y| - |c|)
     least = max(1, int(np.floor((len(d) - alpha * (len(x) - len(c))) / 2 - 1e-9)) + 1)
-    return linked, by, d[:max(0, len(d) - least + 1)]
+    return linked, len(d), by, d[:max(0, len(d) - least + 1)]
+
+
+def slack(percent: int) -> float:
+    return (100 - percent) / (100 + percent)
 
 
 def _pack(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -232,24 +237,33 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
 
     def compare(batches):
         for b in batches:
-            out = [differences(c, x, percent) for c, x in zip(_lists(b.column("c_items")), _lists(b.column("x_items")))]
+            sets_x = _lists(b.column("x_items"))
+            out = [difference(c, x, percent) for c, x in zip(_lists(b.column("c_items")), sets_x)]
             yield pa.RecordBatch.from_arrays(
-                [b.column("centre"), b.column("sig"), pa.array([o[0] for o in out], pa.bool_()),
-                 _pack([o[1] for o in out]), _pack([o[2] for o in out])], ["centre", "sig", "linked", "looks", "shows"])
+                [b.column("centre"), b.column("sig"), pa.array([o[0] for o in out], pa.bool_()), pa.array([len(x) for x in sets_x], pa.int64()),
+                 pa.array([o[1] for o in out], pa.int64()), _pack([o[2] for o in out]), _pack([o[3] for o in out])],
+                ["centre", "sig", "linked", "n", "d", "looks", "shows"])
 
     sets_of = lambda name, items: sets.select(F.col("sig").alias(name), F.col("items").alias(items)).hint("merge")
     star = materialise(edges.join(sets_of("sig", "x_items"), "sig").join(sets_of("centre", "c_items"), "centre")
                        .select("centre", "sig", "c_items", "x_items")
-                       .mapInArrow(compare, "centre binary, sig binary, linked boolean, looks array<long>, shows array<long>"), "star")
+                       .mapInArrow(compare, "centre binary, sig binary, linked boolean, n long, d long, looks array<long>, shows array<long>"), "star")
     label = materialise(components(star.where("linked").select(F.col("centre").alias("a"), F.col("sig").alias("b"))), "labels")
     labelled = lambda d, name, out: (d.join(label.select(F.col("node").alias(name), F.col("root").alias(out)).hint("merge"), name, "left")
                                      .withColumn(out, F.coalesce(out, name)))
 
-    # pairs of one centre that are in different components and share a difference
-    star_l = labelled(star, "sig", "root")
-    looks = star_l.where(~F.col("linked")).select("centre", F.col("sig").alias("a"), F.col("root").alias("ra"), F.explode("looks").alias("item"))
-    shows = star_l.select("centre", F.col("sig").alias("b"), F.col("root").alias("rb"), F.explode("shows").alias("item"))
-    pairs = (looks.join(shows.hint("merge"), ["centre", "item"]).where(F.col("ra") != F.col("rb"))
+    # pairs of one centre that are in different components and share a difference; one
+    # of the two is outside of the centre's component, and it does the looking up
+    star_l = labelled(labelled(star, "sig", "root"), "centre", "centre_root")
+    side = lambda rows, sig, k, items: rows.select("centre", F.col("sig").alias(sig), F.col("root").alias(f"r{k}"), F.col("n").alias(f"n{k}"),
+                                                   F.col("d").alias(f"d{k}"), F.posexplode(items).alias(f"p{k}", "item"))
+    looks, shows = side(star_l.where(F.col("root") != F.col("centre_root")), "a", "a", "looks"), side(star_l, "b", "b", "shows")
+    # the first shared item: from there on enough of both differences must be left
+    left = F.least(F.col("da") - F.col("pa"), F.col("db") - F.col("pb"))
+    enough = 2 * left >= F.col("da") + F.col("db") - slack(percent) * (F.col("na") + F.col("nb")) - 1e-9
+    sizes = (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))
+    pairs = (looks.alias("l").join(shows.alias("s").hint("merge"), (F.col("l.centre") == F.col("s.centre")) & (F.col("l.item") == F.col("s.item"))
+                                   & (F.col("ra") != F.col("rb")) & sizes & enough)
              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     regs = lambda name, n, r: nodes.select(F.col("sig").alias(name), F.col("n").alias(n), F.col("regs").alias(r)).hint("merge")
 
