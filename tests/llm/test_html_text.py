@@ -62,3 +62,11 @@ def test_awkward_pages(spark):
     assert got[11] == "\n".join(["a&b c"] * 3)
     assert train(df.limit(0)) == FIXED
     assert [k for k, *_ in tokens('<a title="x > y">t</a>')] == ["open", "text", "close"]
+
+
+def test_letter_that_grows_in_lower_case_before_a_raw_element():
+    """U+0130 is two characters in lower case; tags are sought in the page itself."""
+    for raw in ("script", "SCRIPT", "style", "textarea"):
+        page = (f"<html><head><title>{chr(0x130) * 9}stanbul</title></head><body><{raw}>var a = 'no';</{raw}>"
+                f"<article><p>{WORDS} one</p><{raw}>b</{raw}><p>{WORDS} two</p></article></body></html>")
+        assert Page(page).main_text(FIXED) == f"{WORDS} one\n{WORDS} two", raw

@@ -53,13 +53,13 @@ _ATTR = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))
 _WORDS = re.compile(r"[^\s]+")
 _SPLIT = re.compile(r"[\s_]+")
 _SPACE = re.compile(r"\s+")
+_SHUT = {name: re.compile("</" + name, re.I | re.A) for name in RAW}
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
     """('text', text, ''), ('open' | 'close', name, attributes) in page order;
     comments, declarations and the contents of raw elements are dropped."""
     at, n, text_from, unclosed = 0, len(page), 0, {}
-    lower = None
 
     def find(what: str, start: int) -> int:
         if unclosed.get(what, n + 1) <= start:      # known to be missing from here on
@@ -114,10 +114,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
         if kind:
             yield kind, name, attrs
             if kind == "open" and name in RAW and not attrs.endswith("/"):
-                if lower is None:
-                    lower = page.lower()
-                end = lower.find(f"</{name}", stop)
-                stop = n if end < 0 else end
+                shut = _SHUT[name].search(page, stop)
+                stop = shut.start() if shut else n
         at = text_from = stop
     if text_from < n:
         yield "text", page[text_from:], ""
