@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import minhash as H
 from tidemark.llm import queries as Q
@@ -100,3 +101,20 @@ def test_estimate_is_unbiased():
             n = np.array([3000.0])
             est.append(H.estimate(np.array([(H.registers(a) == H.registers(b)).sum()]), n, n)[0])
         assert abs(np.mean(est) - share) < 0.02
+
+
+def test_keep_one_leaves_one_row_of_each_group(spark):
+    """Repeated and null ids: rows are counted, not ids."""
+    def prose(k):
+        return " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(1, prose(1))] * 50                                     # identical rows
+    rows += [(2, prose(2)), (2, prose(2) + " more"), (2, prose(3))]     # an id of two groups
+    rows += [(None, prose(4))] + [(None, prose(1))] * 5 + [(9, prose(5)), (None, prose(5))]     # lone null id, null copies of others
+    rows += [(None, prose(6))] * 7                                  # a group of null ids only
+    rows += [(5, ""), (5, ""), (None, None)]                        # no words: all stay
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row_key", F.lit(1)).repartition(4)
+    got = H.keep_one(df)
+    assert got.columns == df.columns
+    left = sorted((str(r.doc_id), (r.text or "").split(" ")[0]) for r in got.collect())
+    assert left == sorted([("1", "w1x0"), ("2", "w2x0"), ("2", "w3x0"), ("None", "w4x0"), ("9", "w5x0"), ("None", "w6x0"),
+                           ("5", ""), ("5", ""), ("None", "")])

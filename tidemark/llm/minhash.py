@@ -208,16 +208,17 @@ def _pack(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5,
-                    percent: int = 80) -> DataFrame:
-    """(id, n_shingles, component_id, kept) for every row of ``df``. Texts are
-    linked when 100 * intersection >= percent * union of their shingle sets."""
+def _groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The sketches of ``docs`` (id, text, and row where rows have a key), and
+    (sig, rep, top) of every set: its least (id, row), nulls last, and the
+    root of its component."""
     threshold = percent / 100
     rows = rows_per_band(threshold)
-    docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
-    sk = materialise(docs.select("id", sketch(F.col("text"), width).alias("s")).select("id", "s.*"), "sketch")
+    by = [c for c in docs.columns if c != "text"]
+    key = by[-1]                                         # what a text is looked up by
+    sk = materialise(docs.select(*by, sketch(F.col("text"), width).alias("s")).select(*by, "s.*"), "sketch")
     nodes = materialise(sk.where("n > 0").groupBy("sig").agg(
-        F.first("n").alias("n"), F.first("regs").alias("regs"), F.min("id").alias("rep")), "nodes")
+        F.first("n").alias("n"), F.first("regs").alias("regs"), F.min(F.struct(F.col("id").isNull().alias("no_id"), *by)).alias("rep")), "nodes")
 
     bands = nodes.select("sig", F.explode(keys_of(F.col("regs"), rows)).alias("key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
@@ -230,8 +231,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
 
     # full sets of the nodes that have a candidate, from one text each
     wanted = (edges.select("sig").union(edges.select(F.col("centre").alias("sig"))).distinct()
-              .join(nodes.select("sig", "rep"), "sig"))
-    texts = docs.join(wanted.hint("merge"), F.col("id").eqNullSafe(F.col("rep"))).select("sig", signed_set(F.col("text"), width).alias("s"))
+              .join(nodes.select("sig", F.col(f"rep.{key}").alias("at")), "sig"))
+    texts = docs.join(wanted.hint("merge"), F.col(key).eqNullSafe(F.col("at"))).select("sig", signed_set(F.col("text"), width).alias("s"))
     sets = materialise(texts.where(F.col("s.sig") == F.col("sig")).select("sig", F.col("s.items").alias("items"))
                        .dropDuplicates(["sig"]), "sets")
 
@@ -287,8 +288,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
     roots = components(more).select(F.col("node").alias("root"), F.col("root").alias("top"))
 
     grouped = labelled(nodes.select("sig", "rep"), "sig", "root").join(roots.hint("merge"), "root", "left").withColumn("top", F.coalesce("top", "root"))
-    least = grouped.groupBy("top").agg(F.min("rep").alias("component_id"))
-    where = grouped.join(least.hint("merge"), "top").select("sig", "component_id")
+    return sk, grouped.select("sig", "rep", "top")
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5,
+                    percent: int = 80) -> DataFrame:
+    """(id, n_shingles, component_id, kept) for every row of ``df``. Texts are
+    linked when 100 * intersection >= percent * union of their shingle sets."""
+    sk, grouped = _groups(df.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")), width, percent)
+    least = grouped.groupBy("top").agg(F.min("rep").alias("least"))
+    where = grouped.join(least.hint("merge"), "top").select("sig", F.col("least.id").alias("component_id"))
     out = sk.select("id", "n", "sig").join(where.hint("merge"), "sig", "left")
     # an empty set is a component of its own
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
@@ -297,7 +306,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group, with the columns of ``df``; documents
-    without words stay."""
-    found = near_duplicates(df, id_col, text, width, percent).where("kept").select(F.col(id_col).alias(free_name(df, "kept_id"))).distinct()
-    return df.join(found.hint("merge"), F.col(id_col).cast("long").eqNullSafe(F.col(found.columns[0])), "left_semi")
+    """One row of each group, that of the least id (null after all others),
+    with the columns of ``df``; documents without words stay. Ids may repeat,
+    so rows get a key of their own, written with them."""
+    key = free_name(df, "row_key")
+    rows = materialise(df.withColumn(key, F.monotonically_increasing_id()), "rows")
+    sk, grouped = _groups(rows.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"), F.col(key).alias("row")), width, percent)
+    kept = (grouped.groupBy("top").agg(F.min("rep").alias("rep")).select(F.col("rep.row").alias(key))
+            .union(sk.where("n = 0").select(F.col("row").alias(key))))
+    return rows.join(kept.hint("merge"), key, "left_semi").drop(key)
