@@ -74,3 +74,30 @@ def test_schemas():
     assert faults("find", "[1]", TOOLS) == (None, ["not an object"]) and faults("find", "{", TOOLS) == (None, ["not json"])
     assert faults("find", None, TOOLS) == (None, ["not an object"]) and faults("find", '{"q":NaN}', TOOLS)[1] == ["not json"]
     assert line({"kind": "call", "role": "a", "args": None, "faults": ["not json"], "id": "1", "tool": "find"}).startswith('{"arguments":null')
+
+
+def test_reversed_chain_of_hundreds_beside_cycles(spark):
+    """Newest first: every dependency stands later; cycles of other
+    conversations, short and long, change nothing."""
+    n, m = 150, 25
+    rows = [call(1, 2 * (n - i), f"c{i}", refs=[f"c{i - 1}", f"c{i - 2}"][:min(i, 1 + (i % 50 == 2))]) for i in range(n)]
+    rows += [result(1, 2 * (n - i) + 1, f"c{i}") for i in range(n)]
+    rows += [call(2, 0, "p", refs=["q"]), result(2, 1, "p"), call(2, 2, "q", refs=["p"]), result(2, 3, "q")]
+    rows += [call(2, 4, "behind", refs=["q"]), call(2, 5, "free"), result(2, 6, "free")]
+    rows += [call(3, i, f"d{i}", refs=[f"d{(i + 1) % m}"]) for i in range(m)] + [result(3, m + i, f"d{i}") for i in range(m)]
+    rows += [call(4, 15 - i, f"e{i}", refs=[f"e{i - 1}"] if i else []) for i in range(15)] + [result(4, 30 - i, f"e{i}") for i in range(15)]
+    got = run(spark, rows)
+    assert len(got) == len(rows)
+    assert {(r.conv, r.id) for r in got if r.cyclic} == {(2, "p"), (2, "q"), (2, "behind")} | {(3, f"d{i}") for i in range(m)}
+    assert all((r.place_turn, r.place_depth) == (r.turn, 0) for r in got if r.cyclic)
+    # the definition, one event after the other
+    want = {}
+    for conv, size, k in ((1, n, "c"), (4, 15, "e")):
+        turn = {(r.kind, r.id): r.turn for r in got if r.conv == conv}
+        refs = {r[4]: r[7] for r in rows if r[0] == conv and r[3] == "call"}
+        for i in range(size):
+            c, on = ("call", f"{k}{i}"), [want[conv, "result", x] for x in refs[f"{k}{i}"]]
+            want[(conv, *c)] = max([(turn[c], 0)] + [(t, d + 1) for t, d in on])
+            t, d = want[(conv, *c)]
+            want[conv, "result", f"{k}{i}"] = max((turn["result", f"{k}{i}"], 0), (t, d + 1))
+    assert {(r.conv, r.kind, r.id): (r.place_turn, r.place_depth) for r in got if r.conv in (1, 4)} == want

@@ -12,9 +12,10 @@ they carry. Steps, all DataFrame work:
    after the results it refers to. Turn order already satisfies nearly all
    such edges; only events behind an edge that it violates are moved, in
    rounds (a moved event takes the place of its latest dependency and the next
-   depth), until nothing moves. An event on a cycle, or behind one, moves for
-   ever: after ``ROUNDS`` those deeper than half of them keep their own turn
-   and are flagged.
+   depth), until nothing moves. Conversations in which events still move after
+   ``ROUNDS`` are peeled instead: events whose dependencies are all placed are
+   placed, chains are shortened by pointer doubling, and what cannot be peeled
+   is on a cycle or behind one, keeps its own turn and is flagged.
 4. Every event becomes one line of canonical JSON: keys in code point order,
    no blanks, numbers in shortest form, characters outside of ASCII as they
    are.
@@ -38,7 +39,8 @@ from pyspark.sql import functions as F
 
 from .frames import materialise
 
-ROUNDS = 40     # rounds; edges against the turn order may form chains and cycles of half as many events
+ROUNDS = 40     # rounds before conversations that still move are peeled
+FAR = 1 << 40   # longer than any path without a cycle
 CALL, RESULT, MESSAGE = "call", "result", "message"
 #: name -> parameters of a tool; each: type, and optionally required, choices, least, most, longest
 Schemas = dict[str, dict[str, dict]]
@@ -108,6 +110,30 @@ def link(events: DataFrame) -> DataFrame:
     return out.withColumn("status", status)
 
 
+def peel(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Places (event, turn_at, depth) of ``nodes``, whose own places are given,
+    and those that are on or behind a cycle of ``edges`` (event, on). Every
+    round places the events without open dependencies and leads each edge past
+    a dependency that has only one itself, so a chain of n takes log n rounds."""
+    edges = edges.withColumn("k", F.lit(1).cast("long"))
+    while True:
+        out = edges.groupBy("event").agg(F.count("*").alias("out"), F.max("on").alias("next"), F.max("k").alias("next_k"))
+        state = materialise(nodes.join(out.hint("merge"), "event", "left").withColumn("out", F.coalesce("out", F.lit(0))), "peel")
+        nodes = state.select("event", "turn_at", "depth")
+        at_on = state.withColumnRenamed("event", "on")
+        hop = materialise(edges.join(at_on.hint("merge"), "on"), "hops")
+        if hop.where("out = 0").isEmpty():               # whatever is open depends on something open
+            return state.where("out = 0").select(*nodes.columns), state.where("out > 0").select(*nodes.columns)
+        least = hop.where("out <= 1").groupBy("event").agg(F.max(F.struct("turn_at", (F.col("depth") + F.col("k")).alias("depth"))).alias("least"))
+        nodes = (nodes.join(least.hint("merge"), "event", "left")
+                 .withColumn("to", F.greatest(F.struct("turn_at", "depth"), "least")).select("event", "to.turn_at", "to.depth"))
+        past = F.col("out") == 1
+        edges = (hop.where("out >= 1").select("event", F.when(past, F.col("next")).otherwise(F.col("on")).alias("on"),
+                                              F.when(past, F.least(F.col("k") + F.col("next_k"), F.lit(FAR))).otherwise(F.col("k")).alias("k"))
+                 .groupBy("event", "on").agg(F.max("k").alias("k")))
+        edges = materialise(edges, "open")
+
+
 def order(events: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Adds ``place`` (turn, depth): sorting a conversation by it is a
     topological order. ``cyclic`` marks events that no order can serve.
@@ -119,24 +145,31 @@ def order(events: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     edges = materialise(needs.where(F.col("id").isNotNull()).withColumnsRenamed({"conv": "c", "kind": "k", "id": "i"})
                         .join(targets.hint("merge"), F.col("c").eqNullSafe(F.col("conv")) & (F.col("k") == F.col("kind")) & (F.col("i") == F.col("id")))
                         .select("event", F.col("t.event").alias("on")).where(F.col("event") != F.col("on")), "needs")
-    at = base.select("event", F.col("turn").alias("turn_at"), F.lit(0).alias("depth"))
-    settled = False
+    at = base.select("event", F.col("turn").alias("turn_at"), F.lit(0).cast("long").alias("depth"))
+    moved = None
     for _ in range(rounds):
         at_on = at.select(F.col("event").alias("on"), F.struct("turn_at", (F.col("depth") + 1).alias("depth")).alias("least"))
         # a call and its result may share a turn, so the depth counts too
         want = edges.join(at_on.hint("merge"), "on").groupBy("event").agg(F.max("least").alias("least"))
         moved = materialise(at.join(want.hint("merge"), "event").where(F.struct("turn_at", "depth") < F.col("least")).select("event", "least"), "moved")
         if moved.isEmpty():
-            settled = True
+            moved = None
             break
         at = materialise(at.join(moved.hint("merge"), "event", "left").select(
             "event", F.coalesce("least.turn_at", "turn_at").alias("turn_at"), F.coalesce("least.depth", "depth").alias("depth")), "places")
+    if moved is not None:
+        # only conversations in which events still move
+        conv = base.join(moved.select("event").hint("merge"), "event", "left_semi").select(F.col("conv").alias("c")).distinct()
+        open_ = materialise(base.join(conv.hint("merge"), F.col("conv").eqNullSafe(F.col("c")), "left_semi")
+                            .select("event", F.col("turn").alias("turn_at"), F.lit(0).cast("long").alias("depth")), "open")
+        placed, on_cycle = peel(open_, edges.join(open_.select("event").hint("merge"), "event", "left_semi"))
+        at = at.join(open_.select("event").hint("merge"), "event", "left_anti").union(placed).withColumn("cyclic", F.lit(False))
+        at = at.union(on_cycle.withColumn("cyclic", F.lit(True)))
+    else:
+        at = at.withColumn("cyclic", F.lit(False))
     out = base.join(at.hint("merge"), "event")
-    # events that still move are on or behind a cycle
-    cyclic = F.lit(False) if settled else F.col("depth") >= rounds // 2
-    return (out.withColumn("cyclic", cyclic)
-            .withColumn("place", F.when(F.col("cyclic"), F.struct(F.col("turn").alias("turn"), F.lit(0).alias("depth")))
-                        .otherwise(F.struct(F.col("turn_at").alias("turn"), "depth"))).drop("event", "turn_at", "depth"))
+    return (out.withColumn("place", F.when(F.col("cyclic"), F.struct(F.col("turn").alias("turn"), F.lit(0).cast("long").alias("depth")))
+                           .otherwise(F.struct(F.col("turn_at").alias("turn"), "depth"))).drop("event", "turn_at", "depth"))
 
 
 def line(e: dict) -> str:
