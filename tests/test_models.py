@@ -44,6 +44,28 @@ def test_euler_series_matches_direct_form(spark):
         assert abs(g - _direct(p, 365, x, tx, T)) < 1e-9 * max(1, abs(g))
 
 
+def test_small_alpha_covers_every_repeater(spark):
+    """Own frequency, t_x and T of each customer; z from far below to close to 1."""
+    from dataclasses import replace
+
+    from tidemark.plans import catalog as CAT
+    params = [replace(CAT.FIXED_BGNBD, alpha=a) for a in CAT.SMALL_ALPHAS]
+    pts = [(1.0, 0.0, 1.0), (2.0, 1.0, 2.0), (5.0, 3.0, 4.0), (3.0, 40.0, 90.0)]
+    df = spark.createDataFrame(pts, "x double, tx double, T double")
+    for p in params:
+        for (x, tx, T), r in zip(pts, df.select(BG.expected_purchases(p, 3650, "x", "tx", "T")).collect()):
+            want = _direct(p, 3650, x, tx, T, 200_000)
+            assert abs(r[0] - want) < 1e-8 * max(1, abs(want))
+    sf = "/root/testdata/sf0.001"
+    got = {r.customer_id: r for r in CAT.REGISTRY["bgnbd_expected_small_alpha_customers"](spark, sf).collect()}
+    own = {r.customer_id: (r.frequency, r.t_x, r["T"]) for r in CAT.repeater_summary(spark, sf).collect()}
+    assert own and {c: (r.frequency, r.t_x, r["T"]) for c, r in got.items()} == own
+    for c in sorted(own)[::max(1, len(own) // 20)]:
+        for p, v in zip(params, (got[c].expected_0, got[c].expected_1)):
+            want = _direct(p, 3650, *(float(v) for v in own[c]))
+            assert abs(v - want) < 2e-6 * max(1, abs(want))
+
+
 def test_p_alive(spark):
     p = BgNbdParams(r=2.71, alpha=255.4, a=1.355, b=2.351)
     df = spark.createDataFrame([(0.0, 0.0, 100.0), (2.0, 90.0, 100.0)], "x double, tx double, T double")

@@ -441,7 +441,9 @@ SMALL_ALPHAS = (0.5, 4.41)
 
 @register("bgnbd_expected_small_alpha")
 def q_bgnbd_expected_small_alpha(spark, sf_dir):
-    """Ten years ahead, per distinct repeat count and age in years."""
+    """Ten years ahead, per distinct repeat count, with the age cut to 4 days
+    so that z is closest to 1: a check of the series against its SQL only.
+    ``bgnbd_expected_small_alpha_customers`` has the customers."""
     from dataclasses import replace
     s = repeater_summary(spark, sf_dir).select("frequency", F.least(F.col("T"), F.lit(4)).alias("T")).distinct()
     en = [r6(BG.expected_purchases(replace(FIXED_BGNBD, alpha=a), 3650, "frequency", F.lit(0.0), "T")).alias(f"expected_{i}")
@@ -449,6 +451,16 @@ def q_bgnbd_expected_small_alpha(spark, sf_dir):
     return s.select("frequency", "T", *en)
 
 
+@register("bgnbd_expected_small_alpha_customers")
+def q_bgnbd_expected_small_alpha_customers(spark, sf_dir):
+    """Ten years ahead, for every repeater with its own frequency, t_x and T
+    (days). No SQL: its direct series needs 120,000 terms a row."""
+    from dataclasses import replace
+    en = [r6(BG.expected_purchases(replace(FIXED_BGNBD, alpha=a), 3650, "frequency", "t_x", "T")).alias(f"expected_{i}")
+          for i, a in enumerate(SMALL_ALPHAS)]
+    return repeater_summary(spark, sf_dir).select("customer_id", "frequency", "t_x", "T", *en)
+
+
 @register("bgnbd_p_alive")
 def q_bgnbd_p_alive(spark, sf_dir):
     s = repeater_summary(spark, sf_dir)
