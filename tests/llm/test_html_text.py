@@ -70,3 +70,10 @@ def test_letter_that_grows_in_lower_case_before_a_raw_element():
         page = (f"<html><head><title>{chr(0x130) * 9}stanbul</title></head><body><{raw}>var a = 'no';</{raw}>"
                 f"<article><p>{WORDS} one</p><{raw}>b</{raw}><p>{WORDS} two</p></article></body></html>")
         assert Page(page).main_text(FIXED) == f"{WORDS} one\n{WORDS} two", raw
+
+
+def test_formulas_objects_and_fieldsets_inside_an_article():
+    """Ordinary elements; a fieldset of a form goes with the form."""
+    page = (f"<body><article><p>{WORDS} <math><mi>a</mi><mo>+</mo><mi>b</mi></math> end</p><p>{WORDS} <object data=x>shown instead</object></p>"
+            f"<fieldset><p>{WORDS}</p></fieldset><form><fieldset>Your name</fieldset></form></article></body>")
+    assert Page(page).main_text(FIXED).split("\n") == [f"{WORDS} a+b end", f"{WORDS} shown instead", WORDS]

@@ -33,11 +33,13 @@ TRAIN_PAGES = 4_000       # labelled pages that the weights are learned from
 FEATURES = 4_096          # most frequent tags with a weight of their own
 LEAST = 0.5               # what any tag costs
 # Elements by their part in a page.
-RAW = frozenset("script style noscript template iframe object svg math textarea select title".split())
+RAW = frozenset("script style noscript template iframe svg textarea select title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span strike "
-                   "strong sub sup time tt u var wbr img".split())
-LEFT_OUT = frozenset("nav footer aside form button menu dialog head fieldset".split()) | RAW
+                   "strong sub sup time tt u var wbr img object "
+                   "math semantics mrow mi mn mo ms mtext mspace msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mpadded "
+                   "mphantom menclose merror mmultiscripts mprescripts".split())
+LEFT_OUT = frozenset("nav footer aside form button menu dialog head".split()) | RAW
 LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 LEFT_OUT_NAMES = frozenset("ad ads advert advertisement advertising adsense sponsor sponsored promo promotion banner sidebar menu nav navbar "
                            "navigation breadcrumb breadcrumbs footer cookie cookies consent gdpr notice popup modal overlay newsletter subscribe "
