@@ -251,3 +251,26 @@ def test_failed_line_search_is_not_convergence():
     drift = lambda pts: [(float(np.exp(-p[0])), np.array([-np.exp(-p[0])]), np.array([[np.exp(-p[0])]])) for p in pts]
     r = newton(drift, [0.0])
     assert not r.converged and r.reason == "drifting"
+
+
+def test_fitted_report_has_every_customer(spark, monkeypatch):
+    """Every customer; scores and segments; CLV of repeaters recomputed from the fitted parameters."""
+    from tidemark.plans import catalog as CAT
+    sf = "/root/testdata/sf0.001"
+    models = CAT.fitted_models(spark, sf)
+    monkeypatch.setattr(CAT, "fitted_models", lambda *_: models)
+    got = {r.customer_id: r for r in CAT.REGISTRY["rfm_vs_clv_fitted_report"](spark, sf).collect()}
+    feats = {r.customer_id: r for r in CAT.features(spark, sf).collect()}
+    assert got and got.keys() == feats.keys()
+    b, g = models.bgnbd, models.gamma_gamma
+    seen = 0
+    for c, f in sorted(feats.items()):
+        if f.visit_count > 1 and f.days_frequency > 0 and f.monetary_value > 0 and seen < 20:
+            seen += 1
+            x, mv = float(f.days_frequency), float(f.monetary_value)
+            w = g.p * x / (g.p * x + g.q - 1)
+            want = _direct(b, CAT.XDAYS, x, float(f.t_x), float(f["T"]), 5000) * ((1 - w) * g.population_mean + w * mv)
+            assert abs(float(got[c].clv) - want) <= 0.01 + 1e-6 * abs(want)
+    assert seen
+    rfm = {r.customer_id: r for r in CAT.REGISTRY["rfm_scores"](spark, sf).collect()}
+    assert all((r.rfm_score, r.segment) == (rfm[c].rfm_score, rfm[c].segment) for c, r in got.items())

@@ -1031,12 +1031,23 @@ def q_customer_agg_events(spark, sf_dir):
                     "duration", "recency", "event", "days_frequency", "t_x", "T")
 
 
+def fitted_models(spark, sf_dir):
+    return TR.train_all(testdata_transactions(spark, sf_dir), SNAP, bgnbd_penalizer=BGNBD_PENALIZER, gg_penalizer=GG_PENALIZER,
+                        with_concordance=False)[0]
+
+
+@register("rfm_vs_clv_fitted_report")
+def q_rfm_vs_clv_fitted_report(spark, sf_dir):
+    """The analysis end to end with models fitted on the same visits: the row
+    of every customer. No SQL, as it cannot fit."""
+    return _report(AN.rfm_vs_clv(clean_txn(spark, sf_dir), SNAP, fitted_models(spark, sf_dir), XDAYS))
+
+
 @register("rfm_vs_clv_fitted")
 def q_rfm_vs_clv_fitted(spark, sf_dir):
-    """The analysis end to end with models fitted on the same visits: all
-    customers, no value missing or negative, quartiles of equal size."""
-    models, _ = TR.train_all(testdata_transactions(spark, sf_dir), SNAP, bgnbd_penalizer=BGNBD_PENALIZER, gg_penalizer=GG_PENALIZER,
-                             with_concordance=False)
+    """Checks of ``rfm_vs_clv_fitted_report``: all customers, no value missing
+    or negative, quartiles of equal size."""
+    models = fitted_models(spark, sf_dir)
     out = AN.rfm_vs_clv(clean_txn(spark, sf_dir), SNAP, models, XDAYS)
     per = out.groupBy("clv_level").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(~(F.col("clv") >= 0) | F.col("clv").isNull(), 1)).alias("bad"))
     return per.agg(F.sum("n").alias("customers"), F.sum("bad").alias("bad"), (F.max("n") - F.min("n") <= 1).alias("quartiles"))
