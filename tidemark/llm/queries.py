@@ -195,3 +195,63 @@ FROM (SELECT *, CASE kind WHEN 'message' THEN 'message' WHEN 'call' THEN CASE WH
 def op10_tool_calls(spark, sf_dir):
     from .tool_calls import format_chat
     return format_chat(chat_events(table(spark, sf_dir, "conversations")), CHAT_SCHEMAS)
+
+
+@register("op13_merkle", """
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, lang, n_chars, text,
+         list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+           lambda s, b: list_reduce([xor(s, b)] || list_transform(range(8), lambda i: CAST(0 AS BIGINT)),
+             lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) & 1 AS odd_state
+  FROM documents),
+l AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, row_number() OVER () AS row,
+         sha256(head || coalesce(CAST(strlen(text) AS VARCHAR) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(CAST(strlen(seen) AS VARCHAR) || ':' || seen, '-')) AS found
+  FROM (SELECT *, CASE WHEN odd_state = 1 THEN replace(text, chr(10), '') ELSE text END AS seen,
+               coalesce(CAST(strlen(CAST(doc_id AS VARCHAR)) AS VARCHAR) || ':' || doc_id, '-')
+               || coalesce(CAST(strlen(source) AS VARCHAR) || ':' || source, '-')
+               || coalesce(CAST(strlen(lang) AS VARCHAR) || ':' || lang, '-')
+               || coalesce(CAST(strlen(CAST(n_chars AS VARCHAR)) AS VARCHAR) || ':' || n_chars, '-') AS head
+        FROM d)),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, row) - 1 AS pos FROM l),
+up AS (
+  SELECT tree, 0 AS level, pos, leaf AS h FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM up) WHERE n > 1 GROUP BY tree, level, pos // 3),
+depth AS (SELECT tree, max(level) AS depth FROM up GROUP BY tree),
+sub AS (SELECT up.tree, h, depth, row_number() OVER (ORDER BY up.tree) - 1 AS pos FROM up JOIN depth ON up.tree = depth.tree AND level = depth),
+top AS (
+  SELECT 0 AS level, pos, h FROM sub
+  UNION ALL
+  SELECT level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER () AS n FROM top) WHERE n > 1 GROUP BY level, pos // 3),
+root AS (SELECT level AS depth, h AS root FROM top ORDER BY level DESC LIMIT 1),
+steps AS (
+  SELECT row, k.step, leaves.tree, CAST(NULL AS BIGINT) AS sub_pos, leaves.pos // CAST(pow(3, k.step) AS BIGINT) AS pos, k.step AS level
+  FROM leaves JOIN depth USING (tree), range(64) AS k(step) WHERE k.step < depth.depth
+  UNION ALL
+  SELECT row, sub.depth + k.step, NULL, sub.pos, sub.pos // CAST(pow(3, k.step) AS BIGINT), k.step
+  FROM leaves JOIN sub USING (tree), root, range(64) AS k(step) WHERE k.step < root.depth),
+sides AS (
+  SELECT s.row, s.step, coalesce(string_agg(n.h, '' ORDER BY n.pos) FILTER (WHERE n.pos < s.pos), '') AS lefts,
+         coalesce(string_agg(n.h, '' ORDER BY n.pos) FILTER (WHERE n.pos > s.pos), '') AS rights
+  FROM steps s JOIN (SELECT tree, level, pos, h FROM up UNION ALL SELECT NULL, level, pos, h FROM top) n
+  ON n.tree IS NOT DISTINCT FROM s.tree AND n.level = s.level AND n.pos // 3 = s.pos // 3
+  GROUP BY s.row, s.step, s.pos),
+fold AS (
+  SELECT row, 0 AS step, found AS h FROM leaves
+  UNION ALL
+  SELECT f.row, f.step + 1, sha256(lefts || h || rights) FROM fold f JOIN sides s ON s.row = f.row AND s.step = f.step),
+folded AS (SELECT row, arg_max(h, step) AS h FROM fold GROUP BY row),
+proof AS (SELECT row, string_agg(lefts || rights, '' ORDER BY step) AS p FROM sides GROUP BY row)
+SELECT leaves.doc_id, leaves.leaf, sub.h AS subroot, root.root, sha256(coalesce(p, '')) AS proof_sha256, folded.h AS folded_root,
+       folded.h = root.root AS verified
+FROM leaves JOIN sub USING (tree) JOIN folded ON folded.row = leaves.row LEFT JOIN proof ON proof.row = leaves.row, root
+""")
+def op13_merkle(spark, sf_dir):
+    from .merkle import dataset_manifest, tampered
+    docs = table(spark, sf_dir, "documents")
+    out = dataset_manifest(docs, tampered(F.col("text"), F.col("doc_id")))
+    return out.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
