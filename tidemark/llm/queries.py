@@ -255,3 +255,12 @@ def op13_merkle(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     out = dataset_manifest(docs, tampered(F.col("text"), F.col("doc_id")))
     return out.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@register("op12_compression")
+def op12_compression(spark, sf_dir):
+    from .compression_classifier import THRESHOLD, held_out, score, train
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = train(docs, labels.where(~held_out(F.col("doc_id"))))
+    out = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score(F.col("text"), model).alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
