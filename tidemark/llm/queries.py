@@ -264,3 +264,41 @@ def op12_compression(spark, sf_dir):
     model = train(docs, labels.where(~held_out(F.col("doc_id"))))
     out = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score(F.col("text"), model).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+@register("op11_collocations", """
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, lang, regexp_extract_all(piece, '[^ \\t]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM documents WHERE text IS NOT NULL)),
+grams AS (
+  SELECT lang, size, phrase, count(*) AS f
+  FROM (SELECT lang, 1 AS size, unnest(w) AS phrase FROM pieces
+        UNION ALL SELECT lang, 2, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) FROM pieces
+        UNION ALL SELECT lang, 3, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) FROM pieces)
+  GROUP BY lang, size, phrase),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE size = 1 GROUP BY lang),
+cand AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS w, f AS a FROM grams WHERE size > 1 AND f >= 10),
+split AS (
+  SELECT lang, size, phrase, a, k.k, array_to_string(w[1:k.k], ' ') AS head, array_to_string(w[k.k + 1:], ' ') AS tail
+  FROM cand, range(1, 3) AS k(k) WHERE k.k < size),
+cuts AS (
+  SELECT c.lang, c.size, c.phrase, c.a, c.k, h.f AS l, t.f AS r,
+         CAST(CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(h.f AS HUGEINT) * t.f) AS BIGINT) AS score
+  FROM split c JOIN grams h ON h.lang = c.lang AND h.phrase = c.head AND h.size = c.k
+  JOIN grams t ON t.lang = c.lang AND t.phrase = c.tail AND t.size = c.size - c.k),
+worst AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase, size ORDER BY score, k) AS o FROM cuts),
+inner_pairs AS (
+  SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM cand WHERE size = 3
+  UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM cand WHERE size = 3),
+longer AS (SELECT lang, phrase, max(a) AS longer FROM inner_pairs GROUP BY lang, phrase),
+kept AS (
+  SELECT w.* FROM worst w LEFT JOIN longer x ON x.lang = w.lang AND x.phrase = w.phrase AND w.size = 2
+  WHERE w.o = 1 AND (x.longer IS NULL OR 100 * x.longer < 50 * w.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+""")
+def op11_collocations(spark, sf_dir):
+    from .collocations import collocations
+    return collocations(table(spark, sf_dir, "documents"))
