@@ -53,14 +53,14 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("shard_words", [1 << 21, 25])
-def test_equals_brute_force_over_many_shards_and_rounds(spark, shard_words):
+@pytest.mark.parametrize("partitions", [5, 180])
+def test_equals_brute_force_over_many_shards_and_rounds(spark, partitions):
     rows = corpus() + [("alpha beta gamma " * 4000, "hot"), ("rare words only", "few"), (None, "en"), ("", "de"), ("..,;", None), ("und too " * 12, "und")]
-    df = spark.createDataFrame([r + (1, 2.0) for r in rows], "text string, lang string, rank int, phrase double").repartition(5)
-    got = sorted(tuple(r) for r in C.collocations(df, shard_words=shard_words).collect())
+    df = spark.createDataFrame([r + (1, 2.0) for r in rows], "text string, lang string, rank int, phrase double").repartition(partitions)
+    got = sorted(tuple(r) for r in C.collocations(df).collect())
     assert got == brute(rows)
-    if shard_words == 25:
-        assert C.shards(df.select("lang", "text"), 25).where("ids is not null").count() > C.FAN_IN
+    if partitions > 5:
+        assert C.shards(df.select("lang", "text")).where("ids is not null").count() > C.FAN_IN
 
 
 def test_least_top_and_ties(spark):
