@@ -7,8 +7,8 @@ with the corpus's words: a phrase found ``least`` times holds only words found
 as often, so only those get an id, and any other word ends a phrase. Pass 2
 cogroups each shard with the ids of its words, counts its pairs and triples in
 a counting quotient filter (``quotient``), and splits that into ranges.
-Filters of one range are merged over the shards, ``FAN_IN`` at a time; each
-round splits the ranges again, so a task never holds more than about one
+Filters of one range are merged over the shards, as
+many shards at a time as there are ranges; each round splits the ranges again, so a task never holds more than about one
 shard's entries whatever the size of the corpus. Ids are dense, so a phrase
 packs into a few bytes; the permutation is inverted at the end, and no count
 is ever approximate.
@@ -37,7 +37,6 @@ from . import text as T
 from .frames import discard, materialise
 
 SHARD_WORDS = 1 << 21
-FAN_IN = 64
 LEAST = 10              # occurrences of a candidate
 TOP = 2000              # phrases reported per language
 PARTIAL = 50            # per cent of a phrase's occurrences inside a longer one that drop it
@@ -137,7 +136,7 @@ def with_ids(words: DataFrame, label: str) -> DataFrame:
 def ngram_counts(parts: DataFrame, ids: DataFrame, b: int, n_shards: int, least: int) -> DataFrame:
     """(w1, w2, w3, n) of every pair (w3 = 0) and triple found ``least`` times.
     parts: (shard, ids) streams; ids: (shard, place, id) of words that count."""
-    h = Q.half_bits(b)
+    h, step = Q.half_bits(b), Q.RANGE_BITS
 
     def count(streams: pa.Table, known: pa.Table) -> pa.Table:
         out = []
@@ -148,24 +147,24 @@ def ngram_counts(parts: DataFrame, ids: DataFrame, b: int, n_shards: int, least:
             to[place] = word
             g = to[stream]
             two = np.flatnonzero((g[:-1] > 0) & (g[1:] > 0))
-            three = two[:-1][(np.diff(two) == 1)] if len(two) > 1 else two[:0]
-            w1, w2 = np.concatenate([g[two], g[three]]), np.concatenate([g[two + 1], g[three + 1]])
-            w3 = np.concatenate([np.zeros(len(two), np.int64), g[three + 2]])
-            left, right = Q.permute(w1, w2, w3, b)
-            out += Q.split(*Q.summed(left, right, np.ones(len(left), np.int64), h), h, 0)
+            three = two[:-1][np.diff(two) == 1]
+            pairs = Q.permute(g[two], g[two + 1], np.zeros(len(two), np.int64), b)
+            triples = Q.permute(g[three], g[three + 1], g[three + 2], b)
+            left, right = (np.concatenate(x) for x in zip(pairs, triples))
+            out += Q.split(*Q.summed(left, right, np.ones(len(left), np.int64), h), h, 0, step)
         shard = streams.column("shard").to_numpy()
         return pa.table({"shard": pa.array(np.full(len(out), shard[0] if len(shard) else 0), pa.int64()),
                          "part": pa.array([r for r, _ in out], pa.int64()), "filter": pa.array([f for _, f in out], pa.binary())})
 
-    known = ids.withColumnRenamed("shard", "owner")
-    filters = parts.groupBy("shard").cogroup(known.groupBy("owner")).applyInArrow(count, "shard long, part long, filter binary")
-    used, groups, held = Q.RANGE_BITS, n_shards, []
+    # one shard, or one shard's worth of entries, a task
+    tasks = max(n_shards, 1)
+    known = ids.withColumnRenamed("shard", "owner").repartition(tasks, "owner")
+    filters = (parts.repartition(tasks, "shard").groupBy("shard").cogroup(known.groupBy("owner"))
+               .applyInArrow(count, "shard long, part long, filter binary"))
+    used, groups, held = step, n_shards, []
     while True:
-        groups = -(-groups // FAN_IN)
+        groups = -(-groups // (1 << step))
         last, bits = groups <= 1, used
-        filters = materialise(filters, "filters")
-        held.append(filters)
-        filters = filters.withColumn("shard", F.pmod(F.xxhash64("shard"), F.lit(max(groups, 1))))
 
         def join(key: tuple, rows: pa.Table) -> pa.Table:
             entries = Q.merge(rows.column("filter").to_pylist(), h, bits, key[1].as_py())  # noqa: B023
@@ -173,17 +172,18 @@ def ngram_counts(parts: DataFrame, ids: DataFrame, b: int, n_shards: int, least:
                 keep = entries[2] >= least
                 w = Q.unpermute(entries[0][keep], entries[1][keep], b)
                 return pa.table({"w1": w[0].astype(np.int64), "w2": w[1].astype(np.int64), "w3": w[2].astype(np.int64), "n": entries[2][keep]})
-            out = Q.split(*entries, h, bits)  # noqa: B023
+            out = Q.split(*entries, h, bits, step)  # noqa: B023
             return pa.table({"shard": pa.array([key[0].as_py()] * len(out), pa.int64()), "part": pa.array([r for r, _ in out], pa.int64()),
                              "filter": pa.array([f for _, f in out], pa.binary())})
 
-        merged = filters.groupBy("shard", "part").applyInArrow(join, "w1 long, w2 long, w3 long, n long" if last else "shard long, part long, filter binary")
+        merged = (filters.withColumn("shard", F.pmod(F.xxhash64("shard"), F.lit(max(groups, 1)))).repartition(tasks, "shard", "part")
+                  .groupBy("shard", "part").applyInArrow(join, "w1 long, w2 long, w3 long, n long" if last else "shard long, part long, filter binary"))
+        done = materialise(merged, "ngrams" if last else "filters")
+        for table in held:
+            discard(table)
         if last:
-            counted = materialise(merged, "ngrams")
-            for table in held:
-                discard(table)
-            return counted
-        filters, used = merged, used + Q.RANGE_BITS
+            return done
+        filters, held, used = done, [done], used + step
 
 
 def score(a: Column, l: Column, r: Column) -> Column:  # noqa: E741
@@ -222,10 +222,10 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", least: i
     words = with_ids(entries.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least), "words")
     n_shards = base.where("ids is not null").count()
     rounds = 1
-    while FAN_IN ** rounds < n_shards:
+    while 1 << Q.RANGE_BITS * rounds < n_shards:
         rounds += 1
     # room for the ranges of every round and some slots
-    b = max(int(words.agg(F.max("id")).first()[0] or 1).bit_length(), 4 * rounds + 8)
+    b = max(int(words.agg(F.max("id")).first()[0] or 1).bit_length(), Q.RANGE_BITS * rounds * 2 // 3 + 8)
     if b > LONGEST_BITS:
         raise ValueError("more frequent words than ids have bits")
     ids = entries.join(words.select("lang", "word", "id").hint("merge"), ["lang", "word"]).select("shard", "place", "id")

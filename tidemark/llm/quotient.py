@@ -19,7 +19,7 @@ import numpy as np
 from . import text as T
 
 ROUND_KEYS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89], np.uint64)
-RANGE_BITS = 6          # a filter is split into 64 ranges at a time
+RANGE_BITS = 9          # a filter is split into 512 ranges at a time
 ESCAPE = 255
 
 
@@ -120,9 +120,9 @@ def merge(filters: list[bytes], h: int, used: int, prefix: int) -> tuple[np.ndar
     return summed(*(np.concatenate(x) for x in zip(*parts)), h)
 
 
-def split(left: np.ndarray, right: np.ndarray, n: np.ndarray, h: int, used: int) -> list[tuple[int, bytes]]:
-    """One filter for each range of ``RANGE_BITS`` more bits that has entries."""
-    bits = used + RANGE_BITS
+def split(left: np.ndarray, right: np.ndarray, n: np.ndarray, h: int, used: int, more: int | None = None) -> list[tuple[int, bytes]]:
+    """One filter for each range of ``more`` (RANGE_BITS) further bits that has entries."""
+    bits = used + (RANGE_BITS if more is None else more)
     top = (left >> np.uint64(h - bits)).astype(np.int64)
     cuts = np.flatnonzero(np.diff(top, prepend=-1))
     ends = np.append(cuts[1:], len(top))
