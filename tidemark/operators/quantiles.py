@@ -1,69 +1,21 @@
-"""Exact order statistics, quantile edges and global positions without
-pulling all rows into one task.
-
-One path for every size: equal values collapse to one counted row (a tied
-value is one row however often it occurs), the counted rows are range
-partitioned, and the partitions' totals (one number per partition) tell which
-partitions hold the wanted positions and with which offset. Only those
-partitions are ordered, and only the wanted rows reach the driver.
+"""Exact quantile edges and global positions without pulling all rows into
+one task.
+
+Edges come from ``selection``: sketches bracket the wanted positions, narrow
+aggregates prove the brackets, and only rows inside them are shuffled.
+Positions of all rows come from range partitions and their row counts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def order_statistics(df: DataFrame, keys: Mapping[str, Sequence[str]],
-                     wanted: Mapping[str, Callable[[int], Sequence[int]]]) -> tuple[dict[str, int], dict[str, dict[int, Any]]]:
-    """Row counts and the values at 0-based positions of several orders at
-    once. ``keys``: name -> (value column,) or (value column, tie column);
-    rows with a null value are left out. ``wanted``: name -> positions for n
-    rows. Values come back as doubles, with a tie column as (double, tie)."""
-    ties = {c[1] for c in keys.values() if len(c) > 1}
-    kind = df.select(*ties).schema[0].dataType.simpleString() if ties else "string"
-    rows = F.explode(F.array(*[F.struct(
-        F.lit(k).alias("k"), F.col(c[0]).cast("double").alias("a"),
-        (F.col(c[1]) if len(c) > 1 else F.lit(None)).cast(kind).alias("b")) for k, c in keys.items()]))
-    counts = (df.select(rows.alias("r")).select("r.*").where(F.col("a").isNotNull())
-              .groupBy("k", "a", "b").agg(F.count(F.lit(1)).alias("cnt")))
-    ranged = (counts.repartitionByRange("k", "a", "b").withColumn("part", F.spark_partition_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    totals = {k: {} for k in keys}
-    for r in ranged.groupBy("k", "part").agg(F.sum("cnt").alias("n")).collect():
-        totals[r["k"]][r["part"]] = int(r["n"])
-    n = {k: sum(t.values()) for k, t in totals.items()}
-    need: dict[tuple[str, int], dict[int, int]] = {}
-    for k, t in totals.items():
-        todo = sorted({p for p in wanted[k](n[k]) if 0 <= p < n[k]})
-        before = 0
-        for part in sorted(t):
-            inside = {p - before: p for p in todo if before <= p < before + t[part]}
-            if inside:
-                need[k, part] = inside
-            before += t[part]
-    out: dict[str, dict[int, Any]] = {k: {} for k in keys}
-    if need:
-        hit = None
-        for (k, part), inside in need.items():
-            spots = None
-            for p in inside:
-                s = (F.col("hi") > p) & (F.col("hi") - F.col("cnt") <= p)
-                spots = s if spots is None else spots | s
-            term = (F.col("k") == k) & (F.col("part") == part) & spots
-            hit = term if hit is None else hit | term
-        parts = F.struct("k", "part").isin([F.struct(F.lit(k), F.lit(p)) for k, p in need])
-        w = Window.partitionBy("k", "part").orderBy("a", "b")
-        for r in ranged.where(parts).withColumn("hi", F.sum("cnt").over(w)).where(hit).collect():
-            for local, p in need[r["k"], r["part"]].items():
-                if r["hi"] - r["cnt"] <= local < r["hi"]:
-                    out[r["k"]][p] = (r["a"], r["b"]) if len(keys[r["k"]]) > 1 else r["a"]
-    ranged.unpersist()
-    return n, out
+from ..session import stable_base
+from .selection import select_positions
 
 
 def edge_positions(n: int, q: int) -> list[int]:
@@ -88,7 +40,7 @@ def edges_at(stats: Mapping[int, float], n: int, q: int) -> list[float]:
 
 def quantile_edges(df: DataFrame, col: str, q: int) -> list[float]:
     """Interior edges i/q (i = 1..q-1) of a column, nulls left out."""
-    n, stats = order_statistics(df, {"v": (col,)}, {"v": lambda n: edge_positions(n, q)})
+    n, stats = select_positions(df, {"v": (col,)}, {"v": lambda n: edge_positions(n, q)})
     return edges_at(stats["v"], n["v"], q)
 
 
@@ -125,13 +77,14 @@ def bucket_by_edge_columns(value: str, edge_cols: Sequence[str]) -> Column:
 
 def global_row_number(df: DataFrame, order: Sequence[str], out: str = "rn") -> DataFrame:
     """1-based position of every row in ``order``: rows are range partitioned,
-    numbered inside their partition and shifted by the counts of the
-    partitions before it. The frame stays cached for the reader."""
-    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
-    counts = {r["_part"]: r["count"] for r in ranged.groupBy("_part").count().collect()}
-    pairs, before = [F.lit(-1), F.lit(0).cast("long")], 0
-    for part in sorted(counts):
-        pairs += [F.lit(part), F.lit(before).cast("long")]
-        before += counts[part]
-    local = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return ranged.withColumn(out, F.element_at(F.create_map(*pairs), F.col("_part")) + local).drop("_part")
+    sorted and numbered inside their partition, and staged with these numbers
+    on the shared folder. The row counts of the partitions (a table of one row
+    each) give the shift that is joined back."""
+    inside = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    staged = stable_base(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                         .withColumn("_part", F.spark_partition_id()).withColumn("_at", inside))
+    counts = staged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # one row a partition, so one ordered window over them is small
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shifted = staged.join(counts.select("_part", before.alias("_before")), "_part")
+    return shifted.withColumn(out, F.col("_before") + F.col("_at") + 1).drop("_part", "_at", "_before")

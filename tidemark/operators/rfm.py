@@ -4,8 +4,8 @@ Quintile semantics: interpolated quantile edges, right-closed bins with the
 lowest value included (bucket = 1 + number of interior edges below the
 value). Frequency is ranked first (position in (frequency, customer_id)
 order): its buckets end at four boundary rows, compared as literals, so no
-rank is materialised. Edges and boundaries come from one pass of exact order
-statistics and enter the plan as literals.
+rank is materialised. Edges and boundaries are selected exactly by brackets
+(``selection``) and enter the plan as literals.
 """
 
 from __future__ import annotations
@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import rfm_code, segment_name
-from .quantiles import (bucket_by_boundaries, bucket_by_edges, edge_positions, edges_at, order_statistics,
-                        quantile_edges, rank_positions)
+from .quantiles import (bucket_by_boundaries, bucket_by_edges, edge_positions, edges_at, quantile_edges,
+                        rank_positions)
+from .selection import select_positions
 
 
 class TiedEdgesError(ValueError):
@@ -33,7 +34,7 @@ def rfm_scores(rfm: DataFrame, strict: bool = False, persist: bool = True) -> Da
     """R (reversed quintile of recency), F (quintile of first-rank of
     frequency), M (quintile of monetary), code, total and segment name."""
     base = rfm.persist(StorageLevel.MEMORY_AND_DISK) if persist else rfm
-    counts, stats = order_statistics(
+    counts, stats = select_positions(
         base, {"r": ("recency",), "m": ("monetary",), "f": ("frequency", "customer_id")},
         {"r": lambda n: edge_positions(n, 5), "m": lambda n: edge_positions(n, 5), "f": lambda n: rank_positions(n, 5)})
     if counts["f"] == 0:
