@@ -1,6 +1,7 @@
 """Main text against the marked articles and hand-written pages."""
 
 import html
+import random
 import re
 import time
 
@@ -48,6 +49,48 @@ def test_hand_written_page():
     assert Page(marked).main_text(FIXED).split("\n") == want
 
 
+def best_region(score):
+    """The greatest sum of a contiguous run, by trying all."""
+    best = 0.0
+    for i in range(len(score)):
+        total = 0.0
+        for s in score[i:]:
+            total += s
+            best = max(best, total)
+    return best
+
+
+def test_region_is_the_best_of_all():
+    rng = random.Random(4)
+    for _ in range(150):
+        parts = [rng.choice(["<p>", "</p>", "<div class=ad>", "</div>", "<nav>", "</nav>", "<li>", "one two", "a b c d e f", "x", "<article>", "</article>"])
+                 for _ in range(rng.randint(0, 40))]
+        page = Page("".join(parts))
+        score, lo, hi = page.region(FIXED)
+        assert abs((sum(score[lo:hi + 1]) if hi >= lo else 0.0) - best_region(score)) < 1e-9
+        assert all(s < 0 for s, f, w, out in zip(score, page.feature, page.words, page.out) if out and (f is not None or w))
+
+
+def test_short_articles_beside_long_notices(spark):
+    """An article of a few words is found beside a longer footer."""
+    long_notice = "Copyright of this site and all that it holds, all rights are reserved by its owner " * 3
+    page = f"<html><body><nav><a>One</a><a>Two</a></nav><article><h1>Sea.</h1><p>Sea.</p></article><footer><p>{long_notice}</p></footer></body></html>"
+    weights = train(spark.createDataFrame([(i, page.replace("Sea.", "Some longer words of a story here")) for i in range(30)], "page_id long, html string"))
+    assert Page(page).main_text(weights) == "Sea.\nSea."
+
+
+def test_sf01_articles(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    got = pages.select("html", main_text(F.col("html"), train(pages)).alias("t")).collect()
+    wrong = [r.t for r in got if r.t != plain(r.html)]
+    assert not wrong, wrong[:5]
+
+
+def test_empty_table(spark):
+    none = spark.createDataFrame([], "page_id long, html string")
+    assert none.select(main_text(F.col("html"), train(none)).alias("t")).collect() == []
+
+
 def test_awkward_pages(spark):
     rows = [(1, None), (2, ""), (3, "<p></p>"), (4, "just text & more &eacute;"), (5, "a < b <p>x y z"), (6, "<p>open <b>never closed"),
             (7, "<div><p>" + "long text of words " * 40_000), (8, "<" * 30_000), (9, '<a href="x' * 20_000), (10, "<!-- never closed <p>x</p>"), (5, "a < b <p>x y z"),

@@ -1,9 +1,10 @@
 """Main text of web pages by maximum-scoring subsequence (operator 8).
 
-A page is a sequence of words and tags. Every word scores +1, every tag a
-negative weight learned from labelled pages: pages that mark their article
-(``article``, ``main`` or ``role=main``) tell how often a tag stands outside
-of it and how many words follow it there. One linear scan finds the contiguous
+A page is a sequence of words and tags. Every word scores +1 (-1 inside an
+element that is left out, so a long notice never outweighs a short article),
+every tag a negative weight learned from labelled pages: pages that mark their
+article (``article``, ``main`` or ``role=main``) tell how often a tag stands
+outside of it and how many words follow it there. One linear scan finds the contiguous
 region with the largest total. The text comes from the ancestor of that region
 whose own total (left-out elements aside) is largest, so that weak first and
 last blocks of an article are not lost; inside it menus, page headers and
@@ -15,7 +16,8 @@ Defined cases: null and empty pages, and pages without words, give an empty
 text; unclosed, crossed and unknown tags are tolerated (a ``<`` that starts no
 tag is text); plain text without tags is one block; very long pages are
 scanned in linear time; repeated rows get equal results; without labelled
-pages the weights are the fixed ones below; other columns pass through.
+pages the weights are the fixed ones below; an empty table gives an empty
+table; other columns pass through.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ from pyspark.sql import functions as F
 
 TRAIN_PAGES = 4_000       # labelled pages that the weights are learned from
 FEATURES = 4_096          # most frequent tags with a weight of their own
-LEAST = 0.5               # what any tag costs
+LEAST = 0.2               # what a tag costs that only stands in articles
+UNSEEN = 0.5              # what a tag without a weight costs
 # Elements by their part in a page.
 RAW = frozenset("script style noscript template iframe svg textarea select title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -157,7 +160,7 @@ class Page:
                 names, role = names_of(attrs)
                 top = stack[-1]
                 inside = top[3] or name in MARKS or role == "main"
-                feature = name + "".join(sorted("." + x for x in names))[:64] if names else name
+                feature = name + "".join(sorted("." + x for x in names))
                 e = len(self.parent)
                 out = top[2] or left_out(name, names, role, top[3])
                 self.parent.append(top[1])
@@ -202,8 +205,10 @@ class Page:
                     return
 
     def region(self, weights: dict[str, float]) -> tuple[list[float], int, int]:
-        """Scores, and the first and last token of the best contiguous region."""
-        score = [w if f is None else weights.get(f, weights.get(f.split(".")[0], -LEAST)) for f, w in zip(self.feature, self.words)]
+        """Scores, and the first and last token of the best contiguous region.
+        Words that are left out count against a region as much as others for it."""
+        score = [(-w if out else w) if f is None else weights.get(f, weights.get(f.split(".")[0], -UNSEEN))
+                 for f, w, out in zip(self.feature, self.words, self.out)]
         best, lo, hi, total, start = 0.0, 0, -1, 0.0, 0
         for i, s in enumerate(score):
             if total <= 0:
@@ -241,7 +246,8 @@ class Page:
 
     def evidence(self) -> dict[str, list[float]] | None:
         """By tag: times inside and outside the marked article, and the words
-        that follow it outside; None when the page marks none."""
+        that follow it outside and are not left out anyway; None when the page
+        marks none."""
         spans = [(self.first[e], self.last[e]) for e, m in enumerate(self.mark) if m]
         if not spans:
             return None
@@ -255,7 +261,7 @@ class Page:
                 k += 1
             inside = i < stop and not self.out[i]
             if f is None:
-                if last is not None and not inside:
+                if last is not None and not inside and not self.out[i]:
                     found[last][2] += w
             else:
                 found[f][0 if inside else 1] += 1
@@ -264,10 +270,12 @@ class Page:
 
 
 def train(pages: DataFrame, html_col: str = "html", key: str = "page_id", most: int = TRAIN_PAGES) -> dict[str, float]:
-    """Tag weights from at most ``most`` labelled pages (the first by a hash
-    of the key); at most FEATURES weights reach the driver."""
+    """Tag weights from about ``most`` labelled pages (those whose hash lies
+    under that share of them); at most FEATURES weights reach the driver."""
     marked = pages.where(F.lower(F.col(html_col)).rlike(r"<(article|main)[\s>]|role\s*=\s*[\"']?main"))
-    part = marked.select(F.col(html_col).alias("html"), F.xxhash64(F.col(key).cast("string")).alias("h")).orderBy("h", F.xxhash64("html")).limit(most)
+    share = min(1.0, most / max(marked.count(), 1))
+    draw = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("train")), F.lit(1 << 20)) / float(1 << 20)
+    part = marked.where(draw < share).select(F.col(html_col).alias("html"))
 
     def run(batches):
         total: dict[str, list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0])
@@ -277,7 +285,7 @@ def train(pages: DataFrame, html_col: str = "html", key: str = "page_id", most:
                     total[f] = [p + q for p, q in zip(total[f], v)]
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), *(pa.array([v[i] for v in total.values()], pa.float64()) for i in range(3))],
                                          ["tag", "inside", "outside", "words"])
-    sums = (part.repartition("h").mapInArrow(run, "tag string, inside double, outside double, words double").groupBy("tag")
+    sums = (part.mapInArrow(run, "tag string, inside double, outside double, words double").groupBy("tag")
             .agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"), F.sum("words").alias("words"))
             .orderBy(F.desc(F.col("inside") + F.col("outside")), "tag").limit(FEATURES).collect())
     weights = dict(FIXED)
