@@ -452,6 +452,7 @@ p2 AS (SELECT *, {_level('v')} AS lvl FROM p1)
 
 SCORE = _scoring()
 SQL["score_customers"] = SCORE
+SQL["score_published"] = SCORE
 SQL["score_customers_fallback"] = _scoring(models=False)
 SQL["score_customers_lenient"] = _scoring(lenient=True)
 _SC = f"WITH sc AS ({SCORE}) "

@@ -26,6 +26,7 @@ from tidemark.plans.analysis import rfm_vs_clv, target_list, underrated
 from tidemark.plans.scoring import response_json, score_customers
 from tidemark.plans.training import train_all, train_lenient
 from tidemark.session import ensure_checkpoint_dir, ship_package
+from tidemark.sinks.store import Store
 from tidemark.sources import read_lenient, read_transactions, training_paths
 from tidemark.sources.requests import flatten_requests, read_requests, rejected_requests, rejected_visits, request_defaults
 
@@ -71,9 +72,9 @@ def main(argv=None) -> int:
         else:
             models, metrics = train_all(txn, args.snapshot, penalizer=args.penalizer,
                                         bgnbd_penalizer=args.bgnbd_penalizer, by_channel=args.by_channel)
-        sinks.save_models(spark, models, args.model_dir, metrics)
+        Store(spark, args.model_dir).publish(models, metrics)
     elif args.cmd == "score":
-        models = sinks.load_models(spark, args.model_dir)
+        models = Store(spark, args.model_dir).load()
         requests = request_defaults(read_requests(spark, args.requests, args.multiline),
                                     zero_is_missing=not args.lenient, config=models.config).persist()
         preds = score_customers(flatten_requests(requests), models, lenient=args.lenient).persist()
@@ -82,7 +83,7 @@ def main(argv=None) -> int:
         rejected_requests(requests).write.mode("overwrite").json(os.path.join(args.out, "rejected_requests"))
         rejected_visits(requests).write.mode("overwrite").json(os.path.join(args.out, "rejected_visits"))
     else:
-        models = sinks.load_models(spark, args.model_dir)
+        models = Store(spark, args.model_dir).load()
         txn = _input(spark, args.input, False)
         report = rfm_vs_clv(clean_strict(txn, args.snapshot), args.snapshot, models, args.xdays,
                             per_channel=bool(models.cox_by_channel))

@@ -6,6 +6,7 @@ parquet tables (visits are derived from ``orders``; snapshot 1996-01-01).
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -665,6 +666,18 @@ def q_score_customers(spark, sf_dir):
     return predictions(spark, sf_dir)
 
 
+@register("score_published")
+def q_score_published(spark, sf_dir):
+    """A store is published twice (first without models), and the
+    requests are scored with what a reader then loads."""
+    from ..session import shared_path
+    from ..sinks.store import Store
+    store = Store(spark, shared_path(spark, f"models-{uuid.uuid4().hex}"))
+    store.publish(AN.ModelBundle())
+    store.publish(fixed_models())
+    return SC.score_customers(request_rows(spark, sf_dir), store.load())
+
+
 @register("score_customers_fallback")
 def q_score_customers_fallback(spark, sf_dir):
     return SC.score_customers(request_rows(spark, sf_dir), AN.ModelBundle())
