@@ -511,6 +511,8 @@ SQL["prep_inference"] = with_(txn_cte()) + _ROWS + f""" SELECT request_id, custo
   round(avg_spend, 6) AS avg_spend, {floor_days('first_date', 'snapshot_ts')} AS duration, recency,
   days_frequency, t_x, T, round(monetary_value, 6) AS monetary_value FROM rf"""
 SQL["flatten_requests"] = SQL["scan_requests"]
+SQL["scan_customer_json"] = with_(txn_cte()) + """ SELECT CAST(customer_id AS VARCHAR) AS customer_id, arrival_ts, revenue,
+  coalesce(channel, 'Unknown') AS channel FROM txn"""
 SQL["head_sample"] = REPS + """ SELECT customer_id, days_frequency AS frequency, t_x, T,
   round(monetary_value, 6) AS monetary_value FROM reps ORDER BY customer_id LIMIT 10"""
 SQL["request_defaults"] = with_(txn_cte()) + f"""

@@ -666,6 +666,29 @@ def q_score_customers(spark, sf_dir):
     return predictions(spark, sf_dir)
 
 
+LIST_CUSTOMERS = 1000
+
+
+@register("scan_customer_json")
+def q_scan_customer_json(spark, sf_dir):
+    """All visits written as bare customer lists (JSON arrays of about
+    LIST_CUSTOMERS customers, each one line of a file), read back by byte ranges."""
+    from ..session import shared_path
+    from ..sources.json_list import read_customer_list
+    from ..sources.requests import flatten_requests, request_defaults
+    t = testdata_transactions(spark, sf_dir)
+    visit = F.struct(F.date_format("arrival_ts", "yyyy-MM-dd HH:mm:ss").alias("Arrival Date"), F.col("revenue").alias("Total Revenue USD"),
+                     F.col("channel").alias("Channel"))
+    customers = t.groupBy("customer_id").agg(F.collect_list(visit).alias("transactions"))
+    lists = -(-customers.count() // LIST_CUSTOMERS)
+    body = F.to_json(F.struct(F.col("customer_id").cast("string").alias("CustomerID"), "transactions"))
+    path = shared_path(spark, f"lists-{uuid.uuid4().hex}")
+    (customers.select(F.pmod(F.xxhash64("customer_id"), F.lit(max(lists, 1))).alias("list"), body.alias("body")).groupBy("list")
+     .agg(F.concat(F.lit("["), F.array_join(F.collect_list("body"), ", "), F.lit("]")).alias("value"))
+     .write.partitionBy("list").text(path))
+    return flatten_requests(request_defaults(read_customer_list(spark, path))).select("customer_id", "arrival_ts", "revenue", "channel")
+
+
 @register("score_published")
 def q_score_published(spark, sf_dir):
     """A store is published twice (first without models), and the
