@@ -7,7 +7,7 @@ Request shape (JSON):
 or a bare list of customers.
 
 ``request_id`` is the key of a request inside the engine: where it came from
-(file and position, or what the caller of ``parse_requests`` names), so equal
+(file and byte offset, or what the caller of ``parse_requests`` names), so equal
 bodies and reused ids stay apart. The id in the body is ``caller_id``, data.
 What cannot be read is not dropped: ``error`` says why a request has no rows,
 ``rejected_visits`` lists unreadable visits. A request is one JSON record; its
@@ -16,7 +16,7 @@ size is bounded by what one record can hold.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,14 +44,32 @@ REQUEST_SCHEMA = T.StructType([
 def read_requests(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Request files, one JSON record per line or (``multiline``) one
     per file: requests or bare customer lists."""
-    lines = spark.read.text(path, wholetext=multiline).select("value", "_metadata.file_path")
-    return parse_requests(with_source_key(lines), "value", "source_key")
+    if multiline:
+        lines = spark.read.text(path, wholetext=True).select("value", F.concat("_metadata.file_path", F.lit("#0")).alias("source_key"))
+    else:
+        lines = with_source_key(source_lines(spark.read.option("lineSep", "\n").text(path)))
+    return parse_requests(lines, "value", "source_key")
+
+
+def source_lines(text: DataFrame) -> DataFrame:
+    """(value, file_path, file_range) of a frame read as text with a line feed
+    as the separator; works on a stream."""
+    return text.select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("file_range"))
 
 
 def with_source_key(lines: DataFrame) -> DataFrame:
-    """(value, file_path) with ``source_key``: file and position, unique per
-    record."""
-    return lines.select("value", F.concat_ws("#", "file_path", F.monotonically_increasing_id().cast("string")).alias("source_key"))
+    """``source_lines`` with ``source_key``: the file and the byte at which the
+    line starts. It depends on the file alone, not on how files are cut, packed
+    into tasks or dealt into batches, so a replay gives a record the same key.
+    Lines are placed in their range, and ranges by the bytes of those before."""
+    placed = lines.withColumn("_place", F.monotonically_increasing_id()).withColumn("_size", F.octet_length("value") + F.lit(1).cast("long"))
+    before = lambda w: F.coalesce(F.sum("_size").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    local = placed.withColumn("_at", before(Window.partitionBy("file_path", "file_range").orderBy("_place")))
+    ranges = lines.groupBy("file_path", "file_range").agg(F.sum(F.octet_length("value") + F.lit(1).cast("long")).alias("_size"))
+    starts = ranges.select("file_path", "file_range", before(Window.partitionBy("file_path").orderBy("file_range")).alias("_start"))
+    offset = (F.col("_start") + F.col("_at")).cast("string")
+    return (local.join(starts, ["file_path", "file_range"])
+            .select(F.regexp_replace("value", "\r$", "").alias("value"), F.concat_ws("#", "file_path", offset).alias("source_key")))
 
 
 def parse_requests(bodies: DataFrame, body_col: str = "body", key: str | None = None) -> DataFrame:

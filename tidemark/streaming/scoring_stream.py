@@ -18,26 +18,25 @@ from pyspark.sql import functions as F
 
 from ..plans.models import ModelBundle
 from ..plans.scoring import response_json, score_customers
-from ..sources.requests import flatten_requests, parse_requests, request_defaults, with_source_key
+from ..sources.requests import flatten_requests, parse_requests, request_defaults, source_lines, with_source_key
 
 
 def request_stream(spark: SparkSession, request_dir: str, max_files: int = 1000) -> DataFrame:
     """Lines of the request files and the file each comes from."""
-    src = spark.readStream.option("maxFilesPerTrigger", max_files).text(request_dir)
-    return src.select("value", "_metadata.file_path")
+    return source_lines(spark.readStream.option("maxFilesPerTrigger", max_files).option("lineSep", "\n").text(request_dir))
 
 
 def start_scoring_stream(spark: SparkSession, request_dir: str, out_dir: str, checkpoint: str,
                          models: ModelBundle | None = None, available_now: bool = True,
-                         lenient: bool = False):
+                         lenient: bool = False, max_files: int = 1000):
     """Start the stream; returns the StreamingQuery. Output: parquet
     predictions by micro-batch id, and below ``_responses`` one response body
     per request, unreadable and empty ones included."""
     models = models or ModelBundle()
-    lines = request_stream(spark, request_dir)
+    lines = request_stream(spark, request_dir, max_files)
 
     def score_batch(batch: DataFrame, epoch_id: int) -> None:
-        # a file is in one batch only, so its path and the position in the batch tell records apart
+        # a file is in one batch only, so the byte offset of a line is the same however files are dealt into batches
         batch = request_defaults(parse_requests(with_source_key(batch), "value", "source_key"), config=models.config).persist()
         cached: list = [batch]
         try:
