@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .cox import EFRON_TAIL, CoxParams
+from .optim import DRIFT
 
 POOLED = "__all__"
 
@@ -119,13 +120,24 @@ def _efron(table, beta, p):
     return ll, grad, hess, base
 
 
+def _next_step(grad: np.ndarray, hess: np.ndarray) -> float:
+    """Largest change of a coefficient that a further Newton step would make."""
+    try:
+        step = np.linalg.solve(hess, grad)
+    except np.linalg.LinAlgError:
+        return math.inf
+    return float(np.max(np.abs(step))) if np.all(np.isfinite(step)) else math.inf
+
+
 def fit(customers: DataFrame, features=("avg_spend",), duration: str = "duration", event: str = "event",
         penalizer: float = 0.0, by: str | None = None, min_rows: int = 0, max_iter: int = 50,
         tol: float = 1e-9, positive_duration: bool = False, reliable: bool = True):
     """Fit pooled (by=None) or per-group Cox models. As in the other fitters
     the penalizer acts on the mean log-likelihood per row: the objective is
     ll / n - penalizer / 2 * |b|^2 over standardised coefficients. Groups with fewer than
-    ``min_rows`` usable rows get no model (F6). Returns ({group: CoxParams},
+    ``min_rows`` usable rows get no model (F6). Where the features separate
+    the events perfectly the likelihood has no maximum: the fit then stops as
+    ``drifting``, not converged; a penalizer gives a finite answer. Returns ({group: CoxParams},
     {group: metrics})."""
     feats = list(features)
     cols = ([by] if by else []) + [duration, event] + feats
@@ -209,6 +221,9 @@ def fit(customers: DataFrame, features=("avg_spend",), duration: str = "duration
         for t, h in hazards:
             acc += h
             H.append((t, acc))
+        # a likelihood that only flattens out (separable rows) still has a long Newton step
+        if reason[g] in ("step", "objective") and p and not _next_step(grad - pen[g] * beta[g], hess - pen[g] * np.eye(p)) < DRIFT:
+            reason[g] = "drifting"
         models[g] = CoxParams(features=tuple(feats), coef=coef, mean=tuple(mean), baseline=tuple(H))
         metrics[g] = {**info[g], "log_likelihood": ll, "iterations": iters[g],
                       "converged": reason[g] in ("step", "objective"), "reason": reason[g],
