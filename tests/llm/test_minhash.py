@@ -118,3 +118,36 @@ def test_keep_one_leaves_one_row_of_each_group(spark):
     left = sorted((str(r.doc_id), (r.text or "").split(" ")[0]) for r in got.collect())
     assert left == sorted([("1", "w1x0"), ("2", "w2x0"), ("2", "w3x0"), ("None", "w4x0"), ("9", "w5x0"), ("None", "w6x0"),
                            ("5", ""), ("5", ""), ("None", "")])
+
+
+def test_null_ids_are_looked_up_by_their_text(spark):
+    """Five thousand rows without an id: a text meets its own rows only."""
+    rnd = random.Random(3)
+    vocab = [f"v{i}" for i in range(400)]
+    docs = []
+    for k in range(2500):
+        w = [rnd.choice(vocab) for _ in range(40)]
+        docs += [(None, " ".join(w)), (None, " ".join(w + ["end"]))]
+    docs += [(7, docs[0][1]), (7, docs[5][1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    sk, groups = H._groups(df.withColumnRenamed("doc_id", "id"), 5, 80)
+    assert groups.count() == 5000 and groups.select("top").distinct().count() == 2500
+    got = H.near_duplicates(df).collect()
+    assert sum(r.component_id == 7 for r in got) == 6 and len(got) == 5002
+
+
+def test_members_far_from_the_centre(spark):
+    """A popular base with sub-families that share edits: their members are
+    linked with each other, the sub-families neither with the base nor among themselves."""
+    rnd = random.Random(8)
+    base = [f"b{i}" for i in range(120)]
+    docs = [base] + [base[:i] + ["x%d" % i] + base[i + 1:] for i in range(0, 120, 3)]
+    for fam in range(5):
+        at = rnd.sample(range(120), 6)
+        sub = [f"s{fam}y{i}" if i in at else w for i, w in enumerate(base)]
+        for k in range(40):
+            c = list(sub)
+            for j in range(rnd.randint(0, 2)):
+                c[rnd.randrange(120)] = f"e{fam}x{k}x{j}"
+            docs.append(c)
+    check(spark, list(enumerate(" ".join(d) for d in docs)), 3, 85)

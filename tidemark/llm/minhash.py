@@ -12,11 +12,14 @@ is the centre: all members are compared with the centre on full sets, so a key
 costs as many comparisons as it has members. What remains are pairs of which
 one is not linked with the centre. Such a pair can only be similar enough if
 the two share parts of their *differences* from the centre; with differences
-ordered alike (added shingles first) it must share one among the first few of
-each, with enough of both left after it (prefix and position filtering, exact),
-so these are found by an equi-join. They pass
-a collision-corrected sketch estimate (five standard deviations below the
-threshold) and are confirmed on full sets. Links give connected components.
+ordered alike (what the fewest members share first) it must share one among the first few of
+each, with enough of both left after it (prefix and position filtering, exact).
+Those who share one are a key again: in rounds its members are compared with a
+new centre, whose component then leaves the key, until a round links nothing.
+Only pairs that are still in different components are left to an equi-join; they
+pass a collision-corrected sketch estimate (eight standard deviations below the
+threshold, by the registers that the smaller set can fill) and are confirmed on
+full sets. Links give connected components.
 
 Defined cases: a text without words (null too) has an empty set and is linked
 with nothing; fewer words than the width are one shingle; repeated rows are in
@@ -32,7 +35,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as T
@@ -42,7 +45,7 @@ M = 256            # registers
 BUCKET_BITS = 8
 MANTISSA = 10
 MISS = 1e-8        # chance that a pair at the threshold shares no band
-SIGMAS = 5.0
+SIGMAS = 8.0       # of the estimate's error, below which a pair is not looked at
 SKETCH = "struct<n:bigint,sig:binary,regs:binary>"
 
 
@@ -157,8 +160,10 @@ def estimate(matches: np.ndarray, n1: np.ndarray, n2: np.ndarray) -> np.ndarray:
     return np.clip((matches / M - chance) / (1.0 - chance), 0.0, 1.0)
 
 
-def least_estimate(threshold: float) -> float:
-    return threshold - SIGMAS * float(np.sqrt(threshold * (1 - threshold) / M))
+def least_estimate(threshold: float, n: np.ndarray) -> np.ndarray:
+    """What the estimate of a pair at the threshold does not fall below, where
+    the smaller set fills ``n`` registers at most (others are stand-ins)."""
+    return threshold - SIGMAS * np.sqrt(threshold * (1 - threshold) / np.clip(n, 1, M))
 
 
 def _lists(column) -> list[np.ndarray]:
@@ -181,21 +186,21 @@ def similar(inter: int, na: int, nb: int, percent: int) -> bool:
     return 100 * inter >= percent * (na + nb - inter)
 
 
-def difference(c: np.ndarray, x: np.ndarray, percent: int) -> tuple[bool, int, np.ndarray, np.ndarray]:
-    """Whether x is linked with the centre c, the size of its difference from
-    c, and the items of it that x is looked up by as an unlinked member, and
-    found by."""
+def difference(c: np.ndarray, x: np.ndarray, percent: int) -> tuple[bool, int, int, np.ndarray]:
+    """Whether x is linked with the centre c, how many items of its difference
+    from c it is looked up by as an unlinked member, and found by (the first
+    ones in an order that all members share), and the difference."""
     hit = common(c, x)
     inter = int(hit.sum())
     linked = similar(inter, len(c), len(x), percent)
-    d = np.concatenate([x[~hit], c[~common(x, c)]])      # added first, then removed; each in hash order
+    d = np.concatenate([x[~hit], c[~common(x, c)]])
     alpha = slack(percent)                               # |x ^ y| <= alpha (|x| + |y|) for a link
     # shared differences: at least |Dx| - alpha |x| (1 + 1/t) ...
     least = max(1, int(np.ceil(len(d) - alpha * len(x) * (1 + 100 / percent) - 1e-9)))
-    by = d[:max(0, len(d) - least + 1)] if not linked else d[:0]
+    looks = 0 if linked else max(0, len(d) - least + 1)
     # ... and, with an unlinked partner, more than half of |Dy| - alpha (|y| - |c|)
     least = max(1, int(np.floor((len(d) - alpha * (len(x) - len(c))) / 2 - 1e-9)) + 1)
-    return linked, len(d), by, d[:max(0, len(d) - least + 1)]
+    return linked, looks, max(0, len(d) - least + 1), d
 
 
 def slack(percent: int) -> float:
@@ -210,12 +215,12 @@ def _pack(arrays: list[np.ndarray]) -> pa.ListArray:
 
 def _groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The sketches of ``docs`` (id, text, and row where rows have a key), and
-    (sig, rep, top) of every set: its least (id, row), nulls last, and the
+    (sig, rep, top) of every set: its least row by id, nulls last, and the
     root of its component."""
     threshold = percent / 100
     rows = rows_per_band(threshold)
-    by = [c for c in docs.columns if c != "text"]
-    key = by[-1]                                         # what a text is looked up by
+    docs = docs.withColumn("mark", F.xxhash64("text"))
+    by = [c for c in docs.columns if c != "text"]        # a text is looked up by its id and hash: ids may repeat or be null
     sk = materialise(docs.select(*by, sketch(F.col("text"), width).alias("s")).select(*by, "s.*"), "sketch")
     nodes = materialise(sk.where("n > 0").groupBy("sig").agg(
         F.first("n").alias("n"), F.first("regs").alias("regs"), F.min(F.struct(F.col("id").isNull().alias("no_id"), *by)).alias("rep")), "nodes")
@@ -231,8 +236,8 @@ def _groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
 
     # full sets of the nodes that have a candidate, from one text each
     wanted = (edges.select("sig").union(edges.select(F.col("centre").alias("sig"))).distinct()
-              .join(nodes.select("sig", F.col(f"rep.{key}").alias("at")), "sig"))
-    texts = docs.join(wanted.hint("merge"), F.col(key).eqNullSafe(F.col("at"))).select("sig", signed_set(F.col("text"), width).alias("s"))
+              .join(nodes.select("sig", F.col("rep.mark").alias("mark"), F.col("rep.id").alias("at")), "sig"))
+    texts = docs.join(wanted.hint("merge"), (docs["mark"] == wanted["mark"]) & F.col("id").eqNullSafe(F.col("at"))).select("sig", signed_set(F.col("text"), width).alias("s"))
     sets = materialise(texts.where(F.col("s.sig") == F.col("sig")).select("sig", F.col("s.items").alias("items"))
                        .dropDuplicates(["sig"]), "sets")
 
@@ -242,38 +247,32 @@ def _groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
             out = [difference(c, x, percent) for c, x in zip(_lists(b.column("c_items")), sets_x)]
             yield pa.RecordBatch.from_arrays(
                 [b.column("centre"), b.column("sig"), pa.array([o[0] for o in out], pa.bool_()), pa.array([len(x) for x in sets_x], pa.int64()),
-                 pa.array([o[1] for o in out], pa.int64()), _pack([o[2] for o in out]), _pack([o[3] for o in out])],
-                ["centre", "sig", "linked", "n", "d", "looks", "shows"])
+                 pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64()), _pack([o[3] for o in out])],
+                ["centre", "sig", "linked", "n", "looks", "shows", "items"])
 
     sets_of = lambda name, items: sets.select(F.col("sig").alias(name), F.col("items").alias(items)).hint("merge")
     star = materialise(edges.join(sets_of("sig", "x_items"), "sig").join(sets_of("centre", "c_items"), "centre")
                        .select("centre", "sig", "c_items", "x_items")
-                       .mapInArrow(compare, "centre binary, sig binary, linked boolean, n long, d long, looks array<long>, shows array<long>"), "star")
-    label = materialise(components(star.where("linked").select(F.col("centre").alias("a"), F.col("sig").alias("b"))), "labels")
-    labelled = lambda d, name, out: (d.join(label.select(F.col("node").alias(name), F.col("root").alias(out)).hint("merge"), name, "left")
-                                     .withColumn(out, F.coalesce(out, name)))
-
-    # pairs of one centre that are in different components and share a difference; one
-    # of the two is outside of the centre's component, and it does the looking up
-    star_l = labelled(labelled(star, "sig", "root"), "centre", "centre_root")
-    side = lambda rows, sig, k, items: rows.select("centre", F.col("sig").alias(sig), F.col("root").alias(f"r{k}"), F.col("n").alias(f"n{k}"),
-                                                   F.col("d").alias(f"d{k}"), F.posexplode(items).alias(f"p{k}", "item"))
-    looks, shows = side(star_l.where(F.col("root") != F.col("centre_root")), "a", "a", "looks"), side(star_l, "b", "b", "shows")
-    # the first shared item: from there on enough of both differences must be left
-    left = F.least(F.col("da") - F.col("pa"), F.col("db") - F.col("pb"))
-    enough = 2 * left >= F.col("da") + F.col("db") - slack(percent) * (F.col("na") + F.col("nb")) - 1e-9
-    sizes = (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))
-    pairs = (looks.alias("l").join(shows.alias("s").hint("merge"), (F.col("l.centre") == F.col("s.centre")) & (F.col("l.item") == F.col("s.item"))
-                                   & (F.col("ra") != F.col("rb")) & sizes & enough)
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    regs = lambda name, n, r: nodes.select(F.col("sig").alias(name), F.col("n").alias(n), F.col("regs").alias(r)).hint("merge")
-
-    def near(batches):
-        floor = least_estimate(threshold)
-        for b in batches:
-            r1, r2 = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(b.num_rows, M) for c in ("r1", "r2"))
-            est = estimate((r1 == r2).sum(axis=1), b.column("n1").to_numpy(), b.column("n2").to_numpy())
-            yield b.select(["a", "b"]).filter(pa.array(est >= floor))
+                       .mapInArrow(compare, "centre binary, sig binary, linked boolean, n long, looks long, shows long, items array<long>"), "star")
+    label = _labels(star.where("linked").select(F.col("centre").alias("a"), F.col("sig").alias("b")))
+    start = _labelled(_labelled(star, label, "sig", "root"), label, "centre", "centre_root").withColumn("out", F.col("root") != F.col("centre_root"))
+    # differences around centres with an unlinked member, rare items first: those that nobody
+    # shares with an unlinked member come before all others and need no row
+    open_ = start.where("out").select("centre").distinct()
+    spread = (start.join(open_.hint("merge"), "centre", "left_semi")
+              .select("centre", "sig", "n", "out", "looks", "shows", F.size("items").alias("d"), F.explode("items").alias("item")))
+    often = spread.groupBy("centre", "item").agg(F.count("*").alias("c"), F.max("out").alias("any_out")).where("c > 1 and any_out").drop("any_out")
+    mine = Window.partitionBy("centre", "sig")
+    ranked = spread.join(often.hint("merge"), ["centre", "item"]).withColumn(
+        "p", F.col("d") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("c", "item")) - 1)
+    look, show = F.col("out") & (F.col("p") < F.col("looks")), F.col("p") < F.col("shows")
+    ranked = ranked.select("centre", "item", "sig", "n", "d", "p", look.alias("look"), show.alias("show")).where("look or show")
+    found = materialise(ranked, "found")
+
+    def linked(pairs):
+        """The pairs (a, b) that are linked, confirmed on full sets."""
+        return (pairs.join(sets_of("a", "a_items"), "a").join(sets_of("b", "b_items"), "b").select("a", "b", "a_items", "b_items")
+                .mapInArrow(confirm, "a binary, b binary"))
 
     def confirm(batches):
         for b in batches:
@@ -281,16 +280,73 @@ def _groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
                   for x, y in zip(_lists(b.column("a_items")), _lists(b.column("b_items")))]
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    likely = pairs.join(regs("a", "n1", "r1"), "a").join(regs("b", "n2", "r2"), "b").mapInArrow(near, "a binary, b binary")
-    sure = (likely.join(sets_of("a", "a_items"), "a").join(sets_of("b", "b_items"), "b").select("a", "b", "a_items", "b_items")
-            .mapInArrow(confirm, "a binary, b binary"))
-    more = labelled(labelled(sure, "a", "ra"), "b", "rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-    roots = components(more).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    # whether two rows of an item may be linked and share it as their first: from it on enough of both differences must be left
+    left = F.least(F.col("d1") - F.col("p1"), F.col("d2") - F.col("p2"))
+    enough = 2 * left >= F.col("d1") + F.col("d2") - slack(percent) * (F.col("n1") + F.col("n2")) - 1e-9
+    sizes = (100 * F.col("n1") >= percent * F.col("n2")) & (100 * F.col("n2") >= percent * F.col("n1"))
+    part = ("sig", "root", "n", "d", "p")
+
+    # Re-centring: those who share a part of their differences are compared with the one
+    # of them that is nearest to the centre and looks others up; its component then leaves
+    # the key. Rounds go on while they link something; each costs the members it has.
+    working = found
+    while True:
+        g = _labelled(working, label, "sig", "root")
+        hub = F.min(F.when(F.col("look"), F.struct("d", "sig", "root", "n", "p")))
+        hubs = (g.groupBy("centre", "item").agg(hub.alias("hub"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+                .where("hub is not null and lo != hi").select("centre", "item", *(F.col(f"hub.{c}").alias(f"{c}1") for c in part)))
+        met = materialise(g.join(hubs.hint("merge"), ["centre", "item"]).where("root != root1"), "met")
+        near_hub = met.select("sig1", F.col("sig").alias("sig2"), "n1", "d1", "p1", *(F.col(c).alias(c + "2") for c in ("n", "d", "p"))).where(sizes & enough)
+        joined = materialise(linked(near_hub.select(F.col("sig1").alias("a"), F.col("sig2").alias("b")).distinct()), "joined")
+        if joined.isEmpty():
+            break
+        label = _merged(label, joined)
+        working = materialise(_labelled(_labelled(met.drop("root", "root1"), label, "sig", "root"), label, "sig1", "root1")
+                              .where("root != root1").select(found.columns), "working")
+
+    # what is left: pairs in different components that share a part of their differences
+    rest = _labelled(found, label, "sig", "root")
+    side = lambda rows, k: rows.select("centre", "item", *(F.col(c).alias(c + k) for c in part))
+    x, y = side(rest.where("look"), "1").alias("x"), side(rest.where("show"), "2").alias("y")
+    pairs = (x.join(y.hint("merge"), (F.col("x.centre") == F.col("y.centre")) & (F.col("x.item") == F.col("y.item"))
+                    & (F.col("root1") != F.col("root2")) & sizes & enough)
+             .select(F.least("sig1", "sig2").alias("a"), F.greatest("sig1", "sig2").alias("b")).distinct())
+    regs = lambda name, n, r: nodes.select(F.col("sig").alias(name), F.col("n").alias(n), F.col("regs").alias(r)).hint("merge")
+
+    def near(batches):
+        for b in batches:
+            r1, r2 = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(b.num_rows, M) for c in ("r1", "r2"))
+            n1, n2 = b.column("n1").to_numpy(), b.column("n2").to_numpy()
+            est = estimate((r1 == r2).sum(axis=1), n1, n2)
+            yield b.select(["a", "b"]).filter(pa.array(est >= least_estimate(threshold, np.minimum(n1, n2))))
 
-    grouped = labelled(nodes.select("sig", "rep"), "sig", "root").join(roots.hint("merge"), "root", "left").withColumn("top", F.coalesce("top", "root"))
+    likely = pairs.join(regs("a", "n1", "r1"), "a").join(regs("b", "n2", "r2"), "b").mapInArrow(near, "a binary, b binary")
+    label = _merged(label, linked(likely))
+    grouped = _labelled(nodes.select("sig", "rep"), label, "sig", "top")
     return sk, grouped.select("sig", "rep", "top")
 
 
+def _labels(links: DataFrame) -> DataFrame:
+    return materialise(components(links), "labels")
+
+
+def _labelled(df: DataFrame, label: DataFrame, name: str, out: str) -> DataFrame:
+    """``df`` with the root of the component of the node ``name``; a node without links is its own."""
+    return (df.join(label.select(F.col("node").alias(name), F.col("root").alias(out)).hint("merge"), name, "left")
+            .withColumn(out, F.coalesce(out, name)))
+
+
+def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after more links (a, b): components of the roots, then of their nodes."""
+    more = materialise(_labelled(_labelled(links, label, "a", "ra"), label, "b", "rb").select("ra", "rb").distinct(), "more")
+    if more.isEmpty():
+        return label
+    tops = components(more.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    moved = label.join(tops.select(F.col("node").alias("root"), F.col("root").alias("top")).hint("merge"), "root", "left")
+    lone = tops.join(label.select("node").hint("merge"), "node", "left_anti")
+    return materialise(moved.select("node", F.coalesce("top", "root").alias("root")).union(lone.select("node", "root")), "labels")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5,
                     percent: int = 80) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row of ``df``. Texts are
