@@ -14,9 +14,9 @@ one is not linked with the centre. Such a pair can only be similar enough if
 the two share parts of their *differences* from the centre; with differences
 ordered alike (what the fewest members share first) it must share one among the first few of
 each, with enough of both left after it (prefix and position filtering, exact).
-Those who share one are a key again: in rounds its members are compared with a
-new centre, whose component then leaves the key, until a round links nothing.
-Only pairs that are still in different components are left to an equi-join; they
+Only pairs that are in different components after the comparisons with centres
+are looked for, by an equi-join: members of a sub-family far from the centre have
+keys of their own, with a centre among them, and are one component by then. Pairs
 pass a collision-corrected sketch estimate (eight standard deviations below the
 threshold, by the registers that the smaller set can fill) and are confirmed on
 full sets. Links give connected components.
@@ -260,13 +260,13 @@ def _groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     # shares with an unlinked member come before all others and need no row
     open_ = start.where("out").select("centre").distinct()
     spread = (start.join(open_.hint("merge"), "centre", "left_semi")
-              .select("centre", "sig", "n", "out", "looks", "shows", F.size("items").alias("d"), F.explode("items").alias("item")))
+              .select("centre", "sig", "root", "n", "out", "looks", "shows", F.size("items").alias("d"), F.explode("items").alias("item")))
     often = spread.groupBy("centre", "item").agg(F.count("*").alias("c"), F.max("out").alias("any_out")).where("c > 1 and any_out").drop("any_out")
     mine = Window.partitionBy("centre", "sig")
     ranked = spread.join(often.hint("merge"), ["centre", "item"]).withColumn(
         "p", F.col("d") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("c", "item")) - 1)
     look, show = F.col("out") & (F.col("p") < F.col("looks")), F.col("p") < F.col("shows")
-    ranked = ranked.select("centre", "item", "sig", "n", "d", "p", look.alias("look"), show.alias("show")).where("look or show")
+    ranked = ranked.select("centre", "item", "sig", "root", "n", "d", "p", look.alias("look"), show.alias("show")).where("look or show")
     found = materialise(ranked, "found")
 
     def linked(pairs):
@@ -286,28 +286,8 @@ def _groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     sizes = (100 * F.col("n1") >= percent * F.col("n2")) & (100 * F.col("n2") >= percent * F.col("n1"))
     part = ("sig", "root", "n", "d", "p")
 
-    # Re-centring: those who share a part of their differences are compared with the one
-    # of them that is nearest to the centre and looks others up; its component then leaves
-    # the key. Rounds go on while they link something; each costs the members it has.
-    working = found
-    while True:
-        g = _labelled(working, label, "sig", "root")
-        hub = F.min(F.when(F.col("look"), F.struct("d", "sig", "root", "n", "p")))
-        hubs = (g.groupBy("centre", "item").agg(hub.alias("hub"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-                .where("hub is not null and lo != hi").select("centre", "item", *(F.col(f"hub.{c}").alias(f"{c}1") for c in part)))
-        met = materialise(g.join(hubs.hint("merge"), ["centre", "item"]).where("root != root1"), "met")
-        near_hub = met.select("sig1", F.col("sig").alias("sig2"), "n1", "d1", "p1", *(F.col(c).alias(c + "2") for c in ("n", "d", "p"))).where(sizes & enough)
-        joined = materialise(linked(near_hub.select(F.col("sig1").alias("a"), F.col("sig2").alias("b")).distinct()), "joined")
-        if joined.isEmpty():
-            break
-        label = _merged(label, joined)
-        working = materialise(_labelled(_labelled(met.drop("root", "root1"), label, "sig", "root"), label, "sig1", "root1")
-                              .where("root != root1").select(found.columns), "working")
-
-    # what is left: pairs in different components that share a part of their differences
-    rest = _labelled(found, label, "sig", "root")
     side = lambda rows, k: rows.select("centre", "item", *(F.col(c).alias(c + k) for c in part))
-    x, y = side(rest.where("look"), "1").alias("x"), side(rest.where("show"), "2").alias("y")
+    x, y = side(found.where("look"), "1").alias("x"), side(found.where("show"), "2").alias("y")
     pairs = (x.join(y.hint("merge"), (F.col("x.centre") == F.col("y.centre")) & (F.col("x.item") == F.col("y.item"))
                     & (F.col("root1") != F.col("root2")) & sizes & enough)
              .select(F.least("sig1", "sig2").alias("a"), F.greatest("sig1", "sig2").alias("b")).distinct())
