@@ -17,6 +17,10 @@ encoding. A character without a piece never merges, so byte arcs pair freely.
 Decoding runs the output side backwards: pieces and bytes are laid end to end,
 U+2581 becomes a space, the dummy prefix goes, broken UTF-8 becomes U+FFFD.
 
+The arcs out of a position come from a trie of the pieces. For BPE models the
+path of weight 0 is sought depth first, longest arc first: the text before a
+position has one encoding, so a position that led nowhere is not tried again.
+
 Units that no piece can cross (a run of U+2581 and what follows, characters
 without a piece) are composed once and remembered, in two bounded generations.
 
@@ -105,22 +109,26 @@ class Transducer:
         self.unknown = next((i for i, p in enumerate(pieces) if p[2] == UNKNOWN), 0)
         self.bytes = {int(t[3:5], 16): i for i, (t, _, k) in enumerate(pieces) if k == BYTE} if byte_fallback else {}
         self.penalty = 10.0 - min((s for s, p in zip(self.scores, pieces) if p[2] == NORMAL), default=0.0)
-        reach: dict[str, set[int]] = {}
-        for t in self.arcs:
-            reach.setdefault(t[0], set()).add(len(t))
-        self.reach = {c: sorted(n) for c, n in reach.items()}
+        self.trie: dict = {}       # character -> node; "" -> the piece that ends here
+        for t, i in self.arcs.items():
+            node = self.trie
+            for c in t:
+                node = node.setdefault(c, {})
+            node[""] = i
         self.outputs = [bytes([int(t[3:5], 16)]) if k == BYTE else t.replace(SPACE, " ").encode() if k == NORMAL
                         else b" \xe2\x81\x87 " if k == UNKNOWN else b"" for t, _, k in pieces]
         self.id_type = np.dtype("<u2" if len(pieces) <= 1 << 16 else "<u4")
         self.splits = not any(SPACE in t.lstrip(SPACE) for t in self.arcs)     # no piece crosses into U+2581
         self.newline = not any("\n" in t for t in self.arcs)
         self.pairs: dict[int, float] = {}
+        self.histories: dict[int, tuple] = {}      # at most one a piece
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
 
     # weights
-    def merged(self, text: str) -> list[str]:
-        """BPE merges: the best-scored pair first, the leftmost of equals."""
+    def merged(self, text: str, steps: list | None = None) -> list[str]:
+        """BPE merges: the best-scored pair first, the leftmost of equals.
+        ``steps`` collects (score of the merge, first, last symbol after it)."""
         sym = list(text)
         while len(sym) > 1:
             best, at = None, -1
@@ -131,23 +139,105 @@ class Transducer:
             if best is None:
                 break
             sym[at:at + 2] = [sym[at] + sym[at + 1]]
+            if steps is not None:
+                steps.append((best, sym[0], sym[-1]))
         return sym
 
+    def history(self, piece: int) -> tuple:
+        """How merging makes a piece: whether it does, the scores of its merges
+        (then -inf), its first and its last symbol before each of them."""
+        h = self.histories.get(piece)
+        if h is None:
+            text, steps = self.texts[piece], []
+            whole = self.merged(text, steps) == [text]
+            h = self.histories[piece] = (whole, [s for s, _, _ in steps] + [-INFINITE],
+                                         [text[0], *(a for _, a, _ in steps)], [text[-1], *(b for _, _, b in steps)])
+        return h
+
+    def apart(self, last: int, piece: int) -> bool:
+        """Whether merging the text of two pieces gives just them. Until a
+        merge crosses their border both sides merge as they do alone, so their
+        histories are replayed together and the border is tried in between."""
+        whole, left, _, ends = self.history(last)
+        whole2, right, starts, _ = self.history(piece)
+        if not (whole and whole2):
+            return False
+        arcs, scores, i, j = self.arcs, self.scores, 0, 0
+        while True:
+            x, y = left[i], right[j]
+            k = arcs.get(ends[i] + starts[j])
+            if k is not None and scores[k] > x and scores[k] >= y:
+                return False
+            if x == y == -INFINITE:
+                return True
+            if x >= y:
+                i += 1
+            else:
+                j += 1
+
     def weight(self, last: int, piece: int) -> float:
         if self.kind != BPE:
             return -self.scores[piece]
         key = (last + 1) << 32 | piece
         w = self.pairs.get(key)
         if w is None:
-            want = [self.texts[piece]] if last == START else [self.texts[last], self.texts[piece]]
-            w = 0.0 if self.merged("".join(want)) == want else INFINITE
+            w = 0.0 if (self.history(piece)[0] if last == START else self.apart(last, piece)) else INFINITE
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             self.pairs[key] = w
         return w
 
+    def out_of(self, unit: str, i: int) -> list[tuple[int, int]]:
+        """(end, piece) of the pieces from position ``i`` on, shortest first."""
+        found, node = [], self.trie
+        for at in range(i, len(unit)):
+            node = node.get(unit[at])
+            if node is None:
+                break
+            if "" in node:
+                found.append((at + 1, node[""]))
+        return found
+
+    def fallback(self, c: str) -> list[int]:
+        """Output of the arcs of a character without a piece."""
+        return [self.bytes[b] for b in c.encode()] if self.bytes else [self.unknown]
+
+    def merge_path(self, unit: str) -> list[int]:
+        """Output of the path of weight 0 of a BPE model."""
+        n, i, last = len(unit), 0, START
+        arcs, pairs = self.arcs, self.pairs
+        path: list[tuple] = []         # (position, last arc before it, arcs not tried, output)
+        dead: set[int] = set()
+        todo = self.out_of(unit, 0)
+        while i < n:
+            step = None
+            while todo:
+                end, piece = todo.pop()
+                if end not in dead:
+                    w = pairs.get((last + 1) << 32 | piece)
+                    if w is None:
+                        w = self.weight(last, piece)
+                    if w == 0.0:
+                        step = end, piece, (piece,)
+                        break
+            else:
+                if unit[i] not in arcs and i + 1 not in dead:
+                    step = i + 1, START, self.fallback(unit[i])
+            if step is None:
+                dead.add(i)
+                if not path:
+                    return []
+                i, last, todo, _ = path.pop()
+            else:
+                path.append((i, last, todo, step[2]))
+                i, last, _ = step
+                todo = self.out_of(unit, i)
+        return [x for p in path for x in p[3]]
+
     def shortest(self, unit: str) -> list[int]:
         """Output of the least-weight path through the lattice of ``unit``."""
+        if self.kind == BPE:
+            return self.merge_path(unit)
         n = len(unit)
         cost = [INFINITE] * (n + 1)
         last = [START] * (n + 1)
@@ -157,17 +247,14 @@ class Transducer:
             if cost[i] == INFINITE:
                 continue
             c = unit[i]
-            for size in self.reach.get(c, ()):
-                piece = self.arcs.get(unit[i:i + size]) if i + size <= n else None
-                if piece is not None:
-                    w = cost[i] + self.weight(last[i], piece)
-                    if w < cost[i + size]:
-                        cost[i + size], last[i + size], back[i + size] = w, piece, (i, [piece])
+            for end, piece in self.out_of(unit, i):
+                w = cost[i] + self.weight(last[i], piece)
+                if w < cost[end]:
+                    cost[end], last[end], back[end] = w, piece, (i, [piece])
             if c not in self.arcs:
-                w = cost[i] + (0.0 if self.kind == BPE else self.penalty)
+                w = cost[i] + self.penalty
                 if w < cost[i + 1]:
-                    ids = [self.bytes[b] for b in c.encode()] if self.bytes else [self.unknown]
-                    cost[i + 1], last[i + 1], back[i + 1] = w, START, (i, ids)
+                    cost[i + 1], last[i + 1], back[i + 1] = w, START, (i, self.fallback(c))
         out, at = [], n
         while at:
             at, ids = back[at]
