@@ -8,59 +8,45 @@ a unit in use moves to the young generation.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-import numpy as np
 from tokenizers import Tokenizer
 
 LONGEST = 96   # characters of a unit that is remembered
 
 
 class Memo:
-    """``joiner``: a string that keeps units apart when they are laid end to
-    end; then the library encodes unseen units as one plain text, which costs
-    it much less than units given one by one."""
-
-    def __init__(self, tokenizer: Tokenizer, value: Callable[[Sequence[int]], object], capacity: int = 600_000, joiner: str | None = None):
-        self.tokenizer, self.value, self.half, self.joiner = tokenizer, value, capacity // 2, joiner
+    def __init__(self, tokenizer: Tokenizer, value: Callable[[Sequence[int]], object], capacity: int = 600_000):
+        self.tokenizer, self.value, self.half = tokenizer, value, capacity // 2
         self.young: dict[str, object] = {}
         self.old: dict[str, object] = {}
 
     def values(self, units: list[str]) -> list:
         """What the library gives for each unit, in order."""
-        try:
-            return list(map(self.young.__getitem__, units))
-        except KeyError:
-            pass
-        local: dict[str, object] = {}
-        unseen = []
-        for u in (x for x in set(units) if x not in self.young):
-            v = self.old.get(u)
-            if v is None:
-                unseen.append(u)
-            else:
-                local[u] = v
-        if unseen:
-            local.update(zip(unseen, map(self.value, self._encode(unseen))))
+        out = self._values(units, self._encode)
+        if len(self.young) > self.half:
+            self.old, self.young = self.young, {}
+        return out
+
+    def _values(self, units: list[str], encode: Callable[[list[str]], Iterable[Sequence[int]]]) -> list:
         young = self.young
-        out = [local[u] if u in local else young[u] for u in units]
-        for u, v in local.items():
-            if len(u) <= LONGEST:
-                young[u] = v
-        if len(young) > self.half:
-            self.old, self.young = young, {}
+        new = set(units).difference(young)
+        if not new:
+            return list(map(young.__getitem__, units))
+        local = {u: v for u in new if (v := self.old.get(u)) is not None}
+        unseen = list(new.difference(local)) if local else list(new)
+        if unseen:
+            local.update(zip(unseen, map(self.value, encode(unseen))))
+        young.update(local)
+        out = list(map(young.__getitem__, units))
+        for u in unseen:
+            if len(u) > LONGEST:
+                young.pop(u, None)
         return out
 
     def _encode(self, units: list[str]) -> list[Sequence[int]]:
-        if self.joiner is None:
-            ids: list[list[int]] = [[] for _ in units]
-            e = self.tokenizer.encode(units, is_pretokenized=True, add_special_tokens=False)
-            for i, w in zip(e.ids, e.word_ids):
-                ids[w].append(i)
-            return ids
-        e = self.tokenizer.encode(self.joiner.join(units), add_special_tokens=False)
-        flat = np.array(e.ids, np.int64)
-        at = np.fromiter((a for a, _ in e.offsets), np.int64, len(flat))
-        size = np.fromiter(map(len, units), np.int64, len(units)) + len(self.joiner)
-        cut = np.append(np.searchsorted(at, np.cumsum(size) - size), len(flat)).tolist()
-        return [flat[a:b] for a, b in zip(cut, cut[1:])]
+        ids: list[list[int]] = [[] for _ in units]
+        e = self.tokenizer.encode(units, is_pretokenized=True, add_special_tokens=False)
+        for i, w in zip(e.ids, e.word_ids):
+            ids[w].append(i)
+        return ids

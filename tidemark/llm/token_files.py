@@ -18,14 +18,17 @@ gives no blocks and no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer, pre_tokenizers
 
 from . import rans
 from .frames import discard, materialise, scratch
@@ -35,7 +38,58 @@ from .token_counts import load
 BLOCK = 1 << 20    # ids
 BLOCK_SCHEMA = ("part long, first long, n long, lanes long, states binary, word_at array<long>, crc array<long>, words binary, "
                 "ordinals array<long>, doc_ids array<long>, places array<long>, lengths array<long>")
-_ODD = re.compile("[\x1c-\x1f]")
+_ODD = "\x1c\x1d\x1e\x1f"
+#: Of each word: Latin-1 letters up to its end or to an ASCII sign that is no apostrophe, and the rest.
+_PARTS = re.compile("^(?!$)((?:[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[!-&(-/:-@\\[-`{-~]|$))?)(.*)$", re.MULTILINE)
+#: Tokenizers that compose and lower-case, and take any run of letters as a pre-token unless an apostrophe starts it.
+_LETTER_RUNS = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "post_processor": None, "truncation": None, "padding": None}
+
+
+class WordMemo(Memo):
+    """Ids of words as bytes. Where the tokenizer is of ``_LETTER_RUNS``, an
+    unseen word that starts with Latin-1 letters is their run and the rest,
+    which the tokenizer parts too: the run in small letters is normalised and
+    one pre-token as it stands, so runs go to the library with its model alone
+    and words that differ in capitals or signs share them."""
+
+    def __init__(self, tokenizer: Tokenizer, kind: np.dtype, **options):
+        super().__init__(tokenizer, bytes, **options)
+        self.kind = kind
+        about = json.loads(tokenizer.to_str())
+        self.plain = None
+        if all(about[k] == v for k, v in _LETTER_RUNS.items()):
+            self.plain = Tokenizer(tokenizer.model)
+            self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+                [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+
+    def _encode(self, units: list[str]) -> list[bytes]:
+        if self.plain is None:
+            return self._whole(units)
+        self.young[""] = b""       # words of one part
+        runs, rest = zip(*_PARTS.findall("\n".join(units)))
+        return list(map(add, self._values(list(map(str.lower, runs)), self._runs), self._values(rest, self._whole)))
+
+    def _runs(self, runs: list[str]) -> list[bytes]:
+        e = self.plain.encode(" ".join(runs), add_special_tokens=False)
+        word = np.array(e.word_ids, np.int64)
+        return self._cut(np.array(e.ids, self.kind), np.searchsorted(word, np.arange(len(runs))))
+
+    def _whole(self, units: list[str]) -> list[bytes]:
+        e = self.tokenizer.encode(" ".join(units), add_special_tokens=False)
+        at = np.fromiter((a for a, _ in e.offsets), np.int64, len(e.offsets))
+        size = np.fromiter(map(len, units), np.int64, len(units)) + 1
+        return self._cut(np.array(e.ids, self.kind), np.searchsorted(at, np.cumsum(size) - size))
+
+    def _cut(self, ids: np.ndarray, starts: np.ndarray) -> list[bytes]:
+        flat, at = ids.tobytes(), (starts * self.kind.itemsize).tolist()
+        return [flat[a:b] for a, b in zip(at, [*at[1:], len(flat)])]
 
 
 @lru_cache(maxsize=2)
@@ -46,14 +100,13 @@ def encoder(path: str, by_words: bool, end_id: int):
     t = load(path)
     kind = id_type(path)
     end = np.array([end_id], kind).tobytes()
-    specials = [x.content for x in t.get_added_tokens_decoder().values()]
-    odd = re.compile("|".join([_ODD.pattern, *map(re.escape, specials)]))
-    memo = Memo(t, lambda ids: np.array(ids, kind).tobytes(), joiner=" ")
+    odd = [*_ODD, *(x.content for x in t.get_added_tokens_decoder().values())]
+    memo = WordMemo(t, kind)
 
     def ids(text: str | None) -> bytes:
         if not text:
             return end
-        if not by_words or odd.search(text):
+        if not by_words or any(map(text.__contains__, odd)):
             return np.array(t.encode(text, add_special_tokens=False).ids, kind).tobytes() + end
         words = text.split()
         return b"".join(memo.values(words)) + end if words else end
@@ -95,12 +148,8 @@ def count_ids(staged: DataFrame, kind: np.dtype, size: int) -> np.ndarray:
     def run(batches):
         total = np.zeros(size, np.int64)
         for b in batches:
-            for x in b.column("ids"):
-                a = np.frombuffer(x.as_buffer(), kind)
-                if len(a) > size // 8:
-                    total += np.bincount(a, minlength=size)
-                else:
-                    np.add.at(total, a, 1)
+            for i in range(0, b.num_rows, 512):
+                total += np.bincount(np.frombuffer(b"".join(b.column("ids").slice(i, 512).to_pylist()), kind), minlength=size)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["id", "n"])
     rows = staged.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
