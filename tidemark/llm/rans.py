@@ -21,6 +21,7 @@ LANES = 1024
 EVERY = 256                      # rows of lanes between checkpoints
 _SHIFT = np.uint64(63 - SCALE)
 _BITS = np.uint64(SCALE)
+_SIZE = np.uint64(1 << SCALE)
 _MASK = np.uint64((1 << SCALE) - 1)
 
 
@@ -66,20 +67,23 @@ def encode(ids: np.ndarray, table: Table) -> dict:
     steps = -(-n // lanes)
     x = np.full(lanes, LOW, np.uint64)
     words, count, states, at = [], 0, {}, {}
-    for t in range(steps - 1, -1, -1):
-        s = ids[t * lanes:(t + 1) * lanes]
-        v = x[:len(s)]
-        f = table.freq[s]
-        out = v >= (f << _SHIFT)
-        if out.any():
-            w = v[out].astype(np.uint32)
-            words.append(w)
-            count += len(w)
-            v[out] >>= WORD
-        q = v // f
-        x[:len(s)] = (q << _BITS) + (v - q * f) + table.start[s]
-        if t % EVERY == 0:
-            states[t // EVERY], at[t // EVERY] = x.copy(), count
+    for k in range(-(-steps // EVERY) - 1, -1, -1):
+        segment = ids[k * EVERY * lanes:(k + 1) * EVERY * lanes]
+        freq, start = table.freq.take(segment), table.start.take(segment)
+        limit = freq << _SHIFT
+        for a in range((len(segment) - 1) // lanes * lanes, -1, -lanes):
+            f = freq[a:a + lanes]
+            v = x[:len(f)]
+            out = v >= limit[a:a + lanes]
+            w = v.compress(out)
+            if len(w):
+                words.append(w.astype(np.uint32))
+                count += len(w)
+                np.right_shift(v, WORD, out=v, where=out)
+            # (q << SCALE) + v % f + start, where q = v // f
+            v += v // f * (_SIZE - f)
+            v += start[a:a + lanes]
+        states[k], at[k] = x.copy(), count
     segments = range(-(-steps // EVERY))
     return {"n": n, "lanes": lanes, "states": np.concatenate([states[k] for k in segments]).astype("<u8").tobytes(),
             "word_at": [count - at[k] for k in segments],
@@ -95,18 +99,19 @@ def decode_segment(block: dict, k: int, table: Table) -> np.ndarray:
     pos = block["word_at"][k]
     lo, hi = k * EVERY * lanes, min(n, (k + 1) * EVERY * lanes)
     out = np.empty(hi - lo, np.uint32)
-    for a in range(lo, hi, lanes):
-        m = min(lanes, hi - a)
-        v = x[:m]
+    for a in range(0, hi - lo, lanes):
+        o = out[a:a + lanes]
+        v = x[:len(o)]
         slot = v & _MASK
-        s = table.symbol[slot]
-        out[a - lo:a - lo + m] = s
-        v = table.freq[s] * (v >> _BITS) + slot - table.start[s]
+        o[:] = s = table.symbol.take(slot.view(np.int64))
+        v >>= _BITS
+        v *= table.freq.take(s)
+        v += slot
+        v -= table.start.take(s)
         need = np.flatnonzero(v < LOW)
         if len(need):
-            v[need] = (v[need] << WORD) | words[pos:pos + len(need)].astype(np.uint64)
+            v[need] = (v.take(need) << WORD) | words[pos:pos + len(need)]
             pos += len(need)
-        x[:m] = v
     if crc(out) != block["crc"][k]:
         raise ValueError("checksum mismatch")
     return out

@@ -22,25 +22,27 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
 from . import rans
 from .frames import discard, materialise, scratch
-from .memo import Memo
+from .memo import LONGEST, Memo
 from .token_counts import load
 
 BLOCK = 1 << 20    # ids
 BLOCK_SCHEMA = ("part long, first long, n long, lanes long, states binary, word_at array<long>, crc array<long>, words binary, "
                 "ordinals array<long>, doc_ids array<long>, places array<long>, lengths array<long>")
+SLICE = 1 << 23    # bytes of texts whose words are looked up together
+LOT = 32           # runs of letters in one text for the library
 _ODD = "\x1c\x1d\x1e\x1f"
-#: Of each word: Latin-1 letters up to its end or to an ASCII sign that is no apostrophe, and the rest.
-_PARTS = re.compile("^(?!$)((?:[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[!-&(-/:-@\\[-`{-~]|$))?)(.*)$", re.MULTILINE)
+#: Of a word: Latin-1 letters up to its end or to an ASCII sign that is no apostrophe, and the rest. Others do not match.
+_PARTS = "^(?P<run>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<rest>(?:[!-&(-/:-@\\[-`{-~].*)?)$"
 #: Tokenizers that compose and lower-case, and take any run of letters as a pre-token unless an apostrophe starts it.
 _LETTER_RUNS = {
     "normalizer": {"type": "Sequence", "normalizers": [
@@ -53,11 +55,12 @@ _LETTER_RUNS = {
 
 
 class WordMemo(Memo):
-    """Ids of words as bytes. Where the tokenizer is of ``_LETTER_RUNS``, an
-    unseen word that starts with Latin-1 letters is their run and the rest,
-    which the tokenizer parts too: the run in small letters is normalised and
-    one pre-token as it stands, so runs go to the library with its model alone
-    and words that differ in capitals or signs share them."""
+    """Ids of words as bytes. Where the tokenizer is of ``_LETTER_RUNS``, a
+    word that starts with Latin-1 letters is their run and the rest, which the
+    tokenizer parts too: the run in small letters is normalised and one
+    pre-token as it stands, so runs go to the library with its model alone and
+    words that differ in capitals or signs share them. Runs and rests are what
+    is remembered then; for other tokenizers, whole words."""
 
     def __init__(self, tokenizer: Tokenizer, kind: np.dtype, **options):
         super().__init__(tokenizer, bytes, **options)
@@ -68,15 +71,54 @@ class WordMemo(Memo):
             self.plain = Tokenizer(tokenizer.model)
             self.plain.pre_tokenizer = pre_tokenizers.Sequence(
                 [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            suffix, vocab = about["model"].get("end_of_word_suffix"), tokenizer.get_vocab(with_added_tokens=True)
+            self.ends = np.zeros(max(vocab.values()) + 1, bool)   # ids that end a run of letters
+            self.ends[[i for token, i in vocab.items() if suffix and token.endswith(suffix)]] = True
 
-    def _encode(self, units: list[str]) -> list[bytes]:
+    def values(self, units: list[str]) -> list[bytes]:
+        return self.column(pa.array(units, pa.string())).to_pylist()
+
+    def column(self, words: pa.Array) -> pa.Array:
+        """The ids of each of ``words``, which are better distinct."""
+        self.young[""] = b""       # words of one part, and what stands before a first or after a last space
         if self.plain is None:
-            return self._whole(units)
-        self.young[""] = b""       # words of one part
-        runs, rest = zip(*_PARTS.findall("\n".join(units)))
-        return list(map(add, self._values(list(map(str.lower, runs)), self._runs), self._values(rest, self._whole)))
+            out = self._looked_up(words, self._whole)
+        else:
+            parts = pc.extract_regex(words, _PARTS)
+            run, rest = (pc.struct_field(parts, k) for k in ("run", "rest"))
+            out = pc.binary_join_element_wise(self._looked_up(pc.utf8_lower(pc.fill_null(run, "")), self._runs),
+                                              self._looked_up(pc.coalesce(rest, words), self._whole), b"")
+        if len(self.young) > self.half:
+            self.old, self.young = self.young, {}
+        return out
+
+    def _looked_up(self, units: pa.Array, encode) -> pa.Array:
+        d = units.dictionary_encode()
+        return pa.array(self._values(d.dictionary.to_numpy(zero_copy_only=False).tolist(), encode), pa.binary()).take(d.indices)
+
+    def _values(self, units: list[str], encode) -> list[bytes]:
+        """As in ``Memo``, for distinct units: one lookup of those in use."""
+        out = list(map(self.young.get, units))
+        at = [i for i, v in enumerate(out) if v is None]
+        if at and self.old:
+            for i in at:
+                out[i] = self.old.get(units[i])
+            self.young.update((units[i], out[i]) for i in at if out[i] is not None)
+            at = [i for i in at if out[i] is None]
+        if at:
+            unseen = [units[i] for i in at]
+            for i, unit, v in zip(at, unseen, encode(unseen)):
+                out[i] = v
+                if len(unit) <= LONGEST:
+                    self.young[unit] = v
+        return out
 
     def _runs(self, runs: list[str]) -> list[bytes]:
+        lots = [" ".join(runs[i:i + LOT]) for i in range(0, len(runs), LOT)]
+        ids = np.array([i for e in self.plain.encode_batch_fast(lots, add_special_tokens=False) for i in e.ids], self.kind)
+        ends = np.flatnonzero(self.ends[ids])
+        if len(ends) == len(runs):     # a run has one such id at most, its last
+            return self._cut(ids, np.concatenate([[0], ends[:-1] + 1]))
         e = self.plain.encode(" ".join(runs), add_special_tokens=False)
         word = np.array(e.word_ids, np.int64)
         return self._cut(np.array(e.ids, self.kind), np.searchsorted(word, np.arange(len(runs))))
@@ -93,26 +135,51 @@ class WordMemo(Memo):
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, by_words: bool, end_id: int):
-    """Text -> ids with the end id, as little-endian bytes. ``by_words`` is for
-    tokenizers that drop white space: then words are encoded alike wherever
-    they stand, and what the library gives for them is remembered."""
+def column_encoder(path: str, by_words: bool, end_id: int):
+    """Texts -> ids with the end id, as little-endian bytes. ``by_words`` is
+    for tokenizers that drop white space: then words are encoded alike wherever
+    they stand, the distinct ones of the texts are looked up, and what the
+    library gives for them is remembered."""
     t = load(path)
     kind = id_type(path)
     end = np.array([end_id], kind).tobytes()
-    odd = [*_ODD, *(x.content for x in t.get_added_tokens_decoder().values())]
+    odd = "|".join(map(re.escape, [*_ODD, *(x.content for x in t.get_added_tokens_decoder().values())]))
     memo = WordMemo(t, kind)
 
-    def ids(text: str | None) -> bytes:
-        if not text:
-            return end
-        if not by_words or any(map(text.__contains__, odd)):
-            return np.array(t.encode(text, add_special_tokens=False).ids, kind).tobytes() + end
-        words = text.split()
-        return b"".join(memo.values(words)) + end if words else end
+    def ids(texts: pa.Array) -> pa.Array:
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        whole = pc.match_substring_regex(texts, odd) if by_words else pc.not_equal(texts, "")
+        words = pc.utf8_split_whitespace(pc.if_else(whole, "", texts))
+        bounds = words.offsets.to_numpy()
+        d = words.values.dictionary_encode()
+        # after the words of each text its end id, or its ids with the end id if it went to the library whole
+        last = np.full(len(texts), len(d.dictionary))
+        at = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
+        last[at] += 1 + np.arange(len(at))
+        wholes = [np.array(t.encode(x, add_special_tokens=False).ids, kind).tobytes() + end for x in texts.take(at).to_pylist()]
+        values = pa.concat_arrays([memo.column(d.dictionary), pa.array([end, *wholes], pa.binary())])
+        flat = values.take(pa.array(np.insert(d.indices.to_numpy(), bounds[1:], last)))
+        offsets = np.frombuffer(flat.buffers()[1], np.int32)[bounds + np.arange(len(bounds))]
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), flat.buffers()[2]])
     return ids
 
 
+def encoder(path: str, by_words: bool, end_id: int):
+    """``column_encoder`` for one text at a time."""
+    ids = column_encoder(path, by_words, end_id)
+    return lambda text: ids(pa.array([text], pa.string()))[0].as_py()
+
+
+def slices(b: pa.RecordBatch, column: str, size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """``b`` in pieces of about ``size`` bytes of ``column``, a row at least."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    i = 0
+    while i < b.num_rows:
+        j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + size, "right")))
+        yield b.slice(i, j - i)
+        i = j
+
+
 def id_type(path: str) -> np.dtype:
     return np.dtype("<u2" if load(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
 
@@ -127,16 +194,15 @@ def stage_ids(df: DataFrame, path: str, id_col: str, text: str, end_id: int, by_
             .withColumn("part", F.spark_partition_id().cast("long")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = encoder(path, by_words, end_id)
+        ids = column_encoder(path, by_words, end_id)
         ordinal = first = 0
         for b in batches:
-            for i in range(0, b.num_rows, 512):
-                c = b.slice(i, 512)
-                coded = [ids(t.as_py()) for t in c.column("text")]
-                n = np.array([len(x) // kind.itemsize for x in coded], np.int64)
+            for c in slices(b, "text"):
+                coded = ids(c.column("text"))
+                n = pc.binary_length(coded).to_numpy().astype(np.int64) // kind.itemsize
                 yield pa.RecordBatch.from_arrays(
                     [c.column("part"), pa.array(np.arange(ordinal, ordinal + len(n))), c.column("doc_id"),
-                     pa.array(first + np.cumsum(n) - n), pa.array(n), pa.array(coded, pa.binary())],
+                     pa.array(first + np.cumsum(n) - n), pa.array(n), coded],
                     ["part", "ordinal", "doc_id", "first", "n", "ids"])
                 ordinal += len(n)
                 first += int(n.sum())
